@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.ordering import running_sums_unique
+from tessera.operators.ordering import group_running
 
 
 def _c(x: str | Column) -> Column:
@@ -52,56 +52,46 @@ def percentiles(df: DataFrame, by: Sequence[str], col: str, points: Mapping[str,
 
     1. count rows per (group, value) - map-side combine;
     2. running counts over (group, value) in global order (range partitioned);
-    3. per group: N and the running count where the group starts;
+    3. per group: N (another map-side combine);
     4. for each point, pick the values whose rank interval covers the two
        target ranks with a conditional max - another map-side combine.
     """
     keys = list(by)
     counted = (df.where(F.col(col).isNotNull())
                .groupBy(*keys, col).agg(F.count(F.lit(1)).cast("double").alias("_n")))
-    cum = running_sums_unique(counted, keys + [col], ["_n"], ["_cum"], partitions)
-    group = cum.groupBy(*keys).agg(F.min(F.col("_cum") - F.col("_n")).alias("_base"),
-                                   F.sum("_n").alias("_N"))
-    ranked = (cum.join(group, keys, "inner")
-              .withColumn("_hi_rank", F.col("_cum") - F.col("_base"))
-              .withColumn("_lo_rank", F.col("_hi_rank") - F.col("_n")))
-    aggs = [F.first("_N").alias("_N")]
+    cum = group_running(counted, keys, [col], ["_n"], ["_cum"], partitions)
+    sizes = counted.groupBy(*keys).agg(F.sum("_n").alias("_total"))
+    ranked = (cum.join(sizes, keys, "inner")
+              .withColumn("_hi_rank", F.col("_cum"))
+              .withColumn("_lo_rank", F.col("_cum") - F.col("_n")))
+    aggs = [F.first("_total").alias("_total")]
     for name, p in points.items():
-        h = (F.col("_N") - 1) * F.lit(float(p))
+        h = (F.col("_total") - 1) * F.lit(float(p))
         for tag, target in (("lo", F.floor(h)), ("hi", F.ceil(h))):
             hit = (F.col("_lo_rank") <= target) & (target < F.col("_hi_rank"))
             aggs.append(F.max(F.when(hit, F.col(col))).alias(f"_{name}_{tag}"))
-    picked = ranked.groupBy(*keys).agg(*aggs[1:], F.max("_N").alias("_N"))
+    picked = ranked.groupBy(*keys).agg(*aggs[1:], F.max("_total").alias("_total"))
     out = [F.col(k) for k in keys]
     for name, p in points.items():
-        h = (F.col("_N") - 1) * F.lit(float(p))
+        h = (F.col("_total") - 1) * F.lit(float(p))
         lo, hi = F.col(f"_{name}_lo").cast("double"), F.col(f"_{name}_hi").cast("double")
         out.append((lo + (h - F.floor(h)) * (hi - lo)).alias(name))
     return picked.select(*out)
 
 
-def grouping(df: DataFrame, sets: Sequence[Sequence[str]], aggs: Sequence[Column],
-             with_id: bool = True) -> DataFrame:
+def grouping(df: DataFrame, sets: Sequence[Sequence[str | Column]], aggs: Sequence[Column],
+             keys: Sequence[str | Column] | None = None, with_id: bool = True) -> DataFrame:
     """GROUPING SETS with an optional ``grouping_id`` so a real NULL
-    key stays apart from the NULL of a rolled-up level."""
-    names = []
-    for s in sets:
-        for c in s:
-            if c not in names:
-                names.append(c)
-    df.createOrReplaceTempView("_tessera_grouping_src")
-    spark = df.sparkSession
-    agg_sql = ", ".join(_sql_of(a) for a in aggs)
-    set_sql = ", ".join("(" + ", ".join(f"`{c}`" for c in s) + ")" for s in sets)
-    gid = ", grouping_id() AS grouping_id" if with_id else ""
-    cols = ", ".join(f"`{c}`" for c in names)
-    return spark.sql(
-        f"SELECT {cols}, {agg_sql}{gid} FROM _tessera_grouping_src "
-        f"GROUP BY GROUPING SETS ({set_sql})")
-
-
-def _sql_of(c: Column) -> str:
-    return c._jc.expr().sql() if hasattr(c, "_jc") else str(c)
+    key stays apart from the NULL of a rolled-up level. One Expand + partial
+    aggregate, so each set is combined map-side before the shuffle."""
+    if keys is None:
+        keys = []
+        for s in sets:
+            for c in s:
+                if not any(c is k or (isinstance(c, str) and c == k) for k in keys):
+                    keys.append(c)
+    extra = [F.grouping_id().alias("grouping_id")] if with_id else []
+    return df.groupingSets([list(s) for s in sets], *keys).agg(*aggs, *extra)
 
 
 def rollup(df: DataFrame, cols: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
@@ -138,7 +128,7 @@ def unpivot_dropping_nulls(df: DataFrame, ids: Sequence[str], cols: Sequence[str
 def integer_avg(col: str | Column) -> Column:
     """SQL Server rule: the average of an integer column is an integer
     (truncated toward zero)."""
-    return F.avg(_c(col))
+    return F.avg(_c(col)).cast("long")
 
 
 def windowed(df: DataFrame, specs: Mapping[str, Column]) -> DataFrame:
