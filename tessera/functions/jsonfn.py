@@ -116,7 +116,7 @@ def is_json(col: str | Column, kind: str | None = None) -> Column:
 @dataclass(frozen=True)
 class Set:
     field: str
-    value: object  # Column or literal; applies to element ``index`` (None = the root)
+    value: object  # Column, literal, or function of the element; applies to element ``index``
     index: int | None = None
 
 
@@ -148,7 +148,12 @@ def _edit_struct(x: Column, fields: Sequence[str], edit) -> Column:
     for f in fields:
         val = x[f]
         if isinstance(edit, Set) and edit.field == f:
-            val = edit.value if isinstance(edit.value, Column) else F.lit(edit.value)
+            if isinstance(edit.value, Column):
+                val = edit.value
+            elif callable(edit.value):  # value computed from the element itself
+                val = edit.value(x)
+            else:
+                val = F.lit(edit.value)
         elif isinstance(edit, Delete) and edit.field == f:
             val = F.when(F.lit(False), x[f])  # NULL of the member's own type
         elif isinstance(edit, Rename) and edit.new == f:
@@ -172,15 +177,22 @@ def json_edit(array_col: Column, element_fields: Sequence[str], edits: Sequence)
         if isinstance(e, Append):
             arr = F.array_append(arr, e.element)
         elif isinstance(e, NullElement):
-            arr = F.transform(arr, lambda x, i, _k=e.index: F.when(i != _k, x))
+            arr = F.transform(arr, _null_at(e.index))
         else:
-            idx = e.index
+            arr = F.transform(arr, _edit_at(e, fields))
+    return arr
 
-            def step(x, i, _e=e, _idx=idx):
-                new = _edit_struct(x, fields, _e)
-                if _idx is None:
-                    return new
-                return F.when(i == _idx, new).otherwise(_edit_struct(x, fields, None))
 
-            arr = F.transform(arr, step)
-    return arr
+def _null_at(k: int):
+    def step(x, i):
+        return F.when(i != k, x)
+    return step
+
+
+def _edit_at(edit, fields: list[str]):
+    def step(x, i):
+        new = _edit_struct(x, fields, edit)
+        if edit.index is None:
+            return new
+        return F.when(i == edit.index, new).otherwise(_edit_struct(x, fields, None))
+    return step

@@ -1 +1,346 @@
-"""Placeholder."""
+"""Queries for JSON columns (JS), nested child documents.
+
+The driver tables carry no JSON documents worth the name, so the documents
+are derived from them the way the reference derives ``PhoneNumbers``: one
+JSON array per customer built from that customer's orders
+(``number`` = order key as text, ``type`` = order priority). Both engines
+build the same text from the same rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tessera.functions import jsonfn as J
+from tessera.operators import jsonops as JO
+from tessera.plans.registry import query
+from tessera.plans.relational_queries import t
+
+PHONE = "struct<number:string,type:string,ext:string,tipo:string>"
+PHONES = T.ArrayType(T._parse_datatype_string(PHONE))
+
+# DuckDB side of the derived documents
+PH_SQL = """ph AS (
+  SELECT c.c_custkey, (SELECT to_json(list(struct_pack(number := CAST(o.o_orderkey AS VARCHAR), type := o.o_orderpriority)
+                                      ORDER BY CAST(o.o_orderkey AS VARCHAR), o.o_orderpriority))
+                       FROM orders o WHERE o.o_custkey = c.c_custkey) AS phones
+  FROM customer c)"""
+
+# one row per phone element with its 0-based index, for rebuilding edited text
+PE_SQL = """pe AS (
+  SELECT o_custkey AS c_custkey, CAST(o_orderkey AS VARCHAR) AS number, o_orderpriority AS type,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderkey AS VARCHAR), o_orderpriority) - 1 AS i
+  FROM orders)"""
+
+
+def phones(spark, sf, type_col=None):
+    """customer key + JSON array of the customer's orders (NULL when none)."""
+    c, o = t(spark, sf, "customer"), t(spark, sf, "orders")
+    fields = {"number": F.col("o_orderkey").cast("string"),
+              "type": type_col if type_col is not None else F.col("o_orderpriority")}
+    return JO.nest_children(c.select("c_custkey"), o, "c_custkey", "o_custkey", fields, "phones",
+                            order_by=list(fields.values()))
+
+
+def _edited(spark, sf, edits):
+    p = phones(spark, sf)
+    arr = F.from_json("phones", PHONES)
+    return p.select("c_custkey", F.to_json(J.json_edit(arr, ["number", "type", "ext", "tipo"], edits)
+                                           ).alias("phones"))
+
+
+def _edit_sql(element_sql: str, append_sql: str = "") -> str:
+    return f"""WITH {PE_SQL},
+ed AS (SELECT c_custkey, '[' || string_agg({element_sql}, ',' ORDER BY i) || {append_sql or "''"} || ']' AS phones
+       FROM pe GROUP BY c_custkey)
+SELECT c.c_custkey, ed.phones FROM customer c LEFT JOIN ed ON c.c_custkey = ed.c_custkey"""
+
+
+_PLAIN = "to_json(struct_pack(number := number, type := type))"
+
+
+# --------------------------------------------------------------------------
+# Child documents
+
+
+@query("nested_json", f"WITH {PH_SQL} SELECT c_custkey, phones FROM ph")
+def nested_json(spark, sf):
+    return phones(spark, sf)
+
+
+@query("nested_children", """
+SELECT c.c_custkey, COUNT(DISTINCT o.o_orderkey) AS n_orders, COUNT(l.l_orderkey) AS n_lines
+FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey
+LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+GROUP BY c.c_custkey
+""")
+def nested_children(spark, sf):
+    c, o, li = t(spark, sf, "customer"), t(spark, sf, "orders"), t(spark, sf, "lineitem")
+    # split-query form: lines nested under orders, then orders under customers
+    orders = JO.include(o.select("o_orderkey", "o_custkey"), "o_orderkey", [
+        (li, "l_orderkey", {"l_linenumber": "l_linenumber", "l_partkey": "l_partkey"}, "lines",
+         ["l_linenumber", "l_partkey"])])
+    tree = JO.include(c.select("c_custkey"), "c_custkey", [
+        (orders, "o_custkey", {"o_orderkey": "o_orderkey", "lines": "lines"}, "orders",
+         ["o_orderkey"])])
+    n_orders = F.coalesce(F.size("orders"), F.lit(0)).cast("long")
+    n_lines = F.coalesce(F.aggregate("orders", F.lit(0).cast("long"),
+                                     lambda acc, x: acc + F.coalesce(F.size(x["lines"]), F.lit(0))),
+                         F.lit(0)).cast("long")
+    return tree.select("c_custkey", n_orders.alias("n_orders"), n_lines.alias("n_lines"))
+
+
+# --------------------------------------------------------------------------
+# JS1-JS7: build and read
+
+
+@query("for_json_path", """
+SELECT c_custkey, CASE WHEN nullif(c_mktsegment, 'BUILDING') IS NULL
+  THEN to_json(struct_pack(ID := c_custkey, Info := struct_pack(Nombre := c_name)))
+  ELSE to_json(struct_pack(ID := c_custkey, Info := struct_pack(Nombre := c_name, Segmento := c_mktsegment))) END AS json
+FROM customer
+""")
+def for_json_path(spark, sf):
+    c = t(spark, sf, "customer")
+    return c.select("c_custkey", J.for_json_path({
+        "ID": "c_custkey", "Info.Nombre": "c_name",
+        "Info.Segmento": F.nullif("c_mktsegment", F.lit("BUILDING"))}).alias("json"))
+
+
+@query("json_root", """
+SELECT o_custkey, to_json(struct_pack(Pedidos := list(o_orderkey ORDER BY o_orderkey))) AS json
+FROM orders GROUP BY o_custkey
+""")
+def json_root(spark, sf):
+    o = t(spark, sf, "orders")
+    per = o.groupBy("o_custkey").agg(F.array_sort(F.collect_list("o_orderkey")).alias("_k"))
+    return per.select("o_custkey", J.json_root("_k", "Pedidos").alias("json"))
+
+
+@query("json_value", f"""
+WITH {PH_SQL}
+SELECT c_custkey,
+  json_extract_string(phones, '$[0].type') || ': ' || json_extract_string(phones, '$[0].number') AS telefono,
+  CASE WHEN json_type(phones, '$[0]') IN ('OBJECT', 'ARRAY') THEN NULL
+       ELSE json_extract_string(phones, '$[0]') END AS objeto,
+  json_extract_string(phones, '$[20].type') AS ausente
+FROM ph
+""")
+def json_value(spark, sf):
+    p = phones(spark, sf)
+    return p.select("c_custkey",
+                    F.concat(J.json_value("phones", "$[0].type"), F.lit(": "),
+                             J.json_value("phones", "$[0].number")).alias("telefono"),
+                    J.json_value("phones", "$[0]").alias("objeto"),
+                    J.json_value("phones", "$[20].type").alias("ausente"))
+
+
+@query("json_query", f"""
+WITH {PH_SQL}
+SELECT c_custkey, CAST(json_extract(phones, '$[0]') AS VARCHAR) AS telefono,
+       CAST(NULL AS VARCHAR) AS escalar
+FROM ph
+""")
+def json_query(spark, sf):
+    p = phones(spark, sf)
+    return p.select("c_custkey", J.json_query("phones", "$[0]").alias("telefono"),
+                    J.json_query("phones", "$[0].type").alias("escalar"))
+
+
+@query("json_path_exists", """
+WITH d AS (
+  SELECT c.c_custkey, (SELECT list(nullif(o.o_orderpriority, '1-URGENT')) FROM orders o
+                       WHERE o.o_custkey = c.c_custkey) AS types
+  FROM customer c)
+SELECT c_custkey FROM d WHERE len(list_filter(types, lambda x: x IS NOT NULL)) > 0
+""")
+def json_path_exists(spark, sf):
+    p = phones(spark, sf, type_col=F.nullif("o_orderpriority", F.lit("1-URGENT")))
+    arr = F.from_json("phones", PHONES)
+    return p.where(J.json_path_exists(arr, "type")).select("c_custkey")
+
+
+@query("isjson", r"""
+SELECT event_id,
+  CASE WHEN json_valid(props) AND json_type(props) IN ('OBJECT', 'ARRAY') THEN 1 ELSE 0 END AS is_json,
+  CASE WHEN json_valid(props) AND json_type(props) = 'ARRAY' THEN 1 ELSE 0 END AS is_array,
+  CASE WHEN json_valid(substr(props, 2)) AND json_type(substr(props, 2)) IN ('OBJECT', 'ARRAY') THEN 1 ELSE 0 END AS broken,
+  CASE WHEN json_valid(regexp_extract(props, '[0-9]+')) AND json_type(regexp_extract(props, '[0-9]+')) IN ('OBJECT', 'ARRAY') THEN 1 ELSE 0 END AS bare_scalar,
+  CASE WHEN json_valid('[' || props || ']') AND json_type('[' || props || ']') = 'ARRAY' THEN 1 ELSE 0 END AS wrapped_array
+FROM events
+""")
+def isjson(spark, sf):
+    e = t(spark, sf, "events")
+    return e.select("event_id", J.is_json("props").alias("is_json"),
+                    J.is_json("props", "ARRAY").alias("is_array"),
+                    J.is_json(F.substring("props", 2, 2147483647)).alias("broken"),
+                    J.is_json(F.regexp_extract("props", "[0-9]+", 0)).alias("bare_scalar"),
+                    J.is_json(F.concat(F.lit("["), "props", F.lit("]")), "ARRAY").alias("wrapped_array"))
+
+
+@query("json_object", """
+SELECT p_partkey, to_json(struct_pack(numero := p_partkey, tipo := nullif(p_type, 'SMALL'))) AS telefono FROM part
+""")
+def json_object(spark, sf):
+    p = t(spark, sf, "part")
+    return p.select("p_partkey", J.json_object({"numero": "p_partkey",
+                                                "tipo": F.nullif("p_type", F.lit("SMALL"))}
+                                               ).alias("telefono"))
+
+
+# --------------------------------------------------------------------------
+# JS8, JS9: shred
+
+
+@query("openjson_with", """
+WITH docs AS (
+  SELECT o.o_orderkey, to_json(list(struct_pack(Id := l.l_linenumber, Cant := CAST(l.l_quantity AS INTEGER),
+                                               PVP := l.l_extendedprice))) AS doc
+  FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY o.o_orderkey),
+rows AS (SELECT o_orderkey, unnest(from_json(doc, '[{"Id":"INTEGER","Cant":"INTEGER","PVP":"DECIMAL(10,4)"}]')) AS e FROM docs)
+SELECT o_orderkey, e.Id AS id, e.Cant AS cantidad, CAST(e.PVP AS DOUBLE) AS precio,
+       CAST(e.Cant * e.PVP AS DOUBLE) AS total
+FROM rows
+""")
+def openjson_with(spark, sf):
+    o, li = t(spark, sf, "orders"), t(spark, sf, "lineitem")
+    docs = JO.nest_children(o.select("o_orderkey"), li, "o_orderkey", "l_orderkey",
+                            {"Id": "l_linenumber", "Cant": F.col("l_quantity").cast("int"),
+                             "PVP": "l_extendedprice"}, "doc")
+    rows = JO.openjson(docs, "doc", "struct<Id:int,Cant:int,PVP:decimal(10,4)>", keep=["o_orderkey"])
+    return rows.select("o_orderkey", F.col("Id").alias("id"), F.col("Cant").alias("cantidad"),
+                       F.col("PVP").cast("double").alias("precio"),
+                       (F.col("Cant") * F.col("PVP")).cast("double").alias("total"))
+
+
+@query("openjson_count", f"""
+WITH {PH_SQL}
+SELECT c_custkey, CAST(greatest(coalesce(json_array_length(phones), 0), 1) AS BIGINT) AS n
+FROM ph WHERE greatest(coalesce(json_array_length(phones), 0), 1) > 1
+""")
+def openjson_count(spark, sf):
+    counted = JO.openjson_count(phones(spark, sf), "c_custkey", "phones", "$", "n")
+    return counted.where(F.col("n") > 1)
+
+
+# --------------------------------------------------------------------------
+# JS10-JS15: edits
+
+
+@query("json_set", _edit_sql(
+    "CASE WHEN i = 0 THEN to_json(struct_pack(number := number, type := upper(type), ext := '0')) "
+    f"ELSE {_PLAIN} END"))
+def json_set(spark, sf):
+    return _edited(spark, sf, [J.Set("type", lambda x: F.upper(x["type"]), index=0),
+                               J.Set("ext", "0", index=0)])
+
+
+@query("json_delete", _edit_sql(
+    f"CASE WHEN i = 0 THEN to_json(struct_pack(number := number)) ELSE {_PLAIN} END"))
+def json_delete(spark, sf):
+    return _edited(spark, sf, [J.Set("ext", "0", index=0), J.Delete("ext", index=0),
+                               J.Delete("type", index=0)])
+
+
+@query("json_rename", _edit_sql(
+    f"CASE WHEN i = 0 THEN to_json(struct_pack(number := number, tipo := type)) ELSE {_PLAIN} END"))
+def json_rename(spark, sf):
+    return _edited(spark, sf, [J.Rename("type", "tipo", index=0)])
+
+
+@query("json_append", _edit_sql(
+    _PLAIN, "',' || to_json(struct_pack(number := '666-555-0175', type := 'Cell'))"))
+def json_append(spark, sf):
+    new = F.struct(F.lit("666-555-0175").alias("number"), F.lit("Cell").alias("type"),
+                   F.lit(None).cast("string").alias("ext"), F.lit(None).cast("string").alias("tipo"))
+    return _edited(spark, sf, [J.Append(new)])
+
+
+@query("json_null_element", _edit_sql(f"CASE WHEN i = 1 THEN 'null' ELSE {_PLAIN} END"))
+def json_null_element(spark, sf):
+    return _edited(spark, sf, [J.NullElement(1)])
+
+
+@query("json_raw_array", """
+SELECT o_custkey AS c_custkey, to_json(list(CAST(o_orderkey AS VARCHAR)
+                                            ORDER BY CAST(o_orderkey AS VARCHAR), o_orderpriority)) AS emails
+FROM orders GROUP BY o_custkey
+""")
+def json_raw_array(spark, sf):
+    p = phones(spark, sf).where(F.col("phones").isNotNull())
+    return p.select("c_custkey",
+                    F.to_json(J.json_raw_array(F.from_json("phones", PHONES), "number")).alias("emails"))
+
+
+# --------------------------------------------------------------------------
+# JS16-JS18: whole documents
+
+DETAIL = ("struct<ContactType:string,Addresses:array<struct<Type:string,City:string>>,"
+          "PhoneNumbers:array<struct<Type:string,Number:string>>,EmailAddresses:array<string>>")
+
+DETAIL_SQL = """det AS (
+  SELECT c.c_custkey,
+    nullif(c.c_mktsegment, 'BUILDING') AS contact_type,
+    [struct_pack(Type := r.r_name, City := n.n_name)] AS addresses,
+    (SELECT list(struct_pack(Type := o.o_orderpriority, Number := CAST(o.o_orderkey AS VARCHAR))
+                 ORDER BY CAST(o.o_orderkey AS VARCHAR), o.o_orderpriority)
+     FROM orders o WHERE o.o_custkey = c.c_custkey) AS phones,
+    [lower(replace(c.c_name, '#', '.')) || '@adventure-works.com'] AS emails
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)"""
+
+
+def detail_documents(spark, sf):
+    c, n, r, o = (t(spark, sf, x) for x in ("customer", "nation", "region", "orders"))
+    base = (c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+            .select("c_custkey", F.nullif("c_mktsegment", F.lit("BUILDING")).alias("contact_type"),
+                    F.array(F.struct(F.col("r_name").alias("Type"), F.col("n_name").alias("City"))
+                            ).alias("addresses"),
+                    F.array(F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("."))),
+                                     F.lit("@adventure-works.com"))).alias("emails")))
+    with_phones = JO.nest_children(
+        base, o, "c_custkey", "o_custkey",
+        {"Type": "o_orderpriority", "Number": F.col("o_orderkey").cast("string")}, "phones",
+        order_by=[F.col("o_orderkey").cast("string"), F.col("o_orderpriority")], as_json=False)
+    doc = F.struct(F.col("contact_type").alias("ContactType"), F.col("addresses").alias("Addresses"),
+                   F.col("phones").alias("PhoneNumbers"), F.col("emails").alias("EmailAddresses"))
+    return with_phones.select("c_custkey", F.to_json(doc, {"ignoreNullFields": "false"}).alias("details"))
+
+
+@query("detail_document", f"""
+WITH {DETAIL_SQL}
+SELECT c_custkey, to_json(struct_pack(ContactType := contact_type, Addresses := addresses,
+                                      PhoneNumbers := phones, EmailAddresses := emails)) AS details
+FROM det
+""")
+def detail_document(spark, sf):
+    return detail_documents(spark, sf)
+
+
+@query("document_edit", f"""
+WITH {DETAIL_SQL}
+SELECT c_custkey, to_json(struct_pack(
+  ContactType := upper(contact_type), Addresses := addresses,
+  PhoneNumbers := list_append(coalesce(phones, []), struct_pack(Type := 'Cell', Number := '666-555-0175')),
+  EmailAddresses := emails)) AS details
+FROM det
+""")
+def document_edit(spark, sf):
+    docs = detail_documents(spark, sf)
+    d = F.from_json("details", DETAIL)
+    new_phone = F.struct(F.lit("Cell").alias("Type"), F.lit("666-555-0175").alias("Number"))
+    edited = (d.withField("ContactType", F.upper(d["ContactType"]))
+              .withField("PhoneNumbers",
+                         F.array_append(F.coalesce(d["PhoneNumbers"], F.array().cast(
+                             "array<struct<Type:string,Number:string>>")), new_phone)))
+    return docs.select("c_custkey", F.to_json(edited, {"ignoreNullFields": "false"}).alias("details"))
+
+
+@query("json_column_filter", f"""
+WITH {PH_SQL}
+SELECT c_custkey, json_extract_string(phones, '$[0].number') AS phone
+FROM ph WHERE json_extract_string(phones, '$[0].number') LIKE '1%'
+""")
+def json_column_filter(spark, sf):
+    m = JO.materialise_json(phones(spark, sf), "phones", {"phone": "$[0].number"})
+    return m.where(F.col("phone").like("1%")).select("c_custkey", "phone")
