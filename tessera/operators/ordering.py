@@ -219,3 +219,178 @@ def running_total(df: DataFrame, partition_by: Sequence[str], order_by: Sequence
     sums = sums.withColumn("_rank", (F.col("_cr") - F.col("_r") + 1).cast("int"))
     keep.append("_rank")
     return df.join(sums.select(*keep), keys, "inner")
+
+
+# --------------------------------------------------------------------------
+# previous / next / last-known values within a group (lag, lead, ffill)
+
+
+def _as_objects(s: pd.Series) -> pd.Series:
+    out = s.astype(object)
+    return out.where(s.notna(), None)
+
+
+def _scalar(pdf: pd.DataFrame, c: str, i: int):
+    v = pdf[c].iloc[i]
+    return None if pd.isna(v) else v
+
+
+def _summary_row(pid, first_key, last_key, single, vals):
+    row = {"pid": pid, "first_key": repr(first_key), "last_key": repr(last_key), "single": single}
+    for j, v in enumerate(vals):
+        row[f"v{j}"] = v
+    return pd.DataFrame([row])
+
+
+def _scan_back(batches, gcols, cols, mode, carry, emit_rows):
+    """One sorted partition: LAG (``mode='lag'``) or forward fill ('ffill').
+
+    ``carry`` maps partition id to (first key text, values) coming from the
+    partitions before it. Summary mode yields first/last key, the last row's
+    values (lag) or the last non-null value per column (ffill), and whether
+    the partition holds one group only.
+    """
+    from pyspark import TaskContext
+
+    pid = TaskContext.get().partitionId()
+    incoming = carry.get(pid) if carry else None
+    prev_key = prev_vals = first_key = None
+    single = True
+    known = [None] * len(cols)  # ffill state of the current group
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        if first_key is None:
+            first_key = _key_at(pdf, gcols, 0)
+            if incoming is not None and incoming[0] == repr(first_key):
+                prev_key, prev_vals, known = first_key, list(incoming[1]), list(incoming[1])
+            chg = _group_change(pdf, gcols, prev_key)
+        else:
+            chg = _group_change(pdf, gcols, prev_key)
+            if chg[0]:
+                single = False
+        if chg[1:].any():
+            single = False
+        seg = np.cumsum(chg)
+        res = pdf.copy() if emit_rows else None
+        for j, c in enumerate(cols):
+            col = _as_objects(pdf[c])
+            if mode == "lag":
+                out = col.shift(1)
+                out[chg] = None
+                if not chg[0] and prev_vals is not None:
+                    out.iloc[0] = prev_vals[j]
+            else:
+                out = col.groupby(seg).ffill()
+                if not chg[0] and known[j] is not None:
+                    head = (seg == seg[0]) & out.isna().to_numpy()
+                    out[head] = known[j]
+                last_seg = out[seg == seg[-1]]
+                filled = last_seg[last_seg.notna()]
+                if len(filled):
+                    known[j] = filled.iloc[-1]
+                elif chg[1:].any() or chg[0]:
+                    known[j] = None
+            if emit_rows:
+                res[f"_sh{j}"] = out.where(out.notna(), None)
+        prev_key = _key_at(pdf, gcols, len(pdf) - 1)
+        prev_vals = [_scalar(pdf, c, -1) for c in cols]
+        if emit_rows:
+            yield res
+    if not emit_rows and first_key is not None:
+        yield _summary_row(pid, first_key, prev_key, single, prev_vals if mode == "lag" else known)
+
+
+def _scan_ahead(batches, gcols, cols, carry, emit_rows):
+    """One sorted partition: LEAD. A batch is held back until the next one
+    arrives so its last row can see the next batch's first row; the last
+    batch takes the first row of the next partition from ``carry``."""
+    from pyspark import TaskContext
+
+    pid = TaskContext.get().partitionId()
+    incoming = carry.get(pid) if carry else None
+    pending = None
+    first_key = last_key = first_vals = None
+
+    def finish(pdf, next_key_text, next_vals):
+        chg = _group_change(pdf, gcols, None)
+        res = pdf.copy()
+        starts_next = np.append(chg[1:], True)
+        for j, c in enumerate(cols):
+            out = _as_objects(pdf[c]).shift(-1)
+            out[starts_next] = None
+            if next_vals is not None and next_key_text == repr(_key_at(pdf, gcols, len(pdf) - 1)):
+                out.iloc[-1] = next_vals[j]
+            res[f"_sh{j}"] = out.where(out.notna(), None)
+        return res
+
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        if first_key is None:
+            first_key = _key_at(pdf, gcols, 0)
+            first_vals = [_scalar(pdf, c, 0) for c in cols]
+        last_key = _key_at(pdf, gcols, len(pdf) - 1)
+        if emit_rows:
+            if pending is not None:
+                yield finish(pending, repr(_key_at(pdf, gcols, 0)), [_scalar(pdf, c, 0) for c in cols])
+            pending = pdf
+    if emit_rows and pending is not None:
+        yield finish(pending, *(incoming if incoming is not None else (None, None)))
+    if not emit_rows and first_key is not None:
+        yield _summary_row(pid, first_key, last_key, True, first_vals)
+
+
+def group_shift(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str | Column],
+                cols: Sequence[str], names: Sequence[str], mode: str = "lag",
+                partitions: int | None = None) -> DataFrame:
+    """LAG / LEAD / forward fill of ``cols`` within ``partition_by`` groups in
+    ``order_by`` order, without putting a group in one task.
+
+    ``mode``: ``"lag"`` (previous row), ``"lead"`` (next row) or ``"ffill"``
+    (last non-NULL value at or before the row). Rows need a total order
+    within their group. What reaches the driver is one summary row per
+    partition.
+    """
+    gcols, cols = list(partition_by), list(cols)
+    fixed = _ranged(df, [*gcols, *order_by], partitions)
+    n_parts = fixed.rdd.getNumPartitions()
+    summary_schema = T.StructType(
+        [T.StructField("pid", T.IntegerType()), T.StructField("first_key", T.StringType()),
+         T.StructField("last_key", T.StringType()), T.StructField("single", T.BooleanType())]
+        + [T.StructField(f"v{j}", fixed.schema[c].dataType) for j, c in enumerate(cols)])
+    if mode == "lead":
+        scan = lambda carry, emit: (lambda it: _scan_ahead(it, gcols, cols, carry, emit))
+    else:
+        scan = lambda carry, emit: (lambda it: _scan_back(it, gcols, cols, mode, carry, emit))
+    summary = fixed.mapInPandas(scan(None, False), summary_schema).collect()
+    info = {r["pid"]: r for r in summary}
+    vals_of = lambda r: [r[f"v{j}"] for j in range(len(cols))]
+    carry: dict[int, tuple] = {}
+    for pid in sorted(info):
+        me = info[pid]
+        if mode == "lead":
+            later = [j for j in info if j > pid]
+            if later:
+                nxt = info[min(later)]
+                carry[pid] = (nxt["first_key"], vals_of(nxt))
+            continue
+        earlier = sorted((j for j in info if j < pid), reverse=True)
+        if not earlier or info[earlier[0]]["last_key"] != me["first_key"]:
+            continue
+        vals = vals_of(info[earlier[0]])
+        if mode == "ffill":  # a column still unknown may be known further back
+            for j in earlier[1:]:
+                prev_part = info[earlier[earlier.index(j) - 1]]
+                if not all(v is None for v in vals) and all(v is not None for v in vals):
+                    break
+                if not (prev_part["single"] and info[j]["last_key"] == me["first_key"]):
+                    break
+                vals = [v if v is not None else o for v, o in zip(vals, vals_of(info[j]))]
+        carry[pid] = (me["first_key"], vals)
+    out_schema = T.StructType(fixed.schema.fields + [
+        T.StructField(f"_sh{j}", fixed.schema[c].dataType) for j, c in enumerate(cols)])
+    rows = fixed.mapInPandas(scan(carry, True), out_schema)
+    for j, n in enumerate(names):
+        rows = rows.withColumnRenamed(f"_sh{j}", n)
+    return rows

@@ -73,6 +73,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tessera`` importable in executor Python workers (once per app).
+
+    Operators that run Python per partition (``mapInPandas``) pickle
+    functions by reference to this package, so executors need it: the same
+    thing ``--py-files`` does at submit time.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import shutil
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    work = tempfile.mkdtemp(prefix="tessera-pkg-")
+    archive = shutil.make_archive(os.path.join(work, "tessera"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir="tessera")
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (never a local checkpoint).
 
@@ -81,6 +105,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     nondeterministic recomputation.
     """
     ensure_checkpoint_dir(df.sparkSession)
+    ship_package(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
