@@ -36,11 +36,24 @@ def _cols(order: Sequence[str | Column]) -> list[Column]:
 
 
 def _ranged(df: DataFrame, order: Sequence[str | Column], partitions: int | None) -> DataFrame:
+    """Range-partition and sort, stamp each row with ``_rid`` (partition id
+    in the high bits, position in the partition in the low 33 bits), then
+    checkpoint. Later steps read the partition id from ``_rid`` rather than
+    from the running task, whose index changes when the result is unioned."""
     n = partitions or default_parallelism(df.sparkSession)
-    ranged = df.repartitionByRange(n, *_cols(order)).sortWithinPartitions(*_cols(order))
+    ranged = (df.repartitionByRange(n, *_cols(order)).sortWithinPartitions(*_cols(order))
+              .withColumn("_rid", F.monotonically_increasing_id()))
     return cut_lineage(ranged)
 
 
+def _pid_of(rid: Column) -> Column:
+    return F.shiftright(rid, _LOW_BITS).cast("int")
+
+
+def _batch_pid(pdf: pd.DataFrame) -> int:
+    return int(pdf["_rid"].iloc[0]) >> _LOW_BITS
+
+
 def global_row_number(df: DataFrame, order: Sequence[str | Column], name: str = "row_number",
                       partitions: int | None = None) -> DataFrame:
     """ROW_NUMBER() OVER (ORDER BY order) over the whole table, distributed.
@@ -49,18 +62,17 @@ def global_row_number(df: DataFrame, order: Sequence[str | Column], name: str =
     reproducible numbering. One shuffle (the range exchange), no Python.
     """
     fixed = _ranged(df, order, partitions)
-    n_parts = fixed.rdd.getNumPartitions()
-    counts = fixed.groupBy(F.spark_partition_id().alias("_pid")).count().collect()
+    pid = _pid_of(F.col("_rid"))
+    counts = fixed.groupBy(pid.alias("_pid")).count().collect()  # one row per partition
+    n_parts = max([r["_pid"] for r in counts], default=-1) + 1
     sizes = [0] * n_parts
-    for r in counts:  # one row per partition
+    for r in counts:
         sizes[r["_pid"]] = r["count"]
     prefix = [0] + list(accumulate(sizes))[:-1]
-    offsets = F.element_at(F.array(*[F.lit(int(v)).cast("long") for v in prefix]),
-                           F.spark_partition_id() + 1)
-    local = F.monotonically_increasing_id() - F.shiftleft(
-        F.spark_partition_id().cast("long"), _LOW_BITS)
-    return fixed.sortWithinPartitions(*_cols(order)).withColumn(
-        name, (offsets + local + 1).cast("long"))
+    offsets = F.element_at(F.array(*[F.lit(int(v)).cast("long") for v in prefix] or [F.lit(0)]),
+                           pid + 1)
+    local = F.col("_rid").bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
+    return fixed.withColumn(name, (offsets + local + 1).cast("long")).drop("_rid")
 
 
 # --------------------------------------------------------------------------
@@ -99,11 +111,9 @@ def _scan_partition(batches, gcols, vcols, carry_in, emit_rows: bool):
     summary row: first key, last key, local totals of the last group run and
     whether the partition holds a single group.
     """
-    from pyspark import TaskContext
-
-    pid = TaskContext.get().partitionId()
     k = len(vcols)
-    add = np.asarray(carry_in.get(pid, [0.0] * k)) if carry_in else np.zeros(k)
+    pid = None
+    add = np.zeros(k)
     run_total = np.zeros(k)
     last_key = first_key = None
     single = True
@@ -111,6 +121,10 @@ def _scan_partition(batches, gcols, vcols, carry_in, emit_rows: bool):
     for pdf in batches:
         if pdf.empty:
             continue
+        if pid is None:
+            pid = _batch_pid(pdf)
+            if carry_in:
+                add = np.asarray(carry_in.get(pid, [0.0] * k))
         chg = _group_change(pdf, gcols, last_key)
         if first_key is None:
             first_key = _key_at(pdf, gcols, 0)
@@ -191,7 +205,7 @@ def group_running(df: DataFrame, partition_by: Sequence[str], order_by: Sequence
         lambda it: _scan_partition(it, gcols, vcols, carry_in, True), out_schema)
     for i, n in enumerate(names):
         rows = rows.withColumnRenamed(f"_cum{i}", n)
-    return rows
+    return rows.drop("_rid")
 
 
 def running_total(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
@@ -250,10 +264,7 @@ def _scan_back(batches, gcols, cols, mode, carry, emit_rows):
     values (lag) or the last non-null value per column (ffill), and whether
     the partition holds one group only.
     """
-    from pyspark import TaskContext
-
-    pid = TaskContext.get().partitionId()
-    incoming = carry.get(pid) if carry else None
+    pid = incoming = None
     prev_key = prev_vals = first_key = None
     single = True
     known = [None] * len(cols)  # ffill state of the current group
@@ -261,6 +272,8 @@ def _scan_back(batches, gcols, cols, mode, carry, emit_rows):
         if pdf.empty:
             continue
         if first_key is None:
+            pid = _batch_pid(pdf)
+            incoming = carry.get(pid) if carry else None
             first_key = _key_at(pdf, gcols, 0)
             if incoming is not None and incoming[0] == repr(first_key):
                 prev_key, prev_vals, known = first_key, list(incoming[1]), list(incoming[1])
@@ -305,10 +318,7 @@ def _scan_ahead(batches, gcols, cols, carry, emit_rows):
     """One sorted partition: LEAD. A batch is held back until the next one
     arrives so its last row can see the next batch's first row; the last
     batch takes the first row of the next partition from ``carry``."""
-    from pyspark import TaskContext
-
-    pid = TaskContext.get().partitionId()
-    incoming = carry.get(pid) if carry else None
+    pid = incoming = None
     pending = None
     first_key = last_key = first_vals = None
 
@@ -328,6 +338,8 @@ def _scan_ahead(batches, gcols, cols, carry, emit_rows):
         if pdf.empty:
             continue
         if first_key is None:
+            pid = _batch_pid(pdf)
+            incoming = carry.get(pid) if carry else None
             first_key = _key_at(pdf, gcols, 0)
             first_vals = [_scalar(pdf, c, 0) for c in cols]
         last_key = _key_at(pdf, gcols, len(pdf) - 1)
@@ -353,8 +365,14 @@ def group_shift(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[s
     partition.
     """
     gcols, cols = list(partition_by), list(cols)
-    fixed = _ranged(df, [*gcols, *order_by], partitions)
-    n_parts = fixed.rdd.getNumPartitions()
+    ranged = _ranged(df, [*gcols, *order_by], partitions)
+    n_parts = ranged.rdd.getNumPartitions()
+    # Timestamps cross into Python as epoch microseconds: pandas' nanosecond
+    # timestamps end in 2262, and periods here end in 9999.
+    ts_types = (T.TimestampType, T.TimestampNTZType)
+    stamped = {f.name: f.dataType for f in ranged.schema.fields if isinstance(f.dataType, ts_types)}
+    fixed = ranged.select(*[F.unix_micros(F.col(c).cast("timestamp")).alias(c) if c in stamped
+                            else F.col(c) for c in ranged.columns])
     summary_schema = T.StructType(
         [T.StructField("pid", T.IntegerType()), T.StructField("first_key", T.StringType()),
          T.StructField("last_key", T.StringType()), T.StructField("single", T.BooleanType())]
@@ -391,6 +409,9 @@ def group_shift(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[s
     out_schema = T.StructType(fixed.schema.fields + [
         T.StructField(f"_sh{j}", fixed.schema[c].dataType) for j, c in enumerate(cols)])
     rows = fixed.mapInPandas(scan(carry, True), out_schema)
+    back = {**stamped, **{f"_sh{j}": stamped[c] for j, c in enumerate(cols) if c in stamped}}
+    rows = rows.select(*[F.timestamp_micros(F.col(c)).cast(back[c]).alias(c) if c in back
+                         else F.col(c) for c in rows.columns])
     for j, n in enumerate(names):
         rows = rows.withColumnRenamed(f"_sh{j}", n)
-    return rows
+    return rows.drop("_rid")
