@@ -10,15 +10,13 @@ build the same text from the same rows.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.functions import jsonfn as J
 from tessera.operators import jsonops as JO
 from tessera.plans.registry import query
 from tessera.plans.relational_queries import t
 
-PHONE = "struct<number:string,type:string,ext:string,tipo:string>"
-PHONES = T.ArrayType(T._parse_datatype_string(PHONE))
+PHONES = "array<struct<number:string,type:string,ext:string,tipo:string>>"
 
 # DuckDB side of the derived documents
 PH_SQL = """ph AS (
