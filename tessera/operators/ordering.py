@@ -69,8 +69,8 @@ def global_row_number(df: DataFrame, order: Sequence[str | Column], name: str =
     for r in counts:
         sizes[r["_pid"]] = r["count"]
     prefix = [0] + list(accumulate(sizes))[:-1]
-    offsets = F.element_at(F.array(*[F.lit(int(v)).cast("long") for v in prefix] or [F.lit(0)]),
-                           pid + 1)
+    # one array literal, one entry per partition
+    offsets = F.element_at(F.lit([int(v) for v in prefix] or [0]).cast("array<bigint>"), pid + 1)
     local = F.col("_rid").bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
     return fixed.withColumn(name, (offsets + local + 1).cast("long")).drop("_rid")
 
@@ -201,8 +201,9 @@ def group_running(df: DataFrame, partition_by: Sequence[str], order_by: Sequence
 
     out_schema = T.StructType(fixed.schema.fields + [
         T.StructField(f"_cum{i}", T.DoubleType()) for i in range(len(vcols))])
+    shared = df.sparkSession.sparkContext.broadcast(carry_in)  # one entry per partition
     rows = fixed.mapInPandas(
-        lambda it: _scan_partition(it, gcols, vcols, carry_in, True), out_schema)
+        lambda it: _scan_partition(it, gcols, vcols, shared.value, True), out_schema)
     for i, n in enumerate(names):
         rows = rows.withColumnRenamed(f"_cum{i}", n)
     return rows.drop("_rid")
@@ -408,7 +409,12 @@ def group_shift(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[s
         carry[pid] = (me["first_key"], vals)
     out_schema = T.StructType(fixed.schema.fields + [
         T.StructField(f"_sh{j}", fixed.schema[c].dataType) for j, c in enumerate(cols)])
-    rows = fixed.mapInPandas(scan(carry, True), out_schema)
+    shared = df.sparkSession.sparkContext.broadcast(carry)  # one entry per partition
+    if mode == "lead":
+        rows = fixed.mapInPandas(lambda it: _scan_ahead(it, gcols, cols, shared.value, True), out_schema)
+    else:
+        rows = fixed.mapInPandas(lambda it: _scan_back(it, gcols, cols, mode, shared.value, True),
+                                 out_schema)
     back = {**stamped, **{f"_sh{j}": stamped[c] for j, c in enumerate(cols) if c in stamped}}
     rows = rows.select(*[F.timestamp_micros(F.col(c)).cast(back[c]).alias(c) if c in back
                          else F.col(c) for c in rows.columns])

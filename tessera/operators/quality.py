@@ -95,7 +95,7 @@ def rule_report(df: DataFrame, rules: Sequence) -> DataFrame:
                    .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("violations")))
             parts.append(dup.select(F.lit("unique:" + ",".join(cols)).alias("rule"), "violations"))
         elif isinstance(rule, ForeignKey):
-            ref = rule.ref.select(F.col(rule.ref_column).alias("_ref"))
+            ref = rule.ref.select(F.col(rule.ref_column).alias("_ref")).distinct()
             orphan = (df.where(F.col(rule.column).isNotNull())
                       .join(ref, F.col(rule.column) == F.col("_ref"), "left_anti")
                       .agg(F.count(F.lit(1)).cast("long").alias("violations")))

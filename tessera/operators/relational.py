@@ -104,6 +104,23 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     return big.join(small, on, how)
 
 
+def left_join_many(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """``left LEFT JOIN right`` when the right side is the "many" side and a
+    right key may hold a large share of the rows.
+
+    Spark's adaptive skew handling can split only the preserved side of an
+    outer join, so the join is written as an inner join (either side may be
+    split) plus the left rows with no match, found against the *distinct*
+    right keys (a map-side combine, so a hot key becomes one row).
+    """
+    matched = left.join(right, left[left_key] == right[right_key], "inner")
+    keys = right.select(F.col(right_key).alias("_rk")).distinct()
+    unmatched = left.join(keys, left[left_key] == F.col("_rk"), "left_anti")
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields
+             if f.name not in left.columns]
+    return matched.unionByName(unmatched.select(*left.columns, *nulls))
+
+
 def semi_in(df: DataFrame, key: str, sub: DataFrame, sub_key: str) -> DataFrame:
     """C4: ``key IN (SELECT sub_key FROM sub)`` as a left semi-join."""
     return df.join(sub.select(F.col(sub_key).alias("_in_key")),

@@ -260,9 +260,9 @@ LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 """)
 def left_join(spark, sf):
     c, o, n = t(spark, sf, "customer"), t(spark, sf, "orders"), t(spark, sf, "nation")
-    return (c.join(o, o.o_custkey == c.c_custkey, "left")
-            .join(n, c.c_nationkey == n.n_nationkey, "left")
-            .select("c_custkey", "o_orderkey", "n_name"))
+    co = R.left_join_many(c.select("c_custkey", "c_nationkey"), o.select("o_orderkey", "o_custkey"),
+                          "c_custkey", "o_custkey")
+    return co.join(n, co.c_nationkey == n.n_nationkey, "left").select("c_custkey", "o_orderkey", "n_name")
 
 
 @query("star_join", """
