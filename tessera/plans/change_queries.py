@@ -182,3 +182,20 @@ def retention(spark, sf):
     return kept.agg(F.min("event_id").alias("min_valid_version"),
                     F.max("event_id").alias("current_version"),
                     F.count(F.lit(1)).alias("retained"))
+
+
+@query("cdc_all_with_before", f"""
+WITH {_ALL_SQL}
+SELECT commit_id, operation, update_mask, user_id, event_type, value FROM allc
+UNION ALL
+SELECT w.event_id, 3, CAST((CASE WHEN b_et IS DISTINCT FROM event_type THEN 1 ELSE 0 END
+                          + CASE WHEN b_v IS DISTINCT FROM value THEN 2 ELSE 0 END
+                          + CASE WHEN b_p IS DISTINCT FROM props THEN 4 ELSE 0 END) AS BIGINT),
+       user_id, b_et, b_v
+FROM w WHERE op = 'U' AND event_id >= (SELECT lo FROM rng)
+""")
+def cdc_all_with_before(spark, sf):
+    lo, hi = _commit_range(spark, sf)
+    out = C.all_changes(change_log(spark, sf), "user_id", "event_id", "op", TRACKED, lo, hi,
+                        with_before=True)
+    return out.select("commit_id", "operation", "update_mask", "user_id", "event_type", "value")

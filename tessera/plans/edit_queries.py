@@ -136,3 +136,15 @@ def merge_conflicts(spark, sf):
     o, mine, stored = _merge_inputs(spark, sf)
     _merged, conflicts = K.three_way_merge(o, mine, stored, "o_orderkey", SNAP_COLS)
     return conflicts
+
+
+@query("add_drop_columns", """
+SELECT c_custkey, c_name, c_nationkey, c_mktsegment, 'AW' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS account
+FROM customer
+""")
+def add_drop_columns(spark, sf):
+    from tessera.operators.relational import account_number
+
+    c = t(spark, sf, "customer")
+    added = K.add_columns(c, {"account": account_number("c_custkey")})
+    return K.drop_columns(added, ["c_acctbal", "no_such_column"])

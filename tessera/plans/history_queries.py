@@ -117,3 +117,14 @@ def backfill(spark, sf):
     b = H.backfill(e, "vf", "day").select("user_id", "event_id", "event_type", "vf")
     h = H.build_history(b, "user_id", "vf", "event_id")
     return _text_period(h.select("user_id", "event_id", "event_type", "valid_from", "valid_to"))
+
+
+@query("apply_versions", f"WITH {HIST_SQL} SELECT {_sql_text()} FROM hist")
+def apply_versions(spark, sf):
+    # history of the first half of January, then the rest applied as new
+    # versions: must equal the history built from the whole log (T7 = T1)
+    e = t(spark, sf, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    cut = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    first = H.build_history(e.where(F.col("ts") < cut), "user_id", "ts", "event_id")
+    grown = H.apply_versions(first, e.where(F.col("ts") >= cut), "user_id", "ts", "event_id")
+    return _text_period(grown.select(*_COLS))

@@ -101,3 +101,18 @@ def masked_view(spark, sf):
     masked = L.masked_view(c, {"c_name": "text", "email": "email", "card": "card",
                                "c_acctbal": "number", "birthday": "date"})
     return masked.withColumn("birthday", F.col("birthday").cast("string"))
+
+
+@query("gate_rejected", f"""
+SELECT c_custkey, concat_ws(',',
+    CASE WHEN c_acctbal < 0 THEN 'check:acctbal_not_negative' END,
+    CASE WHEN NOT regexp_full_match({_EMAIL_SQL}, '{_EMAIL_RE}') THEN 'check:email' END) AS broken_rules
+FROM customer
+WHERE c_acctbal < 0 OR NOT regexp_full_match({_EMAIL_SQL}, '{_EMAIL_RE}')
+""")
+def gate_rejected(spark, sf):
+    c = t(spark, sf, "customer")
+    _good, rejected = L.gate(c, [L.Required("c_name"),
+                                 L.Check("acctbal_not_negative", F.col("c_acctbal") >= 0),
+                                 L.Check("email", L.email_ok(_email(c)))])
+    return rejected.select("c_custkey", F.array_join("broken_rules", ",").alias("broken_rules"))

@@ -447,3 +447,41 @@ def sql_params(spark, sf):
     return spark.sql(
         "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > :p AND o_orderstatus = :s",
         args={"p": 300000, "s": "O"})
+
+
+@query("take_then_filter")
+def take_then_filter_q(spark, sf):
+    # rows-only: Take(5) before Where picks at most 5 rows, which ones is not fixed
+    o = t(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return R.take_then_filter(o, 5, F.col("o_orderstatus") == "F", ["o_orderkey"])
+
+
+# --------------------------------------------------------------------------
+# Functions defined in SQL
+
+
+@query("sql_function", """
+SELECT c_custkey, 'AW' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS account FROM customer
+""")
+def sql_function(spark, sf):
+    from tessera.sources.tables import register_tables
+
+    register_tables(spark, sf, ["customer"])
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION tessera_account(id BIGINT) RETURNS STRING "
+              "RETURN concat('AW', lpad(CAST(id AS STRING), 8, '0'))")
+    return spark.sql("SELECT c_custkey, tessera_account(c_custkey) AS account FROM customer")
+
+
+@query("sql_table_function", """
+SELECT event_id, user_id, event_type FROM events
+WHERE event_id > (SELECT max(event_id) FROM events WHERE ts < TIMESTAMP '2024-01-20 00:00:00')
+""")
+def sql_table_function(spark, sf):
+    from tessera.plans.fixtures import since_version_value
+    from tessera.sources.tables import register_tables
+
+    register_tables(spark, sf, ["events"])
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION tessera_changes_after(v BIGINT) "
+              "RETURNS TABLE (event_id BIGINT, user_id BIGINT, event_type STRING) "
+              "RETURN SELECT event_id, user_id, event_type FROM events WHERE event_id > v")
+    return spark.sql("SELECT * FROM tessera_changes_after(:v)", args={"v": since_version_value(spark, sf)})
