@@ -133,20 +133,30 @@ def all_changes(log: DataFrame, key: str, version: str, op: str, columns: Sequen
                 lo, hi, with_before: bool = False) -> DataFrame:
     """Every change with ``lo <= version <= hi``: operation code 1 delete,
     2 insert, 4 after update (and 3, the before image, with ``with_before``)
-    and the update mask against the key's previous row. The previous row is
-    found with a distributed LAG over the log up to ``hi``."""
-    upto = _range(log, version, hi=hi).select(key, version, op, *columns)
-    prev = group_shift(upto, [key], [version], list(columns), [f"_p_{c}" for c in columns], "lag")
-    rows = prev.where(F.col(version) >= F.lit(lo))
+    and the update mask against the key's previous row.
+
+    Only the requested range goes through the ordered (distributed LAG)
+    pass; the row before a key's first change in the range comes from one
+    map-side ``max_by`` aggregate over the earlier log."""
+    rows = _range(log, version, lo=lo, hi=hi, lo_inclusive=True).select(key, version, op, *columns)
+    earlier = (_range(log, version).where(F.col(version) < F.lit(lo))
+               .groupBy(F.col(key).alias("_ek"))
+               .agg(F.max_by(F.struct(*columns), version).alias("_e")))
+    prev = group_shift(rows, [key], [version], [version, *columns],
+                       ["_p_version", *[f"_l_{c}" for c in columns]], "lag")
+    prev = prev.join(earlier, F.col(key) == F.col("_ek"), "left")
+    first = F.col("_p_version").isNull()
+    prev = prev.select(key, version, op, *columns, *[
+        F.when(first, F.col("_e")[c]).otherwise(F.col(f"_l_{c}")).alias(f"_p_{c}") for c in columns])
     code = (F.when(F.col(op) == "D", CDC_DELETE).when(F.col(op) == "I", CDC_INSERT)
             .otherwise(CDC_AFTER))
     mask = F.when(F.col(op) == "U", change_mask([F.col(f"_p_{c}") for c in columns],
                                                  [F.col(c) for c in columns])
                   ).otherwise(all_bits(len(columns)))
-    out = rows.select(F.col(version).alias("commit_id"), code.alias("operation"),
+    out = prev.select(F.col(version).alias("commit_id"), code.alias("operation"),
                       mask.alias("update_mask"), key, *columns)
     if with_before:
-        before = rows.where(F.col(op) == "U").select(
+        before = prev.where(F.col(op) == "U").select(
             F.col(version).alias("commit_id"), F.lit(CDC_BEFORE).alias("operation"),
             mask.alias("update_mask"), key, *[F.col(f"_p_{c}").alias(c) for c in columns])
         out = out.unionByName(before)

@@ -35,12 +35,33 @@ def _cols(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
+# Upper bound on range partitions: keeps the per-partition summaries the
+# driver collects (one row each) and the carry tables small.
+MAX_RANGE_PARTITIONS = 50_000
+
+
+def target_partitions(df: DataFrame) -> int:
+    """Partitions for an explicit range repartition: the optimizer's size
+    estimate over the advisory partition size (AQE's own target), never
+    fewer than the shuffle setting. An explicit count is not coalesced by
+    AQE, so it has to be sized for the data up front."""
+    spark = df.sparkSession
+    floor = default_parallelism(spark)
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        advisory = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+        per = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(advisory))
+    except Exception:  # estimates unavailable: fall back to the setting
+        return floor
+    return max(floor, min(MAX_RANGE_PARTITIONS, -(-size // max(per, 1))))
+
+
 def _ranged(df: DataFrame, order: Sequence[str | Column], partitions: int | None) -> DataFrame:
     """Range-partition and sort, stamp each row with ``_rid`` (partition id
     in the high bits, position in the partition in the low 33 bits), then
     checkpoint. Later steps read the partition id from ``_rid`` rather than
     from the running task, whose index changes when the result is unioned."""
-    n = partitions or default_parallelism(df.sparkSession)
+    n = partitions or target_partitions(df)
     ranged = (df.repartitionByRange(n, *_cols(order)).sortWithinPartitions(*_cols(order))
               .withColumn("_rid", F.monotonically_increasing_id()))
     return cut_lineage(ranged)

@@ -57,7 +57,7 @@ def free_text(df: DataFrame, id_col: str, text_col: str, query: str, forms: bool
     (or one of its forms)."""
     f = _forms_df(df.sparkSession, word_forms(query_words(query), forms))
     hits = tokens(df, id_col, text_col).join(F.broadcast(f), F.col("token") == F.col("form"), "left_semi")
-    return df.join(hits.select(id_col), id_col, "left_semi")
+    return df.join(hits.select(id_col).distinct(), id_col, "left_semi")
 
 
 def ranked_search(df: DataFrame, id_col: str, text_col: str, query: str, forms: bool = True,
