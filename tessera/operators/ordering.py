@@ -375,6 +375,24 @@ def _scan_ahead(batches, gcols, cols, carry, emit_rows):
         yield _summary_row(pid, first_key, last_key, True, first_vals)
 
 
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def _to_micros(c: Column, dtype) -> Column:
+    """Timestamp -> epoch microseconds without going through the session
+    time zone (a wall-clock value in a DST gap must not move)."""
+    if isinstance(dtype, T.TimestampNTZType):
+        # read the wall-clock text as UTC: no session zone, no DST gap
+        return F.unix_micros(F.to_timestamp(F.concat(c.cast("string"), F.lit("Z"))))
+    return F.unix_micros(c)
+
+
+def _from_micros(c: Column, dtype) -> Column:
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.timestamp_add("MICROSECOND", c, F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))
+    return F.timestamp_micros(c)
+
+
 def group_shift(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str | Column],
                 cols: Sequence[str], names: Sequence[str], mode: str = "lag",
                 partitions: int | None = None) -> DataFrame:
@@ -393,7 +411,7 @@ def group_shift(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[s
     # timestamps end in 2262, and periods here end in 9999.
     ts_types = (T.TimestampType, T.TimestampNTZType)
     stamped = {f.name: f.dataType for f in ranged.schema.fields if isinstance(f.dataType, ts_types)}
-    fixed = ranged.select(*[F.unix_micros(F.col(c).cast("timestamp")).alias(c) if c in stamped
+    fixed = ranged.select(*[_to_micros(F.col(c), stamped[c]).alias(c) if c in stamped
                             else F.col(c) for c in ranged.columns])
     summary_schema = T.StructType(
         [T.StructField("pid", T.IntegerType()), T.StructField("first_key", T.StringType()),
@@ -437,7 +455,7 @@ def group_shift(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[s
         rows = fixed.mapInPandas(lambda it: _scan_back(it, gcols, cols, mode, shared.value, True),
                                  out_schema)
     back = {**stamped, **{f"_sh{j}": stamped[c] for j, c in enumerate(cols) if c in stamped}}
-    rows = rows.select(*[F.timestamp_micros(F.col(c)).cast(back[c]).alias(c) if c in back
+    rows = rows.select(*[_from_micros(F.col(c), back[c]).alias(c) if c in back
                          else F.col(c) for c in rows.columns])
     for j, n in enumerate(names):
         rows = rows.withColumnRenamed(f"_sh{j}", n)

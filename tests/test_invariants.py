@@ -152,3 +152,18 @@ def test_stream_current_state_equals_batch(spark):
     q2.awaitTermination()
     again = read_state(spark, kw["state_path"], schema)
     assert same(again.select(*cols), exp.select(*cols))
+
+
+def test_shift_keeps_wall_clock_in_dst_gap(spark):
+    # 02:30 on 2024-03-10 does not exist in New York; a zone round trip would move it
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(1, 1, "2024-03-10 02:30:00"), (1, 2, "9999-12-31 23:59:59.999999")],
+                                   "k int, o int, t string").select(
+            "k", "o", F.col("t").cast("timestamp_ntz").alias("t"))
+        out = O.group_shift(df, ["k"], ["o"], ["t"], ["nt"], mode="lead").orderBy("o").collect()
+        assert str(out[0].t) == "2024-03-10 02:30:00"
+        assert str(out[0].nt) == "9999-12-31 23:59:59.999999"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
