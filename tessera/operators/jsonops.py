@@ -126,3 +126,33 @@ def materialise_json(df: DataFrame, col: str, paths: Mapping[str, str]) -> DataF
     for name, path in paths.items():
         out = out.withColumn(name, json_value(col, path))
     return out
+
+
+# OPENJSON type codes (null, string, number, true/false, array, object).
+JSON_TYPE_CODES = {"null": 0, "string": 1, "number": 2, "boolean": 3, "array": 4, "object": 5}
+
+
+def openjson_kv(df: DataFrame, col: str, keep: Sequence[str] = (), outer: bool = True) -> DataFrame:
+    """JS9: ``OPENJSON(doc)`` without a schema: one row per member (or array
+    element) with ``key``, ``value`` and ``type``. Array keys are the element
+    positions; ``value`` is the text of a string and the JSON text of
+    anything else; ``type`` uses the OPENJSON codes. ``outer`` keeps rows
+    whose document is NULL or not JSON (CROSS vs OUTER APPLY)."""
+    spark = df.sparkSession
+    parsed = df.select(*keep, F.try_parse_json(F.col(col)).alias("_v"))
+    gen = spark.tvf.variant_explode_outer if outer else spark.tvf.variant_explode
+    rows = parsed.lateralJoin(gen(F.col("_v").outer())).select(
+        *keep, F.col("pos").alias("_pos"), F.col("key").alias("_key"), F.col("value").alias("_val"))
+    kind = F.schema_of_variant("_val")
+    code = (F.when(F.col("_val").isNull(), F.lit(None))
+            .when(F.is_variant_null("_val"), JSON_TYPE_CODES["null"])
+            .when(kind == "STRING", JSON_TYPE_CODES["string"])
+            .when(kind == "BOOLEAN", JSON_TYPE_CODES["boolean"])
+            .when(kind.startswith("ARRAY"), JSON_TYPE_CODES["array"])
+            .when(kind.startswith("OBJECT"), JSON_TYPE_CODES["object"])
+            .otherwise(JSON_TYPE_CODES["number"]))
+    value = (F.when(F.is_variant_null("_val"), F.lit(None).cast("string"))
+             .when(kind == "STRING", F.variant_get("_val", "$", "string"))
+             .otherwise(F.to_json("_val")))
+    return rows.select(*keep, F.coalesce(F.col("_key"), F.col("_pos").cast("string")).alias("key"),
+                       value.alias("value"), code.cast("int").alias("type"))

@@ -342,3 +342,36 @@ FROM ph WHERE json_extract_string(phones, '$[0].number') LIKE '1%'
 def json_column_filter(spark, sf):
     m = JO.materialise_json(phones(spark, sf), "phones", {"phone": "$[0].number"})
     return m.where(F.col("phone").like("1%")).select("c_custkey", "phone")
+
+
+_KV_DOC_SQL = """kv AS (
+  SELECT c.c_custkey, to_json(struct_pack(
+      ContactType := nullif(c.c_mktsegment, 'BUILDING'), Nation := n.n_name,
+      Balance := CAST(round(c.c_acctbal * 100) AS BIGINT), Vip := c.c_acctbal > 5000,
+      Orders := (SELECT list(o.o_orderkey ORDER BY o.o_orderkey) FROM orders o WHERE o.o_custkey = c.c_custkey),
+      Address := struct_pack(City := n.n_name, Region := r.r_name))) AS doc
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)"""
+
+
+@query("openjson_kv", f"""
+WITH {_KV_DOC_SQL}
+SELECT c_custkey, key,
+  CASE WHEN type = 'NULL' THEN NULL WHEN type = 'VARCHAR' THEN json_extract_string(value, '$')
+       ELSE CAST(value AS VARCHAR) END AS value,
+  CAST(CASE type WHEN 'NULL' THEN 0 WHEN 'VARCHAR' THEN 1 WHEN 'BOOLEAN' THEN 3 WHEN 'ARRAY' THEN 4
+                 WHEN 'OBJECT' THEN 5 ELSE 2 END AS INTEGER) AS type
+FROM kv, json_each(kv.doc)
+""")
+def openjson_kv(spark, sf):
+    c, n, r, o = (t(spark, sf, x) for x in ("customer", "nation", "region", "orders"))
+    base = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+    per = o.groupBy("o_custkey").agg(F.array_sort(F.collect_list("o_orderkey")).alias("orders"))
+    docs = base.join(per, base.c_custkey == per.o_custkey, "left").select(
+        "c_custkey", F.to_json(F.struct(
+            F.nullif("c_mktsegment", F.lit("BUILDING")).alias("ContactType"),
+            F.col("n_name").alias("Nation"),
+            F.round(F.col("c_acctbal") * 100).cast("long").alias("Balance"),
+            (F.col("c_acctbal") > 5000).alias("Vip"), F.col("orders").alias("Orders"),
+            F.struct(F.col("n_name").alias("City"), F.col("r_name").alias("Region")).alias("Address")),
+            {"ignoreNullFields": "false"}).alias("doc"))
+    return JO.openjson_kv(docs, "doc", keep=["c_custkey"])
