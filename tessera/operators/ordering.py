@@ -36,24 +36,28 @@ def _cols(order: Sequence[str | Column]) -> list[Column]:
 
 
 # Upper bound on range partitions: keeps the per-partition summaries the
-# driver collects (one row each) and the carry tables small.
-MAX_RANGE_PARTITIONS = 50_000
+# driver collects (one row each) and the broadcast carry tables small
+# (200k partitions is about 500 MB each at 100 TB).
+MAX_RANGE_PARTITIONS = 200_000
+_UNKNOWN_SIZE = 2 ** 63 - 1
 
 
 def target_partitions(df: DataFrame) -> int:
-    """Partitions for an explicit range repartition: the optimizer's size
-    estimate over the advisory partition size (AQE's own target), never
-    fewer than the shuffle setting. An explicit count is not coalesced by
-    AQE, so it has to be sized for the data up front."""
+    """Partitions for an explicit range repartition (which AQE does not
+    coalesce): the optimizer's size estimate over the advisory partition
+    size, at least the cluster's task slots. When the size is unknown (an
+    in-memory frame reports Long.MaxValue) the shuffle setting is used."""
     spark = df.sparkSession
-    floor = default_parallelism(spark)
     try:
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
         advisory = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
         per = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(advisory))
     except Exception:  # estimates unavailable: fall back to the setting
-        return floor
-    return max(floor, min(MAX_RANGE_PARTITIONS, -(-size // max(per, 1))))
+        return default_parallelism(spark)
+    if size >= _UNKNOWN_SIZE:
+        return default_parallelism(spark)
+    slots = max(1, spark.sparkContext.defaultParallelism)
+    return max(slots, min(MAX_RANGE_PARTITIONS, -(-size // max(per, 1))))
 
 
 def _ranged(df: DataFrame, order: Sequence[str | Column], partitions: int | None) -> DataFrame:
