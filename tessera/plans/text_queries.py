@@ -95,6 +95,7 @@ def money_es_q(spark, sf):
             .agg(H.money_es(money("c_acctbal")).alias("saldo")))
 
 
+# Fixed value: the reference's mail-domain pattern.
 DOMAIN = r"@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 
 
