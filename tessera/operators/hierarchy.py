@@ -14,11 +14,20 @@ from pyspark.sql import functions as F
 from tessera.session import cut_lineage
 
 
-def walk(edges: DataFrame, start: DataFrame, max_depth: int = 32) -> DataFrame:
+class RecursionLimitExceeded(RuntimeError):
+    """The walk went deeper than the ``max_depth`` the caller allowed."""
+
+
+def walk(edges: DataFrame, start: DataFrame, max_depth: int | None = None) -> DataFrame:
     """All descendants of the ``start`` rows (columns ``id``; level 0 are the
     start rows' children). ``edges`` has columns ``id`` and ``parent``.
     Returns (level, path, id, parent); ``path`` is ``/a/b/c/`` from the
-    first level down."""
+    first level down.
+
+    The walk always ends: the path guard refuses to revisit a node on the
+    same path, so a cycle stops. There is no silent depth cap; with
+    ``max_depth`` a deeper tree raises ``RecursionLimitExceeded`` instead of
+    being cut short."""
     e = edges.select("id", "parent")
     frontier = (e.join(start.select(F.col("id").alias("_s")), F.col("parent") == F.col("_s"))
                 .select(F.lit(0).alias("level"),
@@ -27,7 +36,9 @@ def walk(edges: DataFrame, start: DataFrame, max_depth: int = 32) -> DataFrame:
     frontier = cut_lineage(frontier)
     levels = [frontier]
     depth = 0
-    while depth < max_depth and not frontier.isEmpty():
+    while not frontier.isEmpty():
+        if max_depth is not None and depth >= max_depth:
+            raise RecursionLimitExceeded(f"hierarchy deeper than {max_depth} levels")
         depth += 1
         nxt = (frontier.select(F.col("id").alias("_p"), F.col("path").alias("_path"))
                .join(e, F.col("parent") == F.col("_p"))
@@ -44,7 +55,7 @@ def walk(edges: DataFrame, start: DataFrame, max_depth: int = 32) -> DataFrame:
 
 
 def manager_tree(edges: DataFrame, people: DataFrame, root, first: str, last: str,
-                 max_depth: int = 32) -> DataFrame:
+                 max_depth: int | None = None) -> DataFrame:
     """M3: all reports of manager ``root`` at any depth with the recursion
     level, the node path and the direct manager's and the employee's names
     (the 7 columns of the reference's result)."""
@@ -62,7 +73,7 @@ def manager_tree(edges: DataFrame, people: DataFrame, root, first: str, last: st
                     F.col("id").alias("BusinessEntityID"), "FirstName", "LastName"))
 
 
-def hierarchy_level(edges: DataFrame, max_depth: int = 32) -> DataFrame:
+def hierarchy_level(edges: DataFrame, max_depth: int | None = None) -> DataFrame:
     """M4: level of every node reachable from a root (a node whose parent
     is not a node); roots are level 0."""
     e = edges.select("id", "parent")

@@ -66,7 +66,7 @@ t(level, path, id, parent) AS (
   SELECT 0, '/' || CAST(id AS VARCHAR) || '/', id, parent FROM e WHERE parent = 0
   UNION ALL
   SELECT t.level + 1, t.path || CAST(e.id AS VARCHAR) || '/', e.id, e.parent
-  FROM t JOIN e ON e.parent = t.id WHERE t.level < 32)
+  FROM t JOIN e ON e.parent = t.id)
 SELECT CAST(t.level AS INTEGER) AS RecursionLevel, t.path AS OrganizationNode,
        m.c_name AS ManagerFirstName, m.c_mktsegment AS ManagerLastName,
        t.id AS BusinessEntityID, x.c_name AS FirstName, x.c_mktsegment AS LastName
@@ -80,7 +80,7 @@ def manager_tree(spark, sf):
 @query("hierarchy_level", f"""
 WITH RECURSIVE {_EDGES_SQL},
 r AS (SELECT id FROM e WHERE parent NOT IN (SELECT id FROM e)),
-t(level, id) AS (SELECT 0, id FROM r UNION ALL SELECT t.level + 1, e.id FROM t JOIN e ON e.parent = t.id WHERE t.level < 33)
+t(level, id) AS (SELECT 0, id FROM r UNION ALL SELECT t.level + 1, e.id FROM t JOIN e ON e.parent = t.id)
 SELECT id, CAST(level AS INTEGER) AS level FROM t
 """)
 def hierarchy_level(spark, sf):

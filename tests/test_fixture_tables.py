@@ -130,8 +130,10 @@ def test_manager_tree_levels_and_cycle_guard(spark):
     tree = M.manager_tree(emp, emp, 1, "first", "last").orderBy("BusinessEntityID").collect()
     assert [(r.BusinessEntityID, r.RecursionLevel, r.OrganizationNode, r.ManagerFirstName) for r in tree] == [
         (2, 0, "/2/", "Ken"), (3, 1, "/2/3/", "Terri"), (4, 2, "/2/3/4/", "Roberto"), (5, 0, "/5/", "Ken")]
-    cyc = M.manager_tree(emp, emp, 7, "first", "last", max_depth=10).collect()
+    cyc = M.manager_tree(emp, emp, 7, "first", "last").collect()
     assert len(cyc) == 2  # 8 under 7, then 7 again is refused by the path guard
+    with pytest.raises(M.RecursionLimitExceeded):
+        M.manager_tree(emp, emp, 1, "first", "last", max_depth=2)
     levels = {r.id: r.level for r in M.hierarchy_level(emp.select("id", "parent")).collect()}
     assert levels == {1: 0, 2: 1, 5: 1, 3: 2, 4: 3}
 
