@@ -84,11 +84,20 @@ def _collapse(first_op: Column, last_op: Column) -> Column:
     return (F.when(last_op == "D", "D").when(first_op == "I", "I").otherwise("U"))
 
 
+class VersionTooOld(ValueError):
+    """The requested start is older than the oldest change still kept: the
+    reader must reload the whole table instead."""
+
+
 def changes_since(log: DataFrame, key: str, version: str, op: str, columns: Sequence[str],
-                  since) -> DataFrame:
+                  since, min_valid_version=None) -> DataFrame:
     """I2 (log form): ``CHANGETABLE(CHANGES t, since)``: one net row per key
     changed after ``since``: version, operation and, for updates, the mask of
-    columns that differ from the key's state at ``since``."""
+    columns that differ from the key's state at ``since``. With
+    ``min_valid_version`` (I10) a start older than the retained log is
+    refused rather than answered from partial history."""
+    if min_valid_version is not None and since is not None and since < min_valid_version - 1:
+        raise VersionTooOld(f"version {since} is older than the oldest retained change {min_valid_version}")
     after = _per_key(_range(log, version, lo=since), key, version, op, columns)
     before = _per_key(_range(log, version, hi=since), key, version, op, columns).select(
         F.col(key).alias("_bk"), F.col("_last").alias("_before"), F.col("_last_op").alias("_bop"))

@@ -53,6 +53,12 @@ class Check:
     ok: Column  # row-level condition; NULL counts as passing (as a CHECK does)
 
 
+@dataclass(frozen=True)
+class ValidJson:
+    column: str
+    kind: str | None = None  # None: object or array; "ARRAY" / "OBJECT": that kind only
+
+
 @dataclass(frozen=True)
 class Unique:
     columns: tuple[str, ...]
@@ -73,6 +79,11 @@ def _row_rule(rule) -> tuple[str, Column] | None:
                 F.coalesce(F.length(F.col(rule.column)) <= rule.length, F.lit(True)))
     if isinstance(rule, Check):
         return f"check:{rule.name}", F.coalesce(rule.ok, F.lit(True))
+    if isinstance(rule, ValidJson):
+        from tessera.functions.jsonfn import is_json
+
+        # NULL passes, as it passes a CHECK (ISJSON(x) > 0) constraint
+        return f"json:{rule.column}", F.coalesce(is_json(rule.column, rule.kind) == 1, F.lit(True))
     return None
 
 

@@ -36,6 +36,8 @@ UNION ALL SELECT 'unique:c_custkey', CAST(coalesce(SUM(n), 0) AS BIGINT) FROM (S
 UNION ALL SELECT 'unique:c_nationkey,c_mktsegment', CAST(coalesce(SUM(n), 0) AS BIGINT) FROM (SELECT COUNT(*) AS n FROM customer GROUP BY c_nationkey, c_mktsegment HAVING COUNT(*) > 1)
 UNION ALL SELECT 'foreign_key:c_nationkey', COUNT(*) FROM customer WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation)
 UNION ALL SELECT 'foreign_key:o_custkey', COUNT(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
+UNION ALL SELECT 'json:props', CAST(SUM(CASE WHEN json_valid(props) AND json_type(props) IN ('OBJECT', 'ARRAY') THEN 0 ELSE 1 END) AS BIGINT) FROM events
+UNION ALL SELECT 'json:text', CAST(SUM(CASE WHEN json_valid(text) AND json_type(text) IN ('OBJECT', 'ARRAY') THEN 0 ELSE 1 END) AS BIGINT) FROM benchmark
 """)
 def rule_report(spark, sf):
     c, n, o = t(spark, sf, "customer"), t(spark, sf, "nation"), t(spark, sf, "orders")
@@ -46,7 +48,9 @@ def rule_report(spark, sf):
         L.Unique(("c_custkey",)), L.Unique(("c_nationkey", "c_mktsegment")),
         L.ForeignKey("c_nationkey", n, "n_nationkey")])
     orders = L.rule_report(o, [L.ForeignKey("o_custkey", c, "c_custkey")])
-    return report.unionByName(orders)
+    events = L.rule_report(t(spark, sf, "events"), [L.ValidJson("props")])
+    bench = L.rule_report(t(spark, sf, "benchmark"), [L.ValidJson("text")])
+    return report.unionByName(orders).unionByName(events).unionByName(bench)
 
 
 @query("tax_id_rule", f"""

@@ -114,6 +114,16 @@ def json_page(df: DataFrame, mapping: dict[str, str], order_by: Sequence[str | C
                               lambda x: x["_o"])).alias(name))
 
 
+def write_json(df: DataFrame, mapping: dict[str, str | Column], path: str,
+               mode: str = "errorifexists") -> None:
+    """A6 for a whole table: every row as one nested JSON object per line
+    (dotted names nest, NULL members are left out), written in parallel by
+    the executors - nothing passes through the driver."""
+    from tessera.functions.jsonfn import nested_struct
+
+    df.select(F.to_json(nested_struct(mapping)).alias("value")).write.mode(mode).text(path)
+
+
 def table_function(builder: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """A parameterised table is just a function returning a DataFrame.
 

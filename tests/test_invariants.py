@@ -167,3 +167,27 @@ def test_shift_keeps_wall_clock_in_dst_gap(spark):
         assert str(out[0].nt) == "9999-12-31 23:59:59.999999"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_changes_since_refuses_version_older_than_retained(spark):
+    import pytest
+
+    log = X.change_log(spark, SF01)
+    bounds = C.version_bounds(C.retain(log, "ts", 2, X.NOW), "event_id").first()
+    with pytest.raises(C.VersionTooOld):
+        C.changes_since(log, "user_id", "event_id", "op", X.TRACKED, 5, bounds.min_valid_version)
+    ok = C.changes_since(log, "user_id", "event_id", "op", X.TRACKED, bounds.min_valid_version,
+                         bounds.min_valid_version)
+    assert ok.count() > 0
+
+
+def test_write_json_whole_table(spark):
+    import json
+
+    path = os.path.join(tempfile.mkdtemp(prefix="tessera-json-"), "out")
+    c = S.table(spark, SF01, "customer")
+    S.write_json(c, {"id": "c_custkey", "Info.Nombre": "c_name"}, path)
+    lines = spark.read.text(path).collect()
+    assert len(lines) == c.count()
+    first = json.loads(lines[0].value)
+    assert set(first) == {"id", "Info"} and set(first["Info"]) == {"Nombre"}
