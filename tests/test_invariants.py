@@ -191,3 +191,26 @@ def test_write_json_whole_table(spark):
     assert len(lines) == c.count()
     first = json.loads(lines[0].value)
     assert set(first) == {"id", "Info"} and set(first["Info"]) == {"Nombre"}
+
+
+def test_scans_across_many_arrow_batches(spark):
+    # tiny Arrow batches: groups and peers cross batch boundaries inside a partition
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        base = spark.range(0, 3000).select(
+            F.when(F.col("id") % 10 < 6, F.lit(1)).otherwise(F.col("id") % 17).alias("g"),
+            (F.col("id") % 211).alias("o"), F.col("id").alias("u"),
+            F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise((F.col("id") % 9).cast("double")).alias("v"))
+        got = O.running_total(base, ["g"], ["o"], "v", "s", count_name="c", partitions=9)
+        w = Window.partitionBy("g").orderBy("o")
+        exp = (base.withColumn("s", F.sum("v").over(w)).withColumn("c", F.count("v").over(w))
+               .withColumn("_rank", F.rank().over(w)))
+        assert same(got.select("u", "s", "c", "_rank"), exp.select("u", "s", "c", "_rank"))
+        wu = Window.partitionBy("g").orderBy("o", "u")
+        for mode, fn in (("lag", F.lag("v").over(wu)), ("lead", F.lead("v").over(wu)),
+                         ("ffill", F.last("v", True).over(wu.rowsBetween(Window.unboundedPreceding, 0)))):
+            sh = O.group_shift(base, ["g"], ["o", "u"], ["v"], ["pv"], mode=mode, partitions=9)
+            assert same(sh.select("u", "pv"), base.select("u", fn.alias("pv"))), mode
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
