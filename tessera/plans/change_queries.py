@@ -26,7 +26,7 @@ b AS (SELECT user_id, arg_max(event_type, event_id) AS b_et, arg_max(value, even
       FROM lg WHERE event_id <= {SINCE_SQL} GROUP BY user_id),
 ch AS (SELECT a.user_id, a.ver AS CT_Version,
          CASE WHEN last_op = 'D' THEN 'D' WHEN first_op = 'I' THEN 'I' ELSE 'U' END AS CT_Operation,
-         CASE WHEN last_op <> 'D' AND first_op <> 'I' THEN CAST({_MASK_SQL} AS BIGINT) END AS CT_Columns
+         CASE WHEN last_op <> 'D' AND first_op <> 'I' THEN CAST({_MASK_SQL} AS DOUBLE) END AS CT_Columns
        FROM a LEFT JOIN b ON a.user_id = b.user_id),
 cur AS (SELECT user_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value,
                arg_max(props, event_id) AS props, arg_max(op, event_id) AS last_op
@@ -34,8 +34,10 @@ cur AS (SELECT user_id, arg_max(event_type, event_id) AS event_type, arg_max(val
 
 
 def _changes(spark, sf):
-    return C.changes_since(change_log(spark, sf), "user_id", "event_id", "op", TRACKED,
-                           since_version_value(spark, sf))
+    # the mask is NULL for inserts and deletes; nullable integers leave as DOUBLE
+    ch = C.changes_since(change_log(spark, sf), "user_id", "event_id", "op", TRACKED,
+                         since_version_value(spark, sf))
+    return ch.withColumn("CT_Columns", F.col("CT_Columns").cast("double"))
 
 
 def _current(spark, sf):
@@ -64,11 +66,12 @@ j AS (SELECT b.o_orderkey AS bk, a.o_orderkey AS ak,
       FROM orders b FULL OUTER JOIN after_o a ON b.o_orderkey = a.o_orderkey)
 SELECT coalesce(ak, bk) AS o_orderkey,
        CASE WHEN bk IS NULL THEN 'I' WHEN ak IS NULL THEN 'D' ELSE 'U' END AS operation,
-       CASE WHEN bk IS NOT NULL AND ak IS NOT NULL THEN CAST(m AS BIGINT) END AS mask
+       CASE WHEN bk IS NOT NULL AND ak IS NOT NULL THEN CAST(m AS DOUBLE) END AS mask
 FROM j WHERE bk IS NULL OR ak IS NULL OR m <> 0
 """)
 def snapshot_diff(spark, sf):
-    return C.snapshot_diff(snapshot_before(spark, sf), snapshot_after(spark, sf), "o_orderkey", SNAP_COLS)
+    d = C.snapshot_diff(snapshot_before(spark, sf), snapshot_after(spark, sf), "o_orderkey", SNAP_COLS)
+    return d.withColumn("mask", F.col("mask").cast("double"))
 
 
 @query("change_mask", f"""
@@ -82,7 +85,8 @@ SELECT o_orderkey, CAST(m AS BIGINT) AS mask, (m & 1) <> 0 AS price_changed, (m
 FROM j WHERE m <> 0
 """)
 def change_mask(spark, sf):
-    d = snapshot_diff(spark, sf).where(F.col("operation") == "U")
+    d = C.snapshot_diff(snapshot_before(spark, sf), snapshot_after(spark, sf), "o_orderkey",
+                        SNAP_COLS).where(F.col("operation") == "U")
     return d.select("o_orderkey", "mask", C.in_mask("mask", 0).alias("price_changed"),
                     C.in_mask("mask", 1).alias("status_changed"))
 

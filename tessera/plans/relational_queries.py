@@ -197,7 +197,7 @@ def conditional(spark, sf):
 SELECT o_orderkey,
        CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS price_text,
        CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_day,
-       TRY_CAST(o_orderpriority AS INTEGER) AS bad_number,
+       CAST(TRY_CAST(o_orderpriority AS INTEGER) AS DOUBLE) AS bad_number,
        TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS priority_number
 FROM orders
 """)
@@ -206,7 +206,7 @@ def casts(spark, sf):
         "o_orderkey",
         F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("price_text"),
         F.col("o_orderdate").cast("date").cast("string").alias("order_day"),
-        F.col("o_orderpriority").try_cast("int").alias("bad_number"),
+        F.col("o_orderpriority").try_cast("int").cast("double").alias("bad_number"),
         F.substring("o_orderpriority", 1, 1).try_cast("int").alias("priority_number"))
 
 
@@ -347,11 +347,11 @@ def join_list_q(spark, sf):
 
 
 @query("gap_fill", """
-SELECT s.value, p.anio, p.mes, p.dia, p.total
+SELECT s.value, p.anio, p.mes, CAST(p.dia AS DOUBLE) AS dia, p.total
 FROM (SELECT CAST(range AS INTEGER) AS value FROM range(1, 32)) s
 LEFT JOIN (
-  SELECT CAST(year(date_trunc('day', l_shipdate)) AS INTEGER) AS anio,
-         CAST(month(date_trunc('day', l_shipdate)) AS INTEGER) AS mes,
+  SELECT CAST(year(date_trunc('day', l_shipdate)) AS DOUBLE) AS anio,
+         CAST(month(date_trunc('day', l_shipdate)) AS DOUBLE) AS mes,
          CAST(day(date_trunc('day', l_shipdate)) AS INTEGER) AS dia,
          CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total
   FROM lineitem WHERE date_trunc('month', l_shipdate) = TIMESTAMP '1996-02-01 00:00:00'
@@ -367,8 +367,10 @@ def gap_fill_q(spark, sf):
     totals = feb.groupBy(day.alias("_d")).agg(money("l_extendedprice").alias("total")).select(
         F.year("_d").alias("anio"), F.month("_d").alias("mes"), F.dayofmonth("_d").alias("dia"),
         "total")
+    # days with no rows keep NULL parts; nullable integers leave as DOUBLE
     return R.gap_fill(S.series(spark, 1, 31), totals, "dia").select(
-        "value", "anio", "mes", "dia", "total").orderBy("value")
+        "value", *[F.col(c).cast("double").alias(c) for c in ("anio", "mes", "dia")], "total"
+    ).orderBy("value")
 
 
 @query("child_count", """

@@ -13,6 +13,15 @@ from tessera.plans.relational_queries import money, t
 # year / quarter / month of the ship date, the reference's grouping keys
 _YQM_SQL = ("CAST(year(l_shipdate) AS INTEGER) AS anio, CAST(quarter(l_shipdate) AS INTEGER) AS trimestre, "
             "CAST(month(l_shipdate) AS INTEGER) AS mes")
+# Rolled-up levels make the keys NULL; nullable integers are rendered as
+# DOUBLE on both sides so every result conversion sees the same type.
+_YQM_NULLABLE_SQL = ("CAST(year(l_shipdate) AS DOUBLE) AS anio, CAST(quarter(l_shipdate) AS DOUBLE) AS trimestre, "
+                     "CAST(month(l_shipdate) AS DOUBLE) AS mes")
+
+
+def _double_keys(df):
+    return df.select(*[F.col(c).cast("double").alias(c) if c in ("anio", "trimestre", "mes") else F.col(c)
+                       for c in df.columns])
 _MONEY_SQL = "CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE)"
 _ES_SQL = "translate(format('{:,.2f}', " + _MONEY_SQL + "), ',.', '.,') || ' €'"
 
@@ -116,23 +125,23 @@ def having(spark, sf):
 
 
 @query("rollup", f"""
-SELECT {_YQM_SQL}, COUNT(1) AS pedidos, {_MONEY_SQL} AS total, {_ES_SQL} AS total_es
+SELECT {_YQM_NULLABLE_SQL}, COUNT(1) AS pedidos, {_MONEY_SQL} AS total, {_ES_SQL} AS total_es
 FROM lineitem GROUP BY ROLLUP (year(l_shipdate), quarter(l_shipdate), month(l_shipdate))
 """)
 def rollup_q(spark, sf):
-    return D.rollup(t(spark, sf, "lineitem"), _yqm(), _report_aggs())
+    return _double_keys(D.rollup(t(spark, sf, "lineitem"), _yqm(), _report_aggs()))
 
 
 @query("cube", f"""
-SELECT {_YQM_SQL}, COUNT(1) AS pedidos, {_MONEY_SQL} AS total, {_ES_SQL} AS total_es
+SELECT {_YQM_NULLABLE_SQL}, COUNT(1) AS pedidos, {_MONEY_SQL} AS total, {_ES_SQL} AS total_es
 FROM lineitem GROUP BY CUBE (year(l_shipdate), quarter(l_shipdate), month(l_shipdate))
 """)
 def cube_q(spark, sf):
-    return D.cube(t(spark, sf, "lineitem"), _yqm(), _report_aggs())
+    return _double_keys(D.cube(t(spark, sf, "lineitem"), _yqm(), _report_aggs()))
 
 
 @query("grouping_sets", f"""
-SELECT {_YQM_SQL}, COUNT(1) AS pedidos, {_MONEY_SQL} AS total, {_ES_SQL} AS total_es,
+SELECT {_YQM_NULLABLE_SQL}, COUNT(1) AS pedidos, {_MONEY_SQL} AS total, {_ES_SQL} AS total_es,
        CAST(GROUPING(year(l_shipdate), quarter(l_shipdate), month(l_shipdate)) AS BIGINT) AS grouping_id
 FROM lineitem
 GROUP BY GROUPING SETS ((year(l_shipdate)), (quarter(l_shipdate)), (month(l_shipdate)), ())
@@ -142,8 +151,8 @@ def grouping_sets(spark, sf):
     li = t(spark, sf, "lineitem").select(
         F.year("l_shipdate").alias("anio"), F.quarter("l_shipdate").alias("trimestre"),
         F.month("l_shipdate").alias("mes"), "l_extendedprice")
-    return D.grouping(li, [["anio"], ["trimestre"], ["mes"], []], _report_aggs(),
-                      keys=["anio", "trimestre", "mes"])
+    return _double_keys(D.grouping(li, [["anio"], ["trimestre"], ["mes"], []], _report_aggs(),
+                                   keys=["anio", "trimestre", "mes"]))
 
 
 @query("pivot", """
