@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.ordering import target_partitions
 from tessera.session import cut_lineage
 
 
@@ -28,7 +29,9 @@ def walk(edges: DataFrame, start: DataFrame, max_depth: int | None = None) -> Da
     same path, so a cycle stops. There is no silent depth cap; with
     ``max_depth`` a deeper tree raises ``RecursionLimitExceeded`` instead of
     being cut short."""
-    e = edges.select("id", "parent")
+    # Partition the edges by parent once and keep that partitioning: every
+    # level then shuffles only the (small) frontier to meet them.
+    e = cut_lineage(edges.select("id", "parent").repartition(target_partitions(edges), "parent"))
     frontier = (e.join(start.select(F.col("id").alias("_s")), F.col("parent") == F.col("_s"))
                 .select(F.lit(0).alias("level"),
                         F.concat(F.lit("/"), F.col("id").cast("string"), F.lit("/")).alias("path"),

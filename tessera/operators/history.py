@@ -70,6 +70,9 @@ def as_of_join(probes: DataFrame, history: DataFrame, key: str, t: str, columns:
     travel whole through the merge, so nothing is joined back."""
     dt = probes.schema[t].dataType
     pcols = [c for c in probes.columns if c != key]
+    # only the versions of keys that are probed take part in the merge
+    history = history.join(probes.select(F.col(key).alias("_pk")).distinct(),
+                           F.col(key) == F.col("_pk"), "left_semi")
     hv = history.select(
         F.col(key), F.col(valid_from).cast(dt).alias("_t"), F.lit(0).alias("_kind"),
         *[F.lit(None).cast(probes.schema[c].dataType).alias(f"_p_{c}") for c in pcols],

@@ -42,19 +42,38 @@ MAX_RANGE_PARTITIONS = 200_000
 _UNKNOWN_SIZE = 2 ** 63 - 1
 
 
+def _plan_bytes(df: DataFrame) -> int | None:
+    """Size estimate of a plan, bounded by the total size of its leaf inputs
+    (join estimates alone can be absurd). None when any input's size is
+    unknown (in-memory or checkpointed data)."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    est = int(str(plan.stats().sizeInBytes()))
+    leaves = plan.collectLeaves()
+    total = 0
+    for i in range(leaves.size()):
+        leaf = int(str(leaves.apply(i).stats().sizeInBytes()))
+        if leaf >= _UNKNOWN_SIZE:
+            total = None
+            break
+        total += leaf
+    if total is None:  # an input of unknown size: no estimate is trustworthy
+        return None
+    return min(est, total)
+
+
 def target_partitions(df: DataFrame) -> int:
     """Partitions for an explicit range repartition (which AQE does not
-    coalesce): the optimizer's size estimate over the advisory partition
-    size, at least the cluster's task slots. When the size is unknown (an
-    in-memory frame reports Long.MaxValue) the shuffle setting is used."""
+    coalesce): the estimated size over the advisory partition size, at
+    least the cluster's task slots. When the size is unknown (an in-memory
+    or checkpointed frame) the shuffle setting is used."""
     spark = df.sparkSession
     try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        size = _plan_bytes(df)
         advisory = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
         per = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(advisory))
     except Exception:  # estimates unavailable: fall back to the setting
         return default_parallelism(spark)
-    if size >= _UNKNOWN_SIZE:
+    if size is None:
         return default_parallelism(spark)
     slots = max(1, spark.sparkContext.defaultParallelism)
     return max(slots, min(MAX_RANGE_PARTITIONS, -(-size // max(per, 1))))
