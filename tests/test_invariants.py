@@ -214,3 +214,14 @@ def test_scans_across_many_arrow_batches(spark):
             assert same(sh.select("u", "pv"), base.select("u", fn.alias("pv"))), mode
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_target_partitions_rules(spark):
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    mem = spark.createDataFrame([(1, 2)], "a int, b int")
+    # unknown input size (in-memory rows): the shuffle setting, even after a join
+    assert O.target_partitions(mem.join(mem.select(F.col("a").alias("x")), F.col("a") == F.col("x"), "left_anti")) == shuffle
+    # known file sizes: at least the task slots, never above the cap
+    li = S.table(spark, SF01, "lineitem")
+    n = O.target_partitions(li.join(li.select(F.col("l_orderkey").alias("k")), F.col("l_orderkey") == F.col("k")))
+    assert spark.sparkContext.defaultParallelism <= n <= O.MAX_RANGE_PARTITIONS
