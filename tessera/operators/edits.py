@@ -94,3 +94,23 @@ def three_way_merge(original: DataFrame, mine: DataFrame, stored: DataFrame, key
     conflicts = out.where(F.size("_conflicts") > 0).select(
         key, F.explode("_conflicts").alias("field"))
     return merged, conflicts
+
+
+def save_changes(current: DataFrame, edits: DataFrame, key: str, version: str,
+                 rules: Sequence = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The write path in one step: rule gate (L4), then the version check
+    (K6), then the rewrite (K4) of the rows that pass, each with its version
+    moved on by one. ``edits`` carry every column of the table and, in
+    ``version``, the version they were read at. Returns (new table,
+    rejected rows with the rules they break, conflicting edits)."""
+    from tessera.operators.quality import gate
+
+    if rules:
+        good, rejected = gate(edits, rules)
+    else:
+        good, rejected = edits, edits.limit(0).withColumn("broken_rules", F.array().cast("array<string>"))
+    checked = edit_conflicts(current, good, key, version)
+    ok = (checked.where(F.col("status") == "ok").select(*current.columns)
+          .withColumn(version, F.col(version) + 1))
+    conflicts = checked.where(F.col("status") != "ok")
+    return upsert(current, ok, key), rejected, conflicts

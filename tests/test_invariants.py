@@ -225,3 +225,31 @@ def test_target_partitions_rules(spark):
     li = S.table(spark, SF01, "lineitem")
     n = O.target_partitions(li.join(li.select(F.col("l_orderkey").alias("k")), F.col("l_orderkey") == F.col("k")))
     assert spark.sparkContext.defaultParallelism <= n <= O.MAX_RANGE_PARTITIONS
+
+
+def test_save_changes_through_versioned_table(spark):
+    from tessera.sources import versioned as V
+
+    base = os.path.join(tempfile.mkdtemp(prefix="tessera-versioned-"), "customer")
+    c = S.table(spark, SF01, "customer").select("c_custkey", "c_name", "c_acctbal").withColumn(
+        "version", F.lit(1).cast("long"))
+    assert V.write_version(c, base) == 1
+    cur = V.read_current(spark, base)
+    edits = cur.where(F.col("c_custkey") < 30).select(
+        "c_custkey", F.upper("c_name").alias("c_name"),
+        F.when(F.col("c_custkey") == 3, F.lit(-1.0)).otherwise(F.col("c_acctbal")).alias("c_acctbal"),
+        F.when(F.col("c_custkey") % 10 == 5, F.lit(0)).otherwise(F.col("version")).cast("long").alias("version"))
+    new, rejected, conflicts = K.save_changes(cur, edits, "c_custkey", "version",
+                                              [L.Check("acctbal", F.col("c_acctbal") >= 0)])
+    assert V.write_version(new, base) == 2
+    after = V.read_current(spark, base)
+    assert after.count() == c.count()
+    negative = {r.c_custkey for r in c.where((F.col("c_custkey") < 30) & (F.col("c_acctbal") < 0)).collect()}
+    bad = negative | {3}
+    assert {r.c_custkey for r in rejected.collect()} == bad
+    stale = {5, 15, 25} - bad
+    assert {r.c_custkey for r in conflicts.collect()} == stale
+    bumped = after.where(F.col("version") == 2)
+    assert bumped.count() == 30 - len(bad) - len(stale)
+    assert bumped.where(F.col("c_name") != F.upper("c_name")).count() == 0
+    assert V.read_current(spark, base, version=1).where(F.col("version") == 2).count() == 0
