@@ -48,8 +48,10 @@ def test_translate_pinned_and_strict(spark):
 def test_openjson_literal_totals(spark):
     doc = '[{"Id":1, "Cant":10, "PVP": 10}, {"Id":2, "Cant":5, "PVP": 2}, {"Id":3, "Cant":1, "PVP": 15}]'
     df = spark.createDataFrame([(doc,)], "doc string")
-    out = JO.openjson(df, "doc", "struct<Id:int,Cant:int,PVP:decimal(10,4)>")
-    totals = [float(r.Cant * r.PVP) for r in out.orderBy("Id").collect()]
+    out = JO.openjson(df, "doc", "struct<Id:int,Cant:int,PVP:decimal(10,4)>",
+                      path_map={"Cantidad": "Cant", "Precio": "PVP"})
+    assert out.columns == ["Id", "Cantidad", "Precio"]
+    totals = [float(r.Cantidad * r.Precio) for r in out.orderBy("Id").collect()]
     assert totals == [100.0, 10.0, 15.0]
 
 
