@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -80,24 +80,25 @@ def regexp_matches(df: DataFrame, col: str, pattern: str, groups: int,
     start_position, end_position (inclusive), match_value and each capture
     group. Rows without a match produce nothing.
 
-    Positions come from the split pieces: the k-th match starts after the
-    first k pieces and the k-1 earlier matches.
+    The text splits into pieces around the matches (piece 0, match 0,
+    piece 1, ...), so match k ends at the running total of the lengths of
+    pieces and matches up to k. Each match is paired with the piece before
+    it in O(1), and one running sum per text gives every position: linear in
+    the number of matches, however long the text.
     """
-    pat = _lit(pattern)
-    c = f"`{col}`"
-    matches = f"regexp_extract_all({c}, {pat}, 0)"
-    pieces = f"split({c}, {pat}, -1)"
-    base = df.select(*keep, F.col(col), F.expr(matches).alias("_m"), F.expr(pieces).alias("_p"))
-    exploded = base.select(*keep, F.col(col), "_p", "_m",
-                           F.posexplode("_m").alias("_k", "match_value"))
-    start = F.expr(
-        "1 + aggregate(slice(_p, 1, _k + 1), 0, (a, x) -> a + length(x))"
-        " + aggregate(slice(_m, 1, _k), 0, (a, x) -> a + length(x))")
+    pat = F.lit(pattern)
+    base = df.select(*keep, F.col(col), F.monotonically_increasing_id().alias("_row"),
+                     F.regexp_extract_all(F.col(col), pat, F.lit(0)).alias("_m"),
+                     F.split(F.col(col), pattern, -1).alias("_p"))
+    paired = F.transform("_m", lambda m, i: F.struct(m.alias("m"), F.element_at("_p", i + 1).alias("p")))
+    exploded = base.select(*keep, F.col(col), "_row", F.posexplode(paired).alias("_k", "_e"))
+    w = (Window.partitionBy("_row").orderBy("_k")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    end = F.sum(F.length(F.col("_e.p")) + F.length(F.col("_e.m"))).over(w)
     out = exploded.select(
         *keep, F.col(col), (F.col("_k") + 1).cast("int").alias("match_id"),
-        start.cast("int").alias("start_position"), F.col("match_value"))
-    out = out.withColumn("end_position",
-                         (F.col("start_position") + F.length("match_value") - 1).cast("int"))
+        (end - F.length(F.col("_e.m")) + 1).cast("int").alias("start_position"),
+        F.col("_e.m").alias("match_value"), end.cast("int").alias("end_position"))
     for g in range(1, groups + 1):
         out = out.withColumn(f"group_{g}", F.regexp_extract("match_value", pattern, g))
     return out

@@ -253,3 +253,15 @@ def test_save_changes_through_versioned_table(spark):
     assert bumped.count() == 30 - len(bad) - len(stale)
     assert bumped.where(F.col("c_name") != F.upper("c_name")).count() == 0
     assert V.read_current(spark, base, version=1).where(F.col("version") == 2).count() == 0
+
+
+def test_regexp_matches_positions_on_whole_documents(spark):
+    from tessera.functions import text as H
+
+    d = S.table(spark, SF01, "documents").select("doc_id", "text")
+    m = H.regexp_matches(d, "text", r"\w+", 0, keep=["doc_id"])
+    bad = m.where(F.substring("text", F.col("start_position"), F.length("match_value")) != F.col("match_value"))
+    assert bad.count() == 0
+    per_doc = m.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    counts = d.select("doc_id", H.regexp_count("text", r"\w+").alias("n")).where(F.col("n") > 0)
+    assert same(per_doc, counts.select("doc_id", F.col("n").cast("long").alias("n")))
