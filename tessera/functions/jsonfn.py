@@ -58,6 +58,13 @@ def json_root(array_col: str | Column, name: str) -> Column:
     return F.to_json(F.struct(_c(array_col).alias(name)))
 
 
+def json_unwrap(array_col: str | Column) -> Column:
+    """JS2: ``TRIM('[]' FROM (.. FOR JSON PATH))`` on a one-row result: the
+    single object as JSON text. Takes element 0 instead of trimming text, so
+    brackets inside values are safe; NULL for an empty or NULL array."""
+    return F.to_json(F.element_at(_c(array_col), 1))
+
+
 def json_raw_array(array_col: str | Column, key: str) -> Column:
     """JS15: object array to a raw value array: ``[{"k":"a"}]`` -> ``["a"]``."""
     return F.transform(_c(array_col), lambda x: x[key])

@@ -375,3 +375,26 @@ def openjson_kv(spark, sf):
             F.struct(F.col("n_name").alias("City"), F.col("r_name").alias("Region")).alias("Address")),
             {"ignoreNullFields": "false"}).alias("doc"))
     return JO.openjson_kv(docs, "doc", keep=["c_custkey"])
+
+
+@query("product_specs", """
+WITH specs AS (
+  SELECT p_partkey, p_name, p_retailprice,
+         to_json(struct_pack(name := p_brand,
+                             description := [struct_pack(cultureId := 'en', text := p_name)])) AS SpecsJson
+  FROM part)
+SELECT p_partkey, SpecsJson, json_extract_string(SpecsJson, '$.name') AS ProductModel,
+       CASE WHEN json_valid(SpecsJson) AND json_type(SpecsJson) IN ('OBJECT', 'ARRAY') THEN 1 ELSE 0 END AS valid
+FROM specs WHERE json_extract_string(SpecsJson, '$.name') IS NOT NULL
+""")
+def product_specs(spark, sf):
+    # the spec document is built as a one-row FOR JSON array and unwrapped,
+    # ProductModel is the persisted computed column read from it
+    p = t(spark, sf, "part")
+    one = F.array(F.struct(F.col("p_brand").alias("name"),
+                           F.array(F.struct(F.lit("en").alias("cultureId"),
+                                            F.col("p_name").alias("text"))).alias("description")))
+    specs = p.select("p_partkey", J.json_unwrap(one).alias("SpecsJson"))
+    m = JO.materialise_json(specs, "SpecsJson", {"ProductModel": "$.name"})
+    return m.where(F.col("ProductModel").isNotNull()).select(
+        "p_partkey", "SpecsJson", "ProductModel", J.is_json("SpecsJson").alias("valid"))
