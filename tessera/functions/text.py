@@ -41,6 +41,12 @@ def capitalise(col: str | Column) -> Column:
     return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 2147483647)))
 
 
+def case_insensitive(col: str | Column, collation: str = "UNICODE_CI") -> Column:
+    """Compare as SQL Server's default collation does (case-insensitive);
+    Spark compares exactly unless a collation is asked for."""
+    return F.collate(_c(col), collation)
+
+
 def len_rtrim(col: str | Column) -> Column:
     """H5: LEN ignores trailing spaces (Spark's ``length`` counts them)."""
     return F.length(F.rtrim(_c(col)))

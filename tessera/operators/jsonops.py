@@ -156,3 +156,29 @@ def openjson_kv(df: DataFrame, col: str, keep: Sequence[str] = (), outer: bool =
              .otherwise(F.to_json("_val")))
     return rows.select(*keep, F.coalesce(F.col("_key"), F.col("_pos").cast("string")).alias("key"),
                        value.alias("value"), code.cast("int").alias("type"))
+
+
+def json_member_names(df: DataFrame, col: str, elements: bool = True) -> DataFrame:
+    """Distinct member names used in a JSON column (of the objects inside
+    arrays when ``elements``), found over the whole column in parallel; only
+    the distinct names come back, not the documents."""
+    spark = df.sparkSession
+    v = df.select(F.try_parse_json(F.col(col)).alias("_v"))
+    if elements:
+        v = v.lateralJoin(spark.tvf.variant_explode(F.col("_v").outer())).select(F.col("value").alias("_v"))
+    names = v.lateralJoin(spark.tvf.variant_explode(F.col("_v").outer())).select(F.col("key").alias("name"))
+    return names.where(F.col("name").isNotNull()).distinct()
+
+
+class UnknownMembers(ValueError):
+    """Documents hold members the edit schema does not list; rebuilding
+    the documents from that schema would drop them."""
+
+
+def check_edit_schema(df: DataFrame, col: str, fields: Sequence[str], elements: bool = True) -> None:
+    """Fail loudly before a schema-based JSON edit when some document has
+    members outside ``fields`` (they would be lost by the rebuild)."""
+    extra = sorted(r["name"] for r in json_member_names(df, col, elements)
+                   .where(~F.col("name").isin(list(fields))).collect())
+    if extra:
+        raise UnknownMembers(f"members not in the edit schema: {extra[:20]}")
