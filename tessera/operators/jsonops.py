@@ -39,8 +39,7 @@ def nest_children(parent: DataFrame, child: DataFrame, parent_key: str, child_ke
     """Correlated ``(SELECT .. FOR JSON PATH)`` per parent row: the child
     rows as a JSON array, NULL when there are none."""
     order = list(order_by) if order_by else list(fields.values())
-    agg = sorted_children(child.withColumnRenamed(child_key, "_ck") if child_key != "_ck" else child,
-                          "_ck", fields, order, "_arr")
+    agg = sorted_children(child, child_key, fields, order, "_arr")
     joined = parent.join(agg, parent[parent_key] == agg["_key"], "left").drop("_key")
     value = F.to_json("_arr") if as_json else F.col("_arr")
     return joined.withColumn(name, value).drop("_arr")

@@ -211,3 +211,11 @@ def test_edit_schema_check_finds_unknown_members(person):
 def test_case_insensitive_option(product):
     assert product.where(H.case_insensitive("Color") == "silver").count() == 2
     assert product.where(F.col("Color") == "silver").count() == 0
+
+
+def test_nest_children_field_may_use_child_key(spark):
+    parent = spark.createDataFrame([(1,), (2,)], "id int")
+    child = spark.createDataFrame([(1, "a"), (1, "b")], "pid int, v string")
+    out = JO.nest_children(parent, child, "id", "pid", {"owner": "pid", "v": "v"}, "kids", order_by=["v"])
+    got = {r.id: r.kids for r in out.collect()}
+    assert json.loads(got[1]) == [{"owner": 1, "v": "a"}, {"owner": 1, "v": "b"}] and got[2] is None
