@@ -60,9 +60,10 @@ def after_first(col: str | Column, pattern: str) -> Column:
 
 
 def money_es(col: str | Column) -> Column:
-    """H7: ``FORMAT(x, 'C', 'es-es')``: two decimals, ``.`` groups, ``,``
-    decimal mark, trailing `` €``. Groups also for four-digit numbers."""
-    return F.concat(F.translate(F.format_number(_c(col), 2), ",.", ".,"), F.lit(" €"))
+    """H7: ``FORMAT(x, 'C', 'es-es')``: two decimals rounded half away from
+    zero (``format_number`` alone would round half to even), ``.`` groups,
+    ``,`` decimal mark, trailing `` €``. Groups also for four-digit numbers."""
+    return F.concat(F.translate(F.format_number(F.round(_c(col), 2), 2), ",.", ".,"), F.lit(" €"))
 
 
 def regexp_substr(col: str | Column, pattern: str) -> Column:

@@ -146,5 +146,7 @@ def test_regexp_matches_positions(spark):
 
 
 def test_money_es(spark):
-    df = spark.createDataFrame([(1234567.5,), (12.0,)], "x double")
-    assert [r[0] for r in df.select(H.money_es("x")).collect()] == ["1.234.567,50 €", "12,00 €"]
+    df = spark.createDataFrame([(1234567.5,), (12.0,), (-1234.5,)], "x double")
+    assert [r[0] for r in df.select(H.money_es("x")).collect()] == ["1.234.567,50 €", "12,00 €", "-1.234,50 €"]
+    half = spark.createDataFrame([("0.125",), ("2.675",)], "x string").select(F.col("x").cast("decimal(10,3)").alias("x"))
+    assert [r[0] for r in half.select(H.money_es("x")).collect()] == ["0,13 €", "2,68 €"]
