@@ -178,6 +178,6 @@ def check_edit_schema(df: DataFrame, col: str, fields: Sequence[str], elements:
     """Fail loudly before a schema-based JSON edit when some document has
     members outside ``fields`` (they would be lost by the rebuild)."""
     extra = sorted(r["name"] for r in json_member_names(df, col, elements)
-                   .where(~F.col("name").isin(list(fields))).collect())
+                   .where(~F.col("name").isin(list(fields))).limit(20).collect())  # enough to report
     if extra:
         raise UnknownMembers(f"members not in the edit schema: {extra[:20]}")
