@@ -141,7 +141,7 @@ def mask_text(col: str | Column) -> Column:
 
 
 def mask_email(col: str | Column) -> Column:
-    """Keep the first letter and the domain: ``k***@adventure-works.com``."""
+    """Keep the first letter and the domain: ``k***@example.com``."""
     v = _c(col)
     return F.regexp_replace(v, r"^(.)[^@]*(@.*)$", "$1***$2")
 

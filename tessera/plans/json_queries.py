@@ -284,7 +284,7 @@ DETAIL_SQL = """det AS (
     (SELECT list(struct_pack(Type := o.o_orderpriority, Number := CAST(o.o_orderkey AS VARCHAR))
                  ORDER BY CAST(o.o_orderkey AS VARCHAR), o.o_orderpriority)
      FROM orders o WHERE o.o_custkey = c.c_custkey) AS phones,
-    [lower(replace(c.c_name, '#', '.')) || '@adventure-works.com'] AS emails
+    [lower(replace(c.c_name, '#', '.')) || '@example.com'] AS emails
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)"""
 
 
@@ -295,7 +295,7 @@ def detail_documents(spark, sf):
                     F.array(F.struct(F.col("r_name").alias("Type"), F.col("n_name").alias("City"))
                             ).alias("addresses"),
                     F.array(F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("."))),
-                                     F.lit("@adventure-works.com"))).alias("emails")))
+                                     F.lit("@example.com"))).alias("emails")))
     with_phones = JO.nest_children(
         base, o, "c_custkey", "o_custkey",
         {"Type": "o_orderpriority", "Number": F.col("o_orderkey").cast("string")}, "phones",
