@@ -78,24 +78,56 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 _SHIPPED: set[str] = set()
 
 
-def ship_package(spark: SparkSession) -> None:
+def _package_zip() -> bytes:
+    """The ``tessera`` package as zip bytes, built in memory."""
+    import io
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _dirs, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, root))
+    return buf.getvalue()
+
+
+def ship_package(spark: SparkSession, shared: bool | None = None) -> None:
     """Make ``tessera`` importable in executor Python workers (once per app).
 
     Operators that run Python per partition (``mapInPandas``) pickle
     functions by reference to this package, so executors need it: the same
-    thing ``--py-files`` does at submit time.
+    thing ``--py-files`` does at submit time. In local mode the zip goes to a
+    private temporary folder; on a cluster it is written into the shared
+    checkpoint folder (through Hadoop's FileSystem) and added from there.
     """
     sc = spark.sparkContext
     app = sc.applicationId
     if app in _SHIPPED:
         return
-    import shutil
-
-    pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    work = tempfile.mkdtemp(prefix="tessera-pkg-")
-    archive = shutil.make_archive(os.path.join(work, "tessera"), "zip",
-                                  root_dir=os.path.dirname(pkg_dir), base_dir="tessera")
-    sc.addPyFile(archive)
+    data = _package_zip()
+    if shared is None:
+        shared = not sc.master.startswith("local")
+    if shared:
+        base = ensure_checkpoint_dir(spark).rstrip("/")
+        target = f"{base}/tessera-pkg-{app}/tessera.zip"
+        jvm = sc._jvm
+        path = jvm.org.apache.hadoop.fs.Path(target)
+        out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
+        try:
+            out.write(bytearray(data))
+        finally:
+            out.close()
+        sc.addPyFile(target)
+    else:
+        work = tempfile.mkdtemp(prefix="tessera-pkg-")
+        local = os.path.join(work, "tessera.zip")
+        with open(local, "wb") as fh:
+            fh.write(data)
+        sc.addPyFile(local)
     _SHIPPED.add(app)
 
 

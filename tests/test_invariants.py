@@ -265,3 +265,13 @@ def test_regexp_matches_positions_on_whole_documents(spark):
     per_doc = m.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     counts = d.select("doc_id", H.regexp_count("text", r"\w+").alias("n")).where(F.col("n") > 0)
     assert same(per_doc, counts.select("doc_id", F.col("n").cast("long").alias("n")))
+
+
+def test_package_zip_holds_the_library():
+    import io
+    import zipfile
+
+    from tessera.session import _package_zip
+
+    names = zipfile.ZipFile(io.BytesIO(_package_zip())).namelist()
+    assert "tessera/operators/ordering.py" in names and "tessera/__init__.py" in names
