@@ -99,7 +99,10 @@ def changes_since(log: DataFrame, key: str, version: str, op: str, columns: Sequ
     if min_valid_version is not None and since is not None and since < min_valid_version - 1:
         raise VersionTooOld(f"version {since} is older than the oldest retained change {min_valid_version}")
     after = _per_key(_range(log, version, lo=since), key, version, op, columns)
-    before = _per_key(_range(log, version, hi=since), key, version, op, columns).select(
+    # only the history of keys changed after `since` is reduced and shuffled
+    touched = _range(log, version, lo=since).select(F.col(key).alias("_tk")).distinct()
+    earlier = _range(log, version, hi=since).join(touched, F.col(key) == F.col("_tk"), "left_semi")
+    before = _per_key(earlier, key, version, op, columns).select(
         F.col(key).alias("_bk"), F.col("_last").alias("_before"), F.col("_last_op").alias("_bop"))
     j = after.join(before, F.col(key) == F.col("_bk"), "left")
     operation = _collapse(F.col("_first_op"), F.col("_last_op"))
@@ -148,7 +151,9 @@ def all_changes(log: DataFrame, key: str, version: str, op: str, columns: Sequen
     pass; the row before a key's first change in the range comes from one
     map-side ``max_by`` aggregate over the earlier log."""
     rows = _range(log, version, lo=lo, hi=hi, lo_inclusive=True).select(key, version, op, *columns)
+    touched = rows.select(F.col(key).alias("_tk")).distinct()
     earlier = (_range(log, version).where(F.col(version) < F.lit(lo))
+               .join(touched, F.col(key) == F.col("_tk"), "left_semi")
                .groupBy(F.col(key).alias("_ek"))
                .agg(F.max_by(F.struct(*columns), version).alias("_e")))
     prev = group_shift(rows, [key], [version], [version, *columns],
