@@ -36,4 +36,4 @@ def load_all() -> None:
     from tessera.plans import (  # noqa: F401
         relational_queries, reshape_queries, text_queries, json_queries,
         change_queries, history_queries, edit_queries, quality_queries,
-        search_queries, stream_queries)
+        search_queries, sink_queries, stream_queries)
