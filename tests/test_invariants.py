@@ -275,3 +275,14 @@ def test_package_zip_holds_the_library():
 
     names = zipfile.ZipFile(io.BytesIO(_package_zip())).namelist()
     assert "tessera/operators/ordering.py" in names and "tessera/__init__.py" in names
+
+
+def test_ordered_operators_on_empty_input(spark):
+    empty = spark.createDataFrame([], "g int, o int, v double")
+    assert O.global_row_number(empty, ["o"], "rn").count() == 0
+    assert O.running_total(empty, ["g"], ["o"], "v", "s").count() == 0
+    assert D.percentiles(empty, ["g"], "v", {"p50": 0.5}).count() == 0
+    for mode in ("lag", "lead", "ffill"):
+        assert O.group_shift(empty, ["g"], ["o"], ["v"], ["pv"], mode=mode).count() == 0
+    e = S.table(spark, SF01, "events").where(F.lit(False)).select("user_id", "event_id", "ts")
+    assert H.build_history(e, "user_id", "ts", "event_id").count() == 0
