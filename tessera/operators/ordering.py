@@ -277,7 +277,28 @@ def running_total(df: DataFrame, partition_by: Sequence[str], order_by: Sequence
         keep.append(count_name)
     sums = sums.withColumn("_rank", (F.col("_cr") - F.col("_r") + 1).cast("int"))
     keep.append("_rank")
-    return df.join(sums.select(*keep), keys, "inner")
+    return join_null_safe(df, sums.select(*keep), keys)
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` treating NULL as equal to NULL, as GROUP BY and
+    window partitions do; the result keeps the left side's key columns.
+    With no keys the right side is a single aggregate row: it is read once
+    and attached as literals (no cross join)."""
+    if not keys:
+        rows = right.limit(2).collect()
+        if len(rows) != 1:
+            raise ValueError("a keyless join needs exactly one row on the right")
+        return left.select("*", *[F.lit(rows[0][f.name]).cast(f.dataType).alias(f.name)
+                                  for f in right.schema.fields])
+    renamed = right.select(*[F.col(k).alias(f"_nk{i}") for i, k in enumerate(keys)],
+                           *[c for c in right.columns if c not in keys])
+    cond = None
+    for i, k in enumerate(keys):
+        part = left[k].eqNullSafe(renamed[f"_nk{i}"])
+        cond = part if cond is None else cond & part
+    out = left.join(renamed, cond, how)
+    return out.drop(*[f"_nk{i}" for i in range(len(keys))])
 
 
 # --------------------------------------------------------------------------

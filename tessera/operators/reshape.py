@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.ordering import group_running
+from tessera.operators.ordering import group_running, join_null_safe
 
 
 def _c(x: str | Column) -> Column:
@@ -61,7 +61,7 @@ def percentiles(df: DataFrame, by: Sequence[str], col: str, points: Mapping[str,
                .groupBy(*keys, col).agg(F.count(F.lit(1)).cast("double").alias("_n")))
     cum = group_running(counted, keys, [col], ["_n"], ["_cum"], partitions)
     sizes = counted.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    ranked = (cum.join(sizes, keys, "inner")
+    ranked = (join_null_safe(cum, sizes, keys)
               .withColumn("_hi_rank", F.col("_cum"))
               .withColumn("_lo_rank", F.col("_cum") - F.col("_n")))
     aggs = [F.first("_total").alias("_total")]

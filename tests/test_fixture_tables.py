@@ -219,3 +219,10 @@ def test_nest_children_field_may_use_child_key(spark):
     out = JO.nest_children(parent, child, "id", "pid", {"owner": "pid", "v": "v"}, "kids", order_by=["v"])
     got = {r.id: r.kids for r in out.collect()}
     assert json.loads(got[1]) == [{"owner": 1, "v": "a"}, {"owner": 1, "v": "b"}] and got[2] is None
+
+
+def test_percentiles_null_group_and_global(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0), ("a", None)], "g string, x double")
+    by_group = {r.g: r.p50 for r in D.percentiles(df, ["g"], "x", {"p50": 0.5}).collect()}
+    assert by_group == {None: 2.0, "a": 5.0}
+    assert D.percentiles(df, [], "x", {"p50": 0.5}).first().p50 == 3.0

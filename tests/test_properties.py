@@ -18,7 +18,8 @@ def _restore_batch_size(spark):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
 
 
-ROWS = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 12), st.one_of(st.none(), st.integers(-5, 5))),
+ROWS = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.one_of(st.none(), st.integers(0, 12)),
+                          st.one_of(st.none(), st.integers(-5, 5))),
                 min_size=1, max_size=80)
 
 
