@@ -77,10 +77,12 @@ def merge_changes(state: DataFrame, changes: DataFrame, key: str, version: str,
 
 def stream_current_state(spark: SparkSession, log_path: str, log_schema: T.StructType,
                          state_path: str, checkpoint: str, key: str, version: str, op: str,
-                         columns: Sequence[str], max_files_per_trigger: int | None = None
-                         ) -> StreamingQuery:
-    """Start the stream with ``availableNow`` (process what is there, then
-    stop); call ``awaitTermination()`` on the result."""
+                         columns: Sequence[str], max_files_per_trigger: int | None = None,
+                         processing_time: str | None = None) -> StreamingQuery:
+    """Start the stream. By default with ``availableNow`` (process what is
+    there, then stop; call ``awaitTermination()``); with
+    ``processing_time`` (e.g. ``"1 minute"``) it keeps running and picks up
+    new log files every interval."""
     state_schema = T.StructType([log_schema[key], log_schema[version]]
                                 + [log_schema[c] for c in columns])
 
@@ -93,5 +95,7 @@ def stream_current_state(spark: SparkSession, log_path: str, log_schema: T.Struc
     reader = spark.readStream.schema(log_schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return (reader.parquet(log_path).writeStream.foreachBatch(apply)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    writer = reader.parquet(log_path).writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    writer = (writer.trigger(processingTime=processing_time) if processing_time
+              else writer.trigger(availableNow=True))
+    return writer.start()

@@ -286,3 +286,32 @@ def test_ordered_operators_on_empty_input(spark):
         assert O.group_shift(empty, ["g"], ["o"], ["v"], ["pv"], mode=mode).count() == 0
     e = S.table(spark, SF01, "events").where(F.lit(False)).select("user_id", "event_id", "ts")
     assert H.build_history(e, "user_id", "ts", "event_id").count() == 0
+
+
+def test_stream_picks_up_new_files_on_interval(spark):
+    import time
+
+    from tessera.streaming.current_state import read_state, stream_current_state
+
+    work = tempfile.mkdtemp(prefix="tessera-stream2-")
+    log = X.change_log(spark, SF01).select("user_id", "event_id", "op", *X.TRACKED)
+    first = log.where(F.col("event_id") < 5000)
+    first.write.parquet(os.path.join(work, "log", "part=1"))
+    q = stream_current_state(spark, os.path.join(work, "log", "*"), log.schema, os.path.join(work, "state"),
+                             os.path.join(work, "ckpt"), "user_id", "event_id", "op", X.TRACKED,
+                             processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        log.where(F.col("event_id") >= 5000).write.parquet(os.path.join(work, "log", "part=2"))
+        deadline = time.time() + 60
+        while time.time() < deadline:
+            q.processAllAvailable()
+            got = read_state(spark, os.path.join(work, "state"), log.drop("op").schema)
+            if got.agg(F.max("event_id")).first()[0] == log.agg(F.max("event_id")).first()[0]:
+                break
+            time.sleep(1)
+    finally:
+        q.stop()
+    exp = C.current_state(log, "user_id", "event_id", "op", X.TRACKED)
+    cols = ["user_id", "event_id", *X.TRACKED]
+    assert same(got.select(*cols), exp.select(*cols))
