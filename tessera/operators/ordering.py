@@ -147,13 +147,59 @@ def _key_at(pdf: pd.DataFrame, gcols: list[str], i: int):
     return tuple(None if pd.isna(pdf[g].iloc[i]) else pdf[g].iloc[i] for g in gcols)
 
 
-def _scan_partition(batches, gcols, vcols, carry_in, emit_rows: bool):
+_FLOAT_TYPES = (T.FloatType, T.DoubleType)
+_TS_TYPES = (T.TimestampType, T.TimestampNTZType)
+
+
+def _nan_flag(c: str) -> str:
+    return f"_nan_{c}"
+
+
+def _encode_for_python(df: DataFrame):
+    """Prepare a frame for a pandas pass without losing values: timestamps
+    travel as epoch microseconds (pandas' nanosecond timestamps end in 2262),
+    and a NaN in a float column travels as NULL plus a flag column, because
+    pandas and Arrow use NaN to mark NULL. Returns (frame, timestamp types,
+    float columns)."""
+    stamped = {f.name: f.dataType for f in df.schema.fields if isinstance(f.dataType, _TS_TYPES)}
+    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, _FLOAT_TYPES)]
+    cols = []
+    for c in df.columns:
+        if c in stamped:
+            cols.append(_to_micros(F.col(c), stamped[c]).alias(c))
+        elif c in floats:
+            cols.append(F.when(F.isnan(c), F.lit(None)).otherwise(F.col(c)).alias(c))
+        else:
+            cols.append(F.col(c))
+    cols += [F.coalesce(F.isnan(c), F.lit(False)).alias(_nan_flag(c)) for c in floats]
+    return df.select(*cols), stamped, floats
+
+
+def _decode_from_python(df: DataFrame, stamped: dict, nan_flags: dict) -> DataFrame:
+    """Undo ``_encode_for_python``: ``nan_flags`` maps a column to the flag
+    column that marks its NaN values."""
+    out = []
+    for c in df.columns:
+        if c in nan_flags.values():
+            continue
+        col = F.col(c)
+        if c in nan_flags:
+            col = F.when(F.col(nan_flags[c]), F.lit(float("nan")).cast(df.schema[c].dataType)).otherwise(col)
+        if c in stamped:
+            col = _from_micros(col, stamped[c])
+        out.append(col.alias(c))
+    return df.select(*out)
+
+
+def _scan_partition(batches, gcols, vcols, flags, carry_in, emit_rows: bool):
     """Grouped inclusive cumsum over one sorted partition.
 
-    With ``emit_rows`` yields the rows with ``_cum{i}`` columns (plus the
-    carry for the group begun in earlier partitions); otherwise yields one
-    summary row: first key, last key, local totals of the last group run and
-    whether the partition holds a single group.
+    ``flags`` maps a value column to its NaN flag column: a NaN makes the
+    running sum NaN from there on, as SUM does; NULLs add nothing. With
+    ``emit_rows`` yields the rows with ``_cum{i}`` / ``_cumnan{i}`` columns
+    (plus the carry for the group begun in earlier partitions); otherwise
+    one summary row: first key, last key, local totals of the last group run
+    (as text, so NaN survives) and whether the partition holds one group.
     """
     k = len(vcols)
     pid = None
@@ -168,7 +214,7 @@ def _scan_partition(batches, gcols, vcols, carry_in, emit_rows: bool):
         if pid is None:
             pid = _batch_pid(pdf)
             if carry_in:
-                add = np.asarray(carry_in.get(pid, [0.0] * k))
+                add = np.asarray(carry_in.get(pid, [0.0] * k), dtype="float64")
         chg = _group_change(pdf, gcols, last_key)
         if first_key is None:
             first_key = _key_at(pdf, gcols, 0)
@@ -184,6 +230,9 @@ def _scan_partition(batches, gcols, vcols, carry_in, emit_rows: bool):
         for i, v in enumerate(vcols):
             vals = pdf[v].astype("float64").fillna(0.0).to_numpy()
             cs = pd.Series(vals).groupby(seg).cumsum().to_numpy()
+            if v in flags:  # a NaN poisons the rest of its group's running sum
+                seen = pd.Series(pdf[flags[v]].to_numpy(dtype=bool)).groupby(seg).cummax().to_numpy()
+                cs = np.where(seen, np.nan, cs)
             if not chg[0]:
                 cs[head] += run_total[i]
             run_total[i] = cs[-1]
@@ -192,6 +241,7 @@ def _scan_partition(batches, gcols, vcols, carry_in, emit_rows: bool):
                 if first_run_open:
                     out[head] += add[i]
                 res[f"_cum{i}"] = out
+                res[f"_cumnan{i}"] = np.isnan(out)
         if chg[1:].any():
             first_run_open = False
         last_key = _key_at(pdf, gcols, len(pdf) - 1)
@@ -201,7 +251,7 @@ def _scan_partition(batches, gcols, vcols, carry_in, emit_rows: bool):
         row = {"pid": pid, "first_key": repr(first_key), "last_key": repr(last_key),
                "single": single}
         for i in range(k):
-            row[f"t{i}"] = float(run_total[i])
+            row[f"t{i}"] = repr(float(run_total[i]))
         yield pd.DataFrame([row])
 
 
@@ -212,15 +262,16 @@ def group_running(df: DataFrame, partition_by: Sequence[str], order_by: Sequence
     within each ``partition_by`` group. Keys must be unique (pre-aggregate
     peers first). Returns the input columns plus ``names``."""
     gcols, vcols = list(partition_by), list(values)
-    fixed = _ranged(df, gcols + list(order_by), partitions)
+    fixed, stamped, floats = _encode_for_python(_ranged(df, gcols + list(order_by), partitions))
+    flags = {v: _nan_flag(v) for v in vcols if v in floats}
     n_parts = fixed.rdd.getNumPartitions()
 
     summary_schema = T.StructType(
         [T.StructField("pid", T.IntegerType()), T.StructField("first_key", T.StringType()),
          T.StructField("last_key", T.StringType()), T.StructField("single", T.BooleanType())]
-        + [T.StructField(f"t{i}", T.DoubleType()) for i in range(len(vcols))])
+        + [T.StructField(f"t{i}", T.StringType()) for i in range(len(vcols))])
     summary = fixed.mapInPandas(
-        lambda it: _scan_partition(it, gcols, vcols, None, False), summary_schema).collect()
+        lambda it: _scan_partition(it, gcols, vcols, flags, None, False), summary_schema).collect()
 
     info = {r["pid"]: r for r in summary}  # at most one row per partition
     carry_in: dict[int, list[float]] = {}
@@ -237,17 +288,21 @@ def group_running(df: DataFrame, partition_by: Sequence[str], order_by: Sequence
                 if prev["last_key"] != me["first_key"]:
                     break
                 for i in range(len(vcols)):
-                    acc[i] += prev[f"t{i}"]
+                    acc[i] += float(prev[f"t{i}"])
                 if not (prev["single"] and prev["first_key"] == prev["last_key"]):
                     break
                 j -= 1
         carry_in[pid] = acc
 
     out_schema = T.StructType(fixed.schema.fields + [
-        T.StructField(f"_cum{i}", T.DoubleType()) for i in range(len(vcols))])
+        f for i in range(len(vcols)) for f in (T.StructField(f"_cum{i}", T.DoubleType()),
+                                               T.StructField(f"_cumnan{i}", T.BooleanType()))])
     shared = df.sparkSession.sparkContext.broadcast(carry_in)  # one entry per partition
     rows = fixed.mapInPandas(
-        lambda it: _scan_partition(it, gcols, vcols, shared.value, True), out_schema)
+        lambda it: _scan_partition(it, gcols, vcols, flags, shared.value, True), out_schema)
+    nan_flags = {c: _nan_flag(c) for c in floats}
+    nan_flags.update({f"_cum{i}": f"_cumnan{i}" for i in range(len(vcols))})
+    rows = _decode_from_python(rows, stamped, nan_flags)
     for i, n in enumerate(names):
         rows = rows.withColumnRenamed(f"_cum{i}", n)
     return rows.drop("_rid")
@@ -322,18 +377,62 @@ def _summary_row(pid, first_key, last_key, single, vals):
     return pd.DataFrame([row])
 
 
-def _scan_back(batches, gcols, cols, mode, carry, emit_rows):
+def _ffill_batch(pdf, cols, flag_of, seg, chg, known, known_p):
+    """Forward fill of every value column (and its NaN flag) inside one
+    batch. A value counts as present when it is not NULL or is a NaN."""
+    n = len(pdf)
+    head = seg == seg[0]
+    outs = {}
+    for j, c in enumerate(cols):
+        if j in flag_of.values():
+            continue
+        jf = flag_of.get(j)
+        val = _as_objects(pdf[c]).to_numpy()
+        present = pdf[c].notna().to_numpy()
+        fl = None
+        if jf is not None:
+            fl = pdf[cols[jf]].to_numpy(dtype=bool)
+            present = present | fl
+        pos = np.where(present, np.arange(n), -1)
+        last = pd.Series(pos).groupby(seg).cummax().to_numpy()
+        out = np.where(last >= 0, val[np.maximum(last, 0)], None).astype(object)
+        outf = np.where(last >= 0, fl[np.maximum(last, 0)], False) if fl is not None else None
+        if not chg[0] and known_p[j]:  # the group goes on from the previous batch
+            gap = head & (last < 0)
+            out[gap] = known[j]
+            if fl is not None:
+                outf[gap] = bool(known[jf])
+        tail = seg == seg[-1]
+        tail_pos = last[tail]
+        if tail_pos[-1] >= 0:
+            known[j], known_p[j] = val[tail_pos[-1]], True
+            if fl is not None:
+                known[jf] = bool(fl[tail_pos[-1]])
+        elif chg[1:].any() or chg[0]:  # the last group started here and has nothing yet
+            known[j], known_p[j] = None, False
+            if fl is not None:
+                known[jf] = False
+        outs[j] = out
+        if fl is not None:
+            outs[jf] = outf
+    return outs
+
+
+def _scan_back(batches, gcols, cols, flag_of, mode, carry, emit_rows):
     """One sorted partition: LAG (``mode='lag'``) or forward fill ('ffill').
 
-    ``carry`` maps partition id to (first key text, values) coming from the
-    partitions before it. Summary mode yields first/last key, the last row's
-    values (lag) or the last non-null value per column (ffill), and whether
-    the partition holds one group only.
+    ``cols`` lists the value columns followed by their NaN flags;
+    ``flag_of`` maps a value column's index to its flag's index. ``carry``
+    maps partition id to (first key text, values) from the partitions
+    before. Summary mode yields first/last key, the last row's values (lag)
+    or the last present value per column (ffill), and whether the partition
+    holds one group only.
     """
     pid = incoming = None
     prev_key = prev_vals = first_key = None
     single = True
-    known = [None] * len(cols)  # ffill state of the current group
+    known = [None] * len(cols)
+    known_p = [False] * len(cols)
     for pdf in batches:
         if pdf.empty:
             continue
@@ -343,6 +442,9 @@ def _scan_back(batches, gcols, cols, mode, carry, emit_rows):
             first_key = _key_at(pdf, gcols, 0)
             if incoming is not None and incoming[0] == repr(first_key):
                 prev_key, prev_vals, known = first_key, list(incoming[1]), list(incoming[1])
+                known_p = [v is not None for v in known]
+                for j, jf in flag_of.items():
+                    known_p[j] = known_p[j] or bool(known[jf])
             chg = _group_change(pdf, gcols, prev_key)
         else:
             chg = _group_change(pdf, gcols, prev_key)
@@ -352,26 +454,19 @@ def _scan_back(batches, gcols, cols, mode, carry, emit_rows):
             single = False
         seg = np.cumsum(chg)
         res = pdf.copy() if emit_rows else None
-        for j, c in enumerate(cols):
-            col = _as_objects(pdf[c])
-            if mode == "lag":
-                out = col.shift(1)
+        if mode == "lag":
+            outs = {}
+            for j, c in enumerate(cols):
+                out = _as_objects(pdf[c]).shift(1)
                 out[chg] = None
                 if not chg[0] and prev_vals is not None:
                     out.iloc[0] = prev_vals[j]
-            else:
-                out = col.groupby(seg).ffill()
-                if not chg[0] and known[j] is not None:
-                    head = (seg == seg[0]) & out.isna().to_numpy()
-                    out[head] = known[j]
-                last_seg = out[seg == seg[-1]]
-                filled = last_seg[last_seg.notna()]
-                if len(filled):
-                    known[j] = filled.iloc[-1]
-                elif chg[1:].any() or chg[0]:
-                    known[j] = None
-            if emit_rows:
-                res[f"_sh{j}"] = out.where(out.notna(), None)
+                outs[j] = out.to_numpy()
+        else:
+            outs = _ffill_batch(pdf, cols, flag_of, seg, chg, known, known_p)
+        if emit_rows:
+            for j in range(len(cols)):
+                res[f"_sh{j}"] = pd.Series(outs[j], index=pdf.index, dtype=object)
         prev_key = _key_at(pdf, gcols, len(pdf) - 1)
         prev_vals = [_scalar(pdf, c, -1) for c in cols]
         if emit_rows:
@@ -444,30 +539,30 @@ def group_shift(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[s
     ``order_by`` order, without putting a group in one task.
 
     ``mode``: ``"lag"`` (previous row), ``"lead"`` (next row) or ``"ffill"``
-    (last non-NULL value at or before the row). Rows need a total order
-    within their group. What reaches the driver is one summary row per
-    partition.
+    (last non-NULL value at or before the row; a NaN is a value). Rows need
+    a total order within their group. What reaches the driver is one summary
+    row per partition.
     """
     gcols, cols = list(partition_by), list(cols)
-    ranged = _ranged(df, [*gcols, *order_by], partitions)
-    n_parts = ranged.rdd.getNumPartitions()
-    # Timestamps cross into Python as epoch microseconds: pandas' nanosecond
-    # timestamps end in 2262, and periods here end in 9999.
-    ts_types = (T.TimestampType, T.TimestampNTZType)
-    stamped = {f.name: f.dataType for f in ranged.schema.fields if isinstance(f.dataType, ts_types)}
-    fixed = ranged.select(*[_to_micros(F.col(c), stamped[c]).alias(c) if c in stamped
-                            else F.col(c) for c in ranged.columns])
+    fixed, stamped, floats = _encode_for_python(_ranged(df, [*gcols, *order_by], partitions))
+    flagged = [c for c in cols if c in floats]
+    ext = cols + [_nan_flag(c) for c in flagged]
+    flag_of = {cols.index(c): len(cols) + k for k, c in enumerate(flagged)}
     summary_schema = T.StructType(
         [T.StructField("pid", T.IntegerType()), T.StructField("first_key", T.StringType()),
          T.StructField("last_key", T.StringType()), T.StructField("single", T.BooleanType())]
-        + [T.StructField(f"v{j}", fixed.schema[c].dataType) for j, c in enumerate(cols)])
+        + [T.StructField(f"v{j}", fixed.schema[c].dataType) for j, c in enumerate(ext)])
     if mode == "lead":
-        scan = lambda carry, emit: (lambda it: _scan_ahead(it, gcols, cols, carry, emit))
+        scan = lambda carry, emit: (lambda it: _scan_ahead(it, gcols, ext, carry, emit))
     else:
-        scan = lambda carry, emit: (lambda it: _scan_back(it, gcols, cols, mode, carry, emit))
+        scan = lambda carry, emit: (lambda it: _scan_back(it, gcols, ext, flag_of, mode, carry, emit))
     summary = fixed.mapInPandas(scan(None, False), summary_schema).collect()
     info = {r["pid"]: r for r in summary}
-    vals_of = lambda r: [r[f"v{j}"] for j in range(len(cols))]
+    vals_of = lambda r: [r[f"v{j}"] for j in range(len(ext))]
+
+    def unknown(vals, j):
+        return vals[j] is None and not (j in flag_of and vals[flag_of[j]])
+
     carry: dict[int, tuple] = {}
     for pid in sorted(info):
         me = info[pid]
@@ -482,25 +577,30 @@ def group_shift(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[s
             continue
         vals = vals_of(info[earlier[0]])
         if mode == "ffill":  # a column still unknown may be known further back
-            for j in earlier[1:]:
-                prev_part = info[earlier[earlier.index(j) - 1]]
-                if not all(v is None for v in vals) and all(v is not None for v in vals):
-                    break
-                if not (prev_part["single"] and info[j]["last_key"] == me["first_key"]):
+            for idx in range(1, len(earlier)):
+                newer, older = info[earlier[idx - 1]], info[earlier[idx]]
+                todo = [j for j in range(len(cols)) if unknown(vals, j)]
+                if not todo or not newer["single"] or older["last_key"] != me["first_key"]:
                     break
-                vals = [v if v is not None else o for v, o in zip(vals, vals_of(info[j]))]
+                older_vals = vals_of(older)
+                for j in todo:
+                    vals[j] = older_vals[j]
+                    if j in flag_of:
+                        vals[flag_of[j]] = older_vals[flag_of[j]]
         carry[pid] = (me["first_key"], vals)
     out_schema = T.StructType(fixed.schema.fields + [
-        T.StructField(f"_sh{j}", fixed.schema[c].dataType) for j, c in enumerate(cols)])
+        T.StructField(f"_sh{j}", fixed.schema[c].dataType) for j, c in enumerate(ext)])
     shared = df.sparkSession.sparkContext.broadcast(carry)  # one entry per partition
     if mode == "lead":
-        rows = fixed.mapInPandas(lambda it: _scan_ahead(it, gcols, cols, shared.value, True), out_schema)
+        rows = fixed.mapInPandas(lambda it: _scan_ahead(it, gcols, ext, shared.value, True), out_schema)
     else:
-        rows = fixed.mapInPandas(lambda it: _scan_back(it, gcols, cols, mode, shared.value, True),
+        rows = fixed.mapInPandas(lambda it: _scan_back(it, gcols, ext, flag_of, mode, shared.value, True),
                                  out_schema)
+    nan_flags = {c: _nan_flag(c) for c in floats}
+    nan_flags.update({f"_sh{j}": f"_sh{jf}" for j, jf in flag_of.items()})
     back = {**stamped, **{f"_sh{j}": stamped[c] for j, c in enumerate(cols) if c in stamped}}
-    rows = rows.select(*[_from_micros(F.col(c), back[c]).alias(c) if c in back
-                         else F.col(c) for c in rows.columns])
+    rows = _decode_from_python(rows.withColumns({f"_sh{jf}": F.coalesce(F.col(f"_sh{jf}"), F.lit(False))
+                                                 for jf in flag_of.values()}), back, nan_flags)
     for j, n in enumerate(names):
         rows = rows.withColumnRenamed(f"_sh{j}", n)
     return rows.drop("_rid")

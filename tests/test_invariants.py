@@ -315,3 +315,16 @@ def test_stream_picks_up_new_files_on_interval(spark):
     exp = C.current_state(log, "user_id", "event_id", "op", X.TRACKED)
     cols = ["user_id", "event_id", *X.TRACKED]
     assert same(got.select(*cols), exp.select(*cols))
+
+
+def test_nan_is_a_value_not_null_in_python_passes(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1, 1, 1.0, nan), (1, 2, nan, 2.0), (1, 3, None, None), (1, 4, 4.0, 3.0)],
+                               "g int, o int, v double, other double")
+    lag = {r.o: r.pv for r in O.group_shift(df, ["g"], ["o"], ["v"], ["pv"], "lag").collect()}
+    assert lag[1] is None and lag[2] == 1.0 and str(lag[3]) == "nan" and lag[4] is None
+    ff = {r.o: (r.pv, r.other) for r in O.group_shift(df, ["g"], ["o"], ["v"], ["pv"], "ffill").collect()}
+    assert str(ff[2][0]) == "nan" and str(ff[3][0]) == "nan" and ff[4][0] == 4.0
+    assert str(ff[1][1]) == "nan" and ff[3][1] is None  # other columns pass through unchanged
+    run = {r.o: r.s for r in O.running_total(df, ["g"], ["o"], "v", "s").collect()}
+    assert run[1] == 1.0 and all(str(run[o]) == "nan" for o in (2, 3, 4))

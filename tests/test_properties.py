@@ -19,7 +19,7 @@ def _restore_batch_size(spark):
 
 
 ROWS = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.one_of(st.none(), st.integers(0, 12)),
-                          st.one_of(st.none(), st.integers(-5, 5))),
+                          st.one_of(st.none(), st.integers(-5, 5).map(float), st.just(float("nan")))),
                 min_size=1, max_size=80)
 
 
@@ -31,7 +31,7 @@ def same(a, b):
 @given(rows=ROWS, parts=st.integers(1, 7), batch=st.integers(1, 9))
 def test_running_total_matches_window(spark, rows, parts, batch):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
-    df = spark.createDataFrame([(i, g, o, v) for i, (g, o, v) in enumerate(rows)], "u int, g int, o int, v int")
+    df = spark.createDataFrame([(i, g, o, v) for i, (g, o, v) in enumerate(rows)], "u int, g int, o int, v double")
     got = O.running_total(df, ["g"], ["o"], "v", "s", count_name="c", partitions=parts)
     w = Window.partitionBy("g").orderBy("o")
     exp = df.select("u", F.sum(F.col("v").cast("double")).over(w).alias("s"), F.count("v").over(w).alias("c"),
@@ -43,7 +43,7 @@ def test_running_total_matches_window(spark, rows, parts, batch):
 @given(rows=ROWS, parts=st.integers(1, 7), batch=st.integers(1, 9), mode=st.sampled_from(["lag", "lead", "ffill"]))
 def test_group_shift_matches_window(spark, rows, parts, batch, mode):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
-    df = spark.createDataFrame([(i, g, o, v) for i, (g, o, v) in enumerate(rows)], "u int, g int, o int, v int")
+    df = spark.createDataFrame([(i, g, o, v) for i, (g, o, v) in enumerate(rows)], "u int, g int, o int, v double")
     got = O.group_shift(df, ["g"], ["o", "u"], ["v"], ["pv"], mode=mode, partitions=parts)
     w = Window.partitionBy("g").orderBy("o", "u")
     fn = {"lag": F.lag("v").over(w), "lead": F.lead("v").over(w),
