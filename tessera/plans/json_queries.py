@@ -398,3 +398,32 @@ def product_specs(spark, sf):
     m = JO.materialise_json(specs, "SpecsJson", {"ProductModel": "$.name"})
     return m.where(F.col("ProductModel").isNotNull()).select(
         "p_partkey", "SpecsJson", "ProductModel", J.is_json("SpecsJson").alias("valid"))
+
+
+@query("include_two", """
+SELECT n.n_nationkey,
+       (SELECT COUNT(*) FROM customer c WHERE c.c_nationkey = n.n_nationkey) AS n_customers,
+       (SELECT COUNT(*) FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+        WHERE c.c_nationkey = n.n_nationkey) AS n_orders,
+       (SELECT COUNT(*) FROM supplier s WHERE s.s_nationkey = n.n_nationkey) AS n_suppliers,
+       (SELECT to_json(list(s.s_suppkey ORDER BY s.s_suppkey)) FROM supplier s
+        WHERE s.s_nationkey = n.n_nationkey) AS supplier_keys
+FROM nation n
+""")
+def include_two(spark, sf):
+    # C11 with two collections (customers, one level deeper with their
+    # orders, and suppliers): each collection is aggregated on its own and
+    # joined once - the split-query form, no customers x suppliers rows
+    n, c, s, o = (t(spark, sf, x) for x in ("nation", "customer", "supplier", "orders"))
+    customers = JO.include(c.select("c_custkey", "c_nationkey"), "c_custkey", [
+        (o, "o_custkey", {"o_orderkey": "o_orderkey"}, "orders", ["o_orderkey"])])
+    tree = JO.include(n.select("n_nationkey"), "n_nationkey", [
+        (customers, "c_nationkey", {"c_custkey": "c_custkey", "orders": "orders"}, "customers", ["c_custkey"]),
+        (s, "s_nationkey", {"s_suppkey": "s_suppkey"}, "suppliers", ["s_suppkey"])])
+    size = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("long")
+    n_orders = F.coalesce(F.aggregate("customers", F.lit(0).cast("long"),
+                                      lambda acc, x: acc + F.coalesce(F.size(x["orders"]), F.lit(0))),
+                          F.lit(0)).cast("long")
+    return tree.select("n_nationkey", size("customers").alias("n_customers"), n_orders.alias("n_orders"),
+                       size("suppliers").alias("n_suppliers"),
+                       F.to_json(F.transform("suppliers", lambda x: x["s_suppkey"])).alias("supplier_keys"))
