@@ -328,3 +328,26 @@ def test_nan_is_a_value_not_null_in_python_passes(spark):
     assert str(ff[1][1]) == "nan" and ff[3][1] is None  # other columns pass through unchanged
     run = {r.o: r.s for r in O.running_total(df, ["g"], ["o"], "v", "s").collect()}
     assert run[1] == 1.0 and all(str(run[o]) == "nan" for o in (2, 3, 4))
+
+
+def test_write_clustered_gives_disjoint_file_ranges(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from tessera.operators.jsonops import materialise_json
+    from tessera.plans.json_queries import phones
+
+    path = os.path.join(tempfile.mkdtemp(prefix="tessera-clustered-"), "t")
+    docs = materialise_json(phones(spark, SF01), "phones", {"phone": "$[0].number"})
+    S.write_clustered(docs.where(F.col("phone").isNotNull()), path, ["phone"], files=4)
+    ranges = []
+    for f in sorted(glob.glob(os.path.join(path, "*.parquet"))):
+        meta = pq.ParquetFile(f).metadata
+        col = [i for i in range(meta.num_columns) if meta.schema.column(i).name == "phone"][0]
+        stats = [meta.row_group(r).column(col).statistics for r in range(meta.num_row_groups)]
+        ranges.append((min(s.min for s in stats), max(s.max for s in stats)))
+    ranges.sort()
+    assert len(ranges) >= 2 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+    back = spark.read.parquet(path).where(F.col("phone") == ranges[0][0])
+    assert "PushedFilters: [IsNotNull(phone), EqualTo(phone" in back._jdf.queryExecution().executedPlan().toString()
