@@ -146,3 +146,32 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def default_parallelism(spark: SparkSession) -> int:
     """Partition count for explicit repartitions: the shuffle setting."""
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def settings_for_input(input_bytes: int, cores: int, mem_per_core_bytes: int = 4 << 30) -> dict[str, str]:
+    """Shuffle and scan sizes for a job reading ``input_bytes`` on ``cores``
+    task slots (each with about ``mem_per_core_bytes`` of execution memory).
+
+    Scan splits of 256 MB (more and the per-task memory is at risk, fewer and
+    the scheduling cost grows); an initial shuffle fan-out of about one
+    partition per 256 MB of input, never below 2 x cores, which AQE coalesces
+    towards the 128 MB advisory size; skew splitting above 4 x the median
+    partition or 512 MB.
+    """
+    mb = 1 << 20
+    split = 256 * mb if mem_per_core_bytes >= 2 << 30 else 128 * mb
+    shuffle = max(2 * cores, min(200_000, -(-input_bytes // (256 * mb))))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * mb),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * mb),
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict[str, str]) -> None:
+    """Set runtime SQL options (all of the above can change per session)."""
+    for key, value in settings.items():
+        spark.conf.set(key, value)

@@ -351,3 +351,14 @@ def test_write_clustered_gives_disjoint_file_ranges(spark):
     assert len(ranges) >= 2 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
     back = spark.read.parquet(path).where(F.col("phone") == ranges[0][0])
     assert "PushedFilters: [IsNotNull(phone), EqualTo(phone" in back._jdf.queryExecution().executedPlan().toString()
+
+
+def test_settings_for_input_scale():
+    from tessera.session import settings_for_input
+
+    small = settings_for_input(40 << 20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    big = settings_for_input(100 << 40, 8000)
+    # 100 TB / 256 MB = 409,600 partitions, capped at 200,000 (AQE coalesces from there)
+    assert big["spark.sql.shuffle.partitions"] == "200000"
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
