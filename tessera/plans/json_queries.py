@@ -202,10 +202,12 @@ SELECT o_orderkey, e.Id AS id, e.Cant AS cantidad, CAST(e.PVP AS DOUBLE) AS prec
 FROM rows
 """)
 def openjson_with(spark, sf):
-    o, li = t(spark, sf, "orders"), t(spark, sf, "lineitem")
-    docs = JO.nest_children(o.select("o_orderkey"), li, "o_orderkey", "l_orderkey",
-                            {"Id": "l_linenumber", "Cant": F.col("l_quantity").cast("int"),
-                             "PVP": "l_extendedprice"}, "doc")
+    li = t(spark, sf, "lineitem")
+    # one document per order with lines; CROSS APPLY drops orders without
+    # lines, so the documents come straight from the per-order aggregate
+    fields = {"Id": "l_linenumber", "Cant": F.col("l_quantity").cast("int"), "PVP": "l_extendedprice"}
+    docs = JO.sorted_children(li, "l_orderkey", fields, list(fields.values()), "_arr").select(
+        F.col("_key").alias("o_orderkey"), F.to_json("_arr").alias("doc"))
     rows = JO.openjson(docs, "doc", "struct<Id:int,Cant:int,PVP:decimal(10,4)>", keep=["o_orderkey"])
     return rows.select("o_orderkey", F.col("Id").alias("id"), F.col("Cant").alias("cantidad"),
                        F.col("PVP").cast("double").alias("precio"),
