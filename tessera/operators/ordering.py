@@ -138,13 +138,29 @@ def _group_change(pdf: pd.DataFrame, gcols: list[str], prev_last) -> np.ndarray:
         same = (s == prev) | (s.isna() & prev.isna())
         chg |= ~same.to_numpy(dtype=bool)
     if n:
-        first = tuple(None if pd.isna(pdf[g].iloc[0]) else pdf[g].iloc[0] for g in gcols)
-        chg[0] = prev_last is None or first != prev_last
+        chg[0] = prev_last is None or _key_at(pdf, gcols, 0) != prev_last
     return chg
 
 
+def _norm(v):
+    """A key value in one canonical form: a nullable integer column arrives
+    as float64 in a batch that holds a NULL and as int64 in one that does
+    not, so numpy scalars become Python values and integral floats ints."""
+    if v is None:
+        return None
+    if isinstance(v, (np.ndarray, list, tuple)):  # array-valued keys
+        return tuple(_norm(x) for x in v)
+    if not isinstance(v, (str, bytes, dict)) and pd.isna(v):
+        return None
+    if isinstance(v, np.generic):
+        v = v.item()
+    if isinstance(v, float) and v.is_integer():
+        return int(v)
+    return v
+
+
 def _key_at(pdf: pd.DataFrame, gcols: list[str], i: int):
-    return tuple(None if pd.isna(pdf[g].iloc[i]) else pdf[g].iloc[i] for g in gcols)
+    return tuple(_norm(pdf[g].iloc[i]) for g in gcols)
 
 
 _FLOAT_TYPES = (T.FloatType, T.DoubleType)

@@ -362,3 +362,20 @@ def test_settings_for_input_scale():
     # 100 TB / 256 MB = 409,600 partitions, capped at 200,000 (AQE coalesces from there)
     assert big["spark.sql.shuffle.partitions"] == "200000"
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+
+
+def test_nullable_int_keys_across_batches(spark):
+    # a NULL in a batch turns its integer keys into floats in pandas; keys must still match
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        nan = float("nan")
+        df = spark.createDataFrame([(0, None, None), (1, None, None), (2, None, None), (3, 2, None), (4, 2, nan)],
+                                   "u int, g int, v double")
+        got = {r.u: r.pv for r in O.group_shift(df, ["g"], ["u"], ["v"], ["pv"], "lead", partitions=1).collect()}
+        assert str(got[3]) == "nan" and got[4] is None
+        run = {r.u: r.s for r in O.running_total(df.withColumn("w", F.lit(1.0)), ["g"], ["u"], "w", "s",
+                                                  partitions=1).collect()}
+        assert run == {0: 1.0, 1: 2.0, 2: 3.0, 3: 1.0, 4: 2.0}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
