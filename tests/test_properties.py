@@ -27,7 +27,7 @@ def same(a, b):
     return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
 @given(rows=ROWS, parts=st.integers(1, 7), batch=st.integers(1, 9))
 def test_running_total_matches_window(spark, rows, parts, batch):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
@@ -39,7 +39,7 @@ def test_running_total_matches_window(spark, rows, parts, batch):
     assert same(got.select("u", "s", "c", "_rank"), exp)
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
 @given(rows=ROWS, parts=st.integers(1, 7), batch=st.integers(1, 9), mode=st.sampled_from(["lag", "lead", "ffill"]))
 def test_group_shift_matches_window(spark, rows, parts, batch, mode):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
@@ -57,3 +57,23 @@ def test_global_row_number_is_rank_of_unique_keys(spark, keys, parts):
     df = spark.createDataFrame([(k,) for k in keys], "k int")
     got = {r.k: r.rn for r in O.global_row_number(df, ["k"], "rn", partitions=parts).collect()}
     assert got == {k: i + 1 for i, k in enumerate(sorted(keys))}
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 2)),
+                               st.one_of(st.none(), st.integers(-20, 20).map(float), st.just(float("nan")))),
+                     min_size=1, max_size=60),
+       parts=st.integers(1, 5), batch=st.integers(1, 9))
+def test_percentiles_match_builtin(spark, rows, parts, batch):
+    from tessera.operators import reshape as D
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    df = spark.createDataFrame(rows, "g int, x double")
+    got = D.percentiles(df, ["g"], "x", {"p25": 0.25, "p50": 0.5, "p90": 0.9}, partitions=parts)
+    exp = df.where(F.col("x").isNotNull()).groupBy("g").agg(
+        *[F.percentile("x", p).alias(n) for n, p in (("p25", 0.25), ("p50", 0.5), ("p90", 0.9))])
+
+    def canon(r):
+        return (r.g,) + tuple(None if v is None else ("nan" if v != v else round(v, 9)) for v in (r.p25, r.p50, r.p90))
+
+    assert sorted(map(canon, got.collect()), key=str) == sorted(map(canon, exp.collect()), key=str)
