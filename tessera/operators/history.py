@@ -25,12 +25,13 @@ def end_of_time(dtype) -> F.Column:
 
 
 def build_history(versions: DataFrame, key: str, ts: str, tie: str,
-                  valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
+                  valid_from: str = "valid_from", valid_to: str = "valid_to",
+                  partitions: int | None = None) -> DataFrame:
     """Each version is valid from its time to the next version's time;
     the last one to the end of time. Ties in time are ordered by ``tie``;
     zero-length periods are dropped."""
     dtype = versions.schema[ts].dataType
-    led = group_shift(versions, [key], [ts, tie], [ts], ["_next"], mode="lead")
+    led = group_shift(versions, [key], [ts, tie], [ts], ["_next"], mode="lead", partitions=partitions)
     out = (led.withColumn(valid_from, F.col(ts))
            .withColumn(valid_to, F.coalesce(F.col("_next"), end_of_time(dtype)))
            .drop("_next"))
@@ -62,7 +63,8 @@ def backfill(df: DataFrame, valid_from: str, source: str) -> DataFrame:
 
 
 def as_of_join(probes: DataFrame, history: DataFrame, key: str, t: str, columns: Sequence[str],
-               valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
+               valid_from: str = "valid_from", valid_to: str = "valid_to",
+               partitions: int | None = None) -> DataFrame:
     """T3 for many points: each probe row (key, t) gets the version valid at
     ``t``. Versions and probes are merged in (key, time) order - versions
     first at equal times, since ``valid_from <= t`` - and the version columns
@@ -84,7 +86,7 @@ def as_of_join(probes: DataFrame, history: DataFrame, key: str, t: str, columns:
     merged = hv.unionByName(pr)
     order = ["_t", "_kind", *[f"_p_{c}" for c in pcols]]
     filled = group_shift(merged, [key], order, ["_to", *[f"_h_{c}" for c in columns]],
-                         ["_f_to", *[f"_f_{c}" for c in columns]], mode="ffill")
+                         ["_f_to", *[f"_f_{c}" for c in columns]], mode="ffill", partitions=partitions)
     hit = F.col("_t") < F.col("_f_to")
     return filled.where(F.col("_kind") == 1).select(
         F.col(key), *[F.col(f"_p_{c}").alias(c) for c in pcols],

@@ -77,3 +77,30 @@ def test_percentiles_match_builtin(spark, rows, parts, batch):
         return (r.g,) + tuple(None if v is None else ("nan" if v != v else round(v, 9)) for v in (r.p25, r.p50, r.p90))
 
     assert sorted(map(canon, got.collect()), key=str) == sorted(map(canon, exp.collect()), key=str)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(versions=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 20)), min_size=1, max_size=40),
+       probes=st.lists(st.tuples(st.integers(0, 4), st.integers(0, 22)), min_size=1, max_size=30),
+       parts=st.integers(1, 5), batch=st.integers(1, 9))
+def test_history_and_as_of_join_match_brute_force(spark, versions, probes, parts, batch):
+    from tessera.operators import history as H
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    ts = lambda c: F.concat(F.lit("2024-01-01 00:00:"), F.lpad(F.col(c).cast("string"), 2, "0")).cast("timestamp_ntz")
+    v = spark.createDataFrame([(k, s, i) for i, (k, s) in enumerate(versions)], "k int, s int, seq int").select(
+        "k", "seq", ts("s").alias("ts"), F.format_string("v%d", "seq").alias("val"))
+    hist = H.build_history(v, "k", "ts", "seq", partitions=parts)
+    w = Window.partitionBy("k").orderBy("ts", "seq")
+    exp = (v.withColumn("valid_from", F.col("ts"))
+           .withColumn("valid_to", F.coalesce(F.lead("ts").over(w), H.end_of_time("timestamp_ntz")))
+           .where(F.col("valid_from") < F.col("valid_to")))
+    cols = ["k", "seq", "valid_from", "valid_to"]
+    assert same(hist.select(*cols), exp.select(*cols))
+    p = spark.createDataFrame([(i, k, s) for i, (k, s) in enumerate(probes)], "pid int, k int, s int").select(
+        "pid", "k", ts("s").alias("t"))
+    got = H.as_of_join(p, hist.select("k", "val", "valid_from", "valid_to"), "k", "t", ["val"], partitions=parts)
+    brute = p.join(exp.select("k", "val", "valid_from", "valid_to"),
+                   (p.k == exp.k) & (exp.valid_from <= p.t) & (p.t < exp.valid_to), "left").select(
+        p.pid, p.k, p.t, exp.val)
+    assert same(got.select("pid", "k", "t", "val"), brute)
