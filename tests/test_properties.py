@@ -104,3 +104,29 @@ def test_history_and_as_of_join_match_brute_force(spark, versions, probes, parts
                    (p.k == exp.k) & (exp.valid_from <= p.t) & (p.t < exp.valid_to), "left").select(
         p.pid, p.k, p.t, exp.val)
     assert same(got.select("pid", "k", "t", "val"), brute)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(parents=st.lists(st.one_of(st.none(), st.integers(0, 6)), min_size=1, max_size=20),
+       children=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 8)), st.integers(0, 99)), max_size=40))
+def test_left_join_many_equals_left_join(spark, parents, children):
+    from tessera.operators.relational import left_join_many
+
+    p = spark.createDataFrame([(i, k) for i, k in enumerate(parents)], "pid int, pk int")
+    c = spark.createDataFrame(children, "ck int, payload int") if children else spark.createDataFrame(
+        [], "ck int, payload int")
+    got = left_join_many(p, c, "pk", "ck").select("pid", "pk", "ck", "payload")
+    exp = p.join(c, p.pk == c.ck, "left").select("pid", "pk", "ck", "payload")
+    assert same(got, exp)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 5)), st.integers(0, 1000)), min_size=1,
+                     max_size=50, unique_by=lambda r: r[1]),
+       parts=st.integers(1, 5))
+def test_global_row_number_desc_nulls(spark, rows, parts):
+    df = spark.createDataFrame(rows, "a int, u int")
+    order = [F.col("a").desc_nulls_last(), F.col("u")]
+    got = O.global_row_number(df, order, "rn", partitions=parts).select("u", "rn")
+    exp = df.select("u", F.row_number().over(Window.orderBy(*order)).alias("rn"))
+    assert same(got, exp)
