@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
+from tessera.operators.ordering import target_partitions
 from tessera.plans.change_queries import _NET_SQL
 from tessera.plans.fixtures import TRACKED, change_log
 from tessera.plans.registry import query
@@ -23,7 +24,7 @@ def stream_current_state_q(spark, sf):
     # through (availableNow); the result is the state table it maintains
     base = os.path.join(ensure_checkpoint_dir(spark).replace("file:", ""), f"s1-{uuid.uuid4().hex}")
     log = change_log(spark, sf).select("user_id", "event_id", "op", *TRACKED)
-    log.repartitionByRange(8, "event_id").write.parquet(f"{base}/log")
+    log.repartitionByRange(target_partitions(log), "event_id").write.parquet(f"{base}/log")
     q = stream_current_state(spark, f"{base}/log", log.schema, f"{base}/state", f"{base}/ckpt",
                              "user_id", "event_id", "op", TRACKED, max_files_per_trigger=3)
     q.awaitTermination()
