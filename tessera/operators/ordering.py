@@ -279,6 +279,7 @@ def group_running(df: DataFrame, partition_by: Sequence[str], order_by: Sequence
     peers first). Returns the input columns plus ``names``."""
     gcols, vcols = list(partition_by), list(values)
     fixed, stamped, floats = _encode_for_python(_ranged(df, gcols + list(order_by), partitions))
+    gcols = _group_keys(gcols, floats)
     flags = {v: _nan_flag(v) for v in vcols if v in floats}
     n_parts = fixed.rdd.getNumPartitions()
 
@@ -548,6 +549,60 @@ def _from_micros(c: Column, dtype) -> Column:
     return F.timestamp_micros(c)
 
 
+def _group_keys(gcols: list[str], floats: list[str]) -> list[str]:
+    """Group key columns as seen by the pandas passes: a float key's NaN
+    travels as NULL plus a flag, so the flag is part of the key (NaN and
+    NULL are different groups, as in Spark)."""
+    return gcols + [_nan_flag(g) for g in gcols if g in floats]
+
+
+def _key_text(row_struct, gkeys: list[str]) -> str:
+    """The same text the pandas passes build with ``repr(_key_at(..))``."""
+    if not gkeys:
+        return repr(())
+    return repr(tuple(_norm(row_struct[g]) for g in gkeys))
+
+
+def _shift_summary(fixed: DataFrame, gkeys: list[str], cols: list[str], ext: list[str],
+                   flag_of: dict, mode: str) -> dict:
+    """Per partition, from one JVM aggregate over the checkpoint (no Python
+    pass): first and last key, the first row's values (lead), the last row's
+    values (lag) or the last present value of each column (ffill)."""
+    rid = F.col("_rid")
+    key = F.struct(*[F.col(g) for g in gkeys]) if gkeys else F.struct(F.lit(0).alias("_none"))
+    aggs = [F.min_by(key, rid).alias("_fk"), F.max_by(key, rid).alias("_lk")]
+    if mode in ("lead", "lag"):
+        pick = F.min_by if mode == "lead" else F.max_by
+        aggs.append(pick(F.struct(*[F.col(c).alias(f"c{j}") for j, c in enumerate(ext)]), rid).alias("_vals"))
+    else:
+        for j, c in enumerate(cols):
+            present = F.col(c).isNotNull()
+            jf = flag_of.get(j)
+            payload = [key.alias("k"), F.col(c).alias("v")]
+            if jf is not None:
+                present = present | F.col(ext[jf])
+                payload.append(F.col(ext[jf]).alias("f"))
+            aggs.append(F.max_by(F.struct(*payload), F.when(present, rid)).alias(f"_p{j}"))
+    info = {}
+    for r in fixed.groupBy(_pid_of(rid).alias("pid")).agg(*aggs).collect():  # one row per partition
+        first, last = _key_text(r["_fk"], gkeys), _key_text(r["_lk"], gkeys)
+        row = {"pid": r["pid"], "first_key": first, "last_key": last, "single": first == last}
+        if mode in ("lead", "lag"):
+            for j in range(len(ext)):
+                row[f"v{j}"] = r["_vals"][f"c{j}"]
+        else:
+            for j in range(len(ext)):
+                row[f"v{j}"] = None if j not in flag_of.values() else False
+            for j in range(len(cols)):
+                hit = r[f"_p{j}"]
+                if hit is not None and _key_text(hit["k"], gkeys) == last:
+                    row[f"v{j}"] = hit["v"]
+                    if j in flag_of:
+                        row[f"v{flag_of[j]}"] = bool(hit["f"])
+        info[r["pid"]] = row
+    return info
+
+
 def group_shift(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str | Column],
                 cols: Sequence[str], names: Sequence[str], mode: str = "lag",
                 partitions: int | None = None) -> DataFrame:
@@ -561,19 +616,11 @@ def group_shift(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[s
     """
     gcols, cols = list(partition_by), list(cols)
     fixed, stamped, floats = _encode_for_python(_ranged(df, [*gcols, *order_by], partitions))
+    gcols = _group_keys(gcols, floats)
     flagged = [c for c in cols if c in floats]
     ext = cols + [_nan_flag(c) for c in flagged]
     flag_of = {cols.index(c): len(cols) + k for k, c in enumerate(flagged)}
-    summary_schema = T.StructType(
-        [T.StructField("pid", T.IntegerType()), T.StructField("first_key", T.StringType()),
-         T.StructField("last_key", T.StringType()), T.StructField("single", T.BooleanType())]
-        + [T.StructField(f"v{j}", fixed.schema[c].dataType) for j, c in enumerate(ext)])
-    if mode == "lead":
-        scan = lambda carry, emit: (lambda it: _scan_ahead(it, gcols, ext, carry, emit))
-    else:
-        scan = lambda carry, emit: (lambda it: _scan_back(it, gcols, ext, flag_of, mode, carry, emit))
-    summary = fixed.mapInPandas(scan(None, False), summary_schema).collect()
-    info = {r["pid"]: r for r in summary}
+    info = _shift_summary(fixed, gcols, cols, ext, flag_of, mode)
     vals_of = lambda r: [r[f"v{j}"] for j in range(len(ext))]
 
     def unknown(vals, j):

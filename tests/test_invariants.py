@@ -379,3 +379,14 @@ def test_nullable_int_keys_across_batches(spark):
         assert run == {0: 1.0, 1: 2.0, 2: 3.0, 3: 1.0, 4: 2.0}
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_nan_and_null_group_keys_are_different_groups(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(nan, 1, 1.0), (nan, 2, 2.0), (None, 3, 3.0), (None, 4, 4.0), (1.0, 5, 5.0)],
+                               "g double, o int, v double")
+    lag = {r.o: r.pv for r in O.group_shift(df, ["g"], ["o"], ["v"], ["pv"], "lag", partitions=2).collect()}
+    assert lag == {1: None, 2: 1.0, 3: None, 4: 3.0, 5: None}
+    w = Window.partitionBy("g").orderBy("o")
+    got = O.running_total(df, ["g"], ["o"], "v", "s", partitions=2).select("o", "s")
+    assert same(got, df.select("o", F.sum("v").over(w).alias("s")))
