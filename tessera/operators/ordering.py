@@ -387,13 +387,6 @@ def _scalar(pdf: pd.DataFrame, c: str, i: int):
     return None if pd.isna(v) else v
 
 
-def _summary_row(pid, first_key, last_key, single, vals):
-    row = {"pid": pid, "first_key": repr(first_key), "last_key": repr(last_key), "single": single}
-    for j, v in enumerate(vals):
-        row[f"v{j}"] = v
-    return pd.DataFrame([row])
-
-
 def _ffill_batch(pdf, cols, flag_of, seg, chg, known, known_p):
     """Forward fill of every value column (and its NaN flag) inside one
     batch. A value counts as present when it is not NULL or is a NaN."""
@@ -435,19 +428,16 @@ def _ffill_batch(pdf, cols, flag_of, seg, chg, known, known_p):
     return outs
 
 
-def _scan_back(batches, gcols, cols, flag_of, mode, carry, emit_rows):
+def _scan_back(batches, gcols, cols, flag_of, mode, carry):
     """One sorted partition: LAG (``mode='lag'``) or forward fill ('ffill').
 
     ``cols`` lists the value columns followed by their NaN flags;
     ``flag_of`` maps a value column's index to its flag's index. ``carry``
     maps partition id to (first key text, values) from the partitions
-    before. Summary mode yields first/last key, the last row's values (lag)
-    or the last present value per column (ffill), and whether the partition
-    holds one group only.
+    before (see ``_shift_summary``).
     """
     pid = incoming = None
     prev_key = prev_vals = first_key = None
-    single = True
     known = [None] * len(cols)
     known_p = [False] * len(cols)
     for pdf in batches:
@@ -462,15 +452,9 @@ def _scan_back(batches, gcols, cols, flag_of, mode, carry, emit_rows):
                 known_p = [v is not None for v in known]
                 for j, jf in flag_of.items():
                     known_p[j] = known_p[j] or bool(known[jf])
-            chg = _group_change(pdf, gcols, prev_key)
-        else:
-            chg = _group_change(pdf, gcols, prev_key)
-            if chg[0]:
-                single = False
-        if chg[1:].any():
-            single = False
+        chg = _group_change(pdf, gcols, prev_key)
         seg = np.cumsum(chg)
-        res = pdf.copy() if emit_rows else None
+        res = pdf.copy()
         if mode == "lag":
             outs = {}
             for j, c in enumerate(cols):
@@ -481,24 +465,19 @@ def _scan_back(batches, gcols, cols, flag_of, mode, carry, emit_rows):
                 outs[j] = out.to_numpy()
         else:
             outs = _ffill_batch(pdf, cols, flag_of, seg, chg, known, known_p)
-        if emit_rows:
-            for j in range(len(cols)):
-                res[f"_sh{j}"] = pd.Series(outs[j], index=pdf.index, dtype=object)
+        for j in range(len(cols)):
+            res[f"_sh{j}"] = pd.Series(outs[j], index=pdf.index, dtype=object)
         prev_key = _key_at(pdf, gcols, len(pdf) - 1)
         prev_vals = [_scalar(pdf, c, -1) for c in cols]
-        if emit_rows:
-            yield res
-    if not emit_rows and first_key is not None:
-        yield _summary_row(pid, first_key, prev_key, single, prev_vals if mode == "lag" else known)
+        yield res
 
 
-def _scan_ahead(batches, gcols, cols, carry, emit_rows):
+def _scan_ahead(batches, gcols, cols, carry):
     """One sorted partition: LEAD. A batch is held back until the next one
     arrives so its last row can see the next batch's first row; the last
     batch takes the first row of the next partition from ``carry``."""
     pid = incoming = None
     pending = None
-    first_key = last_key = first_vals = None
 
     def finish(pdf, next_key_text, next_vals):
         chg = _group_change(pdf, gcols, None)
@@ -515,20 +494,14 @@ def _scan_ahead(batches, gcols, cols, carry, emit_rows):
     for pdf in batches:
         if pdf.empty:
             continue
-        if first_key is None:
+        if pid is None:
             pid = _batch_pid(pdf)
             incoming = carry.get(pid) if carry else None
-            first_key = _key_at(pdf, gcols, 0)
-            first_vals = [_scalar(pdf, c, 0) for c in cols]
-        last_key = _key_at(pdf, gcols, len(pdf) - 1)
-        if emit_rows:
-            if pending is not None:
-                yield finish(pending, repr(_key_at(pdf, gcols, 0)), [_scalar(pdf, c, 0) for c in cols])
-            pending = pdf
-    if emit_rows and pending is not None:
+        if pending is not None:
+            yield finish(pending, repr(_key_at(pdf, gcols, 0)), [_scalar(pdf, c, 0) for c in cols])
+        pending = pdf
+    if pending is not None:
         yield finish(pending, *(incoming if incoming is not None else (None, None)))
-    if not emit_rows and first_key is not None:
-        yield _summary_row(pid, first_key, last_key, True, first_vals)
 
 
 _EPOCH_NTZ = "1970-01-01 00:00:00"
@@ -655,9 +628,9 @@ def group_shift(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[s
         T.StructField(f"_sh{j}", fixed.schema[c].dataType) for j, c in enumerate(ext)])
     shared = df.sparkSession.sparkContext.broadcast(carry)  # one entry per partition
     if mode == "lead":
-        rows = fixed.mapInPandas(lambda it: _scan_ahead(it, gcols, ext, shared.value, True), out_schema)
+        rows = fixed.mapInPandas(lambda it: _scan_ahead(it, gcols, ext, shared.value), out_schema)
     else:
-        rows = fixed.mapInPandas(lambda it: _scan_back(it, gcols, ext, flag_of, mode, shared.value, True),
+        rows = fixed.mapInPandas(lambda it: _scan_back(it, gcols, ext, flag_of, mode, shared.value),
                                  out_schema)
     nan_flags = {c: _nan_flag(c) for c in floats}
     nan_flags.update({f"_sh{j}": f"_sh{jf}" for j, jf in flag_of.items()})
