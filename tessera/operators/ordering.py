@@ -148,9 +148,15 @@ def _norm(v):
     not, so numpy scalars become Python values and integral floats ints."""
     if v is None:
         return None
+    if hasattr(v, "asDict"):  # a struct key read back through Spark
+        v = v.asDict()
+    if isinstance(v, dict):
+        return tuple(sorted((k, _norm(x)) for k, x in v.items()))
+    if isinstance(v, (bytearray, memoryview)):
+        return bytes(v)
     if isinstance(v, (np.ndarray, list, tuple)):  # array-valued keys
         return tuple(_norm(x) for x in v)
-    if not isinstance(v, (str, bytes, dict)) and pd.isna(v):
+    if not isinstance(v, (str, bytes)) and pd.isna(v):
         return None
     if isinstance(v, np.generic):
         v = v.item()

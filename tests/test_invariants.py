@@ -390,3 +390,11 @@ def test_nan_and_null_group_keys_are_different_groups(spark):
     w = Window.partitionBy("g").orderBy("o")
     got = O.running_total(df, ["g"], ["o"], "v", "s", partitions=2).select("o", "s")
     assert same(got, df.select("o", F.sum("v").over(w).alias("s")))
+
+
+def test_struct_and_binary_group_keys(spark):
+    df = spark.createDataFrame([(1, "a", b"x", 1.0), (2, "a", b"x", 2.0), (3, "b", b"y", 3.0), (4, "b", b"y", 4.0)],
+                               "o int, s string, b binary, v double").withColumn("st", F.struct("s", "b"))
+    for keys in (["st"], ["b"]):
+        got = {r.o: r.pv for r in O.group_shift(df, keys, ["o"], ["v"], ["pv"], "lag", partitions=3).collect()}
+        assert got == {1: None, 2: 1.0, 3: None, 4: 3.0}, keys
