@@ -92,7 +92,9 @@ def json_query(col: str | Column, path: str = "$") -> Column:
     for scalars and missing paths."""
     v = F.try_variant_get(F.try_parse_json(_c(col)), path, "variant")
     kind = _kind(v)
-    return F.when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.to_json(v))
+    # the fragment's text comes from get_json_object, which keeps the
+    # members in document order (a VARIANT would sort them)
+    return F.when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.get_json_object(_c(col), path))
 
 
 def json_path_exists(array_col: Column, field: str) -> Column:

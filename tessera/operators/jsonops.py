@@ -138,10 +138,14 @@ def openjson_kv(df: DataFrame, col: str, keep: Sequence[str] = (), outer: bool =
     anything else; ``type`` uses the OPENJSON codes. ``outer`` keeps rows
     whose document is NULL or not JSON (CROSS vs OUTER APPLY)."""
     spark = df.sparkSession
-    parsed = df.select(*keep, F.try_parse_json(F.col(col)).alias("_v"))
+    # raw member text (document order kept) next to the parsed VARIANT
+    parsed = df.select(*keep, F.try_parse_json(F.col(col)).alias("_v"),
+                       F.from_json(F.col(col), "map<string,string>").alias("_rawm"),
+                       F.from_json(F.col(col), "array<string>").alias("_rawa"))
     gen = spark.tvf.variant_explode_outer if outer else spark.tvf.variant_explode
     rows = parsed.lateralJoin(gen(F.col("_v").outer())).select(
-        *keep, F.col("pos").alias("_pos"), F.col("key").alias("_key"), F.col("value").alias("_val"))
+        *keep, F.col("pos").alias("_pos"), F.col("key").alias("_key"), F.col("value").alias("_val"),
+        "_rawm", "_rawa")
     kind = F.schema_of_variant("_val")
     code = (F.when(F.col("_val").isNull(), F.lit(None))
             .when(F.is_variant_null("_val"), JSON_TYPE_CODES["null"])
@@ -150,9 +154,10 @@ def openjson_kv(df: DataFrame, col: str, keep: Sequence[str] = (), outer: bool =
             .when(kind.startswith("ARRAY"), JSON_TYPE_CODES["array"])
             .when(kind.startswith("OBJECT"), JSON_TYPE_CODES["object"])
             .otherwise(JSON_TYPE_CODES["number"]))
+    raw = F.coalesce(F.element_at("_rawm", F.col("_key")), F.element_at("_rawa", F.col("_pos") + 1))
     value = (F.when(F.is_variant_null("_val"), F.lit(None).cast("string"))
              .when(kind == "STRING", F.variant_get("_val", "$", "string"))
-             .otherwise(F.to_json("_val")))
+             .otherwise(F.coalesce(raw, F.to_json("_val"))))
     return rows.select(*keep, F.coalesce(F.col("_key"), F.col("_pos").cast("string")).alias("key"),
                        value.alias("value"), code.cast("int").alias("type"))
 

@@ -150,3 +150,20 @@ def test_money_es(spark):
     assert [r[0] for r in df.select(H.money_es("x")).collect()] == ["1.234.567,50 €", "12,00 €", "-1.234,50 €"]
     half = spark.createDataFrame([("0.125",), ("2.675",)], "x string").select(F.col("x").cast("decimal(10,3)").alias("x"))
     assert [r[0] for r in half.select(H.money_es("x")).collect()] == ["0,13 €", "2,68 €"]
+
+
+def test_json_query_keeps_member_order(spark):
+    df = spark.createDataFrame([('{"z": {"b": 1, "a": [2, {"y": 3, "x": 4}]}}',)], "d string")
+    r = df.select(J.json_query("d", "$.z"), J.json_query("d", "$.z.a"), J.json_query("d", "$.z.b")).first()
+    assert r[0] == '{"b":1,"a":[2,{"y":3,"x":4}]}' and r[1] == '[2,{"y":3,"x":4}]' and r[2] is None
+
+
+def test_openjson_kv_raw_values_in_document_order(spark):
+    doc = '{"z": {"b": 1, "a": 2}, "s": "x", "n": null, "t": true, "arr": [{"y": 1, "x": 2}], "num": 1.50}'
+    df = spark.createDataFrame([(1, doc)], "id int, d string")
+    got = {r.key: (r.value, r.type) for r in JO.openjson_kv(df, "d", keep=["id"]).collect()}
+    assert got == {"z": ('{"b":1,"a":2}', 5), "s": ("x", 1), "n": (None, 0), "t": ("true", 3),
+                   "arr": ('[{"y":1,"x":2}]', 4), "num": ("1.5", 2)}  # numbers in the parser's normal form
+    arr = spark.createDataFrame([(1, '[{"b": 1, "a": 2}, 7]')], "id int, d string")
+    assert sorted((r.key, r.value, r.type) for r in JO.openjson_kv(arr, "d", keep=["id"]).collect()) == [
+        ("0", '{"b":1,"a":2}', 5), ("1", "7", 2)]
