@@ -130,3 +130,41 @@ def test_global_row_number_desc_nulls(spark, rows, parts):
     got = O.global_row_number(df, order, "rn", partitions=parts).select("u", "rn")
     exp = df.select("u", F.row_number().over(Window.orderBy(*order)).alias("rn"))
     assert same(got, exp)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(log=st.lists(st.tuples(st.integers(0, 4), st.sampled_from(["I", "U", "D"]), st.integers(0, 3)),
+                    min_size=1, max_size=40),
+       since=st.integers(-1, 40))
+def test_change_collapse_matches_python(spark, log, since):
+    from tessera.operators import changes as C
+
+    rows = [(k, v, op, val) for v, (k, op, val) in enumerate(log)]
+    df = spark.createDataFrame(rows, "k int, v long, op string, val int")
+    got = {r.k: (r.CT_Operation, r.CT_Version, r.CT_Columns)
+           for r in C.changes_since(df, "k", "v", "op", ["val"], since).collect()}
+    exp = {}
+    for k in {r[0] for r in rows}:
+        mine = sorted((r for r in rows if r[0] == k), key=lambda r: r[1])
+        after = [r for r in mine if r[1] > since]
+        if not after:
+            continue
+        before = [r for r in mine if r[1] <= since]
+        first, last = after[0][2], after[-1][2]
+        op = "D" if last == "D" else ("I" if first == "I" else "U")
+        mask = None
+        if op == "U":
+            prev = before[-1][3] if before else None
+            mask = 0 if prev == after[-1][3] else 1
+        exp[k] = (op, after[-1][1], mask)
+    assert got == exp
+    net = {r.k: (r.operation, r.commit_id, r.val)
+           for r in C.net_changes(df, "k", "v", "op", ["val"], since + 1, 10 ** 6).collect()}
+    exp_net = {}
+    for k, (op, ver, _m) in exp.items():
+        mine = sorted((r for r in rows if r[0] == k and r[1] > since), key=lambda r: r[1])
+        if mine[0][2] == "I" and mine[-1][2] == "D":
+            continue
+        code = C.CDC_DELETE if mine[-1][2] == "D" else (C.CDC_INSERT if mine[0][2] == "I" else C.CDC_AFTER)
+        exp_net[k] = (code, ver, mine[-1][3])
+    assert net == exp_net
