@@ -168,3 +168,43 @@ def test_change_collapse_matches_python(spark, log, since):
         code = C.CDC_DELETE if mine[-1][2] == "D" else (C.CDC_INSERT if mine[0][2] == "I" else C.CDC_AFTER)
         exp_net[k] = (code, ver, mine[-1][3])
     assert net == exp_net
+
+
+VAL = st.one_of(st.none(), st.integers(0, 2))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(before=st.dictionaries(st.integers(0, 15), st.tuples(VAL, VAL), max_size=12),
+       after=st.dictionaries(st.integers(0, 15), st.tuples(VAL, VAL), max_size=12))
+def test_snapshot_diff_matches_python(spark, before, after):
+    from tessera.operators import changes as C
+
+    schema = "k int, a int, b int"
+    mk = lambda d: spark.createDataFrame([(k, a, b) for k, (a, b) in d.items()], schema)
+    got = {r.k: (r.operation, r.mask) for r in C.snapshot_diff(mk(before), mk(after), "k", ["a", "b"]).collect()}
+    exp = {}
+    for k in set(before) | set(after):
+        if k not in before:
+            exp[k] = ("I", None)
+        elif k not in after:
+            exp[k] = ("D", None)
+        else:
+            m = sum(1 << i for i in range(2) if before[k][i] != after[k][i])
+            if m:
+                exp[k] = ("U", m)
+    assert got == exp
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(VAL, VAL, VAL), min_size=1, max_size=20))
+def test_three_way_merge_matches_python(spark, rows):
+    from tessera.operators import edits as K
+
+    orig = spark.createDataFrame([(i, o) for i, (o, _m, _s) in enumerate(rows)], "k int, x int")
+    mine = spark.createDataFrame([(i, m) for i, (_o, m, _s) in enumerate(rows)], "k int, x int")
+    stored = spark.createDataFrame([(i, s) for i, (_o, _m, s) in enumerate(rows)], "k int, x int")
+    merged, conflicts = K.three_way_merge(orig, mine, stored, "k", ["x"])
+    got = {r.k: r.x for r in merged.collect()}
+    exp = {i: (s if (s != o and m == o) else m) for i, (o, m, s) in enumerate(rows)}
+    assert got == exp
+    assert {r.k for r in conflicts.collect()} == {i for i, (o, m, s) in enumerate(rows) if m != o and s != o and m != s}
