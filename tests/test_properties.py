@@ -208,3 +208,17 @@ def test_three_way_merge_matches_python(spark, rows):
     exp = {i: (s if (s != o and m == o) else m) for i, (o, m, s) in enumerate(rows)}
     assert got == exp
     assert {r.k for r in conflicts.collect()} == {i for i, (o, m, s) in enumerate(rows) if m != o and s != o and m != s}
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)),
+                               st.one_of(st.none(), st.sampled_from(["a", "b", "c", "Silver", "red"]))),
+                     min_size=1, max_size=40))
+def test_string_agg_matches_listagg(spark, rows):
+    from tessera.operators import reshape as D
+
+    df = spark.createDataFrame(rows, "g int, v string")
+    got = {r.g: r.s for r in D.string_agg(df, ["g"], "v", ", ", "s").collect()}
+    exp = {r.g: r.s for r in df.where(F.col("v").isNotNull()).groupBy("g").agg(
+        F.expr("listagg(v, ', ') WITHIN GROUP (ORDER BY v)").alias("s")).collect()}
+    assert got == exp
