@@ -111,9 +111,12 @@ def openjson_count(df: DataFrame, key: str, col: str, path: str = "$",
                    name: str = "n") -> DataFrame:
     """JS9: ``OUTER APPLY OPENJSON(doc, path)`` then ``COUNT(1)`` per key: an
     absent or empty array still counts 1 (the outer row)."""
-    v = F.try_variant_get(F.try_parse_json(F.col(col)), path, "array<variant>")
-    return df.select(key, F.explode_outer(v).alias("_x")).groupBy(key).agg(
-        F.count(F.lit(1)).alias(name))
+    spark = df.sparkSession
+    at = df.select(key, F.try_variant_get(F.try_parse_json(F.col(col)), path, "variant").alias("_v"))
+    # arrays give one row per element, objects one per member; anything else
+    # (missing, scalar, not JSON) keeps the outer row
+    rows = at.lateralJoin(spark.tvf.variant_explode_outer(F.col("_v").outer()))
+    return rows.groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
 
 def materialise_json(df: DataFrame, col: str, paths: Mapping[str, str]) -> DataFrame:

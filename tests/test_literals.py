@@ -167,3 +167,10 @@ def test_openjson_kv_raw_values_in_document_order(spark):
     arr = spark.createDataFrame([(1, '[{"b": 1, "a": 2}, 7]')], "id int, d string")
     assert sorted((r.key, r.value, r.type) for r in JO.openjson_kv(arr, "d", keep=["id"]).collect()) == [
         ("0", '{"b":1,"a":2}', 5), ("1", "7", 2)]
+
+
+def test_openjson_count_arrays_objects_and_missing(spark):
+    df = spark.createDataFrame([(1, '{"Addresses": [{"a": 1}, {"a": 2}]}'), (2, '{"Addresses": {"x": 1, "y": 2, "z": 3}}'),
+                                (3, '{"Other": 1}'), (4, None), (5, '{"Addresses": []}')], "id int, d string")
+    got = {r.id: r.n for r in JO.openjson_count(df, "id", "d", "$.Addresses").collect()}
+    assert got == {1: 2, 2: 3, 3: 1, 4: 1, 5: 1}
