@@ -174,3 +174,10 @@ def test_openjson_count_arrays_objects_and_missing(spark):
                                 (3, '{"Other": 1}'), (4, None), (5, '{"Addresses": []}')], "id int, d string")
     got = {r.id: r.n for r in JO.openjson_count(df, "id", "d", "$.Addresses").collect()}
     assert got == {1: 2, 2: 3, 3: 1, 4: 1, 5: 1}
+
+
+def test_openjson_with_on_object_and_invalid_text(spark):
+    df = spark.createDataFrame([(1, '{"Id": 7, "Cant": 2}'), (2, '[{"Id": 1, "Cant": 3}]'), (3, "nope")],
+                               "k int, d string")
+    got = [(r.k, r.Id, r.Cant) for r in JO.openjson(df, "d", "struct<Id:int,Cant:int>", keep=["k"]).orderBy("k").collect()]
+    assert got == [(1, 7, 2), (2, 1, 3)]  # a single object is one row; text that is not JSON gives none
