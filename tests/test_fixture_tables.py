@@ -226,3 +226,22 @@ def test_percentiles_null_group_and_global(spark):
     by_group = {r.g: r.p50 for r in D.percentiles(df, ["g"], "x", {"p50": 0.5}).collect()}
     assert by_group == {None: 2.0, "a": 5.0}
     assert D.percentiles(df, [], "x", {"p50": 0.5}).first().p50 == 3.0
+
+
+def test_search_switches_forms_synonyms_language(spark):
+    import math
+
+    from tessera.operators import search as M2
+
+    docs = spark.createDataFrame([
+        (1, "Aluminium frames and aluminiums", "en"), (2, "steel frame", "en"),
+        (3, "a light alloy frame", "en"), (4, "aluminium en español", "es")], "id int, text string, lang string")
+    assert sorted(r.id for r in M2.free_text(docs, "id", "text", "aluminium").collect()) == [1, 4]
+    assert sorted(r.id for r in M2.free_text(docs, "id", "text", "frame", forms=False).collect()) == [2, 3]
+    assert sorted(r.id for r in M2.free_text(docs, "id", "text", "frame").collect()) == [1, 2, 3]
+    got = {r.id: r.score for r in M2.ranked_search(docs, "id", "text", "aluminium", True, {"aluminium": ["alloy"]},
+                                                   "en").collect()}
+    n = 3  # English documents
+    idf_al, idf_alloy = math.log(n / 1), math.log(n / 1)
+    assert set(got) == {1, 3}
+    assert abs(got[1] - 2 * idf_al) < 1e-9 and abs(got[3] - 1 * idf_alloy) < 1e-9
