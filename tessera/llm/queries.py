@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, decontam, langid, lines, materialise, mixing, quality, toxicity
+from tessera.llm import chat, decontam, langid, lines, materialise, mixing, ngram_join, quality, toxicity
 from tessera.llm.common import fold, prepare, table
 
 QUERIES: dict = {}
@@ -83,6 +83,24 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
 
 
+@register("op3_ngram_join", r"""
+WITH RECURSIVE d AS (SELECT doc_id, row_number() OVER () AS rid,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, rid, array_to_string(w[i:i + 3], ' ') AS g
+  FROM (SELECT doc_id, rid, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, rid, count(*) AS n FROM s GROUP BY ALL),
+i AS (SELECT a.rid AS x, b.rid AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.rid < b.rid GROUP BY ALL),
+l AS (SELECT x, y FROM i JOIN n p ON p.rid = x JOIN n q ON q.rid = y WHERE 100 * k >= 85 * (p.n + q.n - k)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT rid AS a, rid AS b FROM d UNION SELECT r.a, e.y FROM r JOIN e ON r.b = e.x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(d2.doc_id) FROM r JOIN d d2 ON d2.rid = r.b WHERE r.a = d.rid) AS component_id
+FROM d LEFT JOIN n ON n.rid = d.rid
+""")
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents by 4-word shingles and similarity 0.85."""
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
 @register("op4_line_dedup", r"""
 WITH b AS (
   SELECT page_id, lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host,
