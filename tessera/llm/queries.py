@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, decontam, langid, lines, materialise, mixing, ngram_join, quality, toxicity
+from tessera.llm import chat, decontam, langid, lines, materialise, mixing, ngram_join, quality, toxicity, vector_graph
 from tessera.llm.common import fold, prepare, table
 
 QUERIES: dict = {}
@@ -132,6 +132,12 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@register("op6_embedding_near_dedup")
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, components and kept rows of all embeddings at cosine 0.95."""
+    return vector_graph.near_duplicates(table(spark, sf_dir, "embeddings"), min_cosine=0.95)
+
+
 @register("op7_token_shards")
 def op7_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every sequence of all documents, read back from the shards it was written to."""
