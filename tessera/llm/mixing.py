@@ -9,7 +9,7 @@ of the row, and the sample of fixed size is the head of that order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import SPACE_WORD, prepare, stored, unit_hash
@@ -18,7 +18,7 @@ from tessera.llm.common import SPACE_WORD, prepare, stored, unit_hash
 DEFAULT_WEIGHTS = (5, 2, 1)
 
 
-def word_count(text: str | F.Column) -> F.Column:
+def word_count(text: str | Column) -> Column:
     """Runs of non-white-space; null text has none."""
     col = F.col(text) if isinstance(text, str) else text
     return F.coalesce(F.regexp_count(col, F.lit(SPACE_WORD)), F.lit(0)).cast("long")
@@ -188,3 +188,25 @@ def _factors(rows: DataFrame, targets: DataFrame, max_repeat: int) -> DataFrame:
         if not agg.where("moved").limit(1).count():
             break
     return cur
+
+
+def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The rows of the mix itself: every row of ``docs``, all columns, as often as ``mix`` takes it.
+
+    Rows equal in id, source and text share their copies. Documents of size 0
+    are not taken.
+    """
+    prepare(docs.sparkSession)
+    tag = docs.select(F.col(id_col), F.col(text_col), F.col(source_col)).withColumn("__k", _row_key(id_col, text_col, source_col))
+    taken = mix(tag, id_col, text_col, source_col, keep=("__k",), **options)
+    per, _ = stored(taken.groupBy("__k").agg(F.sum("copies").alias("__copies"), F.count("*").alias("__rows")).where("__copies > 0"), "mix-copies")
+    keyed = docs.withColumn("__k", _row_key(id_col, text_col, source_col))
+    out = keyed.join(per.where("__rows = 1"), "__k")
+    if per.where("__rows > 1").limit(1).count():
+        out = out.unionByName(keyed.join(per.where("__rows > 1"), "__k").dropDuplicates(["__k"]))
+    return out.withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*docs.columns)
+
+
+def _row_key(id_col: str, text_col: str, source_col: str) -> Column:
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in (id_col, source_col, text_col)]
+    return F.md5(F.concat_ws("\x01", *parts).cast("binary"))
