@@ -16,8 +16,10 @@ from __future__ import annotations
 
 import hashlib
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,11 @@ from tessera.llm.tokenizer import DEFAULT_PATH, encoder, id_dtype
 #: doc_id, seq_no, n_tokens, flags
 _HEAD = "<qIHH"
 _HEAD_SIZE = struct.calcsize(_HEAD)
-_M64 = (1 << 64) - 1
+
+
+def _record_type(seq_len: int, ids: np.dtype) -> np.dtype:
+    """A shard as an array of records."""
+    return np.dtype([("doc", "<i8"), ("seq", "<u4"), ("n", "<u2"), ("flags", "<u2"), ("ids", ids, (seq_len,))])
 
 
 def _round_keys(key: str, rounds: int = 6) -> list[int]:
@@ -120,18 +126,22 @@ def materialise(docs: DataFrame, out_path: str, id_col: str = "doc_id", text_col
     def cut(batches):
         enc, part = encoder(tokenizer_path), TaskContext.get().partitionId()
         at, expected = offsets.get(part, 0), counts.get(part, 0)
-        done = 0
+        done, width, full = 0, dtype.itemsize, seq_len * dtype.itemsize
+        padding = np.full(seq_len, pad_id, dtype=dtype).tobytes()
+        code = "H" if width == 2 else "I"
         for b in batches:
             records: list[bytes] = []
             for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
                 if not t:
                     continue
-                ids = np.asarray(enc.encode(t), dtype=dtype)
-                for s in range(0, len(ids), seq_len):
-                    piece = ids[s:s + seq_len]
-                    full = np.full(seq_len, pad_id, dtype=dtype)
-                    full[:len(piece)] = piece
-                    records.append(struct.pack(_HEAD, d or 0, s // seq_len, len(piece), int(d is None)) + full.tobytes())
+                ids = array(code, enc.encode(t))
+                if sys.byteorder == "big":
+                    ids.byteswap()
+                raw, null = ids.tobytes(), int(d is None)
+                for k, lo in enumerate(range(0, len(raw), full)):
+                    piece = raw[lo:lo + full]
+                    head = struct.pack(_HEAD, d or 0, k, len(piece) // width, null)
+                    records.append(head + piece if len(piece) == full else head + piece + padding[len(piece):])
             slots = permute(np.arange(at + done, at + done + len(records)), total, key)
             done += len(records)
             for i in range(0, len(records), 8192):
@@ -158,23 +168,28 @@ def materialise(docs: DataFrame, out_path: str, id_col: str = "doc_id", text_col
                 names=["shard", "path", "first_slot", "n_slots", "n_tokens", "bytes", "sha256"])
 
         for b in batches:
-            for sh, slot, rec in zip(b.column("shard").to_pylist(), b.column("slot").to_pylist(), b.column("record").to_pylist()):
-                if sh != shard:
+            shards, slots = b.column("shard").to_numpy(), b.column("slot").to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(shards)]
+            for lo, hi in zip(edges, edges[1:]):
+                if lo == hi:
+                    continue
+                if shards[lo] != shard:
                     if out is not None:
                         yield close()
                     if store is None:
                         store, base_dir = fs.FileSystem.from_uri(out_path)
                         store.create_dir(base_dir, recursive=True)
-                    shard, first, n, tokens, digest = sh, slot, 0, 0, hashlib.sha256()
-                    name = f"shard-{sh:08d}.bin"
+                    shard, first, n, tokens, digest = int(shards[lo]), int(slots[lo]), 0, 0, hashlib.sha256()
+                    name = f"shard-{shard:08d}.bin"
                     tmp = f".{name}.{uuid.uuid4().hex}"
                     out = store.open_output_stream(f"{base_dir}/{tmp}")
-                if slot != first + n:
-                    raise RuntimeError(f"slot {slot} where {first + n} was due")
-                out.write(rec)
-                digest.update(rec)
-                n += 1
-                tokens += struct.unpack_from(_HEAD, rec)[2]
+                if (slots[lo:hi] != np.arange(first + n, first + n + hi - lo)).any():
+                    raise RuntimeError(f"the slots from {first + n} on are not all there")
+                blob = b"".join(b.column("record").slice(lo, hi - lo).to_pylist())
+                out.write(blob)
+                digest.update(blob)
+                n += hi - lo
+                tokens += int(np.frombuffer(blob, _record_type(seq_len, dtype))["n"].sum())
         if out is not None:
             yield close()
 
@@ -195,16 +210,14 @@ def read_shards(spark: SparkSession, out_path: str, seq_len: int = 256, slots_pe
             for path, blob in zip(b.column("path").to_pylist(), b.column("content")):
                 shard = int(path.rsplit("shard-", 1)[1].split(".")[0])
                 view = memoryview(blob.as_buffer())
-                rows = []
-                for i in range(len(view) // stride):
-                    d, seq, n, flags = struct.unpack_from(_HEAD, view, i * stride)
-                    at = i * stride + _HEAD_SIZE
-                    rows.append((shard * slots_per_shard + i, shard, None if flags & 1 else d, seq, n,
-                                 zlib.crc32(view[at:at + n * dtype.itemsize])))
-                cols = list(zip(*rows)) if rows else [[] for _ in range(6)]
+                rec = np.frombuffer(view, _record_type(seq_len, dtype))
+                first, n = shard * slots_per_shard, rec["n"].astype(np.int64)
+                at = np.arange(len(rec)) * stride + _HEAD_SIZE
+                crc = [zlib.crc32(view[i:j]) for i, j in zip(at.tolist(), (at + n * dtype.itemsize).tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(cols, [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()])],
-                    names=["slot", "shard", "doc_id", "seq_no", "n_tokens", "ids_crc32"])
+                    [pa.array(np.arange(first, first + len(rec))), pa.array(np.full(len(rec), shard, np.int32)),
+                     pa.array(rec["doc"].copy(), pa.int64(), mask=(rec["flags"] & 1).astype(bool)), pa.array(rec["seq"].astype(np.int64)),
+                     pa.array(n), pa.array(crc, pa.int64())], names=["slot", "shard", "doc_id", "seq_no", "n_tokens", "ids_crc32"])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "shard-*.bin").load(out_path).select("path", "content")
     return files.mapInArrow(parse, "slot long, shard int, doc_id long, seq_no long, n_tokens long, ids_crc32 long").where(
