@@ -10,64 +10,100 @@ prefix shingles are scanned instead. The boundary is the size at which the
 counted costs of both ways add up to the least. All lists are over distinct
 sets, so exact copies are one entry.
 
-Lists are not expanded into all pairs. Each list first compares its members
-with one leader (two rounds, two leaders); what links is one component, and
-only pairs of different components that the size and bit-signature bounds
-leave open are compared after that. Every link between different sets is thus
+Only short lists are expanded into all pairs. In longer ones the members are
+first compared with a few leaders; what links is one component, and only pairs
+of different components that the size and bit-signature bounds leave open are
+compared after that. Every link between different sets is thus
 either verified or already inside a component.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import connected_components, discard, prepare, stored
 
 _K = np.uint64(0x9E3779B97F4A7C15)
-_MIX = np.uint64(0xBF58476D1CE4E5B9)
-#: counters of the shingle frequency table: 4 MB as broadcast, whatever the input
-TABLE_BITS = 22
-#: bits of the table that says which sets may be needed again: 2 MB
+#: lists up to this length are expanded into all pairs at once
+SHORT = 4
+#: turns in which the longer lists meet six more leaders each
+LEADER_TURNS = 2
+#: bits of the tables that say which sets may be needed again (2 MB) and which shingles are shared (8 MB)
 NEED_BITS = 24
+SHARED_BITS = 26
 SIGNATURE = 8  # longs, 512 bits
 
 
-class _WordHash(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
+_P = 0x9E3779B97F4A7C15
+_P_INVERSE = pow(_P, -1, 1 << 64)
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: bytes of text that are hashed at a time
+BUFFER = 1 << 20
 
 
-_WORDS = _WordHash()
+@lru_cache(maxsize=2)
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, np.uint64(base))
+    out[0] = 1
+    return np.multiply.accumulate(out)
 
 
-def shingle_set(text: bytes | None, width: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the text's shingles, as uint64.
+def _mix(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def _word_hashes(buf: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Start and 64-bit hash of every word of the buffer (polynomials from prefix sums, then mixed)."""
+    raw = np.frombuffer(buf, dtype=np.uint8)
+    n = len(raw)
+    size = BUFFER * 2 if n < BUFFER * 2 else n + 1
+    edge = np.flatnonzero(np.diff(np.concatenate([[True], _SPACE[raw], [True]])))
+    start, end = edge[::2], edge[1::2]
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _powers(_P, size)[:n], out=sums[1:])
+    return start, _mix((sums[end] - sums[start]) * _powers(_P_INVERSE, size)[start])
+
+
+def _fold(h: np.ndarray, size: int) -> np.ndarray:
+    code = np.full(len(h) - size + 1, np.uint64(size))
+    for k in range(size):
+        code = _mix(code * _K + h[k:len(h) - size + 1 + k])
+    return code
+
+
+def shingle_sets(texts: list[bytes | None], width: int) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of each text's shingles, as uint64.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; a text with fewer
     than ``width`` words, but not none, has one shingle of all its words.
     """
-    words = text.lower().split() if text else []
-    if not words:
-        return np.empty(0, np.uint64)
-    h = np.array(list(map(_WORDS.__getitem__, words)), dtype=np.uint64)
-    size = min(width, len(words))
+    out: list[np.ndarray] = []
+    lo = 0
     with np.errstate(over="ignore"):
-        code = np.full(len(words) - size + 1, np.uint64(size))
-        for k in range(size):
-            code = code * _K + h[k:len(words) - size + 1 + k]
-            code ^= code >> np.uint64(29)
-        code *= _MIX
-        code ^= code >> np.uint64(32)
-    return np.unique(code)
+        while lo < len(texts):
+            hi, total = lo, 0
+            while hi < len(texts) and (hi == lo or total + len(texts[hi] or b"") < BUFFER):
+                total += len(texts[hi] or b"") + 1
+                hi += 1
+            sizes = np.array([len(t or b"") + 1 for t in texts[lo:hi]])
+            start, h = _word_hashes(b" ".join(t or b"" for t in texts[lo:hi]).lower())
+            first = np.searchsorted(start, np.concatenate([[0], np.cumsum(sizes)]))
+            codes = _fold(h, width) if len(h) >= width else None
+            for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
+                n = b - a
+                out.append(np.unique(codes[a:b - width + 1]) if n >= width else _fold(h[a:b], n) if n else np.empty(0, np.uint64))
+            lo = hi
+    return out
 
 
 def set_id(s: np.ndarray) -> int:
@@ -87,50 +123,58 @@ def _text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
 
 
-def _frequency_levels(rows: DataFrame, width: int) -> np.ndarray:
+def _table_bits(rows: DataFrame) -> int:
+    """Size of the frequency table: about one counter for every 24 bytes of text, 64 MB at most."""
+    size = rows.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    return min(26, max(18, (size // 24).bit_length()))
+
+
+def _frequency_levels(rows: DataFrame, width: int, bits: int) -> np.ndarray:
     """Quarter-octave level of how many documents' shingles fall on each counter, over all rows.
 
-    Tasks count into a fixed table and send it in pieces; pieces are added up by
-    piece number as they stream by. The order made of it only decides speed.
+    Tasks count into a table (up to 255) and send it in compressed pieces;
+    pieces are added up by number as they stream by. The order of shingles made
+    of it decides speed only, never results.
     """
-    pieces, each = 1024, (1 << TABLE_BITS) // 1024
+    each = 1 << 14
+    pieces = (1 << bits) // each
 
     def count(batches):
-        total, held, n = np.zeros(1 << TABLE_BITS, np.uint32), [], 0
+        total, held, n = np.zeros(1 << bits, np.uint8), [], 0
 
         def flush():
             if held:
-                np.add(total, np.bincount(np.concatenate(held), minlength=1 << TABLE_BITS).astype(np.uint32), out=total)
+                at, c = np.unique(np.concatenate(held), return_counts=True)
+                total[at] = np.minimum(total[at] + c, 255)
                 held.clear()
 
         for b in batches:
-            for t in b.column("text").to_pylist():
-                s = (shingle_set(t, width) >> np.uint64(64 - TABLE_BITS)).astype(np.int32)
-                held.append(s)
-                n += len(s)
-                if n > 1 << 22:
+            for t in shingle_sets(b.column("text").to_pylist(), width):
+                held.append((t >> np.uint64(64 - bits)).astype(np.int32))
+                n += len(t)
+                if n > 1 << 21:
                     flush()
                     n = 0
         flush()
-        if total.any():
-            for k in range(0, pieces, 64):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(range(k, k + 64), pa.int32()), pa.array([total[i * each:(i + 1) * each].tobytes() for i in range(k, k + 64)], pa.binary())],
-                    names=["piece", "counts"])
+        for k in range(0, pieces, 64):
+            hit = [i for i in range(k, min(k + 64, pieces)) if total[i * each:(i + 1) * each].any()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hit, pa.int32()), pa.array([zlib.compress(total[i * each:(i + 1) * each].tobytes(), 1) for i in hit], pa.binary())],
+                names=["piece", "counts"])
 
     def add(batches):
         sums: dict[int, np.ndarray] = {}
         for b in batches:
             for k, c in zip(b.column("piece").to_pylist(), b.column("counts").to_pylist()):
-                c = np.frombuffer(c, np.uint32)
+                c = np.frombuffer(zlib.decompress(c), np.uint8)
                 sums[k] = sums[k] + c if k in sums else c.astype(np.int64)
         keys = sorted(sums)
         level = [np.minimum(4 * np.log2(1.0 + sums[k]), 255).astype(np.uint8).tobytes() for k in keys]
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(level, pa.binary())], names=["piece", "level"])
 
-    out = np.zeros(1 << TABLE_BITS, np.uint8)
+    out = np.zeros(1 << bits, np.uint8)
     parts = rows.select("text").mapInArrow(count, "piece int, counts binary").repartition("piece").mapInArrow(add, "piece int, level binary")
-    for r in parts.collect():
+    for r in parts.toLocalIterator():
         out[r["piece"] * each:(r["piece"] + 1) * each] = np.frombuffer(r["level"], np.uint8)
     return out
 
@@ -144,7 +188,7 @@ def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def _profiles(spark: SparkSession, rows: DataFrame, levels: np.ndarray, width: int, percent: int) -> DataFrame:
+def _profiles(spark: SparkSession, rows: DataFrame, levels: np.ndarray, bits: int, width: int, percent: int) -> DataFrame:
     """``doc_id, n, sid, tokens, s0..s7``: size, fingerprint, prefix and one more shingle, signature."""
     table = spark.sparkContext.broadcast(levels)
     floor = least_size(percent)
@@ -153,15 +197,14 @@ def _profiles(spark: SparkSession, rows: DataFrame, levels: np.ndarray, width: i
         lv = table.value
         for b in batches:
             n, sid, tokens, sig = [], [], [], []
-            for t in b.column("text").to_pylist():
-                s = shingle_set(t, width)
+            for s in shingle_sets(b.column("text").to_pylist(), width):
                 n.append(len(s))
                 sid.append(set_id(s) if len(s) else None)
                 if len(s) < floor:
                     tokens.append(None)
                     sig.append([0] * SIGNATURE)
                     continue
-                first = np.lexsort((s, lv[(s >> np.uint64(64 - TABLE_BITS)).astype(np.int64)]))[:prefix_size(len(s), percent) + 1]
+                first = np.lexsort((s, lv[(s >> np.uint64(64 - bits)).astype(np.int64)]))[:prefix_size(len(s), percent) + 1]
                 tokens.append(s[first].view(np.int64))
                 sig.append(signature(s))
             cols = [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(sid, pa.int64()), pa.array(tokens, pa.list_(pa.int64()))]
@@ -172,12 +215,14 @@ def _profiles(spark: SparkSession, rows: DataFrame, levels: np.ndarray, width: i
     return rows.mapInArrow(profile, f"doc_id {kind}, n long, sid long, tokens array<long>, " + ", ".join(f"s{k} long" for k in range(SIGNATURE)))
 
 
-def _may_link(percent: int, a: str, b: str) -> Column:
-    """Sizes and signatures of ``a`` and ``b`` (struct columns) leave a link possible."""
-    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    differ = sum((F.bit_count(F.col(f"{a}.s{k}").bitwiseXOR(F.col(f"{b}.s{k}"))) for k in range(SIGNATURE)), F.lit(0))
-    return ((100 * F.least(na, nb) >= percent * F.greatest(na, nb))
-            & ((100 + percent) * differ <= (100 - percent) * (na + nb)))
+def _size_ok(percent: int, a: str, b: str) -> Column:
+    return 100 * F.least(F.col(a), F.col(b)) >= percent * F.greatest(F.col(a), F.col(b))
+
+
+def _signature_ok(percent: int, x: str, nx: str, y: str, ny: str) -> Column:
+    """Signatures ``x`` and ``y`` (arrays of longs) leave a link possible for sets of these sizes."""
+    differ = sum((F.bit_count(F.col(x)[k].bitwiseXOR(F.col(y)[k])) for k in range(SIGNATURE)), F.lit(0))
+    return (100 + percent) * differ <= (100 - percent) * (F.col(nx) + F.col(ny))
 
 
 def _boundary(active: DataFrame, percent: int) -> tuple[int, Column]:
@@ -196,43 +241,61 @@ def _boundary(active: DataFrame, percent: int) -> tuple[int, Column]:
     return at, size_class
 
 
-def _lists(profiles: DataFrame, percent: int) -> DataFrame:
-    """``(key, x)`` entries of all lists with two sets or more; ``x`` is a set's id, size and signature."""
-    sig = [f"s{k}" for k in range(SIGNATURE)]
-    sets = profiles.where("tokens IS NOT NULL").groupBy("sid").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
-    post = sets.select("sid", "n", F.size("tokens").alias("size"), F.posexplode("tokens").alias("pos", "token")).select(
-        "sid", "n", "token", (F.col("pos") == F.col("size") - 1).alias("extra"))
-    shared = post.groupBy("token").agg(F.count("*").alias("len")).where("len > 1")
-    active, _ = stored(post.join(shared, "token"), "join-active")
+def _shared_prefixes(spark: SparkSession, profiles: DataFrame) -> DataFrame:
+    """``(sid, n, token, extra, len)``: prefix entries of shingles that two or more sets have, and how many have them."""
+    tokens = profiles.where("tokens IS NOT NULL").select("sid", F.explode("tokens").alias("token"))
+    shared = tokens.groupBy("token").agg(F.min("sid").alias("a"), F.max("sid").alias("b")).where("a <> b").select("token")
+    shared, path = stored(shared, "join-shared")
+    table = spark.sparkContext.broadcast(_bit_table(shared, SHARED_BITS))
+
+    def select(batches):
+        packed = table.value
+        for b in batches:
+            lists = b.column("tokens")
+            sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
+            keep = _marked(packed, _slot(flat, SHARED_BITS))
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            extra = np.zeros(len(flat), bool)
+            extra[np.cumsum(sizes) - 1] = True
+            at = pa.array(row[keep])
+            yield pa.RecordBatch.from_arrays([b.column("sid").take(at), b.column("n").take(at), pa.array(flat[keep]), pa.array(extra[keep])],
+                                             names=["sid", "n", "token", "extra"])
+
+    post = (profiles.where("tokens IS NOT NULL").select("sid", "n", "tokens").mapInArrow(select, "sid long, n long, token long, extra boolean")
+            .dropDuplicates(["token", "sid"]))
+    lens = post.groupBy("token").agg(F.count("*").alias("len")).where("len > 1")
+    active = stored(post.join(lens, "token"), "join-active")[0]
+    discard(spark, path)
+    return active
+
+
+def _lists(active: DataFrame, percent: int) -> DataFrame:
+    """``(key, sid, n, len)`` entries of all lists with two sets or more."""
     bound, size_class = _boundary(active, percent)
     # light sets: pairs of shared prefix shingles as keys
     pairs = F.flatten(F.transform("t", lambda x, i: F.transform(F.slice(F.col("t"), i + 2, F.size("t")), lambda y: F.xxhash64(x, y))))
-    light = (active.where(size_class < bound).groupBy("sid").agg(F.sort_array(F.collect_list("token")).alias("t"))
-             .where(F.size("t") > 1).select("sid", F.explode(pairs).alias("key")))
-    twice = light.groupBy("key").agg(F.count("*").alias("len")).where("len > 1").select("key")
-    light = light.join(twice, "key").select("sid", "key")
+    light = (active.where(size_class < bound).groupBy("sid").agg(F.sort_array(F.collect_list("token")).alias("t"), F.first("n").alias("n"))
+             .where(F.size("t") > 1).select("sid", "n", F.explode(pairs).alias("key")))
+    twice = light.groupBy("key").agg(F.count("*").alias("len")).where("len > 1")
+    light = light.join(twice, "key").select("key", "sid", "n", "len")
     # heavy sets and those that may be in reach of one: single shingles as keys
-    heavy = active.where((size_class >= bound - 2) & ~F.col("extra")).select("sid", F.col("token").alias("key"))
-    entries = light.union(heavy)
-    facts = profiles.where("tokens IS NOT NULL").select("sid", "n", *sig).dropDuplicates(["sid"])
-    need = entries.select("sid").distinct()
-    facts = facts.join(need, "sid", "left_semi").select("sid", F.struct("sid", "n", *sig).alias("x"))
-    return entries.join(facts, "sid").select("key", "x")
+    heavy = active.where((size_class >= bound - 2) & ~F.col("extra")).select(F.col("token").alias("key"), "sid", "n", "len")
+    return light.union(heavy)
 
 
-def _needed_sets(spark: SparkSession, rows: DataFrame, need: DataFrame, width: int) -> DataFrame:
-    """``(sid, s)``: the whole shingle sets of the ids in ``need``, made again from the texts.
+def _bit_table(values: DataFrame, bits: int) -> np.ndarray:
+    """Packed bits of a table of ``2 ** bits`` marking the values (one long column) by their top bits.
 
-    Ids are marked in a fixed bit table that goes to every task, so only rows
-    that may be needed leave a task; the exact selection is a join after that.
+    Its size is fixed; where it fills up it only lets more pass, and what passes
+    is selected exactly by a join.
     """
     def mark(batches):
-        bits = np.zeros(1 << NEED_BITS, bool)
+        on = np.zeros(1 << bits, bool)
         for b in batches:
-            ids = b.column("sid").to_numpy(zero_copy_only=False).view(np.uint64)
-            bits[(ids >> np.uint64(64 - NEED_BITS)).astype(np.int64)] = True
-        if bits.any():
-            packed = np.packbits(bits).tobytes()
+            on[_slot(b.column(0).to_numpy(zero_copy_only=False), bits)] = True
+        if on.any():
+            packed = np.packbits(on).tobytes()
             step = 1 << 16
             yield pa.RecordBatch.from_arrays([pa.array(range(0, len(packed), step), pa.int32()),
                                               pa.array([packed[i:i + step] for i in range(0, len(packed), step)], pa.binary())], names=["at", "bits"])
@@ -246,22 +309,35 @@ def _needed_sets(spark: SparkSession, rows: DataFrame, need: DataFrame, width: i
         yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.int32()), pa.array([v.tobytes() for v in got.values()], pa.binary())],
                                          names=["at", "bits"])
 
-    packed = np.zeros((1 << NEED_BITS) // 8, np.uint8)
-    for r in need.mapInArrow(mark, "at int, bits binary").repartition("at").mapInArrow(either, "at int, bits binary").collect():
+    packed = np.zeros((1 << bits) // 8, np.uint8)
+    for r in values.mapInArrow(mark, "at int, bits binary").repartition("at").mapInArrow(either, "at int, bits binary").collect():
         packed[r["at"]:r["at"] + len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
-    table = spark.sparkContext.broadcast(packed)
+    return packed
+
+
+def _slot(values: np.ndarray, bits: int) -> np.ndarray:
+    return (values.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _marked(packed: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    return (packed[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1 == 1
+
+
+def _needed_sets(spark: SparkSession, rows: DataFrame, need: DataFrame, width: int) -> DataFrame:
+    """``(sid, s)``: the whole shingle sets of the ids in ``need``, made again from the texts."""
+    table = spark.sparkContext.broadcast(_bit_table(need, NEED_BITS))
 
     def select(batches):
-        marks, seen = np.unpackbits(table.value).astype(bool), set()
+        marks, seen = table.value, set()
         for b in batches:
             ids, sets = [], []
-            for t in b.column("text").to_pylist():
-                s = shingle_set(t, width)
+            for s in shingle_sets(b.column("text").to_pylist(), width):
                 if not len(s):
                     continue
                 i = set_id(s)
-                if marks[(i & ((1 << 64) - 1)) >> (64 - NEED_BITS)] and i not in seen:
-                    if len(seen) < 1_000_000:  # copies within a task, spared the shuffle
+                at = (i & ((1 << 64) - 1)) >> (64 - NEED_BITS)
+                if marks[at >> 3] >> (7 - (at & 7)) & 1 and i not in seen:
+                    if len(seen) < 100_000:  # copies within a task, spared the shuffle
                         seen.add(i)
                     ids.append(i)
                     sets.append(s.view(np.int64))
@@ -279,8 +355,66 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
-def _ordered(a: str, b: str) -> list[Column]:
-    return [F.least(f"{a}.sid", f"{b}.sid").alias("a"), F.greatest(f"{a}.sid", f"{b}.sid").alias("b")]
+def _short_pairs(lists: DataFrame, percent: int) -> DataFrame:
+    """``(a, b)``: all pairs of the lists with ``SHORT`` members at most, where the sizes allow a link."""
+    member = F.struct("sid", "n")
+    groups = lists.where(F.col("len") <= SHORT).groupBy("key").agg(F.sort_array(F.collect_list(member)).alias("g"))
+    pairs = F.flatten(F.transform("g", lambda x, i: F.transform(F.slice(F.col("g"), i + 2, F.size("g")), lambda y: F.struct(
+        x["sid"].alias("a"), x["n"].alias("n"), y["sid"].alias("b"), y["n"].alias("m")))))
+    return groups.select(F.explode(pairs).alias("p")).select("p.*").where(_size_ok(percent, "n", "m")).select("a", "b").distinct()
+
+
+def _leader_pairs(lists: DataFrame, percent: int, seeds: tuple[int, ...], label: DataFrame | None = None) -> DataFrame:
+    """``(a, b)``: every entry of the longer lists with the leaders of its list, where the sizes allow a link.
+
+    Leaders are the members first in random orders; the orders are the same for
+    all lists, so the lists of one group of similar sets tend to have the same
+    leaders. With ``label``, pairs inside one component are left out.
+    """
+    lists = lists.where(F.col("len") > SHORT).select("key", "sid", "n")
+    if label is not None:
+        lists = lists.join(label.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    else:
+        lists = lists.withColumn("label", F.col("sid"))
+
+    def first(seed: int) -> Column:
+        return F.min(F.struct(F.xxhash64("sid", F.lit(seed)).alias("r"), F.struct("sid", "n", "label").alias("y"))).alias(f"l{seed}")
+
+    leaders = lists.groupBy("key").agg(*[first(s) for s in seeds]).select("key", F.array(*[F.col(f"l{s}.y") for s in seeds]).alias("ys"))
+    if label is not None:
+        alike = lists.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
+        leaders = leaders.join(alike, "key")
+    rows = lists.join(leaders, "key").select("sid", "n", "label", F.explode(F.array_distinct("ys")).alias("y"))
+    rows = rows.where((F.col("label") != F.col("y.label")) & _size_ok(percent, "n", "y.n"))
+    return rows.select(F.least("sid", "y.sid").alias("a"), F.greatest("sid", "y.sid").alias("b")).distinct()
+
+
+def _plausible(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """The pairs that the signatures leave open."""
+    a = facts.select(F.col("sid").alias("a"), F.col("n").alias("na"), F.col("sig").alias("ga"))
+    b = facts.select(F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("gb"))
+    return pairs.join(a, "a").join(b, "b").where(_signature_ok(percent, "ga", "na", "gb", "nb")).select("a", "b")
+
+
+def _rest_pairs(active: DataFrame, facts: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that share a longer prefix list and that size and signature leave open.
+
+    Every pair that links shares a single prefix shingle; where all those it
+    shares have short lists, it has been in a short list already. In every list
+    the members outside its largest component meet all others, so a large group
+    that has become one component is not expanded.
+    """
+    entry = (active.where((F.col("len") > SHORT) & ~F.col("extra")).select(F.col("token").alias("key"), "sid", "n")
+             .join(label.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid")))
+    parts = entry.groupBy("key", "label").agg(F.count("*").alias("c"))
+    most = (parts.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("most"), F.count("*").alias("k"))
+            .where("k > 1").select("key", "most"))
+    open_lists = entry.join(most, "key").join(facts.select("sid", "sig"), "sid")
+    open_lists, _ = stored(open_lists, "join-open")
+    left = open_lists.where("label <> most").select("key", F.col("sid").alias("other"), F.col("n").alias("m"), F.col("label").alias("its"), F.col("sig").alias("gs"))
+    met = open_lists.join(left, "key").where(
+        (F.col("label") != F.col("its")) & _size_ok(percent, "n", "m") & _signature_ok(percent, "sig", "n", "gs", "m"))
+    return met.select(F.least("sid", "other").alias("a"), F.greatest("sid", "other").alias("b")).distinct()
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
@@ -295,45 +429,46 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     Sets and shingles are known by 64-bit hashes: wrong matches are to be
     expected only beyond some 10^9 distinct sets. Full sets are never stored for
-    all documents (they are larger than the texts); those of documents in some
-    list are made again from the texts.
+    all documents (they are larger than the texts); those of documents in
+    some list are made again from the texts.
     """
     if not 0 < percent <= 100:
         raise ValueError("percent must be in 1..100")
     spark = docs.sparkSession
     prepare(spark)
     rows = _text_rows(docs, id_col, text_col)
-    profiles, ppath = stored(_profiles(spark, rows, _frequency_levels(rows, width), width, percent), "join-profiles")
-    lists, lpath = stored(_lists(profiles, percent), "join-lists")
-    need, _ = stored(lists.select("x.sid").distinct(), "join-need")
-    sets, spath = stored(_needed_sets(spark, rows, need, width), "join-sets")
-
-    links = tried = None
-    for seed in (1, 2):  # every member against one leader of its list, then against another
-        rank = F.xxhash64(F.col("x.sid"), F.lit(seed))
-        leader = lists.groupBy("key").agg(F.min(F.struct(rank.alias("r"), F.col("x").alias("y"))).alias("l")).select("key", F.col("l.y").alias("y"))
-        pairs = lists.join(leader, "key").where((F.col("x.sid") != F.col("y.sid")) & _may_link(percent, "x", "y")).select(*_ordered("x", "y")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs, _ = stored(pairs, "join-pairs")
-        found, _ = stored(_verified(pairs, sets, percent), "join-links")
-        tried = pairs if tried is None else tried.union(pairs)
-        links = found if links is None else links.union(found)
+    bits = _table_bits(rows)
+    profiles, _ = stored(_profiles(spark, rows, _frequency_levels(rows, width, bits), bits, width, percent), "join-profiles")
+    active = _shared_prefixes(spark, profiles)
+    lists, lpath = stored(_lists(active, percent), "join-lists")
+    facts = profiles.where("tokens IS NOT NULL").select("sid", "n", F.array(*[f"s{k}" for k in range(SIGNATURE)]).alias("sig"))
+    facts = facts.join(active.select("sid").distinct(), "sid", "left_semi").groupBy("sid").agg(F.first("n").alias("n"), F.first("sig").alias("sig"))
+    facts, fpath = stored(facts, "join-facts")
+
+    sets, spath = stored(_needed_sets(spark, rows, facts.select("sid"), width), "join-sets")
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        return stored(_verified(pairs, sets, percent), "join-links")[0]
+
+    first = _short_pairs(lists, percent).union(_leader_pairs(lists, percent, (1, 2))).distinct()
+    tried, _ = stored(_plausible(first, facts, percent), "join-pairs")
+    links = verify(tried)
     label = connected_components(links)
-    # pairs of different components that share a list
-    entry = lists.select("key", "x", F.col("x.sid").alias("sid")).join(label.withColumnRenamed("node", "sid"), "sid", "left").select(
-        "key", "x", F.coalesce("label", "sid").alias("label"))
-    entry, _ = stored(entry, "join-entries")
-    parts = entry.groupBy("key", "label").agg(F.count("*").alias("n"))
-    most = parts.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("most"), F.count("*").alias("k")).where("k > 1")
-    left = entry.join(most, "key").where("label <> most").select("key", F.col("x").alias("y"), F.col("label").alias("other"))
-    rest = (entry.join(left, "key").where((F.col("label") != F.col("other")) & _may_link(percent, "x", "y"))
-            .select(*_ordered("x", "y")).distinct().join(tried, ["a", "b"], "left_anti"))
-    rest, _ = stored(rest, "join-rest")
-    more, _ = stored(_verified(rest, sets, percent), "join-links")
-    if more.limit(1).count():
-        label = connected_components(links.union(more))
-    discard(spark, lpath, spath)
+    # other leaders while they still join components, then whatever remains
+    for turn in range(LEADER_TURNS + 1):
+        if turn < LEADER_TURNS:
+            more = _plausible(_leader_pairs(lists, percent, tuple(range(6 * turn + 3, 6 * turn + 9)), label), facts, percent)
+        else:
+            more = _rest_pairs(active, facts, label, percent)
+        more, _ = stored(more.join(tried, ["a", "b"], "left_anti"), "join-rest")
+        found = verify(more)
+        tried = tried.union(more)
+        if found.limit(1).count():
+            links = links.union(found)
+            label, _ = stored(connected_components(links), "join-components")
+        elif turn == LEADER_TURNS:
+            break
+    discard(spark, lpath, fpath, spath)
 
     label, _ = stored(label.select(F.col("node").alias("sid"), "label"), "join-labels")
     classes = profiles.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("least"))
