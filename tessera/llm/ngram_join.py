@@ -271,7 +271,14 @@ def _shared_prefixes(spark: SparkSession, profiles: DataFrame) -> DataFrame:
 
 
 def _lists(active: DataFrame, percent: int) -> DataFrame:
-    """``(key, sid, n, len)`` entries of all lists with two sets or more."""
+    """``(key, sid, n, len)`` entries of all lists with two sets or more.
+
+    Short lists of single shingles are taken as they are, whatever the sizes:
+    scanning them costs less than any subset. A linked pair that shares no such
+    shingle shares two with longer lists, so subsets are made of those only.
+    """
+    short = active.where(F.col("len") <= SHORT).select(F.col("token").alias("key"), "sid", "n", "len")
+    active = active.where(F.col("len") > SHORT)
     bound, size_class = _boundary(active, percent)
     # light sets: pairs of shared prefix shingles as keys
     pairs = F.flatten(F.transform("t", lambda x, i: F.transform(F.slice(F.col("t"), i + 2, F.size("t")), lambda y: F.xxhash64(x, y))))
@@ -281,7 +288,7 @@ def _lists(active: DataFrame, percent: int) -> DataFrame:
     light = light.join(twice, "key").select("key", "sid", "n", "len")
     # heavy sets and those that may be in reach of one: single shingles as keys
     heavy = active.where((size_class >= bound - 2) & ~F.col("extra")).select(F.col("token").alias("key"), "sid", "n", "len")
-    return light.union(heavy)
+    return short.union(light).union(heavy)
 
 
 def _bit_table(values: DataFrame, bits: int) -> np.ndarray:
@@ -359,26 +366,34 @@ def _short_pairs(lists: DataFrame, percent: int) -> DataFrame:
     """``(a, b)``: all pairs of the lists with ``SHORT`` members at most, where the sizes allow a link."""
     member = F.struct("sid", "n")
     groups = lists.where(F.col("len") <= SHORT).groupBy("key").agg(F.sort_array(F.collect_list(member)).alias("g"))
-    pairs = F.flatten(F.transform("g", lambda x, i: F.transform(F.slice(F.col("g"), i + 2, F.size("g")), lambda y: F.struct(
-        x["sid"].alias("a"), x["n"].alias("n"), y["sid"].alias("b"), y["n"].alias("m")))))
-    return groups.select(F.explode(pairs).alias("p")).select("p.*").where(_size_ok(percent, "n", "m")).select("a", "b").distinct()
+    pairs = F.flatten(F.transform("g", lambda x, i: F.transform(
+        F.filter(F.slice(F.col("g"), i + 2, F.size("g")), lambda y: 100 * F.least(x["n"], y["n"]) >= percent * F.greatest(x["n"], y["n"])),
+        lambda y: F.struct(x["sid"].alias("a"), y["sid"].alias("b")))))
+    return groups.select(pairs.alias("p")).where(F.size("p") > 0).select(F.explode("p").alias("p")).select("p.a", "p.b").distinct()
 
 
-def _leader_pairs(lists: DataFrame, percent: int, seeds: tuple[int, ...], label: DataFrame | None = None) -> DataFrame:
+def _leader_pairs(lists: DataFrame, percent: int, seeds: tuple[int, ...], label: DataFrame | None = None,
+                  links: DataFrame | None = None) -> DataFrame:
     """``(a, b)``: every entry of the longer lists with the leaders of its list, where the sizes allow a link.
 
     Leaders are the members first in random orders; the orders are the same for
     all lists, so the lists of one group of similar sets tend to have the same
-    leaders. With ``label``, pairs inside one component are left out.
+    leaders. With ``label``, pairs inside one component are left out, and the
+    leaders are the members with the most ``links`` in random parts of the list:
+    the middle of a group of similar sets is most likely to reach the others.
     """
     lists = lists.where(F.col("len") > SHORT).select("key", "sid", "n")
     if label is not None:
-        lists = lists.join(label.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+        degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
+        known = label.join(degree, "node", "left").withColumnRenamed("node", "sid")
+        lists = lists.join(known, "sid", "left").withColumns({"label": F.coalesce("label", "sid"), "degree": F.coalesce("degree", F.lit(0))})
     else:
-        lists = lists.withColumn("label", F.col("sid"))
+        lists = lists.withColumns({"label": F.col("sid"), "degree": F.lit(0)})
 
     def first(seed: int) -> Column:
-        return F.min(F.struct(F.xxhash64("sid", F.lit(seed)).alias("r"), F.struct("sid", "n", "label").alias("y"))).alias(f"l{seed}")
+        rank = F.xxhash64("sid", F.lit(seed))
+        order = F.struct((F.pmod(rank, F.lit(4)) != 0).alias("part"), (-F.col("degree")).alias("d"), rank.alias("r"), F.struct("sid", "n", "label").alias("y"))
+        return F.min(order).alias(f"l{seed}")
 
     leaders = lists.groupBy("key").agg(*[first(s) for s in seeds]).select("key", F.array(*[F.col(f"l{s}.y") for s in seeds]).alias("ys"))
     if label is not None:
@@ -457,10 +472,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # other leaders while they still join components, then whatever remains
     for turn in range(LEADER_TURNS + 1):
         if turn < LEADER_TURNS:
-            more = _plausible(_leader_pairs(lists, percent, tuple(range(6 * turn + 3, 6 * turn + 9)), label), facts, percent)
+            more = _plausible(_leader_pairs(lists, percent, tuple(range(6 * turn + 3, 6 * turn + 9)), label, links), facts, percent)
         else:
             more = _rest_pairs(active, facts, label, percent)
-        more, _ = stored(more.join(tried, ["a", "b"], "left_anti"), "join-rest")
+        # stored before the anti join, which the optimizer would push below the distinct
+        more, _ = stored(stored(more, "join-more")[0].join(tried, ["a", "b"], "left_anti"), "join-rest")
         found = verify(more)
         tried = tried.union(more)
         if found.limit(1).count():
