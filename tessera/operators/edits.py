@@ -44,8 +44,11 @@ def delete_where(df: DataFrame, predicate: Column) -> DataFrame:
 
 def upsert(df: DataFrame, rows: DataFrame, key: Sequence[str] | str) -> DataFrame:
     """K4: insert or replace rows by key: the untouched rows (left anti join)
-    plus the new rows."""
+    plus the new rows. Two new rows for one key are refused."""
     keys = [key] if isinstance(key, str) else list(key)
+    twice = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"upsert has several rows for one key, such as {twice[0].asDict()}")
     kept = df.join(rows.select(*keys), keys, "left_anti")
     return kept.unionByName(rows.select(*df.columns))
 
@@ -62,11 +65,18 @@ def drop_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def edit_conflicts(current: DataFrame, edits: DataFrame, key: str, version: str) -> DataFrame:
     """K6: optimistic concurrency: an edit whose read version no longer
-    matches the stored version is a conflict; a vanished row is one too."""
+    matches the stored version is a conflict; a vanished row is one too. Of
+    several edits of one key at the stored version one is taken, the first in
+    the order of all columns; the others are conflicts."""
+    from pyspark.sql import Window
+
     cur = current.select(F.col(key).alias("_ck"), F.col(version).alias("_stored"))
     j = edits.join(cur, F.col(key) == F.col("_ck"), "left")
     status = F.when(F.col("_ck").isNull(), "gone").when(
         F.col("_stored") == F.col(version), "ok").otherwise("conflict")
+    turn = F.row_number().over(Window.partitionBy(key, "_status").orderBy(*edits.columns))
+    j = j.withColumn("_status", status).withColumn("_turn", turn)
+    status = F.when((F.col("_status") == "ok") & (F.col("_turn") > 1), "conflict").otherwise(F.col("_status"))
     return j.select(*edits.columns, F.col("_stored").alias("stored_version"), status.alias("status"))
 
 
@@ -75,10 +85,12 @@ def three_way_merge(original: DataFrame, mine: DataFrame, stored: DataFrame, key
     """K7: per field, compare my value and the stored value with the
     original: changed only in the store -> take stored; changed only by me ->
     keep mine; both changed to different values -> conflict (my value stays
-    in the merged row and the field is reported). Returns (merged, conflicts)."""
-    o = original.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_o_{c}") for c in columns])
+    in the merged row and the field is reported). A row that the store no
+    longer has is not merged; it is reported once, as the field ``gone``.
+    Returns (merged, conflicts)."""
+    o = original.select(F.col(key).alias("_k"), F.lit(True).alias("_had"), *[F.col(c).alias(f"_o_{c}") for c in columns])
     m = mine.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_m_{c}") for c in columns])
-    s = stored.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_s_{c}") for c in columns])
+    s = stored.select(F.col(key).alias("_k"), F.lit(True).alias("_has"), *[F.col(c).alias(f"_s_{c}") for c in columns])
     j = m.join(o, "_k", "left").join(s, "_k", "left")
     merged_cols, conflict_flags = [], []
     for c in columns:
@@ -88,29 +100,34 @@ def three_way_merge(original: DataFrame, mine: DataFrame, stored: DataFrame, key
         value = F.when(store_changed & ~mine_changed, ms).otherwise(mo)
         merged_cols.append(value.alias(c))
         conflict_flags.append(F.when(mine_changed & store_changed & ~mo.eqNullSafe(ms), F.lit(c)))
-    conflicts_arr = F.filter(F.array(*conflict_flags), lambda x: x.isNotNull())
-    out = j.select(F.col("_k").alias(key), *merged_cols, conflicts_arr.alias("_conflicts"))
-    merged = out.drop("_conflicts")
+    gone = F.col("_had").isNotNull() & F.col("_has").isNull()
+    conflicts_arr = F.when(gone, F.array(F.lit("gone"))).otherwise(F.filter(F.array(*conflict_flags), lambda x: x.isNotNull()))
+    out = j.select(F.col("_k").alias(key), *merged_cols, conflicts_arr.alias("_conflicts"), gone.alias("_gone"))
+    merged = out.where(~F.col("_gone")).drop("_conflicts", "_gone")
     conflicts = out.where(F.size("_conflicts") > 0).select(
         key, F.explode("_conflicts").alias("field"))
     return merged, conflicts
 
 
 def save_changes(current: DataFrame, edits: DataFrame, key: str, version: str,
-                 rules: Sequence = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
+                 rules: Sequence = (), whole_batch: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The write path in one step: rule gate (L4), then the version check
     (K6), then the rewrite (K4) of the rows that pass, each with its version
     moved on by one. ``edits`` carry every column of the table and, in
-    ``version``, the version they were read at. Returns (new table,
-    rejected rows with the rules they break, conflicting edits)."""
+    ``version``, the version they were read at. With ``whole_batch`` one
+    rejected row or conflict refuses the batch and the table stays as it is.
+    Returns (new table, rejected rows with the rules they break, conflicting
+    edits)."""
     from tessera.operators.quality import gate
 
     if rules:
-        good, rejected = gate(edits, rules)
+        good, rejected = gate(edits, rules, current.join(edits.select(key).distinct(), key, "left_anti"))
     else:
         good, rejected = edits, edits.limit(0).withColumn("broken_rules", F.array().cast("array<string>"))
     checked = edit_conflicts(current, good, key, version)
     ok = (checked.where(F.col("status") == "ok").select(*current.columns)
           .withColumn(version, F.col(version) + 1))
     conflicts = checked.where(F.col("status") != "ok")
+    if whole_batch and (rejected.limit(1).count() or conflicts.limit(1).count()):
+        return current, rejected, conflicts
     return upsert(current, ok, key), rejected, conflicts

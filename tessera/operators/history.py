@@ -67,9 +67,10 @@ def as_of_join(probes: DataFrame, history: DataFrame, key: str, t: str, columns:
                partitions: int | None = None) -> DataFrame:
     """T3 for many points: each probe row (key, t) gets the version valid at
     ``t``. Versions and probes are merged in (key, time) order - versions
-    first at equal times, since ``valid_from <= t`` - and the version columns
-    are forward-filled; a probe outside every period gets NULLs. Probe rows
-    travel whole through the merge, so nothing is joined back."""
+    first at equal times, since ``valid_from <= t`` - and the version's period is
+    forward-filled; its columns are then looked up by key and period start. A
+    probe outside every period gets NULLs. Zero-length periods, which
+    ``build_history`` drops, are not allowed."""
     dt = probes.schema[t].dataType
     pcols = [c for c in probes.columns if c != key]
     # only the versions of keys that are probed take part in the merge
@@ -78,35 +79,31 @@ def as_of_join(probes: DataFrame, history: DataFrame, key: str, t: str, columns:
     hv = history.select(
         F.col(key), F.col(valid_from).cast(dt).alias("_t"), F.lit(0).alias("_kind"),
         *[F.lit(None).cast(probes.schema[c].dataType).alias(f"_p_{c}") for c in pcols],
-        F.col(valid_to).cast(dt).alias("_to"), *[F.col(c).alias(f"_h_{c}") for c in columns])
+        F.col(valid_to).cast(dt).alias("_to"), F.col(valid_from).cast(dt).alias("_from"))
     pr = probes.select(
         F.col(key), F.col(t).alias("_t"), F.lit(1).alias("_kind"),
-        *[F.col(c).alias(f"_p_{c}") for c in pcols], F.lit(None).cast(dt).alias("_to"),
-        *[F.lit(None).cast(history.schema[c].dataType).alias(f"_h_{c}") for c in columns])
+        *[F.col(c).alias(f"_p_{c}") for c in pcols], F.lit(None).cast(dt).alias("_to"), F.lit(None).cast(dt).alias("_from"))
     merged = hv.unionByName(pr)
     order = ["_t", "_kind", *[f"_p_{c}" for c in pcols]]
-    filled = group_shift(merged, [key], order, ["_to", *[f"_h_{c}" for c in columns]],
-                         ["_f_to", *[f"_f_{c}" for c in columns]], mode="ffill", partitions=partitions)
-    hit = F.col("_t") < F.col("_f_to")
-    return filled.where(F.col("_kind") == 1).select(
-        F.col(key), *[F.col(f"_p_{c}").alias(c) for c in pcols],
-        *[F.when(hit, F.col(f"_f_{c}")).alias(c) for c in columns])
+    filled = group_shift(merged, [key], order, ["_to", "_from"], ["_f_to", "_f_from"], mode="ffill", partitions=partitions)
+    hit = filled.where(F.col("_kind") == 1).withColumn("_at", F.when(F.col("_t") < F.col("_f_to"), F.col("_f_from")))
+    # periods of one key do not overlap, so key and period start name the version; its columns,
+    # NULLs included, come from that version as a whole
+    versions = history.select(F.col(key).alias("_vk"), F.col(valid_from).cast(dt).alias("_vf"), *[F.col(c).alias(f"_h_{c}") for c in columns])
+    return (hit.join(versions, (F.col(key) == F.col("_vk")) & (F.col("_at") == F.col("_vf")), "left")
+            .select(F.col(key), *[F.col(f"_p_{c}").alias(c) for c in pcols], *[F.col(f"_h_{c}").alias(c) for c in columns]))
 
 
 def apply_versions(history: DataFrame, new_rows: DataFrame, key: str, ts: str, tie: str,
                    valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
-    """Add new versions to a history: the open row of each touched key is
-    closed at the first new version's time, and the new versions get their
-    own periods. Equal to rebuilding the history from the whole log."""
-    dtype = history.schema[valid_from].dataType
-    eot = end_of_time(dtype)
-    firsts = new_rows.groupBy(F.col(key).alias("_k")).agg(
-        F.min_by(F.col(ts), F.struct(F.col(ts), F.col(tie))).alias("_first"))
-    is_open = F.col(valid_to) == eot
-    closed = (history.join(firsts, F.col(key) == F.col("_k"), "left")
-              .withColumn(valid_to, F.when(is_open & F.col("_first").isNotNull(), F.col("_first"))
-                          .otherwise(F.col(valid_to)))
-              .drop("_k", "_first")
-              .where(F.col(valid_from) < F.col(valid_to)))
-    fresh = build_history(new_rows, key, ts, tie, valid_from, valid_to)
-    return closed.unionByName(fresh.select(*closed.columns))
+    """Add new versions to a history. The versions of each touched key,
+    stored and new, get their periods anew, so rows that arrive late fall into
+    their place; keys without new rows are not rebuilt. Equal to rebuilding
+    the history from the whole log."""
+    touched = new_rows.select(F.col(key).alias("_k")).where("_k IS NOT NULL").distinct()
+    of_touched = F.col(key) == F.col("_k")
+    log = [c for c in history.columns if c not in (valid_from, valid_to)]
+    old = history.join(touched, of_touched, "left_semi").select(*log)
+    rest = history.join(touched, of_touched, "left_anti")
+    rebuilt = build_history(old.unionByName(new_rows.select(*log)), key, ts, tie, valid_from, valid_to)
+    return rest.unionByName(rebuilt.select(*history.columns))

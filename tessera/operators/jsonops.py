@@ -63,9 +63,9 @@ def include(parent: DataFrame, parent_key: str,
 
 def json_array_by(df: DataFrame, by: Sequence[str], fields: Sequence[str], name: str) -> DataFrame:
     """``JSON_ARRAYAGG(JSON_OBJECT(..))`` per group, ordered by the
-    fields in the order given."""
+    fields in the order given; NULL members are kept."""
     packed = df.select(*by, F.struct(*fields).alias("_e"))
-    return packed.groupBy(*by).agg(F.to_json(F.array_sort(F.collect_list("_e"))).alias(name))
+    return packed.groupBy(*by).agg(F.to_json(F.array_sort(F.collect_list("_e")), {"ignoreNullFields": "false"}).alias(name))
 
 
 def _json_text(col: Column) -> Column:
@@ -78,10 +78,16 @@ def json_object_by(df: DataFrame, by: Sequence[str], name_col: str, value_col: s
                    out: str) -> DataFrame:
     """``JSON_OBJECTAGG(name: value)`` per group. Repeated names are kept
     (a map would reject them), so the object text is built from members
-    sorted by (name, value). Numeric and text values are supported."""
+    sorted by (name, value). Values of any type are rendered as JSON, NULL as
+    ``null``."""
     v = F.col(value_col)
     is_text = isinstance(df.schema[value_col].dataType, T.StringType)
-    rendered = _json_text(v) if is_text else v.cast("string")
+    is_number = isinstance(df.schema[value_col].dataType, T.NumericType)
+    boxed = F.to_json(F.struct(v.alias("v")), {"ignoreNullFields": "false"})
+    rendered = (_json_text(v) if is_text else v.cast("string") if is_number
+                else F.expr("substring(_j, 6, length(_j) - 6)"))
+    rendered = F.when(v.isNull(), "null").otherwise(rendered)
+    df = df.withColumn("_j", boxed)
     member = F.concat(_json_text(F.col(name_col)), F.lit(":"), rendered)
     packed = df.select(*by, F.struct(F.col(name_col).alias("n"), v.alias("v"),
                                      member.alias("m")).alias("_e"))

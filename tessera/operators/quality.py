@@ -117,13 +117,38 @@ def rule_report(df: DataFrame, rules: Sequence) -> DataFrame:
     return out
 
 
-def gate(df: DataFrame, rules: Sequence) -> tuple[DataFrame, DataFrame]:
-    """L4: split a batch into rows that pass every row rule and rows that
-    break one (with the names of the broken rules)."""
-    row_rules = [r for r in (_row_rule(x) for x in rules) if r is not None]
-    broken = F.filter(F.array(*[F.when(~ok, F.lit(name)) for name, ok in row_rules]),
-                      lambda x: x.isNotNull())
-    tagged = df.withColumn("_broken", broken)
+def gate(df: DataFrame, rules: Sequence, table: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """L4: split a batch into rows that pass every rule and rows that break
+    one (with the names of the broken rules). A unique key is checked within
+    the batch, where all rows of a repeated key are rejected, and against
+    ``table`` if given; a foreign key against its reference (NULL passes).
+    A rule of an unknown kind is an error."""
+    tagged, flags = df, []
+    for i, rule in enumerate(rules):
+        row = _row_rule(rule)
+        if row is not None:
+            flags.append(F.when(~row[1], F.lit(row[0])))
+        elif isinstance(rule, Unique):
+            cols = list(rule.columns)
+            seen = df.select(*cols, F.lit(1).alias("_mine"))
+            if table is not None:
+                seen = seen.unionByName(table.select(*cols, F.lit(0).alias("_mine")))
+            dup = (seen.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"), F.sum("_mine").alias("_m")).where("_n > 1 AND _m > 0")
+                   .select(*[F.col(c).alias(f"_u{i}_{c}") for c in cols], F.lit(True).alias(f"_bad{i}")))
+            same = [F.col(c).eqNullSafe(F.col(f"_u{i}_{c}")) for c in cols]
+            on = same[0]
+            for x in same[1:]:
+                on = on & x
+            tagged = tagged.join(dup, on, "left").drop(*[f"_u{i}_{c}" for c in cols])
+            flags.append(F.when(F.col(f"_bad{i}"), F.lit("unique:" + ",".join(cols))))
+        elif isinstance(rule, ForeignKey):
+            ref = rule.ref.select(F.col(rule.ref_column).alias(f"_ref{i}")).distinct()
+            tagged = tagged.join(ref, F.col(rule.column) == F.col(f"_ref{i}"), "left")
+            flags.append(F.when(F.col(rule.column).isNotNull() & F.col(f"_ref{i}").isNull(), F.lit(f"foreign_key:{rule.column}")))
+        else:
+            raise TypeError(f"no such rule: {rule!r}")
+    broken = F.filter(F.array(*flags), lambda x: x.isNotNull()) if flags else F.array().cast("array<string>")
+    tagged = tagged.withColumn("_broken", broken).select(*df.columns, "_broken")
     good = tagged.where(F.size("_broken") == 0).drop("_broken")
     rejected = tagged.where(F.size("_broken") > 0).withColumnRenamed("_broken", "broken_rules")
     return good, rejected

@@ -29,13 +29,15 @@ def tokens(df: DataFrame, id_col: str, text_col: str, name: str = "token") -> Da
 def query_words(query: str) -> list[str]:
     import re
 
-    return [w for w in re.split(r"[^\w]+", query.lower()) if w]
+    # the same words as TOKEN_SPLIT gives: an underscore separates
+    return [w for w in re.split(r"[\W_]+", query.lower()) if w]
 
 
 def word_forms(words: Sequence[str], forms: bool = True,
                synonyms: Mapping[str, Sequence[str]] | None = None) -> list[tuple[str, str]]:
     """(term, form) pairs: each query word and its synonyms are terms; each
-    term matches itself and, with ``forms``, its suffixed forms."""
+    term matches itself and, with ``forms``, its suffixed forms and, where it
+    ends in a suffix itself, the word without it and that word's forms."""
     terms: list[str] = []
     for w in words:
         for term in [w, *((synonyms or {}).get(w, ()))]:
@@ -43,8 +45,11 @@ def word_forms(words: Sequence[str], forms: bool = True,
                 terms.append(term)
     pairs = []
     for term in terms:
-        for suffix in (FORM_SUFFIXES if forms else ("",)):
-            pairs.append((term, term + suffix))
+        stems = [term]
+        if forms:
+            stems += [term[:-len(x)] for x in FORM_SUFFIXES if x and term.endswith(x) and len(term) > len(x) + 2]
+        for form in dict.fromkeys(stem + suffix for stem in stems for suffix in (FORM_SUFFIXES if forms else ("",))):
+            pairs.append((term, form))
     return pairs
 
 
@@ -54,10 +59,13 @@ def _forms_df(spark: SparkSession, pairs: list[tuple[str, str]]) -> DataFrame:
 
 def free_text(df: DataFrame, id_col: str, text_col: str, query: str, forms: bool = True) -> DataFrame:
     """M1: ``FREETEXT(col, query)``: rows whose text holds any query word
-    (or one of its forms)."""
-    f = _forms_df(df.sparkSession, word_forms(query_words(query), forms))
-    hits = tokens(df, id_col, text_col).join(F.broadcast(f), F.col("token") == F.col("form"), "left_semi")
-    return df.join(hits.select(id_col).distinct(), id_col, "left_semi")
+    (or one of its forms). The forms are literals, so this is a filter on the
+    scan; ``id_col`` is not needed for it."""
+    wanted = sorted({f for _, f in word_forms(query_words(query), forms)})
+    if not wanted:
+        return df.limit(0)
+    words = F.split(F.lower(F.col(text_col)), TOKEN_SPLIT)
+    return df.where(F.arrays_overlap(words, F.array(*[F.lit(w) for w in wanted])))
 
 
 def ranked_search(df: DataFrame, id_col: str, text_col: str, query: str, forms: bool = True,
@@ -69,7 +77,11 @@ def ranked_search(df: DataFrame, id_col: str, text_col: str, query: str, forms:
     docs = df.where(F.col(lang_col) == lang) if lang is not None else df
     f = _forms_df(df.sparkSession, word_forms(query_words(query), forms, synonyms))
     n_docs = docs.count()  # one number
-    tf = (tokens(docs, id_col, text_col).join(F.broadcast(f), F.col("token") == F.col("form"))
+    # only the words that are forms leave a text
+    wanted = sorted({x for _, x in word_forms(query_words(query), forms, synonyms)}) or [""]
+    hits = F.filter(F.split(F.lower(F.col(text_col)), TOKEN_SPLIT), lambda w: w.isin(*wanted))
+    found = docs.select(id_col, F.explode(hits).alias("token")).where("token <> ''")
+    tf = (found.join(F.broadcast(f), F.col("token") == F.col("form"))
           .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
     # one row per query term: bounded by the query
     dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))

@@ -64,7 +64,16 @@ WITH {HIST_SQL}
 SELECT {_sql_text()} FROM hist WHERE valid_from <= TIMESTAMP '{AS_OF}' AND TIMESTAMP '{AS_OF}' < valid_to
 """)
 def temporal_as_of(spark, sf):
-    return _text_period(H.as_of(history(spark, sf).select(*_COLS), AS_OF))
+    # a row after the point only ends the one before it: of each key the last version up to
+    # the point and the first after it are enough, found by partial aggregates
+    e = t(spark, sf, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    at = F.lit(AS_OF).cast("timestamp_ntz")
+    last = e.where(F.col("ts") <= at).groupBy("user_id").agg(
+        F.max_by(F.struct("event_id", "event_type", "value", F.col("ts").alias("valid_from")), F.struct("ts", "event_id")).alias("v"))
+    after = e.where(F.col("ts") > at).groupBy(F.col("user_id").alias("_u")).agg(F.min("ts").alias("_next"))
+    cur = last.join(after, F.col("user_id") == F.col("_u"), "left").select(
+        "user_id", "v.*", F.coalesce("_next", H.end_of_time("timestamp_ntz")).alias("valid_to"))
+    return _text_period(cur.select(*_COLS))
 
 
 @query("as_of_join", f"""
@@ -102,7 +111,9 @@ def key_history(spark, sf):
     # the key whose row changed last (picked from the data, not a fixed id)
     last_key = t(spark, sf, "events").agg(
         F.max_by("user_id", F.struct("ts", "event_id")).alias("k")).first()["k"]
-    return H.key_history(history(spark, sf), "user_id", last_key).select("event_type", "valid_from")
+    # the key is filtered before the history is built, so only its rows are ordered
+    one = t(spark, sf, "events").where(F.col("user_id") == F.lit(last_key)).select("user_id", "event_id", "ts", "event_type", "value")
+    return H.key_history(H.build_history(one, "user_id", "ts", "event_id").drop("ts"), "user_id", last_key).select("event_type", "valid_from")
 
 
 @query("backfill", f"""

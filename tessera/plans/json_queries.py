@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import jsonfn as J
+from tessera.functions.json_modify import json_modify
 from tessera.operators import jsonops as JO
 from tessera.plans.registry import query
 from tessera.plans.relational_queries import t
@@ -429,3 +430,19 @@ def include_two(spark, sf):
     return tree.select("n_nationkey", size("customers").alias("n_customers"), n_orders.alias("n_orders"),
                        size("suppliers").alias("n_suppliers"),
                        F.to_json(F.transform("suppliers", lambda x: x["s_suppkey"])).alias("supplier_keys"))
+
+
+@query("json_modify_path", """
+SELECT event_id,
+       '{"name":"' || event_type || '","note":null,"qty":1.50,"item":' || replace(props, ' ', '') || ',"ContactType":"' || event_type || '-x"}' AS added,
+       '{"name":"' || event_type || '","note":null,"item":' || replace(props, ' ', '') || '}' AS removed,
+       '{"name":"' || event_type || '","note":null,"qty":1.50,"item":' || left(replace(props, ' ', ''), length(replace(props, ' ', '')) - 1) || ',"list":["' || event_type || '"]}}' AS appended
+FROM events
+""")
+def json_modify_path(spark, sf):
+    # edits by path keep members nobody named, stored nulls and the text of numbers
+    doc = F.concat(F.lit('{"name":"'), "event_type", F.lit('","note":null,"qty":1.50,"item":'), F.replace("props", F.lit(" "), F.lit("")), F.lit("}"))
+    e = t(spark, sf, "events").select("event_id", "event_type", doc.alias("doc"))
+    return e.select("event_id", json_modify(F.col("doc"), "$.ContactType", F.concat("event_type", F.lit("-x"))).alias("added"),
+                    json_modify(F.col("doc"), "$.qty", F.lit(None)).alias("removed"),
+                    json_modify(F.col("doc"), "append $.item.list", F.col("event_type")).alias("appended"))

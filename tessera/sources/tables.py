@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,8 +79,10 @@ def append_select(df: DataFrame, path: str, columns: Sequence[str] | None = None
     src = df.select(*columns) if columns else df
     try:
         existing = spark.read.format(fmt).load(path)
-    except Exception:  # first write creates the table
-        existing = None
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        existing = None  # first write creates the table
     if key is not None:
         start = 0
         if existing is not None:
