@@ -19,8 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Shared checkpoint folder set, package importable on the executors."""
+    """Shared checkpoint folder set, package importable on the executors.
+
+    Texts are long rows: where the number of rows in an Arrow batch is Spark's
+    default of 10,000 it is set to 1,000, so that a batch is some megabytes.
+    """
     ensure_checkpoint_dir(spark)
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     ship_package(spark)
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import prepare, unit_hash
+from tessera.llm.quality import list_arrays
 
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -160,13 +161,12 @@ def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
     def features(batches):
         for b in batches:
             f = [_sparse(t, bits, orders, features_per_text) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("label"), pa.array([x.tolist() for x, _ in f], pa.list_(pa.int32())),
-                                              pa.array([c.tolist() for _, c in f], pa.list_(pa.int32()))], names=["label", "b", "c"])
+            yield pa.RecordBatch.from_arrays([b.column("label"), pa.array([x.astype(np.int32) for x, _ in f], pa.list_(pa.int32())),
+                                              pa.array([c.astype(np.int32) for _, c in f], pa.list_(pa.int32()))], names=["label", "b", "c"])
 
     got = rows.mapInArrow(features, "label string, b array<int>, c array<int>").toArrow()
     labels = got.column("label").to_pylist()
-    data = [(np.asarray(b, dtype=np.int64), np.asarray(c, dtype=np.float64)) for b, c in
-            zip(got.column("b").to_pylist(), got.column("c").to_pylist())]
+    data = [(b, c.astype(np.float32)) for b, c in zip(list_arrays(got.column("b")), list_arrays(got.column("c")))]
     order = sorted((i for i in range(len(labels)) if len(data[i][0])), key=lambda i: (labels[i], len(data[i][0]), data[i][0].tobytes()))
     classes = sorted({labels[i] for i in order})
     if not classes:

@@ -46,7 +46,7 @@ _P_INVERSE = pow(_P, -1, 1 << 64)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 #: bytes of text that are hashed at a time
-BUFFER = 1 << 20
+BUFFER = 1 << 18
 
 
 @lru_cache(maxsize=2)

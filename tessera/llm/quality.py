@@ -23,7 +23,7 @@ _PARTS = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 _K = np.uint64(0x9E3779B97F4A7C15)
 
 
-@lru_cache(maxsize=1 << 18)
+@lru_cache(maxsize=1 << 15)
 def chunk_tokens(chunk: str) -> tuple[int, ...]:
     """Hashes of the tokens of a run between white space.
 
@@ -128,6 +128,15 @@ def fit_sigmoid(margin: np.ndarray, y01: np.ndarray) -> tuple[float, float]:
     return float(a), float(b)
 
 
+def list_arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The lists of an Arrow column as arrays over one buffer each chunk, without Python numbers."""
+    out: list[np.ndarray] = []
+    for chunk in column.chunks:
+        at, flat = chunk.offsets.to_numpy(), chunk.values.to_numpy()
+        out += [flat[i:j] for i, j in zip(at[:-1].tolist(), at[1:].tolist())]
+    return out
+
+
 def labelled(docs: DataFrame, labels: DataFrame, label_col: str, usable: Column, per_class: int, id_col: str = "doc_id",
              text_col: str = "text", seed: str = "labels") -> DataFrame:
     """``(label, text)``: about ``per_class`` labelled rows of each class, chosen by a hash of the id.
@@ -164,11 +173,11 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
         for b in batches:
             f = [indicators(t, bits) for t in b.column("text").to_pylist()]
             f = [x if len(x) <= features_per_text else np.sort(x[np.argsort((x * 2654435761) % (1 << 32), kind="stable")[:features_per_text]]) for x in f]
-            yield pa.RecordBatch.from_arrays([b.column("label"), pa.array([x.tolist() for x in f], pa.list_(pa.int32()))], names=["label", "f"])
+            yield pa.RecordBatch.from_arrays([b.column("label"), pa.array([x.astype(np.int32) for x in f], pa.list_(pa.int32()))], names=["label", "f"])
 
     got = rows.mapInArrow(features, "label int, f array<int>").toArrow()
     y01 = np.array(got.column("label").to_pylist(), dtype=np.int64)
-    feats = [np.asarray(x, dtype=np.int64) for x in got.column("f").to_pylist()]
+    feats = list_arrays(got.column("f"))
     order = sorted(range(len(feats)), key=lambda i: (y01[i], len(feats[i]), feats[i].tobytes()))
     model = QualityModel(bits)
     if len(set(y01.tolist())) < 2:

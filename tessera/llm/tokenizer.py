@@ -35,10 +35,19 @@ class Encoder:
     def __init__(self, path: str = DEFAULT_PATH):
         with open(path, "rb") as fh:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, fh)}
-        self.enc = tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self._path, self._enc = path, None
         self.plain = tiktoken.Encoding("public-plain", pat_str=PLAIN_PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.vocab = max(ranks.values()) + 1
 
+    @property
+    def enc(self) -> tiktoken.Encoding:
+        """The encoding with the full pattern, made when the first text needs it."""
+        if self._enc is None:
+            with open(self._path, "rb") as fh:
+                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, fh)}
+            self._enc = tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        return self._enc
+
     def _part(self, text: str) -> list[int]:
         return (self.enc if _TWO_SPACES.search(text) else self.plain).encode_ordinary(text)
 
@@ -59,7 +68,7 @@ class Encoder:
         return out
 
     def decode(self, ids) -> str:
-        return self.enc.decode_bytes([int(i) for i in ids]).decode("utf-8", errors="replace")
+        return self.plain.decode_bytes([int(i) for i in ids]).decode("utf-8", errors="replace")
 
 
 @lru_cache(maxsize=4)
