@@ -124,9 +124,9 @@ def _text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _table_bits(rows: DataFrame) -> int:
-    """Size of the frequency table: about one counter for every 24 bytes of text, 64 MB at most."""
+    """Size of the frequency table: about one counter for every 48 bytes of text, 32 MB at most."""
     size = rows.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    return min(26, max(18, (size // 24).bit_length()))
+    return min(25, max(18, (size // 48).bit_length()))
 
 
 def _frequency_levels(rows: DataFrame, width: int, bits: int) -> np.ndarray:
@@ -298,11 +298,12 @@ def _bit_table(values: DataFrame, bits: int) -> np.ndarray:
     is selected exactly by a join.
     """
     def mark(batches):
-        on = np.zeros(1 << bits, bool)
+        on = np.zeros((1 << bits) // 8, np.uint8)
         for b in batches:
-            on[_slot(b.column(0).to_numpy(zero_copy_only=False), bits)] = True
+            slots = _slot(b.column(0).to_numpy(zero_copy_only=False), bits)
+            np.bitwise_or.at(on, slots >> 3, (128 >> (slots & 7)).astype(np.uint8))
         if on.any():
-            packed = np.packbits(on).tobytes()
+            packed = on.tobytes()
             step = 1 << 16
             yield pa.RecordBatch.from_arrays([pa.array(range(0, len(packed), step), pa.int32()),
                                               pa.array([packed[i:i + step] for i in range(0, len(packed), step)], pa.binary())], names=["at", "bits"])

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +22,21 @@ _PARTS = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 _K = np.uint64(0x9E3779B97F4A7C15)
 
 
-@lru_cache(maxsize=1 << 15)
+class _Chunks(dict):
+    """Token hashes of recent runs between white space, 100,000 at most."""
+
+    def __missing__(self, chunk: str) -> tuple[int, ...]:
+        out = chunk_tokens(chunk)
+        if len(chunk) <= 64:
+            if len(self) >= 100_000:
+                self.clear()
+            self[chunk] = out
+        return out
+
+
+_CHUNKS = _Chunks()
+
+
 def chunk_tokens(chunk: str) -> tuple[int, ...]:
     """Hashes of the tokens of a run between white space.
 
@@ -47,7 +60,7 @@ def indicators(text: str | None, bits: int) -> np.ndarray:
     """Distinct buckets of the text's token unigrams and bigrams; a repeated bigram has a bucket of its own."""
     hashes: list[int] = []
     for chunk in (text or "").split():
-        hashes += chunk_tokens(chunk) if len(chunk) <= 64 else chunk_tokens.__wrapped__(chunk)
+        hashes += _CHUNKS[chunk]
     if not hashes:
         return np.empty(0, np.int64)
     h = np.array(hashes, dtype=np.uint64)
