@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import prepare
+from tessera.llm.common import prepare, tidied
 from tessera.llm.tokenizer import DEFAULT_PATH, encoder
 
 _OPEN = re.compile(r"<(\\*)\|")
@@ -107,11 +107,11 @@ def format_conversations(turns: DataFrame, template: ChatTemplate = ChatTemplate
         if n:
             yield done()
 
-    encoded = base.mapInArrow(encode, "conv_id long, turn long, role string, text string, "
+    encoded = base.mapInArrow(tidied(encode), "conv_id long, turn long, role string, text string, "
                                       "role_ids array<int>, text_ids array<int>")
     ordered = encoded.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
     return ordered.select("conv_id", "role", "role_ids", "text_ids").mapInArrow(
-        assemble, "conv_id long, n_turns long, ids array<int>, mask array<byte>")
+        tidied(assemble), "conv_id long, n_turns long, ids array<int>, mask array<byte>")
 
 
 def read_back(formatted: DataFrame, template: ChatTemplate = ChatTemplate(),
@@ -152,5 +152,5 @@ def read_back(formatted: DataFrame, template: ChatTemplate = ChatTemplate(),
                                                        pa.int64(), pa.int64()])],
                 names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_tokens"])
 
-    return formatted.mapInArrow(parse, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
+    return formatted.mapInArrow(tidied(parse), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
                                        "loss_sha256 string, formatted_chars long, n_tokens long")

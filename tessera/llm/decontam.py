@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import prepare, stored
+from tessera.llm.common import prepare, stored, tidied
 
 #: bytes to words: A-Z lower-cased; ASCII other than digits and letters separates
 _TO_WORDS = bytes((b + 32 if 65 <= b <= 90 else b) if (48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128) else 32
@@ -241,7 +241,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                             "items": pa.array(found, pa.list_(pa.string()))}
                     yield pa.RecordBatch.from_arrays([cols.get(n, b.column(n)) for n in b.schema.names], names=b.schema.names)
 
-        cur = cur.mapInArrow(run, schema)
+        cur = cur.mapInArrow(tidied(run), schema)
         if k + 1 < len(blocks):
             cur, _ = stored(cur, "leaks-block")
     return cur.select(id_col, *keep, F.col("__text").cast("string").alias("text"), "n_words", "spans", "items")
@@ -291,4 +291,4 @@ def decontaminate(docs: DataFrame, items: DataFrame, max_coverage: float = 0.5,
 
     kept = found.withColumn("n_hit", n_hit).where(
         (F.col("n_hit") == 0) | ((F.col("n_hit") <= max_coverage * F.col("n_words")) & (F.col("n_words") - F.col("n_hit") >= min_words)))
-    return kept.mapInArrow(cut, schema)
+    return kept.mapInArrow(tidied(cut), schema)

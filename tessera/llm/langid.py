@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import prepare, unit_hash
+from tessera.llm.common import prepare, tidied, unit_hash
 from tessera.llm.quality import list_arrays
 
 UNKNOWN = "und"
@@ -164,7 +164,7 @@ def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays([b.column("label"), pa.array([x.astype(np.int32) for x, _ in f], pa.list_(pa.int32())),
                                               pa.array([c.astype(np.int32) for _, c in f], pa.list_(pa.int32()))], names=["label", "b", "c"])
 
-    got = rows.mapInArrow(features, "label string, b array<int>, c array<int>").toArrow()
+    got = rows.mapInArrow(tidied(features), "label string, b array<int>, c array<int>").toArrow()
     labels = got.column("label").to_pylist()
     data = [(b, c.astype(np.float32)) for b, c in zip(list_arrays(got.column("b")), list_arrays(got.column("c")))]
     order = sorted((i for i in range(len(labels)) if len(data[i][0])), key=lambda i: (labels[i], len(data[i][0]), data[i][0].tobytes()))
@@ -233,4 +233,4 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep
             yield pa.RecordBatch.from_arrays([*[b.column(k) for k in keep], pa.array(lang, pa.string()), pa.array(score, pa.float64()),
                                               pa.array(rejected, pa.bool_())], names=[*keep, "lang_pred", "score", "rejected"])
 
-    return base.mapInArrow(run, f"{schema}, lang_pred string, score double, rejected boolean")
+    return base.mapInArrow(tidied(run), f"{schema}, lang_pred string, score double, rejected boolean")

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import prepare, scratch_path, stored
+from tessera.llm.common import prepare, scratch_path, stored, tidied
 from tessera.llm.tokenizer import DEFAULT_PATH, encoder, id_dtype
 
 #: doc_id, seq_no, n_tokens, flags
@@ -111,7 +111,7 @@ def materialise(docs: DataFrame, out_path: str, id_col: str = "doc_id", text_col
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64())],
                                          names=["part", "n"])
 
-    counts = {r["part"]: r["n"] for r in base.mapInArrow(count, "part int, n long").collect()}
+    counts = {r["part"]: r["n"] for r in base.mapInArrow(tidied(count), "part int, n long").collect()}
     total, offsets = 0, {}
     for part in sorted(counts):
         offsets[part] = total
@@ -193,9 +193,9 @@ def materialise(docs: DataFrame, out_path: str, id_col: str = "doc_id", text_col
         if out is not None:
             yield close()
 
-    records = base.mapInArrow(cut, "shard int, slot long, record binary")
+    records = base.mapInArrow(tidied(cut), "shard int, slot long, record binary")
     ranged = records.repartitionById(max(1, n_shards), F.col("shard")).sortWithinPartitions("slot")
-    manifest = ranged.mapInArrow(write, "shard int, path string, first_slot long, n_slots long, n_tokens long, bytes long, sha256 string")
+    manifest = ranged.mapInArrow(tidied(write), "shard int, path string, first_slot long, n_slots long, n_tokens long, bytes long, sha256 string")
     return stored(manifest, "sequences-manifest")[0]
 
 
@@ -220,7 +220,7 @@ def read_shards(spark: SparkSession, out_path: str, seq_len: int = 256, slots_pe
                      pa.array(n), pa.array(crc, pa.int64())], names=["slot", "shard", "doc_id", "seq_no", "n_tokens", "ids_crc32"])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "shard-*.bin").load(out_path).select("path", "content")
-    return files.mapInArrow(parse, "slot long, shard int, doc_id long, seq_no long, n_tokens long, ids_crc32 long").where(
+    return files.mapInArrow(tidied(parse), "slot long, shard int, doc_id long, seq_no long, n_tokens long, ids_crc32 long").where(
         F.col("slot") >= first_slot)
 
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import connected_components, discard, prepare, stored
+from tessera.llm.common import connected_components, discard, prepare, stored, tidied
 
 _K = np.uint64(0x9E3779B97F4A7C15)
 #: lists up to this length are expanded into all pairs at once
@@ -173,7 +173,7 @@ def _frequency_levels(rows: DataFrame, width: int, bits: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(level, pa.binary())], names=["piece", "level"])
 
     out = np.zeros(1 << bits, np.uint8)
-    parts = rows.select("text").mapInArrow(count, "piece int, counts binary").repartition("piece").mapInArrow(add, "piece int, level binary")
+    parts = rows.select("text").mapInArrow(tidied(count), "piece int, counts binary").repartition("piece").mapInArrow(tidied(add), "piece int, level binary")
     for r in parts.toLocalIterator():
         out[r["piece"] * each:(r["piece"] + 1) * each] = np.frombuffer(r["level"], np.uint8)
     return out
@@ -212,7 +212,7 @@ def _profiles(spark: SparkSession, rows: DataFrame, levels: np.ndarray, bits: in
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n", "sid", "tokens", *[f"s{k}" for k in range(SIGNATURE)]])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(profile, f"doc_id {kind}, n long, sid long, tokens array<long>, " + ", ".join(f"s{k} long" for k in range(SIGNATURE)))
+    return rows.mapInArrow(tidied(profile), f"doc_id {kind}, n long, sid long, tokens array<long>, " + ", ".join(f"s{k} long" for k in range(SIGNATURE)))
 
 
 def _size_ok(percent: int, a: str, b: str) -> Column:
@@ -262,7 +262,7 @@ def _shared_prefixes(spark: SparkSession, profiles: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("sid").take(at), b.column("n").take(at), pa.array(flat[keep]), pa.array(extra[keep])],
                                              names=["sid", "n", "token", "extra"])
 
-    post = (profiles.where("tokens IS NOT NULL").select("sid", "n", "tokens").mapInArrow(select, "sid long, n long, token long, extra boolean")
+    post = (profiles.where("tokens IS NOT NULL").select("sid", "n", "tokens").mapInArrow(tidied(select), "sid long, n long, token long, extra boolean")
             .dropDuplicates(["token", "sid"]))
     lens = post.groupBy("token").agg(F.count("*").alias("len")).where("len > 1")
     active = stored(post.join(lens, "token"), "join-active")[0]
@@ -318,7 +318,7 @@ def _bit_table(values: DataFrame, bits: int) -> np.ndarray:
                                          names=["at", "bits"])
 
     packed = np.zeros((1 << bits) // 8, np.uint8)
-    for r in values.mapInArrow(mark, "at int, bits binary").repartition("at").mapInArrow(either, "at int, bits binary").collect():
+    for r in values.mapInArrow(tidied(mark), "at int, bits binary").repartition("at").mapInArrow(tidied(either), "at int, bits binary").collect():
         packed[r["at"]:r["at"] + len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
     return packed
 
@@ -351,7 +351,7 @@ def _needed_sets(spark: SparkSession, rows: DataFrame, need: DataFrame, width: i
                     sets.append(s.view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["sid", "s"])
 
-    made = rows.select("text").mapInArrow(select, "sid long, s array<long>").join(need, "sid", "left_semi")
+    made = rows.select("text").mapInArrow(tidied(select), "sid long, s array<long>").join(need, "sid", "left_semi")
     return made.groupBy("sid").agg(F.first("s").alias("s"))
 
 

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import id_text, prepare, unit_hash
+from tessera.llm.common import id_text, prepare, tidied, unit_hash
 
 _PARTS = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 _K = np.uint64(0x9E3779B97F4A7C15)
@@ -188,7 +188,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
             f = [x if len(x) <= features_per_text else np.sort(x[np.argsort((x * 2654435761) % (1 << 32), kind="stable")[:features_per_text]]) for x in f]
             yield pa.RecordBatch.from_arrays([b.column("label"), pa.array([x.astype(np.int32) for x in f], pa.list_(pa.int32()))], names=["label", "f"])
 
-    got = rows.mapInArrow(features, "label int, f array<int>").toArrow()
+    got = rows.mapInArrow(tidied(features), "label int, f array<int>").toArrow()
     y01 = np.array(got.column("label").to_pylist(), dtype=np.int64)
     feats = list_arrays(got.column("f"))
     order = sorted(range(len(feats)), key=lambda i: (y01[i], len(feats[i]), feats[i].tobytes()))
@@ -255,7 +255,7 @@ def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text",
             s = [shared.value.score(t) for t in b.column("__text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*[b.column(k) for k in keep], pa.array(s, pa.float64())], names=[*keep, "score"])
 
-    return base.mapInArrow(run, f"{schema}, score double")
+    return base.mapInArrow(tidied(run), f"{schema}, score double")
 
 
 def filter_quality(docs: DataFrame, model: QualityModel, min_score: float = 0.7, text_col: str = "text") -> DataFrame:

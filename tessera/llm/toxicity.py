@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import prepare, stored
+from tessera.llm.common import prepare, stored, tidied
 from tessera.llm.quality import labelled
 
 #: letters of other scripts that look like Latin ones (by shape, lower case)
@@ -147,7 +147,7 @@ def learn_lexicon(rows: DataFrame, min_docs: int = 4, min_ratio: float = 1.5, mi
     n1, n0 = n.get(1, 0), n.get(0, 0)
     if not n1 or not n0:
         return {}
-    counts = rows.mapInArrow(emit, "label int, term string").groupBy("term").agg(
+    counts = rows.mapInArrow(tidied(emit), "label int, term string").groupBy("term").agg(
         F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg")).where(F.col("pos") >= min_docs)
     ratio = F.log((F.col("pos") + 0.5) / F.lit(n1 + 1.0)) - F.log((F.col("neg") + 0.5) / F.lit(n0 + 1.0))
     share = n1 / (n1 + n0)
@@ -189,7 +189,7 @@ def learn_exceptions(rows: DataFrame, lexicon: dict[str, float], min_docs: int =
                     got_list = sorted(got)
                     yield pa.RecordBatch.from_arrays([pa.array([label] * len(got_list), pa.int32()), pa.array(got_list)], names=["label", "term"])
 
-    top = (rows.mapInArrow(emit, "label int, term string").groupBy("term").agg(F.sum("label").alias("pos"), F.count("*").alias("n"))
+    top = (rows.mapInArrow(tidied(emit), "label int, term string").groupBy("term").agg(F.sum("label").alias("pos"), F.count("*").alias("n"))
            .where((F.col("pos") == 0) & (F.col("n") >= min_docs)).orderBy(F.desc("n"), "term").limit(size).collect())
     return tuple(r["term"] for r in top)
 
@@ -217,7 +217,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
             yield pa.RecordBatch.from_arrays([b.column("label"), *[pa.array([r[k] for r in x], pa.float64()) for k in range(3)]],
                                              names=["label", "a", "b", "c"])
 
-    got = rows.where(part == 0).mapInArrow(features, "label int, a double, b double, c double").toPandas()
+    got = rows.where(part == 0).mapInArrow(tidied(features), "label int, a double, b double, c double").toPandas()
     got = got.sort_values(["label", "a", "b", "c"])
     y = got["label"].to_numpy(dtype=float)
     if len(set(y.tolist())) < 2:
@@ -262,4 +262,4 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
             x = np.array([m.features(t, a) for t in b.column("__text").to_pylist()], dtype=float).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays([*[b.column(k) for k in keep], pa.array(m.probability(x), pa.float64())], names=[*keep, "score"])
 
-    return base.mapInArrow(run, f"{schema}, score double")
+    return base.mapInArrow(tidied(run), f"{schema}, score double")
