@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import prepare, stored
 
+#: hosts with their dropped lines are broadcast up to this size
+BROADCAST_BYTES = 8 << 20
 #: tags that end a line of the page's text; scripts, styles and comments hold none
 _BLOCK = r"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|article|section|header|footer|nav|title|body|head|html|blockquote|pre|hr|main|aside)(?:\s[^>]*)?/?>"
 _SILENT = r"(?is)<(script|style)(?:\s[^>]*)?>.*?</\1\s*>|<!--.*?-->"
@@ -30,6 +32,15 @@ def page_lines(html: Column) -> Column:
     return F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")
 
 
+def _joined_by_host(rows: DataFrame, hosts: DataFrame, hosts_bytes: int, salts: int) -> DataFrame:
+    """``rows`` with the columns of ``hosts`` (one row a host): broadcast while small, salted beyond."""
+    if hosts_bytes <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(hosts), "host")
+    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__salt")
+    spread = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+    return rows.withColumn("__salt", spread).join(hosts.select("*", every_salt), ["host", "__salt"]).drop("__salt")
+
+
 def drop_boilerplate(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
                      max_ratio: float = 0.2, min_pages: int = 3, salts: int = 32) -> DataFrame:
     """``(id_col, host, host_pages, n_lines, n_dropped, text)``, one row a page.
@@ -41,37 +52,32 @@ def drop_boilerplate(pages: DataFrame, id_col: str = "page_id", url_col: str = "
     and are all returned; an empty table gives no rows. Other columns are not
     read, so their names cannot clash.
 
-    Lines are counted by host and line with partial sums before the shuffle, so
-    neither a large host nor a common line is a hot key. The host totals and
-    the flagged lines, one row each, are copied over ``salts`` values and joined
-    by host (and line) and salt. What comes back to a page is only the list of
-    its flagged lines, keyed by host and page content.
+    Lines are known by 64-bit hashes within their host and counted with partial
+    sums before the shuffle, so neither a large host nor a common line is a hot
+    key. What a host drops is one array of hashes: a line in it stands on more
+    than ``max_ratio`` of the pages, so it has at most ``1 / max_ratio`` times
+    as many entries as a page of the host has lines on average. That table, one
+    row a host, meets the pages by broadcast up to ``BROADCAST_BYTES`` as
+    counted, and beyond that by a join over ``salts`` copies of it.
     """
+    if not max_ratio > 0:
+        raise ValueError("max_ratio must be above 0")
     spark = pages.sparkSession
     prepare(spark)
-    base = pages.select(F.col(id_col), host_of(F.col(url_col)).alias("host"), page_lines(F.col(html_col)).alias("__lines"))
-    base = base.withColumn("__page", F.md5(F.array_join("__lines", "\n").cast("binary")))
-    base, path = stored(base, "page-lines")
-    salt_of = F.pmod(F.xxhash64("__page"), F.lit(salts)).cast("int")
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__salt")
+    base, _ = stored(pages.select(F.col(id_col), host_of(F.col(url_col)).alias("host"), page_lines(F.col(html_col)).alias("__lines")), "page-lines")
 
-    totals = base.groupBy("host").agg(F.count("*").alias("host_pages"))
-    counts = (base.select("host", F.explode(F.array_distinct("__lines")).alias("line"))
-              .groupBy("host", "line").agg(F.count("*").alias("line_pages")).where(F.col("line_pages") >= min_pages))
-    salted = totals.select("host", "host_pages", every_salt)
-    flagged = (counts.withColumn("__salt", F.pmod(F.xxhash64("line"), F.lit(salts)).cast("int")).join(salted, ["host", "__salt"])
-               .where(F.col("line_pages") > F.lit(max_ratio) * F.col("host_pages")).select("host", "line"))
-    distinct = base.select("host", "__page", "__lines").dropDuplicates(["host", "__page"])
-    hits = (distinct.select("host", "__page", salt_of.alias("__salt"), F.explode(F.array_distinct("__lines")).alias("line"))
-            .join(flagged.select("host", "line", every_salt), ["host", "line", "__salt"])
-            .groupBy("host", "__page").agg(F.collect_set("line").alias("__bad")))
-    # a host's pages that are all alike are one key: spread them as well
-    spread = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
-    out = (base.withColumn("__salt", spread)
-           .join(hits.select("host", "__page", "__bad", every_salt), ["host", "__page", "__salt"], "left")
-           .join(salted, ["host", "__salt"]))
+    host_bytes = F.coalesce(F.sum(F.octet_length("host") + 64), F.lit(0))
+    totals, _ = stored(base.groupBy("host").agg(F.count("*").alias("host_pages")), "host-pages")
+    keys = base.select("host", F.explode(F.array_distinct(F.transform("__lines", lambda x: F.xxhash64(x)))).alias("line"))
+    counts = keys.groupBy("host", "line").agg(F.count("*").alias("line_pages")).where(F.col("line_pages") >= min_pages)
+    flagged = (_joined_by_host(counts, totals, totals.agg(host_bytes).head()[0], salts)
+               .where(F.col("line_pages") > F.lit(max_ratio) * F.col("host_pages")).groupBy("host").agg(F.collect_list("line").alias("__bad")))
+    hosts, _ = stored(totals.join(flagged, "host", "left"), "host-lines")
+
+    array_bytes = F.coalesce(F.sum(8 * F.coalesce(F.size("__bad"), F.lit(0))), F.lit(0))
+    out = _joined_by_host(base, hosts, sum(hosts.agg(host_bytes, array_bytes).head()), salts)
     kept = F.when(F.col("__bad").isNull(), F.col("__lines")).otherwise(
-        F.filter("__lines", lambda x: ~F.array_contains(F.col("__bad"), x)))
+        F.filter("__lines", lambda x: ~F.array_contains(F.col("__bad"), F.xxhash64(x))))
     out = out.withColumn("__kept", kept)
     return out.select(id_col, "host", "host_pages", F.size("__lines").cast("long").alias("n_lines"),
                       (F.size("__lines") - F.size("__kept")).cast("long").alias("n_dropped"),

@@ -124,6 +124,13 @@ def test_lines_corner_cases(spark):
     assert lines.drop_boilerplate(df.limit(0)).count() == 0
 
 
+def test_lines_salted_join_equals_broadcast(spark, monkeypatch):
+    pages = spark.read.parquet(f"{SF01}/pages.parquet")
+    small = sorted(lines.drop_boilerplate(pages).collect())
+    monkeypatch.setattr(lines, "BROADCAST_BYTES", -1)
+    assert sorted(lines.drop_boilerplate(pages, salts=5).collect()) == small
+
+
 def test_components_on_a_chain_and_a_star(spark):
     e = [(i, i + 1) for i in range(1, 40)] + [(100, i) for i in range(101, 140)] + [(5, 5)]
     got = {r["node"]: r["label"] for r in connected_components(spark.createDataFrame(e, "a long, b long")).collect()}
