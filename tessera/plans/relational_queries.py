@@ -226,18 +226,21 @@ def distinct_q(spark, sf):
 
 
 @query("cte_quarters", """
-WITH trimestres AS (
-  SELECT CAST(year(l_shipdate) AS INTEGER) AS anio, CAST(quarter(l_shipdate) AS INTEGER) AS trimestre,
-         CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total
-  FROM lineitem GROUP BY 1, 2)
-SELECT * FROM trimestres
+WITH sales AS (
+  SELECT CAST(year(l_shipdate) AS INTEGER) AS ship_year, CAST(quarter(l_shipdate) AS INTEGER) AS ship_quarter,
+         SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS revenue
+  FROM lineitem GROUP BY ALL),
+years AS (SELECT ship_year, MAX(revenue) AS best FROM sales GROUP BY ship_year)
+SELECT ship_year, ship_quarter, CAST(revenue AS DOUBLE) AS revenue, CAST(best AS DOUBLE) AS best_of_year
+FROM sales JOIN years USING (ship_year)
 """)
 def cte_quarters(spark, sf):
-    li = t(spark, sf, "lineitem")
-    trimestres = li.groupBy(F.year("l_shipdate").alias("anio"),
-                            F.quarter("l_shipdate").alias("trimestre")
-                            ).agg(money("l_extendedprice").alias("total"))
-    return trimestres.select("*")
+    """A named subquery used twice: each quarter's revenue beside the best quarter of its year."""
+    sales = t(spark, sf, "lineitem").groupBy(
+        F.year("l_shipdate").alias("ship_year"), F.quarter("l_shipdate").alias("ship_quarter")
+    ).agg(money("l_extendedprice").alias("revenue"))
+    years = sales.groupBy("ship_year").agg(F.max("revenue").alias("best_of_year"))
+    return sales.join(years, "ship_year")
 
 
 # --------------------------------------------------------------------------
@@ -347,30 +350,20 @@ def join_list_q(spark, sf):
 
 
 @query("gap_fill", """
-SELECT s.value, p.anio, p.mes, CAST(p.dia AS DOUBLE) AS dia, p.total
-FROM (SELECT CAST(range AS INTEGER) AS value FROM range(1, 32)) s
-LEFT JOIN (
-  SELECT CAST(year(date_trunc('day', l_shipdate)) AS DOUBLE) AS anio,
-         CAST(month(date_trunc('day', l_shipdate)) AS DOUBLE) AS mes,
-         CAST(day(date_trunc('day', l_shipdate)) AS INTEGER) AS dia,
-         CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total
-  FROM lineitem WHERE date_trunc('month', l_shipdate) = TIMESTAMP '1996-02-01 00:00:00'
-  GROUP BY date_trunc('day', l_shipdate)) p
-ON s.value = p.dia
-ORDER BY s.value
+WITH shipped AS (
+  SELECT CAST(l_shipdate AS DATE) AS on_day, COUNT(*) AS n_lines, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+  FROM lineitem WHERE l_shipdate >= DATE '1996-02-01' AND l_shipdate < DATE '1996-03-01' GROUP BY ALL)
+SELECT CAST(n AS INTEGER) AS value, CAST(n_lines AS DOUBLE) AS n_lines, revenue
+FROM range(1, 32) AS days(n) LEFT JOIN shipped ON day(on_day) = n
 """)
 def gap_fill_q(spark, sf):
-    li = t(spark, sf, "lineitem")
-    day = F.date_trunc("day", "l_shipdate")
-    feb = li.where(F.date_trunc("month", "l_shipdate").cast("timestamp_ntz")
-                   == F.lit("1996-02-01 00:00:00").cast("timestamp_ntz"))
-    totals = feb.groupBy(day.alias("_d")).agg(money("l_extendedprice").alias("total")).select(
-        F.year("_d").alias("anio"), F.month("_d").alias("mes"), F.dayofmonth("_d").alias("dia"),
-        "total")
-    # days with no rows keep NULL parts; nullable integers leave as DOUBLE
-    return R.gap_fill(S.series(spark, 1, 31), totals, "dia").select(
-        "value", *[F.col(c).cast("double").alias(c) for c in ("anio", "mes", "dia")], "total"
-    ).orderBy("value")
+    """Every day number 1 to 31 with what was shipped on it in one month; days without lines keep NULL."""
+    when = F.col("l_shipdate").cast("date")
+    month = t(spark, sf, "lineitem").where((F.col("l_shipdate") >= F.lit("1996-02-01").cast("date"))
+                                           & (F.col("l_shipdate") < F.lit("1996-03-01").cast("date")))
+    shipped = month.groupBy(F.dayofmonth(when).alias("day_no")).agg(
+        F.count("*").cast("double").alias("n_lines"), money("l_extendedprice").alias("revenue"))
+    return R.gap_fill(S.series(spark, 1, 31), shipped, "day_no").select("value", "n_lines", "revenue")
 
 
 @query("child_count", """
