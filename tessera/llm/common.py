@@ -103,7 +103,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     with the logarithm of the component size. Links stay in DataFrames; each
     round is checkpointed into the shared folder, and only a count and a hash
     sum reach the driver to see that nothing changed. Null ends and loops are
-    dropped; nodes without links are not in the result.
+    dropped; nodes without links are not in the result. Links that still change
+    after ``max_rounds`` are an error, never a part of the result.
     """
     prepare(edges.sparkSession)
 
@@ -129,6 +130,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"components still changed after {max_rounds} rounds")
     roots = cur.groupBy("a").agg(F.min("b").alias("label"))
     return roots.select(F.col("a").alias("node"), "label").union(
         cur.select(F.col("b").alias("node")).distinct().join(roots.select(F.col("a").alias("node")), "node", "left_anti")
