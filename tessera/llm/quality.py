@@ -123,14 +123,18 @@ def dual_descent(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, size:
     return w, bias
 
 
-def fit_sigmoid(margin: np.ndarray, y01: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of the logistic curve through margins and labels, by Newton steps on smoothed targets."""
+def fit_sigmoid(margin: np.ndarray, y01: np.ndarray, weight: np.ndarray | None = None) -> tuple[float, float]:
+    """Slope and offset of the logistic curve through margins and labels, by Newton steps on smoothed targets.
+
+    A row counts ``weight`` times, in proportion; targets are smoothed by the rows there are.
+    """
+    weight = np.ones(len(y01)) if weight is None else weight / weight.mean()
     pos, neg = float(y01.sum()), float(len(y01) - y01.sum())
     t = np.where(y01 > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
-    a, b = 1.0, float(np.log((pos + 1) / (neg + 1)))
+    a, b = 1.0, float(np.log((weight @ y01 + 1) / (weight @ (1 - y01) + 1)))
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(a * margin + b, -35, 35)))
-        d, h = p - t, np.maximum(p * (1 - p), 1e-9)
+        d, h = weight * (p - t), weight * np.maximum(p * (1 - p), 1e-9)
         g = np.array([float(d @ margin) + 1e-3 * (a - 1), float(d.sum())])
         hess = np.array([[float(h @ (margin * margin)) + 1e-3, float(h @ margin)], [float(h @ margin), float(h.sum()) + 1e-6]])
         step = np.linalg.solve(hess, g)
@@ -152,11 +156,14 @@ def list_arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
 
 def labelled(docs: DataFrame, labels: DataFrame, label_col: str, usable: Column, per_class: int, id_col: str = "doc_id",
              text_col: str = "text", seed: str = "labels") -> DataFrame:
-    """``(label, text)``: about ``per_class`` labelled rows of each class, chosen by a hash of the id.
-
-    ``usable`` is a condition on ``id_col``. Ids with null or contradicting
-    labels are not used; labels given twice count once. The chosen ids, bounded
-    by the parameter, are joined to the documents where those lie.
+    """``(label, weight, text)``: about ``per_class`` labelled rows of each class, chosen by a hash of the id.
+
+    ``weight`` is the number of labelled rows that a chosen one stands for, 1
+    where its class is taken whole; weighted by it the classes are in the
+    proportion of the whole table. ``usable`` is a condition on ``id_col``. Ids
+    with null or contradicting labels are not used; labels given twice count
+    once. The chosen ids, bounded by the parameter, are joined to the documents
+    where those lie.
     """
     one = (labels.where(usable & F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
            .select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("label"))
@@ -164,8 +171,9 @@ def labelled(docs: DataFrame, labels: DataFrame, label_col: str, usable: Column,
     counts = {r["label"]: r["n"] for r in one.groupBy("label").agg(F.count("*").alias("n")).collect()}
     share = F.when(F.col("label") == 1, F.lit(min(1.0, per_class / max(1, counts.get(1, 0))))).otherwise(
         F.lit(min(1.0, per_class / max(1, counts.get(0, 0)))))
-    chosen = one.where(unit_hash(F.col("__id"), seed=seed) < share).select("__id", "label")
-    return docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "__id").select("label", "text")
+    chosen = one.where(unit_hash(F.col("__id"), seed=seed) < share).select("__id", "label", (1 / share).alias("weight"))
+    return docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "__id").select(
+        "label", "weight", "text")
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
@@ -173,7 +181,9 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
           features_per_text: int = 6000, seed: int = 11) -> QualityModel:
     """Fit the classifier on at most about ``per_class`` labelled rows of each class.
 
-    Indicators are made on the executors; of a very long training text a hashed
+    The scores are for classes in the proportion of all labelled rows, however
+    many of each are taken: the sigmoid is fitted with the rows' weights, and the
+    hinge loss counts both classes alike. Indicators are made on the executors; of a very long training text a hashed
     part of ``features_per_text`` of them goes to the driver. N-grams in fewer than
     ``min_docs`` of the rows do not count. ``mix`` weighs the
     fitted weights against their mean magnitude. With fewer than two classes
@@ -186,10 +196,12 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
         for b in batches:
             f = [indicators(t, bits) for t in b.column("text").to_pylist()]
             f = [x if len(x) <= features_per_text else np.sort(x[np.argsort((x * 2654435761) % (1 << 32), kind="stable")[:features_per_text]]) for x in f]
-            yield pa.RecordBatch.from_arrays([b.column("label"), pa.array([x.astype(np.int32) for x in f], pa.list_(pa.int32()))], names=["label", "f"])
+            yield pa.RecordBatch.from_arrays([b.column("label"), b.column("weight"), pa.array([x.astype(np.int32) for x in f], pa.list_(pa.int32()))],
+                                             names=["label", "weight", "f"])
 
-    got = rows.mapInArrow(tidied(features), "label int, f array<int>").toArrow()
+    got = rows.mapInArrow(tidied(features), "label int, weight double, f array<int>").toArrow()
     y01 = np.array(got.column("label").to_pylist(), dtype=np.int64)
+    stands_for = np.array(got.column("weight").to_pylist(), dtype=float)
     feats = list_arrays(got.column("f"))
     order = sorted(range(len(feats)), key=lambda i: (y01[i], len(feats[i]), feats[i].tobytes()))
     model = QualityModel(bits)
@@ -232,7 +244,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
         fit(inside)
         margins[out] = [model.margin(feats[order[j]]) for j in out]
     prior = y01[order].astype(float)
-    model.slope, model.offset = fit_sigmoid(margins, prior)
+    model.slope, model.offset = fit_sigmoid(margins, prior, stands_for[order])
     fit(order)
     return model
 

@@ -198,15 +198,18 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
           per_class: int = 3000, exceptions: tuple[str, ...] = (), **options) -> ToxicityModel:
     """Fit lexicon and curve on at most about ``per_class`` labelled rows of each class.
 
-    Two thirds of the rows give the lexicon, the rest the curve. ``exceptions``
+    Two thirds of the rows give the lexicon, the rest the curve, each row with its
+    weight, so that the scores are for classes in the proportion of all labelled
+    rows, however many of each are taken. ``exceptions``
     are added to the learned phrases. Without rows of both classes nothing
     matches and the score is the share of label 1 (0.5 without rows).
     """
     prepare(docs.sparkSession)
     rows, _ = stored(labelled(docs, labels, label_col, usable, per_class, id_col, text_col, "toxicity"), "toxicity-rows")
     part = F.pmod(F.xxhash64("text"), F.lit(3))
-    lexicon = learn_lexicon(rows.where(part != 0), **options)
-    model = ToxicityModel(lexicon, tuple(sorted({*exceptions, *learn_exceptions(rows.where(part != 0), lexicon)})))
+    words = rows.where(part != 0).select("label", "text")
+    lexicon = learn_lexicon(words, **options)
+    model = ToxicityModel(lexicon, tuple(sorted({*exceptions, *learn_exceptions(words, lexicon)})))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def features(batches):
@@ -214,10 +217,10 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
         a = m.automaton()
         for b in batches:
             x = [m.features(t, a) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("label"), *[pa.array([r[k] for r in x], pa.float64()) for k in range(3)]],
-                                             names=["label", "a", "b", "c"])
+            yield pa.RecordBatch.from_arrays([b.column("label"), b.column("weight"), *[pa.array([r[k] for r in x], pa.float64()) for k in range(3)]],
+                                             names=["label", "weight", "a", "b", "c"])
 
-    got = rows.where(part == 0).mapInArrow(tidied(features), "label int, a double, b double, c double").toPandas()
+    got = rows.where(part == 0).mapInArrow(tidied(features), "label int, weight double, a double, b double, c double").toPandas()
     got = got.sort_values(["label", "a", "b", "c"])
     y = got["label"].to_numpy(dtype=float)
     if len(set(y.tolist())) < 2:
@@ -225,14 +228,17 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
         model.bias = float(np.log(max(p, 1e-3) / max(1 - p, 1e-3)))
         return model
     x = got[["a", "b", "c"]].to_numpy(dtype=float)
-    model.center, model.scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
+    weight = got["weight"].to_numpy(dtype=float)
+    weight = weight / weight.mean()
+    model.center = np.average(x, axis=0, weights=weight)
+    model.scale = np.maximum(np.sqrt(np.average((x - model.center) ** 2, axis=0, weights=weight)), 1e-9)
     z = np.column_stack([(x - model.center) / model.scale, np.ones(len(x))])
     theta = np.zeros(4)
     ridge = np.diag([1e-2, 1e-2, 1e-2, 1e-6]) * len(x)
     for _ in range(60):  # Newton steps of a ridge logistic regression
         p = 1 / (1 + np.exp(-np.clip(z @ theta, -35, 35)))
-        g = z.T @ (p - y) + ridge @ theta * 0.1
-        h = (z * np.maximum(p * (1 - p), 1e-9)[:, None]).T @ z + ridge * 0.1
+        g = z.T @ (weight * (p - y)) + ridge @ theta * 0.1
+        h = (z * (weight * np.maximum(p * (1 - p), 1e-9))[:, None]).T @ z + ridge * 0.1
         step = np.linalg.solve(h, g)
         step *= 1.0 / max(1.0, float(np.abs(step).max()) / 2)
         theta -= step

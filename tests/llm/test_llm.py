@@ -250,6 +250,19 @@ def test_classifiers_held_out_accuracy(spark, odd, none):
         assert all(0 <= r["score"] <= 1 for r in score(odd, model).collect())
 
 
+@pytest.mark.parametrize("mod, score", [(quality, quality.score_quality), (toxicity, toxicity.score_toxicity)])
+def test_scores_do_not_follow_the_size_of_the_sample(spark, mod, score):
+    """Texts that say nothing about a label of five in six score about that, whether the sample holds all rows or as many of each class."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 40, 12)) for _ in range(900)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 6 > 0)) for i in range(600)], "doc_id long, label int")
+    for per_class in (600, 100):
+        model = mod.train(docs, labels, F.lit(True), label_col="label", per_class=per_class)
+        mean = score(docs.where("doc_id >= 600"), model).agg(F.avg("score")).head()[0]
+        assert abs(mean - 5 / 6) < 0.08, (per_class, mean)
+
+
 def test_toxicity_folds_disguises_and_spares_exceptions():
     m = toxicity.ToxicityModel({"idiot": 3.0, "troll*": 2.0}, ("troll doll",))
     a = m.automaton()
