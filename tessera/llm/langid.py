@@ -121,13 +121,9 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def _sparse(text: str, bits: int, orders: tuple[int, ...], limit: int) -> tuple[np.ndarray, np.ndarray]:
+def _sparse(text: str, bits: int, orders: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
     buf = np.frombuffer(letters(text), dtype=np.uint8)
-    b, c = np.unique(np.concatenate([subword_buckets(buf, n, bits)[1] for n in orders]), return_counts=True)
-    if len(b) > limit:  # of a very long training text, the most frequent buckets
-        top = np.sort(np.argsort(-c, kind="stable")[:limit])
-        b, c = b[top], c[top]
-    return b, c
+    return np.unique(np.concatenate([subword_buckets(buf, n, bits)[1] for n in orders]), return_counts=True)
 
 
 def training_rows(docs: DataFrame, label: Column, usable: Column, id_col: str, text_col: str, per_class: int, seed: str) -> DataFrame:
@@ -135,23 +131,22 @@ def training_rows(docs: DataFrame, label: Column, usable: Column, id_col: str, t
 
     The number of rows per class is a parameter, not a share of the input: the
     classes are counted over all rows, then rows with a hash below
-    ``per_class / count`` are taken.
+    ``per_class / count`` are taken. Every label there is takes part; their
+    counts are broadcast.
     """
-    rows = docs.where(usable & label.isNotNull() & F.col(text_col).isNotNull())
-    counts = rows.groupBy(label.alias("label")).count().orderBy(F.desc("count"), "label").limit(1000).collect()
-    share = F.lit(0.0)
-    for r in counts:
-        share = F.when(label == F.lit(r["label"]), F.lit(min(1.0, per_class / r["count"]))).otherwise(share)
-    return rows.where(unit_hash(F.col(id_col), seed=seed) < share).select(label.alias("label"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.where(usable & label.isNotNull() & F.col(text_col).isNotNull()).select(
+        label.alias("label"), unit_hash(F.col(id_col), seed=seed).alias("__u"), F.col(text_col).cast("string").alias("text"))
+    shares = rows.groupBy("label").agg((F.lit(float(per_class)) / F.count("*")).alias("__share"))
+    return rows.join(F.broadcast(shares), "label").where(F.col("__u") < F.least(F.col("__share"), F.lit(1.0))).select("label", "text")
 
 
 def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_class: int = 700,
           dim: int = 16, bits: int = 15, orders: tuple[int, ...] = (2, 3, 4), epochs: int = 6, rate: float = 0.5,
-          features_per_text: int = 1500, target_precision: float = 0.99, seed: int = 7) -> LanguageModel:
+          target_precision: float = 0.99, seed: int = 7) -> LanguageModel:
     """Fit the model on at most about ``per_class`` rows of each language among the ``usable`` ones.
 
-    N-grams are counted on the executors; the driver gets at most
-    ``features_per_text`` bucket counts of each sampled row. Rows with null
+    N-grams are counted on the executors over whole texts; the driver gets the
+    bucket counts of each sampled row, ``2 ** bits`` at most. Rows with null
     text or language are not used; without any row the model has no class and
     answers ``und``.
     """
@@ -160,7 +155,7 @@ def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
 
     def features(batches):
         for b in batches:
-            f = [_sparse(t, bits, orders, features_per_text) for t in b.column("text").to_pylist()]
+            f = [_sparse(t, bits, orders) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("label"), pa.array([x.astype(np.int32) for x, _ in f], pa.list_(pa.int32())),
                                               pa.array([c.astype(np.int32) for _, c in f], pa.list_(pa.int32()))], names=["label", "b", "c"])
 

@@ -178,15 +178,15 @@ def labelled(docs: DataFrame, labels: DataFrame, label_col: str, usable: Column,
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
           per_class: int = 3000, bits: int = 18, c: float = 1.0, smoothing: float = 1.0, min_docs: int = 3, mix: float = 0.5, passes: int = 20,
-          features_per_text: int = 6000, seed: int = 11) -> QualityModel:
+          seed: int = 11) -> QualityModel:
     """Fit the classifier on at most about ``per_class`` labelled rows of each class.
 
     The scores are for classes in the proportion of all labelled rows, however
     many of each are taken: the sigmoid is fitted with the rows' weights, and the
-    hinge loss counts both classes alike. Indicators are made on the executors; of a very long training text a hashed
-    part of ``features_per_text`` of them goes to the driver. N-grams in fewer than
-    ``min_docs`` of the rows do not count. ``mix`` weighs the
-    fitted weights against their mean magnitude. With fewer than two classes
+    hinge loss counts both classes alike. Indicators are made on the executors
+    from whole texts; the driver gets those of each sampled row. N-grams in
+    fewer than ``min_docs`` of the rows do not count. ``mix`` weighs the fitted
+    weights against their mean magnitude. With fewer than two classes
     every score is the share of label 1 (0.5 without rows).
     """
     prepare(docs.sparkSession)
@@ -195,7 +195,6 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
     def features(batches):
         for b in batches:
             f = [indicators(t, bits) for t in b.column("text").to_pylist()]
-            f = [x if len(x) <= features_per_text else np.sort(x[np.argsort((x * 2654435761) % (1 << 32), kind="stable")[:features_per_text]]) for x in f]
             yield pa.RecordBatch.from_arrays([b.column("label"), b.column("weight"), pa.array([x.astype(np.int32) for x in f], pa.list_(pa.int32()))],
                                              names=["label", "weight", "f"])
 

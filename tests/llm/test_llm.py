@@ -236,6 +236,27 @@ def test_language_held_out_accuracy(spark, odd, none):
     assert {r["lang_pred"] for r in langid.identify(odd, empty).collect()} == {"und"}
 
 
+def test_language_training_takes_every_language_and_whole_texts(spark, monkeypatch):
+    rows = langid.training_rows(spark.range(2400).select(F.col("id").alias("doc_id"), (F.col("id") % 1200).cast("string").alias("lang"),
+                                                         F.lit("a few words").alias("text")), F.col("lang"), F.lit(True), "doc_id", "text", 700, "t")
+    assert rows.select("label").distinct().count() == 1200
+    rng = np.random.default_rng(5)
+    long = " ".join("".join(chr(97 + k) for k in rng.integers(0, 26, 7)) for _ in range(2000))
+    got, lists = [], langid.list_arrays
+    monkeypatch.setattr(langid, "list_arrays", lambda c: got.append(lists(c)) or got[-1])
+    langid.train(spark.createDataFrame([(1, long, "x"), (2, "other words", "y")], "doc_id long, text string, lang string"), F.lit(True), epochs=1)
+    buf = np.frombuffer(langid.letters(long), dtype=np.uint8)
+    assert max(len(x) for x in got[0]) == len(np.unique(np.concatenate([langid.subword_buckets(buf, n, 15)[1] for n in (2, 3, 4)]))) > 1500
+
+
+def test_quality_training_reads_whole_texts(spark):
+    long = " ".join(f"{chr(97 + i % 26)}{'bcdfghklmn'[i // 26 % 10]}{'aeiouxyzqw'[i // 260 % 10]}{chr(97 + i // 2600)}" for i in range(6000))
+    docs = spark.createDataFrame([(i, long if i < 6 else "short plain words") for i in range(12)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 6)) for i in range(12)], "doc_id long, quality int")
+    model, buckets = quality.train(docs, labels, F.lit(True)), quality.indicators(long, 18)
+    assert len(buckets) > 6000 and (model.ratio[buckets] != 0).mean() > 0.99
+
+
 def test_classifiers_held_out_accuracy(spark, odd, none):
     docs, labels = spark.read.parquet(f"{SF01}/documents.parquet"), spark.read.parquet(f"{SF01}/labels.parquet")
     out = queries.op10_quality(spark, SF01).join(labels, "doc_id").where("held_out")
