@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.llm.common import connected_components, discard, prepare, stored, tidied
 
@@ -448,11 +449,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     all documents (they are larger than the texts); those of documents in
     some list are made again from the texts.
     """
+    out = _components(_text_rows(docs, id_col, text_col), width, percent)
+    return out.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"),
+                      F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def _components(rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """``(doc_id, n, sid, label, component_id)`` of ``(doc_id, text)`` rows, one for each.
+
+    ``sid`` is the set's fingerprint and ``label`` the component's, which tells
+    components of equal ``component_id`` apart where ids repeat or are null; both
+    are null where the set is empty.
+    """
     if not 0 < percent <= 100:
         raise ValueError("percent must be in 1..100")
-    spark = docs.sparkSession
+    spark = rows.sparkSession
     prepare(spark)
-    rows = _text_rows(docs, id_col, text_col)
     bits = _table_bits(rows)
     profiles, _ = stored(_profiles(spark, rows, _frequency_levels(rows, width, bits), bits, width, percent), "join-profiles")
     active = _shared_prefixes(spark, profiles)
@@ -492,32 +504,43 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = classes.join(label, "sid", "left").select("sid", "least", F.coalesce("label", "sid").alias("label"))
     classes, _ = stored(classes, "join-classes")
     roots = classes.groupBy("label").agg(F.min("least").alias("component_id"))
-    of_set = classes.join(roots, "label").select("sid", "component_id")
-    out = profiles.select("doc_id", "n", "sid").join(of_set, "sid", "left")
-    return out.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"),
-                      F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    of_set = classes.join(roots, "label").select("sid", "label", "component_id")
+    return profiles.select("doc_id", "n", "sid").join(of_set, "sid", "left")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component: the one with the smallest id, with its columns unchanged.
 
-    Documents without words are in no component and all stay. Rows that repeat
-    an id that stays count once; rows with a null id stay, one for each text,
-    only where a component has null ids alone.
+    Documents without words are in no component and all stay. Every component
+    keeps one row, also where ids repeat over components or a component has null
+    ids alone: of the rows with its smallest id, one with the smallest set id.
     """
-    parts, _ = stored(jaccard_components(docs, id_col, text_col, width, percent), "keep-parts")
-    one = parts.where("n_shingles > 0").where(F.col(id_col) == F.col("component_id")).groupBy(id_col).agg(F.count("*").alias("n"))
-    one, _ = stored(one, "keep-ids")
+    parts, _ = stored(_components(_text_rows(docs, id_col, text_col), width, percent).where("n > 0"), "keep-parts")
+    root = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    ids, _ = stored(parts.groupBy("doc_id").agg(F.count("*").alias("n"), F.max(root).alias("root")).where("root"), "keep-ids")
     empty = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(r"[^\x20\x09-\x0D]")), F.lit(0)) == 0
     wordless = docs.where(empty)
     words = docs.where(~empty)
-    single = words.join(one.where("n = 1").select(id_col), id_col, "left_semi")
-    repeated = words.join(one.where("n > 1").select(id_col), id_col, "left_semi").dropDuplicates([id_col])
+    single = words.join(ids.where("n = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias(id_col)), id_col, "left_semi")
     cols = docs.columns
     out = single.select(*cols).union(wordless.select(*cols))
-    if one.where("n > 1").limit(1).count():
-        out = out.union(repeated.select(*cols))
-    nameless = parts.where(F.col(id_col).isNull() & F.col("component_id").isNull() & (F.col("n_shingles") > 0))
-    if nameless.limit(1).count():  # components of null ids only: one row for each text
-        out = out.union(words.where(F.col(id_col).isNull()).dropDuplicates([text_col]).select(*cols))
+    unclear = ids.where("n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("__id"))
+    if unclear.limit(1).count():  # the id does not tell the row: by id and set
+        picked = parts.where(root).join(unclear, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").groupBy("label").agg(
+            F.first("doc_id").alias("__id"), F.min("sid").alias("__root"))
+        rows = _with_set_ids(words.join(unclear, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi"), text_col, width)
+        rows = rows.join(picked, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__sid") == F.col("__root")), "left_semi")
+        out = out.union(rows.dropDuplicates([id_col, "__sid"]).select(*cols))
     return out
+
+
+def _with_set_ids(docs: DataFrame, text_col: str, width: int) -> DataFrame:
+    """All columns and ``__sid``, the id of the text's set."""
+    schema = T.StructType([*docs.schema.fields, T.StructField("__sid", T.LongType())])
+
+    def run(batches):
+        for b in batches:
+            sid = [set_id(s) if len(s) else None for s in shingle_sets(b.column("__text").to_pylist(), width)]
+            yield pa.RecordBatch.from_arrays([*[b.column(f.name) for f in schema.fields[:-1]], pa.array(sid, pa.int64())], names=schema.names)
+
+    return docs.withColumn("__text", F.col(text_col).cast("string").cast("binary")).mapInArrow(tidied(run), schema)

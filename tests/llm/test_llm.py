@@ -176,6 +176,14 @@ def test_join_corner_cases(spark, odd, none):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "2", "3", "5", "6", "None"]
 
 
+def test_keep_one_selects_rows_where_ids_repeat_or_are_null(spark):
+    a, b, c, d, e = (" ".join(f"{k}{i}" for i in range(20)) for k in "abcde")
+    rows = [(1, a), (1, b), (2, b), (3, a), (4, c), (5, c), (5, d), (0, d), (None, e), (None, e), (None, a), (None, "lone words"), (6, " ")]
+    kept = ngram_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["text"], str(r["doc_id"])) for r in kept) == sorted(
+        [(a, "1"), (b, "1"), (c, "4"), (d, "0"), (e, "None"), ("lone words", "None"), (" ", "6")])
+
+
 def test_vectors_against_brute_force(spark):
     rng = np.random.default_rng(3)
     v = rng.normal(size=(700, 16))
