@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, decontam, langid, lines, materialise, mixing, ngram_join, quality, toxicity, vector_graph
-from tessera.llm.common import fold, prepare, table
+from tessera.llm import (chat, decontam, langid, lines, materialise, mixing, ngram_join, packing, periodic, quality, toxicity, vector_codes,
+                         vector_graph)
+from tessera.llm.common import SPACE_WORD, fold, prepare, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -193,3 +194,104 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.train(docs, table(spark, sf_dir, "labels"), usable=fold(F.col("doc_id"), 4) != 2)
     out = quality.score_quality(docs, model)
     return out.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@register("op11_periodic_runs", r"""
+WITH RECURSIVE d AS (SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) AS h FROM documents),
+s AS (SELECT *, len(w) AS n, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a, (h // 10) % 8 AS g8 FROM d),
+z AS (SELECT *, 1 + (n - a) // (3 + g8) AS p FROM s),
+o AS (SELECT rid, h, a, p, unnest(w) AS word, unnest(range(n)) AS pos FROM z),
+t AS (SELECT x.rid, x.pos, y.word FROM o x JOIN o y
+  ON x.rid = y.rid AND y.pos = CASE WHEN x.h % 10 = 0 AND x.pos >= x.a THEN x.a + (x.pos - x.a) % x.p ELSE x.pos END),
+g1 AS (SELECT rid, pos, hash(word) AS g FROM t),
+g2 AS (SELECT *, CASE WHEN lead(g) OVER w IS NOT NULL THEN hash(row(g, lead(g) OVER w)) END AS gg FROM g1 WINDOW w AS (PARTITION BY rid ORDER BY pos)),
+g3 AS (SELECT *, CASE WHEN lead(g, 2) OVER w IS NOT NULL THEN hash(row(gg, lead(g, 2) OVER w)) END AS ggg FROM g2 WINDOW w AS (PARTITION BY rid ORDER BY pos)),
+g6 AS (SELECT rid, pos, CASE WHEN lead(gg, 3) OVER w IS NOT NULL THEN hash(row(ggg, lead(gg, 3) OVER w)) END AS five,
+    CASE WHEN lead(ggg, 3) OVER w IS NOT NULL THEN hash(row(ggg, lead(ggg, 3) OVER w)) END AS six FROM g3 WINDOW w AS (PARTITION BY rid ORDER BY pos)),
+lv AS (SELECT rid, pos, 6::BIGINT AS k, six AS g FROM g6 WHERE six IS NOT NULL
+  UNION ALL SELECT * FROM (SELECT rid, pos, 2 * k, CASE WHEN lead(g, k) OVER w IS NOT NULL THEN hash(row(g, lead(g, k) OVER w)) END AS g
+    FROM lv WINDOW w AS (PARTITION BY rid ORDER BY pos)) WHERE g IS NOT NULL),
+grams AS (SELECT rid, pos, 5 AS k, 1 AS low, five AS g FROM g6 WHERE five IS NOT NULL UNION ALL SELECT rid, pos, k, k // 3, g FROM lv),
+seeds AS (SELECT * FROM (SELECT rid, pos, k, low, lead(pos) OVER (PARTITION BY rid, k, g ORDER BY pos) - pos AS q FROM grams) WHERE q >= low AND q < 2 * low),
+isl AS (SELECT *, pos - row_number() OVER (PARTITION BY rid, q ORDER BY pos) AS grp FROM seeds),
+runs AS (SELECT rid, min(pos) AS start, count(*) + k - 1 + q AS length, q AS period FROM isl GROUP BY rid, q, k, grp HAVING count(*) + k - 1 + q >= greatest(6, 4 * q)),
+best AS (SELECT rid, count(*) AS n_runs, arg_min(start, row(-length, start, period)) AS start, max(length) AS length,
+    arg_min(period, row(-length, start, period)) AS period,
+    string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS txt FROM runs GROUP BY rid),
+gone AS (SELECT DISTINCT rid, unnest(range(start + period, start + length)) AS pos FROM runs),
+kept AS (SELECT rid, string_agg(word, ' ' ORDER BY pos) AS txt FROM t ANTI JOIN gone USING (rid, pos) GROUP BY rid)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length, period::BIGINT AS period,
+  (1000 * length // period)::BIGINT AS exponent_milli, sha256(coalesce(best.txt, '')) AS runs_sha256, sha256(coalesce(kept.txt, '')) AS collapsed_sha256
+FROM d LEFT JOIN best USING (rid) LEFT JOIN kept USING (rid)
+""")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs in all documents, of which those with crc32(doc_id) divisible by 10 end in a planted run."""
+    docs = table(spark, sf_dir, "documents")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10).cast("long")
+    words = F.regexp_extract_all(F.col("text"), F.lit(f"({SPACE_WORD})"), 1)
+    n = F.size(words)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    cycles = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+    planted = F.array_join(F.concat(F.slice(words, F.lit(1), a), F.slice(cycles, F.lit(1), n - a)), " ")
+    text = F.when(h % 10 == 0, F.when(n > 0, planted).otherwise(F.col("text"))).otherwise(F.col("text"))
+    found = periodic.periodic_runs(docs.select("doc_id", text.alias("text")))
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines_of = F.array_join(F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","),
+                                                                   r["period"].cast("string"), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), (-F.col("best.less")).alias("length"),
+        F.col("best.period").alias("period"), F.floor(-1000 * F.col("best.less") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(lines_of.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@register("op12_packing")
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2,048 ids and shorter powers of two."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), with_ids=False).drop("ids")
+
+
+@register("op13_vector_codes", r"""
+WITH k AS (SELECT vec_id, label, v, row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS rid FROM (
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
+p AS (SELECT rid, pos, v[pos * (len(v) // 4) + 1:(pos + 1) * (len(v) // 4)] AS x FROM k, range(4) r(pos)),
+c0 AS (SELECT pos, rid - 1 AS e, x FROM p WHERE rid <= 256),
+a0 AS (SELECT rid, pos, x, arg_min(e, row(d, e)) AS e, min(d) AS d FROM (
+  SELECT rid, pos, p.x, e, list_inner_product(p.x, p.x) + list_inner_product(c.x, c.x) - 2 * list_inner_product(p.x, c.x) AS d
+  FROM p JOIN c0 c USING (pos)) GROUP BY rid, pos, x),
+c1 AS (SELECT c.pos, c.e, coalesce(n.x, c.x) AS x FROM c0 c LEFT JOIN (
+  SELECT pos, e, list(m ORDER BY i) AS x FROM (SELECT pos, e, i, floor(sum(y) / count(*)) AS m
+    FROM (SELECT pos, e, unnest(x) AS y, unnest(range(len(x))) AS i FROM a0) GROUP BY pos, e, i) GROUP BY pos, e) n USING (pos, e)),
+a1 AS (SELECT rid, pos, x, arg_min(e, row(d, e)) AS e, min(d) AS d FROM (
+  SELECT rid, pos, p.x, e, list_inner_product(p.x, p.x) + list_inner_product(c.x, c.x) - 2 * list_inner_product(p.x, c.x) AS d
+  FROM p JOIN c1 c USING (pos)) GROUP BY rid, pos, x),
+c2 AS (SELECT c.pos, c.e, coalesce(n.x, c.x) AS x FROM c1 c LEFT JOIN (
+  SELECT pos, e, list(m ORDER BY i) AS x FROM (SELECT pos, e, i, floor(sum(y) / count(*)) AS m
+    FROM (SELECT pos, e, unnest(x) AS y, unnest(range(len(x))) AS i FROM a1) GROUP BY pos, e, i) GROUP BY pos, e) n USING (pos, e)),
+a2 AS (SELECT rid, pos, x, arg_min(e, row(d, e)) AS e, min(d) AS d FROM (
+  SELECT rid, pos, p.x, e, list_inner_product(p.x, p.x) + list_inner_product(c.x, c.x) - 2 * list_inner_product(p.x, c.x) AS d
+  FROM p JOIN c2 c USING (pos)) GROUP BY rid, pos, x),
+c3 AS (SELECT c.pos, c.e, coalesce(n.x, c.x) AS x FROM c2 c LEFT JOIN (
+  SELECT pos, e, list(m ORDER BY i) AS x FROM (SELECT pos, e, i, floor(sum(y) / count(*)) AS m
+    FROM (SELECT pos, e, unnest(x) AS y, unnest(range(len(x))) AS i FROM a2) GROUP BY pos, e, i) GROUP BY pos, e) n USING (pos, e)),
+a3 AS (SELECT rid, pos, x, arg_min(e, row(d, e)) AS e, min(d) AS d FROM (
+  SELECT rid, pos, p.x, e, list_inner_product(p.x, p.x) + list_inner_product(c.x, c.x) - 2 * list_inner_product(p.x, c.x) AS d
+  FROM p JOIN c3 c USING (pos)) GROUP BY rid, pos, x),
+c4 AS (SELECT c.pos, c.e, coalesce(n.x, c.x) AS x FROM c3 c LEFT JOIN (
+  SELECT pos, e, list(m ORDER BY i) AS x FROM (SELECT pos, e, i, floor(sum(y) / count(*)) AS m
+    FROM (SELECT pos, e, unnest(x) AS y, unnest(range(len(x))) AS i FROM a3) GROUP BY pos, e, i) GROUP BY pos, e) n USING (pos, e)),
+a4 AS (SELECT rid, pos, x, arg_min(e, row(d, e)) AS e, min(d) AS d FROM (
+  SELECT rid, pos, p.x, e, list_inner_product(p.x, p.x) + list_inner_product(c.x, c.x) - 2 * list_inner_product(p.x, c.x) AS d
+  FROM p JOIN c4 c USING (pos)) GROUP BY rid, pos, x),
+f AS (SELECT rid, string_agg(printf('%02x', e), '' ORDER BY pos) AS code, sum(d)::BIGINT AS error FROM a4 GROUP BY rid),
+b AS (SELECT sha256(string_agg(y::BIGINT::VARCHAR, ',' ORDER BY pos, e, i)) AS h FROM (SELECT pos, e, unnest(x) AS y, unnest(range(len(x))) AS i FROM c4))
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, b.h AS codebooks_sha256 FROM k JOIN f USING (rid), b
+""")
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all embeddings with the digest of their codebooks."""
+    codes, book = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return codes.drop("label").withColumn("codebooks_sha256", F.lit(vector_codes.codebook_sha256(book)))
