@@ -16,6 +16,7 @@ A task packs the documents it reads, so texts are never shuffled.
 
 from __future__ import annotations
 
+import json
 import zlib
 from bisect import bisect_right, insort
 from functools import lru_cache
@@ -36,51 +37,96 @@ UNIT_TOKENS = 1 << 20
 REST_ROWS = 100_000
 
 
-class WordIds(dict):
+def _byte_letters() -> dict[int, str]:
+    """The usual letters of byte-level vocabularies: printable bytes stand for themselves, others for 256, 257, and so on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = (b for b in range(256) if b not in plain)
+    return {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_LETTERS = _byte_letters()
+#: signs that end words and begin no other token (the apostrophe does)
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: pre-tokenizer pattern for which words need not be taken apart by the library (fixed value)
+_PLAIN_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+class _Recent(dict):
+    """A cache of two generations: what neither of the last ``kept`` new entries nor those before used goes."""
+
+    def __init__(self, kept: int):
+        super().__init__()
+        self.kept, self.old = kept, {}
+
+    def put(self, key, value):
+        if len(self) >= self.kept:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+class WordIds(_Recent):
     """Ids of a white-space word as little-endian unsigned 32-bit bytes, computed once per word.
 
     For vocabularies whose pre-tokenizer drops white space and whose normalizer
     works on each word alone; ASCII white space then always ends a token, so the
     ids of a text are those of its words. ``text_ids`` gives the ids of a whole
-    text that way.
+    text that way. Words of Latin letters with signs at their end, most of all
+    words, are normalised and split here as the library does; all others by it.
     """
 
-    #: words kept; longer words are not kept at all
-    KEPT, LONG = 200_000, 48
+    #: entries of a generation of either cache; longer words are not kept at all
+    KEPT, LONG = 250_000, 48
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
+        super().__init__(self.KEPT)
         self.tokenizer = Tokenizer.from_str(spec)
-        self.parts: dict[str, bytes] = {}
+        self.parts = _Recent(self.KEPT)
+        self.tokenize = self.tokenizer.model.tokenize
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.plain = _PLAIN_SPLIT in json.dumps(json.loads(spec)["pre_tokenizer"], ensure_ascii=False).replace("\\\\", "\\")
 
     def _part(self, piece: str) -> bytes:
-        got = self.parts.get(piece)
+        """Ids of a piece in byte letters."""
+        parts = self.parts
+        got = parts.get(piece)
         if got is None:
-            got = b"".join(t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(piece))
+            got = parts.old.get(piece)
+            if got is None:
+                id_bytes = self.id_bytes
+                got = b"".join([id_bytes[t.id] for t in self.tokenize(piece)])
             if len(piece) <= self.LONG:
-                if len(self.parts) >= self.KEPT:
-                    self.parts.clear()
-                self.parts[piece] = got
+                parts.put(piece, got)
         return got
 
     def __missing__(self, raw: bytes) -> bytes:
-        t, word = self.tokenizer, raw.decode("utf-8", errors="replace")
-        if "<|" in word:  # may hold a special token, which only the whole tokenizer knows
-            ids = b"".join(i.to_bytes(4, "little") for i in t.encode(word, add_special_tokens=False).ids)
-        else:
-            norm = word.lower() if word.isascii() else t.normalizer.normalize_str(word)
-            if norm.isascii() and norm.isalpha():
-                ids = self._part(norm)
-            else:
-                ids = b"".join(self._part(p) for p, _ in t.pre_tokenizer.pre_tokenize_str(norm))
+        ids = self.old.get(raw)
+        if ids is None:
+            word = raw.decode("utf-8", errors="replace")
+            # composed letters only, whose lower case does not depend on others; "<|" may begin a special token
+            if self.plain and "<|" not in word and (word.isascii() or max(word) < "\u0250"):
+                norm = word.lower()
+                core = norm if norm.isalpha() else norm.rstrip(_SIGNS)
+                if core.isalpha():
+                    ids = self._part(core if core.isascii() else core.encode().decode("latin-1").translate(_LETTERS))
+                    if len(core) < len(norm):
+                        ids += self._part(norm[len(core):])
+            if ids is None:
+                ids = self._by_library(word)
         if len(raw) <= self.LONG:
-            if len(self) >= self.KEPT:
-                self.clear()
-            self[raw] = ids
+            self.put(raw, ids)
         return ids
 
+    def _by_library(self, word: str) -> bytes:
+        t = self.tokenizer
+        if "<|" in word:
+            return b"".join([self.id_bytes[i] for i in t.encode(word, add_special_tokens=False).ids])
+        pieces = t.pre_tokenizer.pre_tokenize_str(t.normalizer.normalize_str(word) if t.normalizer else word)
+        return b"".join([self._part(p) for p, _ in pieces])
+
     def text_ids(self, raw: bytes) -> bytes:
         return b"".join(map(self.__getitem__, raw.split()))
 
