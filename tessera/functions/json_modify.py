@@ -1,90 +1,148 @@
-"""JSON_MODIFY on whole documents by path.
+"""JSON_MODIFY on whole documents by path (JS10-JS14).
 
-Spark has no function that edits JSON text in place, and a typed parse loses
-what its schema does not name. This edit keeps every other member, their order,
-repeated keys, nulls and the text of numbers.
+Spark has no function that edits JSON text in place, and a typed parse loses what
+its schema does not name. An edit here finds the span of the member that the path
+names and replaces just that, so all other text stays as it was: members nobody
+named, their order, repeated keys, nulls, the text of numbers, white space.
 """
 
 from __future__ import annotations
 
 import json
-import re
+from collections.abc import Sequence
+from dataclasses import dataclass
+from json.decoder import scanstring
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_STEP = re.compile(r'\.(?:"((?:[^"\\]|\\.)*)"|([A-Za-z_$][\w$]*))|\[(\d+)\]')
-
-
-class _Object(list):
-    """An object as (key, value) pairs, repeated keys included."""
-
-
-class _Number(str):
-    """A number as it was written."""
-
-
-def parse_path(path: str) -> tuple[bool, list[str | int]]:
-    """``(append, steps)`` of a path such as ``append $.a[0]."b c"``."""
-    text = path.strip()
-    append = text.startswith("append ")
-    text = text.removeprefix("append ").strip().removeprefix("lax ").strip()
-    if not text.startswith("$"):
-        raise ValueError(f"not a JSON path: {path!r}")
-    steps, at = [], 1
-    while at < len(text):
-        m = _STEP.match(text, at)
-        if not m:
-            raise ValueError(f"not a JSON path: {path!r}")
-        steps.append(int(m[3]) if m[3] is not None else m[2] if m[2] is not None else json.loads(f'"{m[1]}"'))
-        at = m.end()
-    return append, steps
-
-
-def _dump(x) -> str:
-    if isinstance(x, _Object):
-        return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{_dump(v)}" for k, v in x) + "}"
-    if isinstance(x, _Number):
-        return str(x)
-    if isinstance(x, list):
-        return "[" + ",".join(map(_dump, x)) + "]"
-    return json.dumps(x, ensure_ascii=False)
-
-
-def _load(text: str):
-    return json.loads(text, object_pairs_hook=_Object, parse_float=_Number, parse_int=_Number)
-
-
-class _DELETE:
-    """Marks a member to delete (a class, so that workers see the same one)."""
-
-
-def _edit(doc, steps: list[str | int], value, append: bool):
-    if not steps:
-        if append:
-            if isinstance(doc, list) and not isinstance(doc, _Object):
-                doc.append(value)
-            return doc
-        return None if value is _DELETE else value
-    step, rest = steps[0], steps[1:]
-    if isinstance(step, int):
-        if isinstance(doc, _Object) or not isinstance(doc, list) or step >= len(doc):
-            return doc
-        doc[step] = None if not rest and value is _DELETE else _edit(doc[step], rest, value, append)
-        return doc
-    if not isinstance(doc, _Object):
-        return doc
-    for i, (k, v) in enumerate(doc):
-        if k == step:
-            if not rest and value is _DELETE and not append:
-                del doc[i]
-            else:
-                doc[i] = (k, _edit(v, rest, value, append))
-            return doc
-    if not rest and value is not _DELETE:
-        doc.append((step, [value] if append else value))
-    return doc
+from tessera.functions.json_path import ANY, Name, Path, parse_path
+
+
+def _refuse(text: str):
+    raise ValueError(f"not JSON: {text}")
+
+
+_scan = json.JSONDecoder(parse_constant=_refuse).scan_once
+_SPACE = " \t\r\n"
+
+
+@dataclass(frozen=True)
+class Edit:
+    """Set the value at ``path``; a NULL value deletes it. ``is_json``: the value is JSON text."""
+
+    path: str
+    value: Column
+    is_json: bool = False
+
+
+def _skip(text: str, at: int) -> int:
+    while at < len(text) and text[at] in _SPACE:
+        at += 1
+    return at
+
+
+def _end(text: str, at: int) -> int:
+    """End of the value that begins at ``at``."""
+    try:
+        return _scan(text, at)[1]
+    except StopIteration:
+        raise ValueError(f"not JSON: {text[:80]!r}") from None
+
+
+def check(text: str) -> None:
+    """An error unless the whole text is one JSON value."""
+    if _skip(text, _end(text, _skip(text, 0))) != len(text):
+        raise ValueError(f"not JSON: {text[:80]!r}")
+
+
+def _children(text: str, at: int):
+    """``(key or element number, begin, value begin, value end)`` of what the container at ``at`` holds."""
+    is_object, i = text[at] == "{", _skip(text, at + 1)
+    number = 0
+    while text[i] not in "}]":
+        begin, key = i, number
+        if is_object:
+            key, i = scanstring(text, i + 1)
+            i = _skip(text, _skip(text, i) + 1)
+        stop = _end(text, i)
+        yield key, begin, i, stop
+        number += 1
+        i = _skip(text, stop)
+        if text[i] == ",":
+            i = _skip(text, i + 1)
+
+
+def _close(text: str, at: int) -> tuple[int, bool]:
+    """Place of the bracket that closes the container at ``at``, and whether it holds anything."""
+    held = None
+    for *_, held in _children(text, at):
+        pass
+    return (_skip(text, held), True) if held is not None else (_skip(text, at + 1), False)
+
+
+def _added(text: str, at: int, new: str) -> str:
+    stop, held = _close(text, at)
+    return text[:stop] + ("," if held else "") + new + text[stop:]
+
+
+def edit(text: str, path: Path, new: str | None) -> str:
+    """``text`` with the JSON text ``new`` at ``path`` (None: deleted); a path that cannot be followed changes nothing."""
+    at, steps = _skip(text, 0), path.steps
+    for k, step in enumerate(steps):
+        is_name = isinstance(step, Name)
+        if text[at] != ("{" if is_name else "["):
+            return text
+        want, last, before = step.name if is_name else step, k == len(steps) - 1, None
+        for key, begin, start, stop in _children(text, at):
+            if key == want:
+                break
+            before = stop
+        else:
+            if last and is_name and (new is not None or path.append):
+                new = "null" if new is None else new
+                return _added(text, at, json.dumps(want, ensure_ascii=False) + ":" + (f"[{new}]" if path.append else new))
+            return text
+        if last and not path.append:
+            if new is not None or not is_name:
+                return text[:start] + (new or "null") + text[stop:]
+            after = _skip(text, stop)
+            if before is not None:  # with the comma in front
+                return text[:before] + text[stop:]
+            return text[:begin] + (text[_skip(text, after + 1):] if text[after] == "," else text[after:])
+        at = start
+    if path.append:
+        return _added(text, at, "null" if new is None else new) if text[at] == "[" else text
+    return "null" if new is None else new
+
+
+def json_modify_all(doc: Column, edits: Sequence[Edit]) -> Column:
+    """``edits`` made one after another, in one pass over the documents."""
+    paths = [parse_path(e.path) for e in edits]
+    if any(ANY in p.steps for p in paths):
+        raise ValueError("an edit names one place, not [*]")
+    is_json = [e.is_json for e in edits]
+
+    @F.arrow_udf("string")
+    def run(docs: pa.Array, *values: pa.Array) -> pa.Array:
+        out, columns = docs.to_pylist(), [v.to_pylist() for v in values]
+        for i, text in enumerate(out):
+            if text is None:
+                continue
+            check(text)
+            for path, as_json, column in zip(paths, is_json, columns):
+                new = column[i]
+                if new is not None:
+                    if as_json:
+                        check(new)
+                    else:
+                        new = json.dumps(new, ensure_ascii=False)
+                text = edit(text, path, new)
+            out[i] = text
+        return pa.array(out, pa.string())
+
+    return run(doc, *[e.value.cast("string") for e in edits])
 
 
 def json_modify(doc: Column, path: str, value: Column, value_is_json: bool = False) -> Column:
@@ -94,19 +152,7 @@ def json_modify(doc: Column, path: str, value: Column, value_is_json: bool = Fal
     missing last member is added; other missing steps leave the document as it
     is; ``append $.x`` adds to an array. A string column gives a JSON string
     unless ``value_is_json``; numbers and booleans should be given as JSON text.
-    A NULL document stays NULL; text that is not JSON is an error.
+    Of a repeated key the first is edited. A NULL document stays NULL; text that
+    is not JSON is an error.
     """
-    append, steps = parse_path(path)
-
-    @F.pandas_udf("string")
-    def run(docs: pd.Series, values: pd.Series) -> pd.Series:
-        out = []
-        for d, v in zip(docs, values):
-            if d is None:
-                out.append(None)
-                continue
-            new = (None if append else _DELETE) if v is None else _load(v) if value_is_json else v
-            out.append(_dump(_edit(_load(d), steps, new, append)))
-        return pd.Series(out, dtype=object)
-
-    return run(doc, value.cast("string"))
+    return json_modify_all(doc, [Edit(path, value, value_is_json)])

@@ -1,19 +1,18 @@
-"""JSON column functions (JS1-JS7, JS10-JS15).
+"""JSON column functions (JS1-JS7, JS15).
 
-Building uses ``struct`` + ``to_json``; reading uses ``from_json`` with a
-schema where one is known, and VARIANT (``try_parse_json``) where the shape
-of a value decides the answer (JSON_VALUE vs JSON_QUERY, ISJSON).
-Missing paths give NULL (lax mode).
+Building uses ``struct`` + ``to_json``; reading by path uses ``json_path``,
+editing ``json_modify``. Missing paths give NULL (lax mode).
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tessera.functions import json_path
+
 
 def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -73,134 +72,28 @@ def json_raw_array(array_col: str | Column, key: str) -> Column:
 # reading
 
 
-def _kind(v: Column) -> Column:
-    return F.schema_of_variant(v)
-
-
 def json_value(col: str | Column, path: str) -> Column:
     """JS3: ``JSON_VALUE``: the scalar at ``path`` as text; NULL for objects,
-    arrays, JSON null, missing paths and text that is not JSON."""
-    v = F.try_variant_get(F.try_parse_json(_c(col)), path, "variant")
-    kind = _kind(v)
-    return F.when(v.isNull() | F.is_variant_null(v), F.lit(None).cast("string")).when(
-        kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(None).cast("string")
-    ).otherwise(F.try_variant_get(v, "$", "string"))
+    arrays, JSON null, missing paths and text that is not JSON. Of a repeated
+    key the first counts; ``strict $..`` makes a missing path an error."""
+    return json_path.value(_c(col), path)
 
 
 def json_query(col: str | Column, path: str = "$") -> Column:
-    """JS4: ``JSON_QUERY``: the object or array at ``path`` as JSON text; NULL
-    for scalars and missing paths."""
-    v = F.try_variant_get(F.try_parse_json(_c(col)), path, "variant")
-    kind = _kind(v)
-    # the fragment's text comes from get_json_object, which keeps the
-    # members in document order (a VARIANT would sort them)
-    return F.when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.get_json_object(_c(col), path))
+    """JS4: ``JSON_QUERY``: the object or array at ``path`` as JSON text, its
+    members in document order; NULL for scalars and missing paths."""
+    return json_path.query(_c(col), path)
 
 
-def json_path_exists(array_col: Column, field: str) -> Column:
-    """JS5: typed ``JSON_PATH_EXISTS(doc, '$[*].field')``: some element of
-    the parsed array has the member (JSON null counts as present only when
-    the schema keeps it)."""
-    return F.coalesce(F.exists(array_col, lambda x: x[field].isNotNull()), F.lit(False))
+def json_path_exists(col: str | Column, path: str) -> Column:
+    """JS5: ``JSON_PATH_EXISTS(doc, path)``: whether the path (``[*]`` steps
+    included) selects anything; a stored JSON null counts, a missing member
+    does not."""
+    return json_path.exists(_c(col), path)
 
 
 def is_json(col: str | Column, kind: str | None = None) -> Column:
     """JS6: ``ISJSON(x)`` / ``ISJSON(x, ARRAY|OBJECT)`` as 1/0, NULL for NULL.
-    Bare scalars are not valid JSON text here (SQL Server rule)."""
-    c = _c(col)
-    v = F.try_parse_json(c)
-    k = _kind(v)
-    ok = v.isNotNull() & (k.startswith("OBJECT") | k.startswith("ARRAY"))
-    if kind is not None:
-        ok = v.isNotNull() & k.startswith(kind.upper())
-    return F.when(c.isNull(), F.lit(None).cast("int")).when(ok, 1).otherwise(0)
-
-
-# --------------------------------------------------------------------------
-# editing (JS10-JS14): rebuild every field of the struct, never withField
-# inside a conditional, so all branches keep one type.
-
-
-@dataclass(frozen=True)
-class Set:
-    field: str
-    value: object  # Column, literal, or function of the element; applies to element ``index``
-    index: int | None = None
-
-
-@dataclass(frozen=True)
-class Delete:
-    field: str
-    index: int | None = None
-
-
-@dataclass(frozen=True)
-class Rename:
-    old: str
-    new: str
-    index: int | None = None
-
-
-@dataclass(frozen=True)
-class NullElement:
-    index: int
-
-
-@dataclass(frozen=True)
-class Append:
-    element: Column
-
-
-def _edit_struct(x: Column, fields: Sequence[str], edit) -> Column:
-    parts = []
-    for f in fields:
-        val = x[f]
-        if isinstance(edit, Set) and edit.field == f:
-            if isinstance(edit.value, Column):
-                val = edit.value
-            elif callable(edit.value):  # value computed from the element itself
-                val = edit.value(x)
-            else:
-                val = F.lit(edit.value)
-        elif isinstance(edit, Delete) and edit.field == f:
-            val = F.when(F.lit(False), x[f])  # NULL of the member's own type
-        elif isinstance(edit, Rename) and edit.new == f:
-            val = x[edit.old]
-        elif isinstance(edit, Rename) and edit.old == f:
-            val = F.when(F.lit(False), x[f])
-        parts.append(val.alias(f))
-    return F.struct(*parts)
-
-
-def json_edit(array_col: Column, element_fields: Sequence[str], edits: Sequence) -> Column:
-    """Apply ``JSON_MODIFY`` edits to a parsed array of structs.
-
-    ``element_fields`` is the full member list of an element, including
-    members that edits add (absent members are NULL and ``to_json`` leaves
-    them out, which is how a key is deleted or not yet present).
-    """
-    arr = array_col
-    fields = list(element_fields)
-    for e in edits:
-        if isinstance(e, Append):
-            arr = F.array_append(arr, e.element)
-        elif isinstance(e, NullElement):
-            arr = F.transform(arr, _null_at(e.index))
-        else:
-            arr = F.transform(arr, _edit_at(e, fields))
-    return arr
-
-
-def _null_at(k: int):
-    def step(x, i):
-        return F.when(i != k, x)
-    return step
-
-
-def _edit_at(edit, fields: list[str]):
-    def step(x, i):
-        new = _edit_struct(x, fields, edit)
-        if edit.index is None:
-            return new
-        return F.when(i == edit.index, new).otherwise(_edit_struct(x, fields, None))
-    return step
+    Bare scalars are not valid JSON text here (SQL Server rule); repeated keys
+    are valid."""
+    return json_path.valid(_c(col), kind).cast("int")

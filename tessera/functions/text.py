@@ -1,15 +1,17 @@
 """Text and regular-expression column functions.
 
-All of these are built-in expressions, so they stay inside whole-stage
-code generation; the helpers only pin the SQL Server rules that differ from
-Spark's defaults.
+All of these but ``match_spans`` are built-in expressions, so they stay inside
+whole-stage code generation; the helpers only pin the SQL Server rules that
+differ from Spark's defaults.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -81,34 +83,47 @@ def regexp_count(col: str | Column, pattern: str) -> Column:
     return F.regexp_count(_c(col), F.lit(pattern))
 
 
+def match_spans(col: str | Column, pattern: str) -> Column:
+    """All matches of ``pattern`` in the text, found in one pass over it:
+    ``array<struct<start, end, value, groups array<struct<start, end, value>>>>``.
+
+    Positions count characters from 1, ``end`` inclusive (an empty match ends
+    before it starts). A group that took no part in its match is NULL, one that
+    matched nothing is empty. Classes such as ``\\d`` and ``\\w`` are ASCII, as
+    in the other functions. NULL for a NULL text.
+    """
+    compiled = re.compile(pattern, re.ASCII)
+    span = "struct<start:int,end:int,value:string>"
+    kind = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("value", pa.string())])
+    match = pa.struct([*kind, pa.field("groups", pa.list_(kind))])
+
+    def part(m, g):
+        return {"start": m.start(g) + 1, "end": m.end(g), "value": m[g]} if m.start(g) >= 0 else None
+
+    @F.arrow_udf(f"array<struct<start:int,end:int,value:string,groups:array<{span}>>>")
+    def run(texts: pa.Array) -> pa.Array:
+        found = [None if t is None else [part(m, 0) | {"groups": [part(m, g) for g in range(1, compiled.groups + 1)]} for m in compiled.finditer(t)]
+                 for t in texts.to_pylist()]
+        return pa.array(found, pa.list_(match))
+
+    return run(_c(col))
+
+
 def regexp_matches(df: DataFrame, col: str, pattern: str, groups: int,
                    keep: Sequence[str] = ()) -> DataFrame:
     """``CROSS APPLY REGEXP_MATCHES``: one row per match with match_id,
     start_position, end_position (inclusive), match_value and each capture
-    group. Rows without a match produce nothing.
+    group (NULL if it took no part). Rows without a match produce nothing.
 
-    The text splits into pieces around the matches (piece 0, match 0,
-    piece 1, ...), so match k ends at the running total of the lengths of
-    pieces and matches up to k. Each match is paired with the piece before
-    it in O(1), and one running sum per text gives every position: linear in
-    the number of matches, however long the text.
+    Matches and groups are found on the whole text in one pass, so look-behind
+    sees what lies before a match; no text is shuffled.
     """
-    pat = F.lit(pattern)
-    base = df.select(*keep, F.col(col), F.monotonically_increasing_id().alias("_row"),
-                     F.regexp_extract_all(F.col(col), pat, F.lit(0)).alias("_m"),
-                     F.split(F.col(col), pattern, -1).alias("_p"))
-    paired = F.transform("_m", lambda m, i: F.struct(m.alias("m"), F.element_at("_p", i + 1).alias("p")))
-    exploded = base.select(*keep, F.col(col), "_row", F.posexplode(paired).alias("_k", "_e"))
-    w = (Window.partitionBy("_row").orderBy("_k")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    end = F.sum(F.length(F.col("_e.p")) + F.length(F.col("_e.m"))).over(w)
-    out = exploded.select(
-        *keep, F.col(col), (F.col("_k") + 1).cast("int").alias("match_id"),
-        (end - F.length(F.col("_e.m")) + 1).cast("int").alias("start_position"),
-        F.col("_e.m").alias("match_value"), end.cast("int").alias("end_position"))
-    for g in range(1, groups + 1):
-        out = out.withColumn(f"group_{g}", F.regexp_extract("match_value", pattern, g))
-    return out
+    found = df.select(*keep, F.col(col), match_spans(col, pattern).alias("_m"))
+    rows = found.select(*keep, F.col(col), F.posexplode("_m").alias("_k", "_e"))
+    return rows.select(
+        *keep, F.col(col), (F.col("_k") + 1).cast("int").alias("match_id"), F.col("_e.start").alias("start_position"),
+        F.col("_e.value").alias("match_value"), F.col("_e.end").alias("end_position"),
+        *[F.col("_e.groups")[g]["value"].alias(f"group_{g + 1}") for g in range(groups)])
 
 
 def regexp_split(df: DataFrame, col: str, pattern: str, keep: Sequence[str] = (),
@@ -119,8 +134,3 @@ def regexp_split(df: DataFrame, col: str, pattern: str, keep: Sequence[str] = ()
                      F.posexplode_outer(F.split(F.col(col), pattern, -1)).alias("_pos", value)
                      ).select(*keep, F.col(col), F.col(value),
                               (F.col("_pos") + 1).cast("int").alias(ordinal))
-
-
-def _lit(s: str) -> str:
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
-

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.functions import json_path
 from tessera.functions.jsonfn import nested_struct
 
 
@@ -113,12 +114,31 @@ def openjson(df: DataFrame, col: str, schema: str | T.DataType, keep: Sequence[s
     return out
 
 
+def openjson_paths(df: DataFrame, col: str, columns: Mapping[str, tuple[str, str]], path: str = "$",
+                   keep: Sequence[str] = (), outer: bool = False) -> DataFrame:
+    """JS8: ``OPENJSON(doc, path) WITH (name type 'member path', ..)``.
+
+    The array at ``path`` gives a row for each element, an object one row;
+    anything else gives none (``outer``: one of NULLs). ``columns`` maps a name
+    to its type and its path from the element, such as ``("decimal(10,4)",
+    "$.price.net")``; the type ``json`` is ``AS JSON``, the fragment's text.
+    """
+    p = json_path.parse_path(path)
+    at = json_path.text_at(F.col(col), json_path._single(p, path))
+    at = json_path._or_error(p, path, F.col(col), at, "value")
+    items = F.coalesce(json_path.elements_of(F.col("_at")), F.when(F.col("_at").startswith("{"), F.array("_at")))
+    rows = df.select(*keep, at.alias("_at")).select(*keep, (F.explode_outer if outer else F.explode)(items).alias("_e"))
+    cols = [(json_path.query(F.col("_e"), at) if kind.lower() == "json" else json_path.value(F.col("_e"), at).cast(kind)).alias(name)
+            for name, (kind, at) in columns.items()]
+    return rows.select(*keep, *cols)
+
+
 def openjson_count(df: DataFrame, key: str, col: str, path: str = "$",
                    name: str = "n") -> DataFrame:
     """JS9: ``OUTER APPLY OPENJSON(doc, path)`` then ``COUNT(1)`` per key: an
     absent or empty array still counts 1 (the outer row)."""
     spark = df.sparkSession
-    at = df.select(key, F.try_variant_get(F.try_parse_json(F.col(col)), path, "variant").alias("_v"))
+    at = df.select(key, F.try_parse_json(json_path.query(F.col(col), path)).alias("_v"))
     # arrays give one row per element, objects one per member; anything else
     # (missing, scalar, not JSON) keeps the outer row
     rows = at.lateralJoin(spark.tvf.variant_explode_outer(F.col("_v").outer()))
@@ -136,21 +156,37 @@ def materialise_json(df: DataFrame, col: str, paths: Mapping[str, str]) -> DataF
     return out
 
 
+def store_json_columns(df: DataFrame, col: str, paths: Mapping[str, str], path: str, mode: str = "errorifexists",
+                       files: int | None = None) -> None:
+    """JS18: the table with JSON values as stored, indexed columns.
+
+    ``paths`` maps a new column to the path of its value in ``col``. The files
+    are range-partitioned and sorted by the first of them, so that a filter on
+    it skips files and row groups by their statistics, and every one of them
+    has a Parquet bloom filter, by which equality skips row groups whatever
+    the order. Rows without the value come first, in files of their own range.
+    """
+    from tessera.sources.tables import write_clustered
+
+    out = materialise_json(df, col, paths)
+    write_clustered(out, path, [next(iter(paths))], mode=mode, files=files, bloom=list(paths))
+
+
 # OPENJSON type codes (null, string, number, true/false, array, object).
 JSON_TYPE_CODES = {"null": 0, "string": 1, "number": 2, "boolean": 3, "array": 4, "object": 5}
 
 
-def openjson_kv(df: DataFrame, col: str, keep: Sequence[str] = (), outer: bool = True) -> DataFrame:
-    """JS9: ``OPENJSON(doc)`` without a schema: one row per member (or array
-    element) with ``key``, ``value`` and ``type``. Array keys are the element
+def openjson_kv(df: DataFrame, col: str, keep: Sequence[str] = (), outer: bool = True, path: str = "$") -> DataFrame:
+    """JS9: ``OPENJSON(doc, path)`` without a schema: one row per member (or array
+    element) of the object or array at ``path`` with ``key``, ``value`` and ``type``. Array keys are the element
     positions; ``value`` is the text of a string and the JSON text of
     anything else; ``type`` uses the OPENJSON codes. ``outer`` keeps rows
     whose document is NULL or not JSON (CROSS vs OUTER APPLY)."""
     spark = df.sparkSession
     # raw member text (document order kept) next to the parsed VARIANT
-    parsed = df.select(*keep, F.try_parse_json(F.col(col)).alias("_v"),
-                       F.from_json(F.col(col), "map<string,string>").alias("_rawm"),
-                       F.from_json(F.col(col), "array<string>").alias("_rawa"))
+    parsed = df.select(*keep, json_path.query(F.col(col), path).alias("_doc")).select(
+        *keep, F.try_parse_json("_doc").alias("_v"), F.from_json("_doc", "map<string,string>").alias("_rawm"),
+        F.from_json("_doc", "array<string>").alias("_rawa"))
     gen = spark.tvf.variant_explode_outer if outer else spark.tvf.variant_explode
     rows = parsed.lateralJoin(gen(F.col("_v").outer())).select(
         *keep, F.col("pos").alias("_pos"), F.col("key").alias("_key"), F.col("value").alias("_val"),
@@ -169,29 +205,3 @@ def openjson_kv(df: DataFrame, col: str, keep: Sequence[str] = (), outer: bool =
              .otherwise(F.coalesce(raw, F.to_json("_val"))))
     return rows.select(*keep, F.coalesce(F.col("_key"), F.col("_pos").cast("string")).alias("key"),
                        value.alias("value"), code.cast("int").alias("type"))
-
-
-def json_member_names(df: DataFrame, col: str, elements: bool = True) -> DataFrame:
-    """Distinct member names used in a JSON column (of the objects inside
-    arrays when ``elements``), found over the whole column in parallel; only
-    the distinct names come back, not the documents."""
-    spark = df.sparkSession
-    v = df.select(F.try_parse_json(F.col(col)).alias("_v"))
-    if elements:
-        v = v.lateralJoin(spark.tvf.variant_explode(F.col("_v").outer())).select(F.col("value").alias("_v"))
-    names = v.lateralJoin(spark.tvf.variant_explode(F.col("_v").outer())).select(F.col("key").alias("name"))
-    return names.where(F.col("name").isNotNull()).distinct()
-
-
-class UnknownMembers(ValueError):
-    """Documents hold members the edit schema does not list; rebuilding
-    the documents from that schema would drop them."""
-
-
-def check_edit_schema(df: DataFrame, col: str, fields: Sequence[str], elements: bool = True) -> None:
-    """Fail loudly before a schema-based JSON edit when some document has
-    members outside ``fields`` (they would be lost by the rebuild)."""
-    extra = sorted(r["name"] for r in json_member_names(df, col, elements)
-                   .where(~F.col("name").isin(list(fields))).limit(20).collect())  # enough to report
-    if extra:
-        raise UnknownMembers(f"members not in the edit schema: {extra[:20]}")

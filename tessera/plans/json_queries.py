@@ -9,15 +9,19 @@ build the same text from the same rows.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tessera.functions import jsonfn as J
-from tessera.functions.json_modify import json_modify
+from tessera.functions.json_modify import Edit, json_modify, json_modify_all
+from tessera.operators import documents as DOC
 from tessera.operators import jsonops as JO
 from tessera.plans.registry import query
 from tessera.plans.relational_queries import t
+from tessera.session import ensure_checkpoint_dir
 
-PHONES = "array<struct<number:string,type:string,ext:string,tipo:string>>"
+PHONES = "array<struct<number:string,type:string>>"
 
 # DuckDB side of the derived documents
 PH_SQL = """ph AS (
@@ -42,11 +46,13 @@ def phones(spark, sf, type_col=None):
                             order_by=list(fields.values()))
 
 
-def _edited(spark, sf, edits):
-    p = phones(spark, sf)
-    arr = F.from_json("phones", PHONES)
-    return p.select("c_custkey", F.to_json(J.json_edit(arr, ["number", "type", "ext", "tipo"], edits)
-                                           ).alias("phones"))
+def _edited(spark, sf, *edits):
+    """The phones after ``(path, new value[, as JSON])`` edits, computed from the document as it was."""
+    return phones(spark, sf).select("c_custkey", json_modify_all(F.col("phones"), [Edit(*e) for e in edits]).alias("phones"))
+
+
+# Fixed value: the phone that the reference's script appends.
+NEW_PHONE = "666-555-0175"
 
 
 def _edit_sql(element_sql: str, append_sql: str = "") -> str:
@@ -156,8 +162,55 @@ SELECT c_custkey FROM d WHERE len(list_filter(types, lambda x: x IS NOT NULL)) >
 """)
 def json_path_exists(spark, sf):
     p = phones(spark, sf, type_col=F.nullif("o_orderpriority", F.lit("1-URGENT")))
-    arr = F.from_json("phones", PHONES)
-    return p.where(J.json_path_exists(arr, "type")).select("c_custkey")
+    return p.where(J.json_path_exists("phones", "$[*].type")).select("c_custkey")
+
+
+# a document for each event: a repeated key, a stored null, a key with a space, a string that looks like JSON
+@query("json_paths", """
+SELECT event_id, event_type AS name, CAST(event_id AS VARCHAR) AS first, '{"k":1}' AS second, event_type AS deep, CAST(NULL AS VARCHAR) AS note,
+  '{"k":null,"v":"' || event_type || '"}' AS fragment, true AS has_note, true AS has_null_element, false AS has_missing, true AS has_any_k,
+  true AS has_null_k, false AS k_in_text, 1 AS is_json
+FROM events
+""")
+def json_paths(spark, sf):
+    doc = F.concat(F.lit('{"name":"'), "event_type", F.lit('","name":"again","note":null,"b c":{"list":['), F.col("event_id").cast("string"),
+                   F.lit(',"{\\"k\\":1}",null,{"k":null,"v":"'), "event_type", F.lit('"},'), "props", F.lit("]}}"))
+    d = t(spark, sf, "events").select("event_id", doc.alias("doc"))
+    at = '$."b c".list'
+    return d.select("event_id", J.json_value("doc", "$.name").alias("name"), J.json_value("doc", f"{at}[0]").alias("first"),
+                    J.json_value("doc", f"{at}[1]").alias("second"), J.json_value("doc", f"lax {at}[3].v").alias("deep"),
+                    J.json_value("doc", "$.note").alias("note"), J.json_query("doc", f"{at}[3]").alias("fragment"),
+                    J.json_path_exists("doc", "$.note").alias("has_note"), J.json_path_exists("doc", f"{at}[2]").alias("has_null_element"),
+                    J.json_path_exists("doc", f"{at}[9]").alias("has_missing"), J.json_path_exists("doc", f"{at}[*].k").alias("has_any_k"),
+                    J.json_path_exists("doc", f"{at}[3].k").alias("has_null_k"), J.json_path_exists("doc", f"{at}[1].k").alias("k_in_text"),
+                    J.is_json("doc").alias("is_json"))
+
+
+@query("openjson_paths", """
+SELECT o.o_orderkey, l.l_linenumber AS id, CAST(l.l_quantity AS INTEGER) AS cantidad, CAST(l.l_extendedprice AS DOUBLE) AS neto,
+  '{"net":' || CAST(CAST(l.l_linenumber AS INTEGER) * 10 AS VARCHAR) || '}' AS importe
+FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+""")
+def openjson_paths(spark, sf):
+    # the lines lie in the document's member "Lineas", their prices one level deeper
+    fields = {"Id": "l_linenumber", "Cant": F.col("l_quantity").cast("int"), "PVP.neto": "l_extendedprice", "Extra.net": F.col("l_linenumber").cast("int") * 10}
+    docs = JO.sorted_children(t(spark, sf, "lineitem"), "l_orderkey", fields, ["l_linenumber"], "_arr").select(
+        F.col("_key").alias("o_orderkey"), F.to_json(F.struct(F.lit("x").alias("Tipo"), F.col("_arr").alias("Lineas"))).alias("doc"))
+    return JO.openjson_paths(docs, "doc", {"id": ("int", "$.Id"), "cantidad": ("int", "$.Cant"), "neto": ("double", "$.PVP.neto"),
+                                           "importe": ("json", "$.Extra")}, path="$.Lineas", keep=["o_orderkey"])
+
+
+@query("openjson_kv_path", """
+SELECT c.c_custkey, v.key, v.value, v.type
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey,
+LATERAL (VALUES ('City', n.n_name, 1), ('Key', CAST(n.n_nationkey AS VARCHAR), 2), ('Old', NULL, 0)) v(key, value, type)
+""")
+def openjson_kv_path(spark, sf):
+    c, n = t(spark, sf, "customer"), t(spark, sf, "nation")
+    docs = c.join(n, c.c_nationkey == n.n_nationkey).select("c_custkey", F.to_json(F.struct(F.array(F.struct(
+        F.col("n_name").alias("City"), F.col("n_nationkey").alias("Key"), F.lit(None).cast("string").alias("Old"))).alias("Addresses")),
+        {"ignoreNullFields": "false"}).alias("doc"))
+    return JO.openjson_kv(docs, "doc", keep=["c_custkey"], path="$.Addresses[0]")
 
 
 @query("isjson", r"""
@@ -233,34 +286,30 @@ def openjson_count(spark, sf):
     "CASE WHEN i = 0 THEN to_json(struct_pack(number := number, type := upper(type), ext := '0')) "
     f"ELSE {_PLAIN} END"))
 def json_set(spark, sf):
-    return _edited(spark, sf, [J.Set("type", lambda x: F.upper(x["type"]), index=0),
-                               J.Set("ext", "0", index=0)])
+    return _edited(spark, sf, ("$[0].type", F.upper(J.json_value("phones", "$[0].type"))), ("$[0].ext", F.lit("0")))
 
 
 @query("json_delete", _edit_sql(
     f"CASE WHEN i = 0 THEN to_json(struct_pack(number := number)) ELSE {_PLAIN} END"))
 def json_delete(spark, sf):
-    return _edited(spark, sf, [J.Set("ext", "0", index=0), J.Delete("ext", index=0),
-                               J.Delete("type", index=0)])
+    return _edited(spark, sf, ("$[0].ext", F.lit("0")), ("$[0].ext", F.lit(None)), ("$[0].type", F.lit(None)))
 
 
 @query("json_rename", _edit_sql(
     f"CASE WHEN i = 0 THEN to_json(struct_pack(number := number, tipo := type)) ELSE {_PLAIN} END"))
 def json_rename(spark, sf):
-    return _edited(spark, sf, [J.Rename("type", "tipo", index=0)])
+    return _edited(spark, sf, ("$[0].tipo", J.json_value("phones", "$[0].type")), ("$[0].type", F.lit(None)))
 
 
 @query("json_append", _edit_sql(
     _PLAIN, "',' || to_json(struct_pack(number := '666-555-0175', type := 'Cell'))"))
 def json_append(spark, sf):
-    new = F.struct(F.lit("666-555-0175").alias("number"), F.lit("Cell").alias("type"),
-                   F.lit(None).cast("string").alias("ext"), F.lit(None).cast("string").alias("tipo"))
-    return _edited(spark, sf, [J.Append(new)])
+    return _edited(spark, sf, ("append $", J.json_object({"number": F.lit(NEW_PHONE), "type": F.lit("Cell")}), True))
 
 
 @query("json_null_element", _edit_sql(f"CASE WHEN i = 1 THEN 'null' ELSE {_PLAIN} END"))
 def json_null_element(spark, sf):
-    return _edited(spark, sf, [J.NullElement(1)])
+    return _edited(spark, sf, ("$[1]", F.lit(None)))
 
 
 @query("json_raw_array", """
@@ -303,9 +352,9 @@ def detail_documents(spark, sf):
         base, o, "c_custkey", "o_custkey",
         {"Type": "o_orderpriority", "Number": F.col("o_orderkey").cast("string")}, "phones",
         order_by=[F.col("o_orderkey").cast("string"), F.col("o_orderpriority")], as_json=False)
-    doc = F.struct(F.col("contact_type").alias("ContactType"), F.col("addresses").alias("Addresses"),
-                   F.col("phones").alias("PhoneNumbers"), F.col("emails").alias("EmailAddresses"))
-    return with_phones.select("c_custkey", F.to_json(doc, {"ignoreNullFields": "false"}).alias("details"))
+    doc = DOC.build_document({"ContactType": F.col("contact_type"), "Addresses": F.col("addresses"),
+                              "PhoneNumbers": F.col("phones"), "EmailAddresses": F.col("emails")})
+    return with_phones.select("c_custkey", doc.alias("details"))
 
 
 @query("detail_document", f"""
@@ -327,14 +376,48 @@ SELECT c_custkey, to_json(struct_pack(
 FROM det
 """)
 def document_edit(spark, sf):
-    docs = detail_documents(spark, sf)
-    d = F.from_json("details", DETAIL)
-    new_phone = F.struct(F.lit("Cell").alias("Type"), F.lit("666-555-0175").alias("Number"))
-    edited = (d.withField("ContactType", F.upper(d["ContactType"]))
-              .withField("PhoneNumbers",
-                         F.array_append(F.coalesce(d["PhoneNumbers"], F.array().cast(
-                             "array<struct<Type:string,Number:string>>")), new_phone)))
-    return docs.select("c_custkey", F.to_json(edited, {"ignoreNullFields": "false"}).alias("details"))
+    new_phone = F.array(F.struct(F.lit("Cell").alias("Type"), F.lit(NEW_PHONE).alias("Number")))
+    edited = DOC.edit_document(detail_documents(spark, sf), "details", DETAIL, {
+        "ContactType": lambda d: F.upper(d["ContactType"]),
+        "PhoneNumbers": lambda d: F.concat(F.coalesce(d["PhoneNumbers"], F.array().cast("array<struct<Type:string,Number:string>>")), new_phone)})
+    return edited.select("c_custkey", "details")
+
+
+# documents with members that the type above does not know, one of them inside an address
+_EXTRA_SQL = """'{"ContactType":"' || c_mktsegment || '","Score":' || c_custkey || ',"Addresses":[{"Type":"home","City":"x","Geo":{"lat":' || c_nationkey ||
+  '}}],"Tags":["a",null],"PhoneNumbers":'"""
+
+
+@query("document_edit_unknown", f"""
+SELECT c_custkey,
+  {_EXTRA_SQL} || '[{{"Type":"Cell","Number":"' || c_phone || '"}}],"Note":null,"EmailAddresses":["' || c_custkey || '@example.com"]}}' AS details
+FROM (SELECT c_custkey, c_nationkey, upper(c_mktsegment) AS c_mktsegment, coalesce(c_name, '') AS c_phone FROM customer)
+""")
+def document_edit_unknown(spark, sf):
+    # the edited members change, everything else stays as it was stored
+    doc = F.concat(F.lit('{"ContactType":"'), F.lower("c_mktsegment"), F.lit('","Score":'), F.col("c_custkey").cast("string"),
+                   F.lit(',"Addresses":[{"Type":"home","City":"x","Geo":{"lat":'), F.col("c_nationkey").cast("string"),
+                   F.lit('}}],"Tags":["a",null],"PhoneNumbers":[],"Note":null}'))
+    docs = t(spark, sf, "customer").select("c_custkey", "c_name", doc.alias("details"))
+    phone = F.array(F.struct(F.lit("Cell").alias("Type"), F.coalesce("c_name", F.lit("")).alias("Number")))
+    return DOC.edit_document(docs, "details", DETAIL, {
+        "ContactType": lambda d: F.upper(d["ContactType"]), "PhoneNumbers": lambda d: F.concat(d["PhoneNumbers"], phone),
+        "EmailAddresses": lambda d: F.array(F.concat(F.col("c_custkey").cast("string"), F.lit("@example.com")))}).select("c_custkey", "details")
+
+
+@query("document_rest", """
+SELECT c_custkey, c_mktsegment AS contact_type, 1 AS n_addresses,
+  '{"Score":' || c_custkey || ',"Tags":["a",null]}' AS rest,
+  '{"ContactType":"' || c_mktsegment || '","Addresses":[{"Type":"home","City":"x"}],"PhoneNumbers":null,"EmailAddresses":null,"Score":' || c_custkey || ',"Tags":["a",null]}' AS written
+FROM customer
+""")
+def document_rest(spark, sf):
+    # unknown members of a stored document go to the rest and are written back
+    doc = F.concat(F.lit('{"Score":'), F.col("c_custkey").cast("string"), F.lit(',"ContactType":"'), F.col("c_mktsegment"),
+                   F.lit('","Tags":["a",null],"Addresses":[{"Type":"home","City":"x"}]}'))
+    d = DOC.read_document(t(spark, sf, "customer").select("c_custkey", doc.alias("details")), "details", DETAIL)
+    return d.select("c_custkey", F.col("doc.ContactType").alias("contact_type"), F.size("doc.Addresses").alias("n_addresses"), "rest",
+                    DOC.write_document(F.col("doc"), F.col("rest"), ["ContactType", "Addresses", "PhoneNumbers", "EmailAddresses"]).alias("written"))
 
 
 @query("json_column_filter", f"""
@@ -343,8 +426,24 @@ SELECT c_custkey, json_extract_string(phones, '$[0].number') AS phone
 FROM ph WHERE json_extract_string(phones, '$[0].number') LIKE '1%'
 """)
 def json_column_filter(spark, sf):
-    m = JO.materialise_json(phones(spark, sf), "phones", {"phone": "$[0].number"})
-    return m.where(F.col("phone").like("1%")).select("c_custkey", "phone")
+    # the value is stored as a column of its own, the files clustered by it, and the filter runs on what was stored
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/js18-{uuid.uuid4().hex}"
+    JO.store_json_columns(phones(spark, sf), "phones", {"phone": "$[0].number"}, path)
+    return spark.read.parquet(path).where(F.col("phone").like("1%")).select("c_custkey", "phone")
+
+
+@query("json_column_lookup", f"""
+WITH {PH_SQL}
+SELECT c_custkey, json_extract_string(phones, '$[0].number') AS phone, phones
+FROM ph WHERE json_extract_string(phones, '$[0].number') = (SELECT max(json_extract_string(phones, '$[0].number')) FROM ph)
+""")
+def json_column_lookup(spark, sf):
+    # equality on the stored value: Parquet statistics and a bloom filter leave few row groups
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/js18-{uuid.uuid4().hex}"
+    JO.store_json_columns(phones(spark, sf), "phones", {"phone": "$[0].number"}, path)
+    stored = spark.read.parquet(path)
+    last = stored.agg(F.max("phone")).first()[0]  # one value
+    return stored.where(F.col("phone") == F.lit(last)).select("c_custkey", "phone", "phones")
 
 
 _KV_DOC_SQL = """kv AS (

@@ -201,13 +201,6 @@ def test_join_small_checks_size(spark, product):
     assert unknown.count() == 3
 
 
-def test_edit_schema_check_finds_unknown_members(person):
-    assert sorted(r.name for r in JO.json_member_names(person, "PhoneNumbers").collect()) == ["number", "type"]
-    JO.check_edit_schema(person, "PhoneNumbers", ["number", "type", "ext", "tipo"])
-    with pytest.raises(JO.UnknownMembers):
-        JO.check_edit_schema(person, "PhoneNumbers", ["number"])
-
-
 def test_case_insensitive_option(product):
     assert product.where(H.case_insensitive("Color") == "silver").count() == 2
     assert product.where(F.col("Color") == "silver").count() == 0

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import jsonfn as J
 from tessera.functions import text as H
+from tessera.functions.json_modify import Edit, json_modify, json_modify_all
 from tessera.operators import jsonops as JO
 from tessera.operators import quality as L
 from tessera.operators import relational as R
@@ -58,21 +59,19 @@ def test_openjson_literal_totals(spark):
 def test_json_null_element_pinned_row(spark):
     doc = '[{"number":"697-555-0142","tipo":"HOME"},{"number":"1","type":"Cell"}]'
     df = spark.createDataFrame([(doc,)], "doc string")
-    arr = F.from_json("doc", "array<struct<number:string,type:string,tipo:string>>")
-    out = df.select(F.to_json(J.json_edit(arr, ["number", "type", "tipo"], [J.NullElement(1)]))).first()[0]
+    out = df.select(json_modify(F.col("doc"), "$[1]", F.lit(None))).first()[0]
     assert out == '[{"number":"697-555-0142","tipo":"HOME"},null]'
 
 
 def test_json_modify_sequence(spark):
     doc = '[{"number":"1","type":"home"}]'
     df = spark.createDataFrame([(doc,)], "doc string")
-    arr = F.from_json("doc", "array<struct<number:string,type:string,ext:string,tipo:string>>")
-    fields = ["number", "type", "ext", "tipo"]
-    steps = [J.Set("type", lambda x: F.upper(x["type"]), index=0), J.Set("ext", "0", index=0),
-             J.Delete("ext", index=0), J.Rename("type", "tipo", index=0),
-             J.Append(F.struct(F.lit("666-555-0175").alias("number"), F.lit("Cell").alias("type"),
-                               F.lit(None).cast("string").alias("ext"), F.lit(None).cast("string").alias("tipo")))]
-    out = df.select(F.to_json(J.json_edit(arr, fields, steps))).first()[0]
+    d, none = F.col("doc"), F.lit(None)
+    new = J.json_object({"number": F.lit("666-555-0175"), "type": F.lit("Cell")})
+    df = df.select(json_modify(d, "$[0].type", F.upper(J.json_value("doc", "$[0].type"))).alias("doc"))
+    steps = [Edit("$[0].ext", F.lit("0")), Edit("$[0].ext", none), Edit("$[0].tipo", J.json_value("doc", "$[0].type")),
+             Edit("$[0].type", none), Edit("append $", new, True)]
+    out = df.select(json_modify_all(d, steps)).first()[0]
     assert json.loads(out) == [{"number": "1", "tipo": "HOME"}, {"number": "666-555-0175", "type": "Cell"}]
 
 
