@@ -58,7 +58,7 @@ def save_changes(spark, sf):
     base = _scratch(spark, "path4")
     c = t(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal",
                                         F.lit(1).cast("long").alias("version"))
-    V.write_version(c, base)
+    first = V.write_version(c, base)
     current = V.read_current(spark, base)
     k = F.col("c_custkey") % 10
     edits = current.where(k < 3).select(
@@ -66,5 +66,33 @@ def save_changes(spark, sf):
         F.when(k == 2, F.lit(0)).otherwise(F.col("version")).cast("long").alias("version"))
     new, _rejected, _conflicts = K.save_changes(current, edits, "c_custkey", "version",
                                                 [L.Check("acctbal", F.col("c_acctbal") >= 0)])
-    V.write_version(new, base)
+    V.write_version(new, base, expect=first)
+    return V.read_current(spark, base)
+
+
+@query("concurrent_commits", """
+SELECT c_custkey,
+       CASE WHEN c_custkey % 3 = 0 THEN upper(c_name) ELSE c_name END AS c_name,
+       CASE WHEN c_custkey % 3 = 1 THEN 0.0 ELSE c_acctbal END AS c_acctbal,
+       CAST(CASE WHEN c_custkey % 3 IN (0, 1) THEN 2 ELSE 1 END AS BIGINT) AS version
+FROM customer
+""")
+def concurrent_commits(spark, sf):
+    # two writers start from version 1: one commits while the other still works, so the other's first
+    # commit is refused and its rewrite runs again on the new version; a stale edit of a changed row is not taken
+    base = _scratch(spark, "commits")
+    c = t(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", F.lit(1).cast("long").alias("version"))
+    V.write_version(c, base)
+    seen = V.read_current(spark, base)
+    k = F.col("c_custkey") % 3
+    mine = seen.where(k < 2).withColumn("c_acctbal", F.lit(0.0))  # of k = 0 too, which the other writer changes first
+    theirs = seen.where(k == 0).withColumn("c_name", F.upper("c_name"))
+    turns = []
+
+    def rewrite(current):
+        if not turns:
+            turns.append(V.update(spark, base, lambda now: K.save_changes(now, theirs, "c_custkey", "version")[0]))
+        return K.save_changes(current, mine, "c_custkey", "version")[0]
+
+    V.update(spark, base, rewrite)
     return V.read_current(spark, base)

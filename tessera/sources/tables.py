@@ -128,16 +128,19 @@ def write_json(df: DataFrame, mapping: dict[str, str | Column], path: str,
 
 
 def write_clustered(df: DataFrame, path: str, by: Sequence[str], partition_by: Sequence[str] = (),
-                    mode: str = "errorifexists", files: int | None = None) -> None:
+                    mode: str = "errorifexists", files: int | None = None, bloom: Sequence[str] = ()) -> None:
     """The Spark stand-in for an index (and for a persisted computed column
     that is indexed, JS18): write the table range-partitioned and sorted by
     ``by``. Each file then covers its own key range, and the Parquet min/max
     statistics of files and row groups let a filter on ``by`` skip the rest
-    (partition folders, with ``partition_by``, prune whole directories)."""
+    (partition folders, with ``partition_by``, prune whole directories).
+    Columns in ``bloom`` get a Parquet bloom filter besides."""
     from tessera.operators.ordering import target_partitions
 
     n = files or target_partitions(df)
     out = df.repartitionByRange(n, *by).sortWithinPartitions(*by).write.mode(mode)
+    for c in bloom:
+        out = out.option(f"parquet.bloom.filter.enabled#{c}", "true")
     if partition_by:
         out = out.partitionBy(*partition_by)
     out.parquet(path)

@@ -103,8 +103,8 @@ def test_take_then_filter_is_bounded(spark):
 
 def test_exists_and_lookup(spark):
     c = S.table(spark, SF01, "customer")
-    assert R.exists(c, "c_custkey", 3) and not R.exists(c, "c_custkey", -5)
-    assert R.lookup(c, "c_custkey", 3).count() == 1
+    assert [tuple(r) for r in R.exists(c, "c_custkey", 3, -5, 3, None).collect()] == [(3, True), (-5, False), (3, True), (None, False)]
+    assert R.lookup(c, "c_custkey", 3).count() == 1 and R.lookup(c, "c_custkey", None).count() == 0 and R.lookup(c, "c_custkey", 3, -5, 4).count() == 2
 
 
 def test_add_drop_columns(spark):
@@ -141,7 +141,7 @@ def test_stream_current_state_equals_batch(spark):
               columns=X.TRACKED)
     q = stream_current_state(spark, os.path.join(work, "log"), max_files_per_trigger=2, **kw)
     q.awaitTermination()
-    schema = spark.read.parquet(os.path.join(work, "state")).drop("epoch", "_deleted").schema
+    schema = log.drop("op").schema
     got = read_state(spark, kw["state_path"], schema)
     exp = C.current_state(log, "user_id", "event_id", "op", X.TRACKED)
     cols = ["user_id", "event_id", *X.TRACKED]
