@@ -90,17 +90,23 @@ class VersionTooOld(ValueError):
 
 
 def changes_since(log: DataFrame, key: str, version: str, op: str, columns: Sequence[str],
-                  since, min_valid_version=None) -> DataFrame:
+                  since, min_valid_version=None, track_columns: bool = True) -> DataFrame:
     """I2 (log form): ``CHANGETABLE(CHANGES t, since)``: one net row per key
     changed after ``since``: version, operation and, for updates, the mask of
     columns that differ from the key's state at ``since``. With
     ``min_valid_version`` (I10) a start older than the retained log is
-    refused rather than answered from partial history."""
+    refused rather than answered from partial history. Without
+    ``track_columns`` (I11) there is no mask: ``CT_Columns`` is NULL, as where
+    the table was tracked with the switch off, and the log before ``since`` is
+    not read."""
     if min_valid_version is not None and since is not None and since < min_valid_version - 1:
         raise VersionTooOld(f"version {since} is older than the oldest retained change {min_valid_version}")
     after = _per_key(_range(log, version, lo=since), key, version, op, columns)
     # only the history of keys changed after `since` is reduced and shuffled
     touched = _range(log, version, lo=since).select(F.col(key).alias("_tk")).distinct()
+    if not track_columns:
+        return after.select(F.col("_version").alias("CT_Version"), _collapse(F.col("_first_op"), F.col("_last_op")).alias("CT_Operation"),
+                            F.lit(None).cast("long").alias("CT_Columns"), F.col(key))
     earlier = _range(log, version, hi=since).join(touched, F.col(key) == F.col("_tk"), "left_semi")
     before = _per_key(earlier, key, version, op, columns).select(
         F.col(key).alias("_bk"), F.col("_last").alias("_before"), F.col("_last_op").alias("_bop"))

@@ -44,13 +44,26 @@ def delete_where(df: DataFrame, predicate: Column) -> DataFrame:
 
 def upsert(df: DataFrame, rows: DataFrame, key: Sequence[str] | str) -> DataFrame:
     """K4: insert or replace rows by key: the untouched rows (left anti join)
-    plus the new rows. Two new rows for one key are refused."""
+    plus the new rows. Two new rows for one key, and a NULL key, are errors;
+    the plan itself finds them when it runs."""
     keys = [key] if isinstance(key, str) else list(key)
-    twice = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").limit(1).collect()
-    if twice:
-        raise ValueError(f"upsert has several rows for one key, such as {twice[0].asDict()}")
-    kept = df.join(rows.select(*keys), keys, "left_anti")
-    return kept.unionByName(rows.select(*df.columns))
+    new = _one_row_a_key(rows.select(*df.columns), keys)
+    kept = df.join(new.select(*keys), keys, "left_anti")
+    return kept.select(*df.columns).unionByName(new)
+
+
+def _one_row_a_key(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows``, or an error at run time if a key has several rows or is NULL."""
+    others = [c for c in rows.columns if c not in keys]
+    per_key = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(F.lit(1).alias("_one"), *others)).alias("_row"))
+    shown = F.to_json(F.struct(*keys))
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    checked = (F.when(null_key, F.raise_error(F.concat(F.lit("upsert has a row with a NULL key: "), shown)).cast("boolean"))
+               .when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("upsert has several rows for one key, such as "), shown)).cast("boolean"))
+               .otherwise(True))
+    return per_key.where(checked).select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in rows.columns])
 
 
 def add_columns(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:

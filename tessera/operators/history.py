@@ -1,10 +1,11 @@
 """System-versioned history.
 
 A history row is valid over ``[valid_from, valid_to)``; the current version
-is valid to the end of time. Successor times come from a distributed LEAD
-(``group_shift``), and as-of lookups for many points at once are a merge of
-probes into the version stream plus a forward fill - never a join that pairs
-every probe with every version of its key.
+is valid to the end of time. Successor times come from LEAD over the key, and
+as-of lookups for many points at once are a merge of probes into the version
+stream plus a forward fill - never a join that pairs every probe with every
+version of its key. ``group_shift`` does both in windows that a hot key cannot
+overfill.
 """
 
 from __future__ import annotations
@@ -98,10 +99,10 @@ def apply_versions(history: DataFrame, new_rows: DataFrame, key: str, ts: str, t
                    valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
     """Add new versions to a history. The versions of each touched key,
     stored and new, get their periods anew, so rows that arrive late fall into
-    their place; keys without new rows are not rebuilt. Equal to rebuilding
-    the history from the whole log."""
-    touched = new_rows.select(F.col(key).alias("_k")).where("_k IS NOT NULL").distinct()
-    of_touched = F.col(key) == F.col("_k")
+    their place; keys without new rows are not rebuilt; the NULL key is a key.
+    Equal to rebuilding the history from the whole log."""
+    touched = new_rows.select(F.col(key).alias("_k")).distinct()
+    of_touched = F.col(key).eqNullSafe(F.col("_k"))
     log = [c for c in history.columns if c not in (valid_from, valid_to)]
     old = history.join(touched, of_touched, "left_semi").select(*log)
     rest = history.join(touched, of_touched, "left_anti")

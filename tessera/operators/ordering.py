@@ -1,30 +1,35 @@
 """Whole-table and per-group order without one task per group.
 
 A window with an ORDER BY and no PARTITION BY runs in a single task in Spark,
-and a partitioned window puts each group in one task. These helpers give the
-same answers with the work spread out:
+and a partitioned window puts each group in one task. That is right for groups of
+up to ``GROUP_ROWS`` rows, so the groups are counted first (one column of the input,
+combined map-side) and Spark's own window takes all that are not larger. Larger
+groups get the same answers in two levels, all of it DataFrame operations:
 
 1. range-partition the rows on (group keys, order keys); partitions are
    balanced by sampling, and a group holding a third of the table is split
    across many partitions;
 2. checkpoint into the shared folder, so the partition a row landed in is
    fixed even if an executor is lost and the work is redone;
-3. number / accumulate inside each partition (narrow, no second shuffle);
-4. add a carry per partition for the group that began in earlier partitions.
-   There is one carry per partition, so what the driver sees is bounded by
-   the partition count, not by the data.
+3. only the first and the last group of a partition can go on in another one:
+   their rows are summed up, one or two rows a partition, and a window over
+   these rows gives what each partition carries in from the ones before it (or
+   after it, for LEAD);
+4. the carried value joins its group as one more row, before the first (after
+   the last) of the partition, and Spark's own window over (partition, group)
+   does the rest.
+
+No rows reach the driver, and no window holds more than ``GROUP_ROWS`` rows of a
+group, one range partition's share of it, or two rows a partition.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import accumulate
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JError
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.session import cut_lineage, default_parallelism
 
@@ -35,10 +40,13 @@ def _cols(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
-# Upper bound on range partitions: keeps the per-partition summaries the
-# driver collects (one row each) and the broadcast carry tables small
-# (200k partitions is about 500 MB each at 100 TB).
+# Upper bound on range partitions: keeps the summaries small, which have one or
+# two rows a partition (200k partitions is about 500 MB each at 100 TB).
 MAX_RANGE_PARTITIONS = 200_000
+# Groups of more rows are divided over range partitions.
+GROUP_ROWS = 4_000_000
+# Summaries of up to this many partitions are broadcast, larger ones are joined.
+_BROADCAST_PARTITIONS = 10_000
 _UNKNOWN_SIZE = 2 ** 63 - 1
 
 
@@ -67,35 +75,54 @@ def target_partitions(df: DataFrame) -> int:
     least the cluster's task slots. When the size is unknown (an in-memory
     or checkpointed frame) the shuffle setting is used."""
     spark = df.sparkSession
+    advisory = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    per = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(advisory))
     try:
         size = _plan_bytes(df)
-        advisory = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
-        per = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(advisory))
-    except Exception:  # estimates unavailable: fall back to the setting
-        return default_parallelism(spark)
+    except Py4JError:  # a plan without an estimate
+        size = None
     if size is None:
         return default_parallelism(spark)
     slots = max(1, spark.sparkContext.defaultParallelism)
     return max(slots, min(MAX_RANGE_PARTITIONS, -(-size // max(per, 1))))
 
 
-def _ranged(df: DataFrame, order: Sequence[str | Column], partitions: int | None) -> DataFrame:
-    """Range-partition and sort, stamp each row with ``_rid`` (partition id
-    in the high bits, position in the partition in the low 33 bits), then
-    checkpoint. Later steps read the partition id from ``_rid`` rather than
-    from the running task, whose index changes when the result is unioned."""
+def _ranged(df: DataFrame, order: Sequence[str | Column], partitions: int | None) -> tuple[DataFrame, int]:
+    """Range-partition and sort, stamp each row with ``__rid`` (its place: partition
+    id in the high bits, position in the partition in the low 33 bits) and
+    ``__pid``, then checkpoint. Returns the rows and the number of partitions."""
     n = partitions or target_partitions(df)
     ranged = (df.repartitionByRange(n, *_cols(order)).sortWithinPartitions(*_cols(order))
-              .withColumn("_rid", F.monotonically_increasing_id()))
-    return cut_lineage(ranged)
+              .withColumn("__rid", F.monotonically_increasing_id()))
+    return cut_lineage(ranged).withColumn("__pid", F.shiftright("__rid", _LOW_BITS).cast("int")), n
+
+
+def _by_size(df: DataFrame, gcols: list[str], partitions: int | None) -> tuple[DataFrame | None, DataFrame | None]:
+    """The rows of groups for one task each, and those of larger groups (None: there are none).
 
+    With ``partitions`` given, all rows count as those of large groups.
+    """
+    if partitions:
+        return None, df
+    if not gcols:
+        return (df, None) if df.count() <= GROUP_ROWS else (None, df)
+    large = df.groupBy(*gcols).count().where(F.col("count") > GROUP_ROWS)
+    if not large.limit(1).count():
+        return df, None
+    large = cut_lineage(large.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(gcols)]))
+    same = F.lit(True)
+    for i, g in enumerate(gcols):
+        same = same & F.col(g).eqNullSafe(F.col(f"__g{i}"))
+    return df.join(large, same, "left_anti"), df.join(large, same, "left_semi")
 
-def _pid_of(rid: Column) -> Column:
-    return F.shiftright(rid, _LOW_BITS).cast("int")
 
+def _both(small: DataFrame | None, large: DataFrame | None) -> DataFrame:
+    return large if small is None else small if large is None else small.unionByName(large)
 
-def _batch_pid(pdf: pd.DataFrame) -> int:
-    return int(pdf["_rid"].iloc[0]) >> _LOW_BITS
+
+def _small(df: DataFrame, partitions: int) -> DataFrame:
+    """A summary with a row a partition: broadcast while that is few rows."""
+    return F.broadcast(df) if partitions <= _BROADCAST_PARTITIONS else df
 
 
 def global_row_number(df: DataFrame, order: Sequence[str | Column], name: str = "row_number",
@@ -103,232 +130,71 @@ def global_row_number(df: DataFrame, order: Sequence[str | Column], name: str =
     """ROW_NUMBER() OVER (ORDER BY order) over the whole table, distributed.
 
     ``order`` must be a total order (put a unique key last), as for any
-    reproducible numbering. One shuffle (the range exchange), no Python.
+    reproducible numbering. One shuffle of the rows (the range exchange).
     """
-    fixed = _ranged(df, order, partitions)
-    pid = _pid_of(F.col("_rid"))
-    counts = fixed.groupBy(pid.alias("_pid")).count().collect()  # one row per partition
-    n_parts = max([r["_pid"] for r in counts], default=-1) + 1
-    sizes = [0] * n_parts
-    for r in counts:
-        sizes[r["_pid"]] = r["count"]
-    prefix = [0] + list(accumulate(sizes))[:-1]
-    # one array literal, one entry per partition
-    offsets = F.element_at(F.lit([int(v) for v in prefix] or [0]).cast("array<bigint>"), pid + 1)
-    local = F.col("_rid").bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
-    return fixed.withColumn(name, (offsets + local + 1).cast("long")).drop("_rid")
+    fixed, n = _ranged(df, order, partitions)
+    before = Window.partitionBy(F.lit(0)).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    counts = fixed.groupBy("__pid").count().select("__pid", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__before"))
+    local = F.col("__rid").bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
+    numbered = fixed.join(_small(counts, n), "__pid").withColumn(name, (F.col("__before") + local + 1).cast("long"))
+    return numbered.select(*df.columns, name) if name not in df.columns else numbered.drop("__pid", "__before", "__rid")
 
 
 # --------------------------------------------------------------------------
-# grouped running sums
+# what groups carry from one range partition into others
 
 
-def _group_change(pdf: pd.DataFrame, gcols: list[str], prev_last) -> np.ndarray:
-    """True where a row starts a new group (compared with the row before;
-    the first row is compared with the last row of the previous batch)."""
-    n = len(pdf)
-    if not gcols:
-        chg = np.zeros(n, dtype=bool)
-        chg[:1] = prev_last is None
-        return chg
-    chg = np.zeros(n, dtype=bool)
-    for g in gcols:
-        s = pdf[g]
-        prev = s.shift()
-        same = (s == prev) | (s.isna() & prev.isna())
-        chg |= ~same.to_numpy(dtype=bool)
-    if n:
-        chg[0] = prev_last is None or _key_at(pdf, gcols, 0) != prev_last
-    return chg
-
-
-def _norm(v):
-    """A key value in one canonical form: a nullable integer column arrives
-    as float64 in a batch that holds a NULL and as int64 in one that does
-    not, so numpy scalars become Python values and integral floats ints."""
-    if v is None:
-        return None
-    if hasattr(v, "asDict"):  # a struct key read back through Spark
-        v = v.asDict()
-    if isinstance(v, dict):
-        return tuple(sorted((k, _norm(x)) for k, x in v.items()))
-    if isinstance(v, (bytearray, memoryview)):
-        return bytes(v)
-    if isinstance(v, (np.ndarray, list, tuple)):  # array-valued keys
-        return tuple(_norm(x) for x in v)
-    if not isinstance(v, (str, bytes)) and pd.isna(v):
-        return None
-    if isinstance(v, np.generic):
-        v = v.item()
-    if isinstance(v, float) and v.is_integer():
-        return int(v)
-    return v
-
-
-def _key_at(pdf: pd.DataFrame, gcols: list[str], i: int):
-    return tuple(_norm(pdf[g].iloc[i]) for g in gcols)
-
-
-_FLOAT_TYPES = (T.FloatType, T.DoubleType)
-_TS_TYPES = (T.TimestampType, T.TimestampNTZType)
-
-
-def _nan_flag(c: str) -> str:
-    return f"_nan_{c}"
-
-
-def _encode_for_python(df: DataFrame):
-    """Prepare a frame for a pandas pass without losing values: timestamps
-    travel as epoch microseconds (pandas' nanosecond timestamps end in 2262),
-    and a NaN in a float column travels as NULL plus a flag column, because
-    pandas and Arrow use NaN to mark NULL. Returns (frame, timestamp types,
-    float columns)."""
-    stamped = {f.name: f.dataType for f in df.schema.fields if isinstance(f.dataType, _TS_TYPES)}
-    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, _FLOAT_TYPES)]
-    cols = []
-    for c in df.columns:
-        if c in stamped:
-            cols.append(_to_micros(F.col(c), stamped[c]).alias(c))
-        elif c in floats:
-            cols.append(F.when(F.isnan(c), F.lit(None)).otherwise(F.col(c)).alias(c))
-        else:
-            cols.append(F.col(c))
-    cols += [F.coalesce(F.isnan(c), F.lit(False)).alias(_nan_flag(c)) for c in floats]
-    return df.select(*cols), stamped, floats
-
-
-def _decode_from_python(df: DataFrame, stamped: dict, nan_flags: dict) -> DataFrame:
-    """Undo ``_encode_for_python``: ``nan_flags`` maps a column to the flag
-    column that marks its NaN values."""
-    out = []
-    for c in df.columns:
-        if c in nan_flags.values():
-            continue
-        col = F.col(c)
-        if c in nan_flags:
-            col = F.when(F.col(nan_flags[c]), F.lit(float("nan")).cast(df.schema[c].dataType)).otherwise(col)
-        if c in stamped:
-            col = _from_micros(col, stamped[c])
-        out.append(col.alias(c))
-    return df.select(*out)
-
-
-def _scan_partition(batches, gcols, vcols, flags, carry_in, emit_rows: bool):
-    """Grouped inclusive cumsum over one sorted partition.
-
-    ``flags`` maps a value column to its NaN flag column: a NaN makes the
-    running sum NaN from there on, as SUM does; NULLs add nothing. With
-    ``emit_rows`` yields the rows with ``_cum{i}`` / ``_cumnan{i}`` columns
-    (plus the carry for the group begun in earlier partitions); otherwise
-    one summary row: first key, last key, local totals of the last group run
-    (as text, so NaN survives) and whether the partition holds one group.
-    """
-    k = len(vcols)
-    pid = None
-    add = np.zeros(k)
-    run_total = np.zeros(k)
-    last_key = first_key = None
-    single = True
-    first_run_open = True
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        if pid is None:
-            pid = _batch_pid(pdf)
-            if carry_in:
-                add = np.asarray(carry_in.get(pid, [0.0] * k), dtype="float64")
-        chg = _group_change(pdf, gcols, last_key)
-        if first_key is None:
-            first_key = _key_at(pdf, gcols, 0)
-            chg[0] = True
-        elif chg[0]:
-            first_run_open = False
-            single = False
-        if chg[1:].any():
-            single = False
-        seg = np.cumsum(chg)
-        head = seg == seg[0]
-        res = pdf.copy() if emit_rows else None
-        for i, v in enumerate(vcols):
-            vals = pdf[v].astype("float64").fillna(0.0).to_numpy()
-            cs = pd.Series(vals).groupby(seg).cumsum().to_numpy()
-            if v in flags:  # a NaN poisons the rest of its group's running sum
-                seen = pd.Series(pdf[flags[v]].to_numpy(dtype=bool)).groupby(seg).cummax().to_numpy()
-                cs = np.where(seen, np.nan, cs)
-            if not chg[0]:
-                cs[head] += run_total[i]
-            run_total[i] = cs[-1]
-            if emit_rows:
-                out = cs.copy()
-                if first_run_open:
-                    out[head] += add[i]
-                res[f"_cum{i}"] = out
-                res[f"_cumnan{i}"] = np.isnan(out)
-        if chg[1:].any():
-            first_run_open = False
-        last_key = _key_at(pdf, gcols, len(pdf) - 1)
-        if emit_rows:
-            yield res
-    if not emit_rows and first_key is not None:
-        row = {"pid": pid, "first_key": repr(first_key), "last_key": repr(last_key),
-               "single": single}
-        for i in range(k):
-            row[f"t{i}"] = repr(float(run_total[i]))
-        yield pd.DataFrame([row])
+def _edge_rows(fixed: DataFrame, gcols: list[str], partitions: int) -> DataFrame:
+    """The rows of the first and the last group of every partition."""
+    key = F.struct(*[F.col(g) for g in gcols]) if gcols else F.struct(F.lit(0).alias("_none"))
+    ends = fixed.groupBy(F.col("__pid").alias("__ep")).agg(F.min_by(key, "__rid").alias("__first"), F.max_by(key, "__rid").alias("__last"))
+    return fixed.join(_small(ends, partitions), F.col("__pid") == F.col("__ep")).where(
+        key.eqNullSafe(F.col("__first")) | key.eqNullSafe(F.col("__last"))).select(*fixed.columns)
+
+
+def _over_partitions(gcols: list[str]):
+    """Window over the summaries of a group, in the order of their partitions."""
+    return Window.partitionBy(*(gcols or [F.lit(0)])).orderBy("__pid")
+
+
+def _with_carries(fixed: DataFrame, carries: DataFrame, gcols: list[str], kind: int) -> tuple[DataFrame, Window]:
+    """Rows and carries together (rows have ``__kind`` 1), and the window over a partition's share of a group."""
+    carries = carries.withColumns({"__kind": F.lit(kind), "__rid": F.lit(-1).cast("long")})
+    rows = fixed.withColumn("__kind", F.lit(1)).unionByName(carries, allowMissingColumns=True)
+    return rows, Window.partitionBy("__pid", *gcols).orderBy("__kind", "__rid")
 
 
 def group_running(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
                   values: Sequence[str], names: Sequence[str],
                   partitions: int | None = None) -> DataFrame:
-    """Inclusive running sums of ``values`` (as doubles) along ``order_by``
-    within each ``partition_by`` group. Keys must be unique (pre-aggregate
-    peers first). Returns the input columns plus ``names``."""
-    gcols, vcols = list(partition_by), list(values)
-    fixed, stamped, floats = _encode_for_python(_ranged(df, gcols + list(order_by), partitions))
-    gcols = _group_keys(gcols, floats)
-    flags = {v: _nan_flag(v) for v in vcols if v in floats}
-    n_parts = fixed.rdd.getNumPartitions()
-
-    summary_schema = T.StructType(
-        [T.StructField("pid", T.IntegerType()), T.StructField("first_key", T.StringType()),
-         T.StructField("last_key", T.StringType()), T.StructField("single", T.BooleanType())]
-        + [T.StructField(f"t{i}", T.StringType()) for i in range(len(vcols))])
-    summary = fixed.mapInPandas(
-        lambda it: _scan_partition(it, gcols, vcols, flags, None, False), summary_schema).collect()
-
-    info = {r["pid"]: r for r in summary}  # at most one row per partition
-    carry_in: dict[int, list[float]] = {}
-    for pid in range(n_parts):
-        acc = [0.0] * len(vcols)
-        me = info.get(pid)
-        if me is not None:
-            j = pid - 1
-            while j >= 0:
-                prev = info.get(j)
-                if prev is None:
-                    j -= 1
-                    continue
-                if prev["last_key"] != me["first_key"]:
-                    break
-                for i in range(len(vcols)):
-                    acc[i] += float(prev[f"t{i}"])
-                if not (prev["single"] and prev["first_key"] == prev["last_key"]):
-                    break
-                j -= 1
-        carry_in[pid] = acc
-
-    out_schema = T.StructType(fixed.schema.fields + [
-        f for i in range(len(vcols)) for f in (T.StructField(f"_cum{i}", T.DoubleType()),
-                                               T.StructField(f"_cumnan{i}", T.BooleanType()))])
-    shared = df.sparkSession.sparkContext.broadcast(carry_in)  # one entry per partition
-    rows = fixed.mapInPandas(
-        lambda it: _scan_partition(it, gcols, vcols, flags, shared.value, True), out_schema)
-    nan_flags = {c: _nan_flag(c) for c in floats}
-    nan_flags.update({f"_cum{i}": f"_cumnan{i}" for i in range(len(vcols))})
-    rows = _decode_from_python(rows, stamped, nan_flags)
-    for i, n in enumerate(names):
-        rows = rows.withColumnRenamed(f"_cum{i}", n)
-    return rows.drop("_rid")
+    """Inclusive running sums of ``values`` along ``order_by`` within
+    ``partition_by`` (rows with equal keys get separate values: collapse
+    peers first). Returns the input columns plus ``names``, each of the type
+    that SUM gives: decimals stay decimal, integers long."""
+    gcols = list(partition_by)
+    small, large = _by_size(df, gcols, partitions)
+    kinds = [f.dataType for f in df.select(*[F.sum(v).alias(f"__v{i}") for i, v in enumerate(values)]).schema.fields]
+    if small is not None:
+        upto = Window.partitionBy(*(gcols or [F.lit(0)])).orderBy(*_cols(order_by)).rowsBetween(Window.unboundedPreceding, 0)
+        small = small.select(*df.columns, *[F.sum(F.col(v).cast(k)).over(upto).cast(k).alias(name) for v, k, name in zip(values, kinds, names)])
+    if large is not None:
+        large = _running_in_parts(large, gcols, order_by, values, names, kinds, partitions)
+    return _both(small, large)
+
+
+def _running_in_parts(df: DataFrame, gcols: list[str], order_by: Sequence[str], values: Sequence[str], names: Sequence[str],
+                      kinds: Sequence, partitions: int | None) -> DataFrame:
+    fixed, n = _ranged(df, [*gcols, *order_by], partitions)
+    fixed = fixed.withColumns({f"__v{i}": F.col(v).cast(kinds[i]) for i, v in enumerate(values)})
+    sums = _edge_rows(fixed, gcols, n).groupBy("__pid", *gcols).agg(*[F.sum(f"__v{i}").cast(k).alias(f"__v{i}") for i, k in enumerate(kinds)])
+    order = _over_partitions(gcols)
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    carries = sums.withColumns({"__turn": F.row_number().over(order), **{f"__c{i}": F.sum(f"__v{i}").over(before) for i in range(len(kinds))}})
+    carries = carries.where("__turn > 1").select("__pid", *gcols, *[F.col(f"__c{i}").cast(k).alias(f"__v{i}") for i, k in enumerate(kinds)])
+    rows, share = _with_carries(fixed, carries, gcols, 0)
+    upto = share.rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumns({f"__o{i}": F.sum(f"__v{i}").over(upto).cast(k) for i, k in enumerate(kinds)}).where("__kind = 1")
+    return rows.select(*df.columns, *[F.col(f"__o{i}").alias(name) for i, name in enumerate(names)])
 
 
 def running_total(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
@@ -337,25 +203,36 @@ def running_total(df: DataFrame, partition_by: Sequence[str], order_by: Sequence
     """SUM(value) OVER (PARTITION BY .. ORDER BY ..) with the default RANGE
     frame: peers (equal keys) share one value.
 
-    Peers are summed per key first with a map-side combine, so a key holding
+    In large groups peers are summed per key first with a map-side combine, so a key holding
     a third of the table becomes one row; the running sums over distinct keys
     are then joined back on the keys (AQE splits a hot key on the big side).
-    ``count_name`` adds the running row count (for running averages and rank).
+    ``count_name`` adds the running row count (for running averages); ``_rank``
+    is the RANK() of the row. The sum has the type that SUM gives.
     """
+    small, large = _by_size(df, list(partition_by), partitions)
+    kind = df.select(F.sum(value)).schema[0].dataType
+    if small is not None:
+        over = Window.partitionBy(*(list(partition_by) or [F.lit(0)])).orderBy(*_cols(order_by))
+        count = {count_name: F.count(value).over(over)} if count_name else {}
+        added = {name: F.sum(value).over(over).cast(kind), **count, "_rank": F.rank().over(over).cast("long")}
+        small = small.select(*df.columns, *[c.alias(n) for n, c in added.items()])
+    if large is not None:
+        large = _total_in_parts(large, partition_by, order_by, value, name, count_name, partitions)
+    return _both(small, large)
+
+
+def _total_in_parts(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str], value: str, name: str,
+                    count_name: str | None, partitions: int | None) -> DataFrame:
     keys = list(partition_by) + list(order_by)
-    per_key = df.groupBy(*keys).agg(F.sum(F.col(value).cast("double")).alias("_s"),
-                                    F.count(F.col(value)).cast("double").alias("_c"),
-                                    F.count(F.lit(1)).cast("double").alias("_r"))
-    names = [name, "_cc", "_cr"]
-    sums = group_running(per_key, partition_by, order_by, ["_s", "_c", "_r"], names, partitions)
-    sums = sums.withColumn(name, F.when(F.col("_cc") > 0, F.col(name)))
-    keep = keys + [name]
+    per_key = df.groupBy(*keys).agg(F.sum(value).alias("_s"), F.count(value).alias("_c"), F.count(F.lit(1)).alias("_r"))
+    kinds = [per_key.schema[c].dataType for c in ("_s", "_c", "_r")]  # a sum of sums is no wider
+    sums = _running_in_parts(per_key, list(partition_by), order_by, ["_s", "_c", "_r"], [name, "_cc", "_cr"], kinds, partitions)
+    keep = [*keys, name]
     if count_name:
-        sums = sums.withColumn(count_name, F.col("_cc").cast("long"))
+        sums = sums.withColumn(count_name, F.col("_cc"))
         keep.append(count_name)
-    sums = sums.withColumn("_rank", (F.col("_cr") - F.col("_r") + 1).cast("int"))
-    keep.append("_rank")
-    return join_null_safe(df, sums.select(*keep), keys)
+    sums = sums.withColumn("_rank", F.col("_cr") - F.col("_r") + 1)
+    return join_null_safe(df, sums.select(*keep, "_rank"), keys)
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -383,205 +260,6 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 # previous / next / last-known values within a group (lag, lead, ffill)
 
 
-def _as_objects(s: pd.Series) -> pd.Series:
-    out = s.astype(object)
-    return out.where(s.notna(), None)
-
-
-def _scalar(pdf: pd.DataFrame, c: str, i: int):
-    v = pdf[c].iloc[i]
-    return None if pd.isna(v) else v
-
-
-def _ffill_batch(pdf, cols, flag_of, seg, chg, known, known_p):
-    """Forward fill of every value column (and its NaN flag) inside one
-    batch. A value counts as present when it is not NULL or is a NaN."""
-    n = len(pdf)
-    head = seg == seg[0]
-    outs = {}
-    for j, c in enumerate(cols):
-        if j in flag_of.values():
-            continue
-        jf = flag_of.get(j)
-        val = _as_objects(pdf[c]).to_numpy()
-        present = pdf[c].notna().to_numpy()
-        fl = None
-        if jf is not None:
-            fl = pdf[cols[jf]].to_numpy(dtype=bool)
-            present = present | fl
-        pos = np.where(present, np.arange(n), -1)
-        last = pd.Series(pos).groupby(seg).cummax().to_numpy()
-        out = np.where(last >= 0, val[np.maximum(last, 0)], None).astype(object)
-        outf = np.where(last >= 0, fl[np.maximum(last, 0)], False) if fl is not None else None
-        if not chg[0] and known_p[j]:  # the group goes on from the previous batch
-            gap = head & (last < 0)
-            out[gap] = known[j]
-            if fl is not None:
-                outf[gap] = bool(known[jf])
-        tail = seg == seg[-1]
-        tail_pos = last[tail]
-        if tail_pos[-1] >= 0:
-            known[j], known_p[j] = val[tail_pos[-1]], True
-            if fl is not None:
-                known[jf] = bool(fl[tail_pos[-1]])
-        elif chg[1:].any() or chg[0]:  # the last group started here and has nothing yet
-            known[j], known_p[j] = None, False
-            if fl is not None:
-                known[jf] = False
-        outs[j] = out
-        if fl is not None:
-            outs[jf] = outf
-    return outs
-
-
-def _scan_back(batches, gcols, cols, flag_of, mode, carry):
-    """One sorted partition: LAG (``mode='lag'``) or forward fill ('ffill').
-
-    ``cols`` lists the value columns followed by their NaN flags;
-    ``flag_of`` maps a value column's index to its flag's index. ``carry``
-    maps partition id to (first key text, values) from the partitions
-    before (see ``_shift_summary``).
-    """
-    pid = incoming = None
-    prev_key = prev_vals = first_key = None
-    known = [None] * len(cols)
-    known_p = [False] * len(cols)
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        if first_key is None:
-            pid = _batch_pid(pdf)
-            incoming = carry.get(pid) if carry else None
-            first_key = _key_at(pdf, gcols, 0)
-            if incoming is not None and incoming[0] == repr(first_key):
-                prev_key, prev_vals, known = first_key, list(incoming[1]), list(incoming[1])
-                known_p = [v is not None for v in known]
-                for j, jf in flag_of.items():
-                    known_p[j] = known_p[j] or bool(known[jf])
-        chg = _group_change(pdf, gcols, prev_key)
-        seg = np.cumsum(chg)
-        res = pdf.copy()
-        if mode == "lag":
-            outs = {}
-            for j, c in enumerate(cols):
-                out = _as_objects(pdf[c]).shift(1)
-                out[chg] = None
-                if not chg[0] and prev_vals is not None:
-                    out.iloc[0] = prev_vals[j]
-                outs[j] = out.to_numpy()
-        else:
-            outs = _ffill_batch(pdf, cols, flag_of, seg, chg, known, known_p)
-        for j in range(len(cols)):
-            res[f"_sh{j}"] = pd.Series(outs[j], index=pdf.index, dtype=object)
-        prev_key = _key_at(pdf, gcols, len(pdf) - 1)
-        prev_vals = [_scalar(pdf, c, -1) for c in cols]
-        yield res
-
-
-def _scan_ahead(batches, gcols, cols, carry):
-    """One sorted partition: LEAD. A batch is held back until the next one
-    arrives so its last row can see the next batch's first row; the last
-    batch takes the first row of the next partition from ``carry``."""
-    pid = incoming = None
-    pending = None
-
-    def finish(pdf, next_key_text, next_vals):
-        chg = _group_change(pdf, gcols, None)
-        res = pdf.copy()
-        starts_next = np.append(chg[1:], True)
-        for j, c in enumerate(cols):
-            out = _as_objects(pdf[c]).shift(-1)
-            out[starts_next] = None
-            if next_vals is not None and next_key_text == repr(_key_at(pdf, gcols, len(pdf) - 1)):
-                out.iloc[-1] = next_vals[j]
-            res[f"_sh{j}"] = out.where(out.notna(), None)
-        return res
-
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        if pid is None:
-            pid = _batch_pid(pdf)
-            incoming = carry.get(pid) if carry else None
-        if pending is not None:
-            yield finish(pending, repr(_key_at(pdf, gcols, 0)), [_scalar(pdf, c, 0) for c in cols])
-        pending = pdf
-    if pending is not None:
-        yield finish(pending, *(incoming if incoming is not None else (None, None)))
-
-
-_EPOCH_NTZ = "1970-01-01 00:00:00"
-
-
-def _to_micros(c: Column, dtype) -> Column:
-    """Timestamp -> epoch microseconds without going through the session
-    time zone (a wall-clock value in a DST gap must not move)."""
-    if isinstance(dtype, T.TimestampNTZType):
-        # read the wall-clock text as UTC: no session zone, no DST gap
-        return F.unix_micros(F.to_timestamp(F.concat(c.cast("string"), F.lit("Z"))))
-    return F.unix_micros(c)
-
-
-def _from_micros(c: Column, dtype) -> Column:
-    if isinstance(dtype, T.TimestampNTZType):
-        return F.timestamp_add("MICROSECOND", c, F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))
-    return F.timestamp_micros(c)
-
-
-def _group_keys(gcols: list[str], floats: list[str]) -> list[str]:
-    """Group key columns as seen by the pandas passes: a float key's NaN
-    travels as NULL plus a flag, so the flag is part of the key (NaN and
-    NULL are different groups, as in Spark)."""
-    return gcols + [_nan_flag(g) for g in gcols if g in floats]
-
-
-def _key_text(row_struct, gkeys: list[str]) -> str:
-    """The same text the pandas passes build with ``repr(_key_at(..))``."""
-    if not gkeys:
-        return repr(())
-    return repr(tuple(_norm(row_struct[g]) for g in gkeys))
-
-
-def _shift_summary(fixed: DataFrame, gkeys: list[str], cols: list[str], ext: list[str],
-                   flag_of: dict, mode: str) -> dict:
-    """Per partition, from one JVM aggregate over the checkpoint (no Python
-    pass): first and last key, the first row's values (lead), the last row's
-    values (lag) or the last present value of each column (ffill)."""
-    rid = F.col("_rid")
-    key = F.struct(*[F.col(g) for g in gkeys]) if gkeys else F.struct(F.lit(0).alias("_none"))
-    aggs = [F.min_by(key, rid).alias("_fk"), F.max_by(key, rid).alias("_lk")]
-    if mode in ("lead", "lag"):
-        pick = F.min_by if mode == "lead" else F.max_by
-        aggs.append(pick(F.struct(*[F.col(c).alias(f"c{j}") for j, c in enumerate(ext)]), rid).alias("_vals"))
-    else:
-        for j, c in enumerate(cols):
-            present = F.col(c).isNotNull()
-            jf = flag_of.get(j)
-            payload = [key.alias("k"), F.col(c).alias("v")]
-            if jf is not None:
-                present = present | F.col(ext[jf])
-                payload.append(F.col(ext[jf]).alias("f"))
-            aggs.append(F.max_by(F.struct(*payload), F.when(present, rid)).alias(f"_p{j}"))
-    info = {}
-    for r in fixed.groupBy(_pid_of(rid).alias("pid")).agg(*aggs).collect():  # one row per partition
-        first, last = _key_text(r["_fk"], gkeys), _key_text(r["_lk"], gkeys)
-        row = {"pid": r["pid"], "first_key": first, "last_key": last, "single": first == last}
-        if mode in ("lead", "lag"):
-            for j in range(len(ext)):
-                row[f"v{j}"] = r["_vals"][f"c{j}"]
-        else:
-            for j in range(len(ext)):
-                row[f"v{j}"] = None if j not in flag_of.values() else False
-            for j in range(len(cols)):
-                hit = r[f"_p{j}"]
-                if hit is not None and _key_text(hit["k"], gkeys) == last:
-                    row[f"v{j}"] = hit["v"]
-                    if j in flag_of:
-                        row[f"v{flag_of[j]}"] = bool(hit["f"])
-        info[r["pid"]] = row
-    return info
-
-
 def group_shift(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str | Column],
                 cols: Sequence[str], names: Sequence[str], mode: str = "lag",
                 partitions: int | None = None) -> DataFrame:
@@ -590,59 +268,40 @@ def group_shift(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[s
 
     ``mode``: ``"lag"`` (previous row), ``"lead"`` (next row) or ``"ffill"``
     (last non-NULL value at or before the row; a NaN is a value). Rows need
-    a total order within their group. What reaches the driver is one summary
-    row per partition.
+    a total order within their group.
     """
     gcols, cols = list(partition_by), list(cols)
-    fixed, stamped, floats = _encode_for_python(_ranged(df, [*gcols, *order_by], partitions))
-    gcols = _group_keys(gcols, floats)
-    flagged = [c for c in cols if c in floats]
-    ext = cols + [_nan_flag(c) for c in flagged]
-    flag_of = {cols.index(c): len(cols) + k for k, c in enumerate(flagged)}
-    info = _shift_summary(fixed, gcols, cols, ext, flag_of, mode)
-    vals_of = lambda r: [r[f"v{j}"] for j in range(len(ext))]
-
-    def unknown(vals, j):
-        return vals[j] is None and not (j in flag_of and vals[flag_of[j]])
-
-    carry: dict[int, tuple] = {}
-    for pid in sorted(info):
-        me = info[pid]
-        if mode == "lead":
-            later = [j for j in info if j > pid]
-            if later:
-                nxt = info[min(later)]
-                carry[pid] = (nxt["first_key"], vals_of(nxt))
-            continue
-        earlier = sorted((j for j in info if j < pid), reverse=True)
-        if not earlier or info[earlier[0]]["last_key"] != me["first_key"]:
-            continue
-        vals = vals_of(info[earlier[0]])
-        if mode == "ffill":  # a column still unknown may be known further back
-            for idx in range(1, len(earlier)):
-                newer, older = info[earlier[idx - 1]], info[earlier[idx]]
-                todo = [j for j in range(len(cols)) if unknown(vals, j)]
-                if not todo or not newer["single"] or older["last_key"] != me["first_key"]:
-                    break
-                older_vals = vals_of(older)
-                for j in todo:
-                    vals[j] = older_vals[j]
-                    if j in flag_of:
-                        vals[flag_of[j]] = older_vals[flag_of[j]]
-        carry[pid] = (me["first_key"], vals)
-    out_schema = T.StructType(fixed.schema.fields + [
-        T.StructField(f"_sh{j}", fixed.schema[c].dataType) for j, c in enumerate(ext)])
-    shared = df.sparkSession.sparkContext.broadcast(carry)  # one entry per partition
-    if mode == "lead":
-        rows = fixed.mapInPandas(lambda it: _scan_ahead(it, gcols, ext, shared.value), out_schema)
+    small, large = _by_size(df, gcols, partitions)
+    if small is not None:
+        over = Window.partitionBy(*(gcols or [F.lit(0)])).orderBy(*_cols(order_by))
+        small = small.select(*df.columns, *[_neighbour(c, mode, over).alias(name) for c, name in zip(cols, names)])
+    if large is not None:
+        large = _shift_in_parts(large, gcols, order_by, cols, names, mode, partitions)
+    return _both(small, large)
+
+
+def _neighbour(col: str, mode: str, over: WindowSpec) -> Column:
+    if mode == "ffill":
+        return F.last(col, True).over(over.rowsBetween(Window.unboundedPreceding, 0))
+    return (F.lag if mode == "lag" else F.lead)(col).over(over)
+
+
+def _shift_in_parts(df: DataFrame, gcols: list[str], order_by: Sequence[str | Column], cols: Sequence[str], names: Sequence[str],
+                    mode: str, partitions: int | None) -> DataFrame:
+    fixed, n = _ranged(df, [*gcols, *order_by], partitions)
+    fixed = fixed.withColumns({f"__v{i}": F.col(c) for i, c in enumerate(cols)})
+    held = [f"__v{i}" for i in range(len(cols))]
+    edge = _edge_rows(fixed, gcols, n).groupBy("__pid", *gcols)
+    order = _over_partitions(gcols)
+    if mode == "ffill":
+        known = edge.agg(*[F.max_by(v, F.when(F.col(v).isNotNull(), F.col("__rid"))).alias(v) for v in held])
+        before = order.rowsBetween(Window.unboundedPreceding, -1)
+        carries = known.withColumns({"__turn": F.row_number().over(order), **{f"__c{v}": F.last(v, True).over(before) for v in held}})
+        carries = carries.where("__turn > 1").select("__pid", *gcols, *[F.col(f"__c{v}").alias(v) for v in held])
     else:
-        rows = fixed.mapInPandas(lambda it: _scan_back(it, gcols, ext, flag_of, mode, shared.value),
-                                 out_schema)
-    nan_flags = {c: _nan_flag(c) for c in floats}
-    nan_flags.update({f"_sh{j}": f"_sh{jf}" for j, jf in flag_of.items()})
-    back = {**stamped, **{f"_sh{j}": stamped[c] for j, c in enumerate(cols) if c in stamped}}
-    rows = _decode_from_python(rows.withColumns({f"_sh{jf}": F.coalesce(F.col(f"_sh{jf}"), F.lit(False))
-                                                 for jf in flag_of.values()}), back, nan_flags)
-    for j, n in enumerate(names):
-        rows = rows.withColumnRenamed(f"_sh{j}", n)
-    return rows.drop("_rid")
+        pick, step = (F.max_by, F.lag) if mode == "lag" else (F.min_by, F.lead)
+        row = edge.agg(pick(F.struct(*held), "__rid").alias("__row"))
+        carries = row.withColumn("__row", step("__row").over(order)).where("__row IS NOT NULL").select("__pid", *gcols, "__row.*")
+    rows, share = _with_carries(fixed, carries, gcols, 2 if mode == "lead" else 0)
+    rows = rows.withColumns({f"__o{i}": _neighbour(v, mode, share) for i, v in enumerate(held)}).where("__kind = 1")
+    return rows.select(*df.columns, *[F.col(f"__o{i}").alias(name) for i, name in enumerate(names)])

@@ -154,9 +154,15 @@ def gate(df: DataFrame, rules: Sequence, table: DataFrame | None = None) -> tupl
     return good, rejected
 
 
-def owned_rows(df: DataFrame, owner_col: str, principal: str | Column) -> DataFrame:
-    """Rows visible to a principal: the owner column equals the login."""
-    p = principal if isinstance(principal, Column) else F.lit(principal)
+def current_login() -> Column:
+    """The login the session runs as (``SUSER_SNAME()``), evaluated when the query runs."""
+    return F.current_user()
+
+
+def owned_rows(df: DataFrame, owner_col: str, principal: str | Column | None = None) -> DataFrame:
+    """Rows visible to a principal: the owner column equals the login (the
+    session's own by default)."""
+    p = current_login() if principal is None else principal if isinstance(principal, Column) else F.lit(principal)
     return df.where(F.col(owner_col) == p)
 
 

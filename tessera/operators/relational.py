@@ -61,23 +61,41 @@ def dynamic_query(df: DataFrame, predicate: Column | None = None,
 
 
 def take_then_filter(df: DataFrame, n: int, predicate: Column,
-                     order_by: Sequence[str | Column] | None = None) -> DataFrame:
-    """``Take(n)`` *before* ``Where``: at most n rows survive, picked
-    arbitrarily unless the input is ordered; the filter and sort act on them."""
-    out = df.limit(n).where(predicate)
+                     order_by: Sequence[str | Column] | None = None,
+                     take_order: Sequence[str | Column] | None = None) -> DataFrame:
+    """``Take(n)`` *before* ``Where``: at most n rows survive, and the
+    filter and sort act on them. The rows are the first n in ``take_order``
+    (a top-n in every task, then one merge), or arbitrary ones without it."""
+    first = df.orderBy(*[_c(c) for c in take_order]) if take_order else df
+    out = first.limit(n).where(predicate)
     if order_by:
         out = out.orderBy(*[_c(c) for c in order_by])
     return out
 
 
-def lookup(df: DataFrame, key: str, value) -> DataFrame:
-    """Rows with a given key (a pushed-down equality filter)."""
-    return df.where(F.col(key) == F.lit(value))
+def store_keyed(df: DataFrame, path: str, key: str, files: int | None = None) -> None:
+    """The table stored for point lookups: clustered by ``key``, so each
+    file and row group has its own key range, with a bloom filter on it."""
+    from tessera.sources.tables import write_clustered
 
+    write_clustered(df, path, [key], files=files, bloom=[key])
 
-def exists(df: DataFrame, key: str, value) -> bool:
-    """Existence test; reads at most one row."""
-    return not lookup(df, key, value).limit(1).isEmpty()
+
+def lookup(df: DataFrame, key: str, *values) -> DataFrame:
+    """Rows with one of the given keys, by a pushed-down filter. On a
+    table stored with ``store_keyed`` only the row groups whose range and
+    bloom filter admit a key are read. A NULL key finds nothing."""
+    return df.where(F.col(key).isin([v for v in values if v is not None]))
+
+
+def exists(df: DataFrame, key: str, *values) -> DataFrame:
+    """``(key, found)`` for each of the given keys, in their order; the
+    scan is that of ``lookup``. A NULL key is not found."""
+    spark, kind = df.sparkSession, df.schema[key].dataType.simpleString()
+    asked = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"_i int, _v {kind}")
+    there = lookup(df, key, *values).select(F.col(key).alias("_k")).distinct()  # a row a key asked for, at most
+    return (asked.join(there, F.col("_v") == F.col("_k"), "left").orderBy("_i")
+            .select(F.col("_v").alias(key), F.col("_k").isNotNull().alias("found")))
 
 
 def account_number(col: str | Column, prefix: str = "AW", width: int = 8) -> Column:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tessera.operators.ordering import group_running, join_null_safe
@@ -23,6 +24,22 @@ def approx_distinct(df: DataFrame, col: str, rsd: float = 0.05, name: str = "app
     return df.agg(F.approx_count_distinct(col, rsd).alias(name))
 
 
+def distinct_sketches(df: DataFrame, by: Sequence[str], cols: Sequence[str], bits: int = 14) -> DataFrame:
+    """One HyperLogLog sketch per slice (``by``) and column, to be stored
+    and united later: ``(*by, col_sketch, ..)``. NULLs are not counted. A
+    sketch of ``bits`` has 2^bits registers and a relative error of about
+    1.04 / sqrt(2^bits)."""
+    return df.groupBy(*by).agg(*[F.hll_sketch_agg(c, F.lit(bits)).alias(f"{c}_sketch") for c in cols])
+
+
+def distinct_from_sketches(sketches: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """Distinct counts of any union of stored slices: the sketches of each
+    ``by`` group are merged (a value in several slices counts once), and
+    ``(*by, col, ..)`` has the estimates. New slices need no old data."""
+    out = sketches.groupBy(*by) if by else sketches.groupBy()
+    return out.agg(*[F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(f"{c}_sketch")), F.lit(0)).alias(c) for c in cols])
+
+
 def string_agg(df: DataFrame, by: Sequence[str], col: str, sep: str = ", ",
                name: str = "string_agg") -> DataFrame:
     """``STRING_AGG(col, sep) WITHIN GROUP (ORDER BY col)``.
@@ -125,21 +142,65 @@ def unpivot_dropping_nulls(df: DataFrame, ids: Sequence[str], cols: Sequence[str
 # E: windows
 
 
-def integer_avg(col: str | Column) -> Column:
-    """SQL Server rule: the average of an integer column is an integer
-    (truncated toward zero)."""
-    return F.avg(_c(col)).cast("long")
+@dataclass(frozen=True)
+class NamedWindow:
+    """A resolved window: its parts, and the Spark specification they make."""
 
+    partition_by: tuple = ()
+    order_by: tuple = ()
+    frame: tuple | None = None
+
+    @property
+    def spec(self) -> WindowSpec:
+        w = Window.partitionBy(*[_c(k) for k in self.partition_by])
+        if self.order_by:
+            w = w.orderBy(*[_c(k) for k in self.order_by])
+        if self.frame:
+            kind, lo, hi = self.frame
+            w = (w.rowsBetween if kind == "rows" else w.rangeBetween)(lo, hi)
+        return w
 
-def windowed(df: DataFrame, specs: Mapping[str, Column]) -> DataFrame:
-    """Add several window columns. Named windows that extend one
-    another are ``WindowSpec`` objects reused: ``base.partitionBy(..)``."""
-    out = df
-    for name, col in specs.items():
-        out = out.withColumn(name, col)
-    return out
 
+class NamedWindows:
+    """The WINDOW clause: names for specifications that extend one another.
+
+    A window may name a base and add what the base does not have: a partition,
+    an order, a frame; giving any of them a second time is an error, as is a
+    base with a frame. ``select`` adds functions over windows (by name, or by a
+    base extended in place) in one projection, so that functions over equal
+    partition and order share one exchange and one sort.
+    """
 
-def ordered(*keys: str | Column):
-    """A reusable named window (``WINDOW ordenada AS (ORDER BY ..)``)."""
-    return Window.orderBy(*[_c(k) for k in keys])
+    def __init__(self):
+        self._windows: dict[str, NamedWindow] = {}
+
+    def resolve(self, base: str | None = None, partition_by: Sequence = (), order_by: Sequence = (), frame: tuple | None = None) -> NamedWindow:
+        if base is not None and base not in self._windows:
+            raise ValueError(f"no window named {base}")
+        under = self._windows[base] if base else NamedWindow()
+        for part, mine, given in (("partition", partition_by, under.partition_by), ("order", order_by, under.order_by)):
+            if mine and given:
+                raise ValueError(f"window {base} has its {part} already")
+        if under.frame:
+            raise ValueError(f"window {base} has a frame and cannot be extended")
+        if frame and not (order_by or under.order_by):
+            raise ValueError("a frame needs an order")
+        return NamedWindow(tuple(partition_by) or under.partition_by, tuple(order_by) or under.order_by, frame)
+
+    def define(self, name: str, base: str | None = None, **parts) -> NamedWindows:
+        if name in self._windows:
+            raise ValueError(f"window {name} is defined twice")
+        self._windows[name] = self.resolve(base, **parts)
+        return self
+
+    def select(self, df: DataFrame, functions: Mapping[str, tuple[Column, str | NamedWindow]], keep: Sequence[str] | None = None) -> DataFrame:
+        """``keep`` columns (all by default) and one column for each ``name: (function, window)``.
+
+        A window without a partition is one task's work in Spark; for running
+        sums, counts and ranks over a whole table use ``ordering.running_total``.
+        """
+        unknown = {w for _, w in functions.values() if isinstance(w, str)} - set(self._windows)
+        if unknown:
+            raise ValueError(f"no window named {sorted(unknown)}")
+        over = {name: fn.over((self._windows[w] if isinstance(w, str) else w).spec) for name, (fn, w) in functions.items()}
+        return df.select(*(keep or df.columns), *[c.alias(name) for name, c in over.items()])

@@ -57,6 +57,13 @@ def changes_since(spark, sf):
     return _changes(spark, sf)
 
 
+@query("changes_untracked", f"WITH {_NET_SQL} SELECT CT_Version, CT_Operation, CAST(NULL AS DOUBLE) AS CT_Columns, user_id FROM ch")
+def changes_untracked(spark, sf):
+    # The table tracked without its columns: no mask, and no reading of the log before the version
+    ch = C.changes_since(change_log(spark, sf), "user_id", "event_id", "op", TRACKED, since_version_value(spark, sf), track_columns=False)
+    return ch.withColumn("CT_Columns", F.col("CT_Columns").cast("double"))
+
+
 @query("snapshot_diff", f"""
 WITH {AFTER_SQL},
 j AS (SELECT b.o_orderkey AS bk, a.o_orderkey AS ak,

@@ -86,6 +86,15 @@ def row_filter(spark, sf):
     return L.owned_rows(e, "owner", principal).select("event_id", "owner", "event_type")
 
 
+@query("row_filter_login", """
+SELECT event_id, event_type, true AS mine FROM events WHERE user_id % 3 = 0
+""")
+def row_filter_login(spark, sf):
+    # a third of the rows belongs to the login of the session, which the filter names by itself
+    e = t(spark, sf, "events").withColumn("owner", F.when(F.col("user_id") % 3 == 0, L.current_login()).otherwise(F.concat(F.lit("not "), L.current_login())))
+    return L.owned_rows(e, "owner").select("event_id", "event_type", (F.col("owner") == L.current_login()).alias("mine"))
+
+
 @query("masked_view", """
 SELECT c_custkey,
   regexp_replace(regexp_replace(regexp_replace(c_name, '[A-Z]', 'X', 'g'), '[a-z]', 'x', 'g'), '[0-9]', 'n', 'g') AS c_name,

@@ -8,11 +8,14 @@ sides because the driver tables hold none.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tessera.operators import relational as R
 from tessera.operators.ordering import global_row_number
 from tessera.plans.registry import query
+from tessera.session import ensure_checkpoint_dir
 from tessera.sources import tables as S
 
 
@@ -182,6 +185,33 @@ def key_lookup(spark, sf):
             .select("o_orderkey", "c_name", F.col("c_custkey").isNotNull().alias("found")))
 
 
+def _keyed_orders(spark, sf):
+    """The orders stored for lookups by key, read back."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/b11-{uuid.uuid4().hex}"
+    R.store_keyed(t(spark, sf, "orders"), path, "o_orderkey")
+    return spark.read.parquet(path)
+
+
+@query("point_lookup", """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+WHERE o_orderkey IN ((SELECT min(o_orderkey) FROM orders), (SELECT max(o_orderkey) FROM orders))
+""")
+def point_lookup(spark, sf):
+    o = _keyed_orders(spark, sf)
+    ends = o.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()  # two values
+    return R.lookup(o, "o_orderkey", *ends, None).select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@query("key_exists", """
+SELECT CAST(max(o_orderkey) AS DOUBLE) AS o_orderkey, true AS found FROM orders UNION ALL SELECT max(o_orderkey) + 1, false FROM orders
+UNION ALL SELECT min(o_orderkey), true FROM orders UNION ALL SELECT NULL, false
+""")
+def key_exists(spark, sf):
+    o = _keyed_orders(spark, sf)
+    lo, hi = o.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    return R.exists(o, "o_orderkey", hi, hi + 1, lo, None).withColumn("o_orderkey", F.col("o_orderkey").cast("double"))
+
+
 @query("conditional", """
 SELECT p_partkey, CASE WHEN p_size > 25 THEN 'big' ELSE 'small' END AS size_class,
        coalesce(nullif(p_type, 'SMALL'), 'none') AS type_or_none
@@ -445,11 +475,15 @@ def sql_params(spark, sf):
         args={"p": 300000, "s": "O"})
 
 
-@query("take_then_filter")
+@query("take_then_filter", """
+SELECT o_orderkey, o_orderstatus
+FROM (SELECT o_orderkey, o_orderstatus FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 50) WHERE o_orderstatus = 'F'
+""")
 def take_then_filter_q(spark, sf):
-    # rows-only: Take(5) before Where picks at most 5 rows, which ones is not fixed
-    o = t(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    return R.take_then_filter(o, 5, F.col("o_orderstatus") == "F", ["o_orderkey"])
+    # Take before Where: the 50 dearest orders, of which those that are finished
+    o = t(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    picked = R.take_then_filter(o, 50, F.col("o_orderstatus") == "F", ["o_orderkey"], take_order=[F.col("o_totalprice").desc(), F.col("o_orderkey")])
+    return picked.select("o_orderkey", "o_orderstatus")
 
 
 # --------------------------------------------------------------------------

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tessera.functions.text import money_es
 from tessera.operators import reshape as D
 from tessera.operators.ordering import running_total
 from tessera.plans.registry import query
+from tessera.session import ensure_checkpoint_dir
 from tessera.plans.relational_queries import money, t
 
 # year / quarter / month of the ship date, the reference's grouping keys
@@ -76,10 +79,33 @@ def count_distinct(spark, sf):
     return t(spark, sf, "orders").agg(F.count_distinct("o_custkey").alias("n"))
 
 
-@query("approx_distinct")
+@query("approx_distinct", """
+SELECT true AS within_bound, count(o_custkey) AS n_rows FROM orders
+""")
 def approx_distinct(spark, sf):
-    # rows-only in the oracle; tests check the error bound against count_distinct
-    return D.approx_distinct(t(spark, sf, "orders"), "o_custkey", 0.05, "n")
+    # the estimate, against the exact count: 4 standard errors of 5 % each
+    o = t(spark, sf, "orders")
+    both = D.approx_distinct(o, "o_custkey", 0.05, "n").join(o.agg(F.count_distinct("o_custkey").alias("exact"), F.count("o_custkey").alias("n_rows")))
+    return both.select((F.abs(F.col("n") - F.col("exact")) <= 0.2 * F.col("exact")).alias("within_bound"), "n_rows")
+
+
+@query("distinct_sketches", """
+SELECT o_orderstatus, true AS within_bound, true AS whole_within_bound, count(DISTINCT o_custkey) AS customers
+FROM orders GROUP BY o_orderstatus
+""")
+def distinct_sketches(spark, sf):
+    # a sketch for each status and day is stored; the counts of a status and of the whole table are united from them
+    o = t(spark, sf, "orders")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/d5-{uuid.uuid4().hex}"
+    D.distinct_sketches(o, ["o_orderstatus", "o_orderdate"], ["o_custkey"]).write.parquet(path)
+    sketches = spark.read.parquet(path)
+    exact = o.groupBy("o_orderstatus").agg(F.count_distinct("o_custkey").alias("customers"))
+    whole = D.distinct_from_sketches(sketches, [], ["o_custkey"]).first()[0]  # one number
+    all_customers = o.agg(F.count_distinct("o_custkey")).first()[0]
+    near = lambda est, n: F.abs(est - n) <= F.greatest(F.lit(2), 0.05 * n)  # noqa: E731  6 standard errors of 2^14 registers
+    return (D.distinct_from_sketches(sketches, ["o_orderstatus"], ["o_custkey"]).join(exact, "o_orderstatus")
+            .select("o_orderstatus", near(F.col("o_custkey"), F.col("customers")).alias("within_bound"),
+                    near(F.lit(whole), F.lit(all_customers)).alias("whole_within_bound"), "customers"))
 
 
 @query("string_agg", """
@@ -249,6 +275,24 @@ def running_avg(spark, sf):
                     avg.cast("long").alias("avg_qty_int"))
 
 
+@query("named_windows", """
+SELECT o_orderkey, o_custkey,
+  CAST(SUM(cents) OVER particionada AS BIGINT) AS total, COUNT(*) OVER particionada AS pedidos,
+  rank() OVER (PARTITION BY o_orderstatus, o_custkey ORDER BY o_orderdate, o_orderkey) AS ranking, AVG(cents) OVER ultimos AS media
+FROM (SELECT *, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders)
+WINDOW particionada AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey),
+  ultimos AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)
+""")
+def named_windows(spark, sf):
+    w = D.NamedWindows().define("ordenada", order_by=["o_orderdate", "o_orderkey"])
+    w.define("particionada", "ordenada", partition_by=["o_custkey"]).define("ultimos", "particionada", frame=("rows", -2, 0))
+    orders = t(spark, sf, "orders").withColumn("cents", F.round(F.col("o_totalprice") * 100).cast("long"))
+    return w.select(orders, {
+        "total": (F.sum("cents"), "particionada"), "pedidos": (F.count(F.lit(1)), "particionada"),
+        "ranking": (F.rank(), w.resolve("ordenada", partition_by=["o_orderstatus", "o_custkey"])), "media": (F.avg("cents"), "ultimos")},
+        keep=["o_orderkey", "o_custkey"]).withColumn("ranking", F.col("ranking").cast("long"))
+
+
 @query("rank_part", """
 SELECT l_orderkey, l_partkey, l_linenumber, l_suppkey,
        rank() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_partkey) AS ranking
@@ -259,4 +303,4 @@ def rank_part(spark, sf):
                                          "l_quantity")
     r = running_total(li, ["l_partkey"], ["l_orderkey"], "l_quantity", "_sum")
     return r.select("l_orderkey", "l_partkey", "l_linenumber", "l_suppkey",
-                    F.col("_rank").cast("long").alias("ranking"))
+                    F.col("_rank").alias("ranking"))
