@@ -7,6 +7,7 @@ matching length at each position tell which item windows end there.
 
 from __future__ import annotations
 
+import itertools
 import re
 
 import numpy as np
@@ -197,7 +198,7 @@ def _blocks(items: DataFrame, id_col: str, text_col: str, block_words: int):
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
-               item_text_col: str = "text", window: int = 10, block_words: int = 2_000_000, keep: tuple[str, ...] = ()) -> DataFrame:
+               item_text_col: str = "text", window: int = 10, block_words: int = 200_000, keep: tuple[str, ...] = ()) -> DataFrame:
     """``(id_col, *keep, text, n_words, spans, items)``, one row a document.
 
     ``spans`` are the merged word ranges ``[start, end)`` covered by item windows,
@@ -210,8 +211,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     read. Texts stay where they are: there is no shuffle.
 
     The items are read through the driver one by one and broadcast in blocks of
-    a bounded number of words; the usual test set is one block, and further
-    blocks each make another pass over the documents.
+    ``block_words`` words, which makes an automaton of at most twice as many
+    states (about 100 MB by default); the usual test set is one block, and
+    further blocks each make another pass over the documents. Only one block is
+    held at a time.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -219,8 +222,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     cur = docs.select(F.col(id_col), *[F.col(k) for k in keep], F.col(text_col).cast("string").cast("binary").alias("__text"))
     cur = cur.withColumns({"n_words": F.lit(None).cast("long"), "spans": F.array().cast(spans_t), "items": F.array().cast("array<string>")})
     schema = cur.schema
-    blocks = list(_blocks(items, id_col=item_id_col, text_col=item_text_col, block_words=block_words)) or [[]]
-    for k, block in enumerate(blocks):
+    blocks = _blocks(items, id_col=item_id_col, text_col=item_text_col, block_words=block_words)
+    for k, block in enumerate(itertools.chain([next(blocks, [])], blocks)):
+        if k:
+            cur, _ = stored(cur, "leaks-block")
         shared = spark.sparkContext.broadcast(Matcher([(None if i is None else str(i), ws) for i, ws in block], window))
 
         def run(batches, shared=shared):
@@ -242,8 +247,6 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                     yield pa.RecordBatch.from_arrays([cols.get(n, b.column(n)) for n in b.schema.names], names=b.schema.names)
 
         cur = cur.mapInArrow(tidied(run), schema)
-        if k + 1 < len(blocks):
-            cur, _ = stored(cur, "leaks-block")
     return cur.select(id_col, *keep, F.col("__text").cast("string").alias("text"), "n_words", "spans", "items")
 
 
@@ -271,16 +274,22 @@ def remove_spans(raw: bytes, spans: list[dict]) -> bytes:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, max_coverage: float = 0.5, min_words: int = 0, **options) -> DataFrame:
-    """Documents without benchmark passages: ``find_leaks`` columns, ``text`` cleaned.
-
-    Spans are cut out of the text; a document of which more than
-    ``max_coverage`` of the words lie in spans, or that keeps fewer than
-    ``min_words`` words after a cut, goes. Documents without spans are returned
+    """Documents without benchmark passages: ``find_leaks`` columns and ``n_hit``, ``text`` cleaned.
+
+    Spans are cut out of the text. Words that a cut brings together may form a
+    window again; such texts are searched and cut again until none is left, and
+    ``n_hit`` counts all words cut. A document of which more than
+    ``max_coverage`` of the words are cut, or that keeps fewer than
+    ``min_words`` words after a cut, goes. ``spans``, ``items`` and ``n_words``
+    are those of the text as it came. Documents without spans are returned
     unchanged, whatever their length. Edge cases as in ``find_leaks``.
     """
-    found = find_leaks(docs, items, **options)
-    n_hit = F.aggregate("spans", F.lit(0), lambda a, s: a + s["end"] - s["start"])
-    schema = found.withColumn("n_hit", n_hit).schema
+    keep = tuple(options.pop("keep", ()))
+    id_col = options.get("id_col", "doc_id")
+    ordinary = (id_col, *keep, "text", "n_words", "spans", "items", "n_hit")
+    hits = F.aggregate("spans", F.lit(0), lambda a, s: a + s["end"] - s["start"])
+    found = find_leaks(docs, items, keep=keep, **options).withColumn("n_hit", hits)
+    schema = found.schema
 
     def cut(batches):
         for b in batches:
@@ -289,6 +298,18 @@ def decontaminate(docs: DataFrame, items: DataFrame, max_coverage: float = 0.5,
             yield pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if n == "text" else b.column(n) for n in b.schema.names],
                                              names=b.schema.names)
 
-    kept = found.withColumn("n_hit", n_hit).where(
-        (F.col("n_hit") == 0) | ((F.col("n_hit") <= max_coverage * F.col("n_words")) & (F.col("n_words") - F.col("n_hit") >= min_words)))
-    return kept.mapInArrow(tidied(cut), schema)
+    allowed = (F.col("n_hit") <= max_coverage * F.col("n_words")) & (F.col("n_words") - F.col("n_hit") >= min_words)
+    cleaned, _ = stored(found.where((F.col("n_hit") == 0) | allowed).mapInArrow(tidied(cut), schema), "leaks-cut")
+    out, again = cleaned.where("n_hit = 0"), cleaned.where("n_hit > 0")
+    before = [F.col(c).alias(f"__{c}") for c in ("n_words", "spans", "items", "n_hit")]
+    again_options = {**options, "text_col": "text"}
+    while again.limit(1).count():
+        # what was cut last time, searched once more; each turn that finds something cuts at least a word
+        turn = find_leaks(again.select(id_col, *keep, "text", *before), items, keep=(*keep, "__n_words", "__spans", "__items", "__n_hit"), **again_options)
+        turn = turn.withColumn("n_hit", hits)
+        dirty = turn.mapInArrow(tidied(cut), turn.schema).withColumns(
+            {"new": F.col("n_hit"), "n_hit": F.col("n_hit") + F.col("__n_hit"), **{c: F.col(f"__{c}") for c in ("n_words", "spans", "items")}})
+        dirty, _ = stored(dirty.where((F.col("new") == 0) | allowed), "leaks-again")
+        out = out.unionByName(dirty.where("new = 0").select(*ordinary))
+        again = dirty.where("new > 0").select(*ordinary)
+    return out.select(*ordinary)

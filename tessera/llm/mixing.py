@@ -174,7 +174,7 @@ def _factors(rows: DataFrame, targets: DataFrame, max_repeat: int) -> DataFrame:
     when no source's factor moves.
     """
     cur = targets.withColumn("__factor", F.lit(0.0))
-    for _ in range(100):
+    for _ in range(1000):
         a, b = rows, cur.select(F.col("__source").alias("s"), "target", "__factor")
         j = a.join(b, a["__source"].eqNullSafe(b["s"]))
         at_limit = (F.col("__w") * F.col("__factor")) >= max_repeat
@@ -186,8 +186,8 @@ def _factors(rows: DataFrame, targets: DataFrame, max_repeat: int) -> DataFrame:
         cur = targets.join(agg, targets["__source"].eqNullSafe(agg["s"]), "left").select(
             *[targets[c] for c in targets.columns], F.coalesce(agg["__factor"], F.lit(0.0)).alias("__factor"))
         if not agg.where("moved").limit(1).count():
-            break
-    return cur
+            return cur
+    raise RuntimeError("the factors of the sources still moved after 1,000 rounds")
 
 
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:

@@ -40,19 +40,19 @@ _CHUNKS = _Chunks()
 def chunk_tokens(chunk: str) -> tuple[int, ...]:
     """Hashes of the tokens of a run between white space.
 
-    Words are lower-cased, numbers are one token, signs keep their text up to
-    three characters; a word in capitals is followed by a token saying so.
+    Words are lower-cased, numbers are one token, adjacent signs are one token;
+    a word in capitals is followed by a token saying so.
     """
     out = []
     for part in _PARTS.findall(chunk):
         if part[0].isalpha():
-            out.append("w" + part.lower()[:40])
+            out.append("w" + part.lower())
             if len(part) > 1 and part.isupper():
                 out.append("CAPS")
         elif part[0].isdigit():
             out.append("NUM")
         else:
-            out.append("s" + part[:3])
+            out.append("s" + part)
     return tuple(xxhash.xxh64_intdigest(t) for t in out)
 
 
@@ -270,10 +270,20 @@ def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text",
 
 
 def filter_quality(docs: DataFrame, model: QualityModel, min_score: float = 0.7, text_col: str = "text") -> DataFrame:
-    """Rows of ``docs``, all columns unchanged, whose text scores at least ``min_score``."""
-    cols = docs.columns
-    scored = score_quality(docs, model, text_col, keep=tuple(cols))
-    return scored.where(F.col("score") >= min_score).select(*cols)
+    """Rows of ``docs``, all columns unchanged, whose text scores at least ``min_score``.
+
+    Only the text goes to Python and only its score comes back; the other columns
+    stay where they are, whatever their names.
+    """
+    spark = docs.sparkSession
+    prepare(spark)
+    shared = spark.sparkContext.broadcast(model)
+
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array([shared.value.score(t.as_py()) for t in texts], pa.float64())
+
+    return docs.where(score(F.col(text_col).cast("string")) >= min_score)
 
 
 __all__ = ["QualityModel", "filter_quality", "id_text", "indicators", "labelled", "score_quality", "train"]

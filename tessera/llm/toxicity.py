@@ -28,7 +28,13 @@ from tessera.llm.quality import labelled
 _LOOKALIKE = dict(zip("авеорсухкмнтіїјѕԁһԛԝгп" "αβεικνορτυχωγη" "ıøđłſ", "abeopcyxkmhtiijsdhqwrn" "abeikvoptuxwyn" "iodls"))
 #: digits and signs used as letters, folded only next to a letter
 _DIGIT = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s"}
-_AS_LETTER = re.compile(r"(?<=[^\W\d_])[0134578 9@$]|[01345789@$](?=[^\W\d_])".replace(" ", ""))
+#: a whole run of them, of any length, with a letter at either end
+_AS_LETTERS = re.compile(r"(?<=[^\W\d_])[01345789@$]+|[01345789@$]+(?=[^\W\d_])")
+_DIGITS = str.maketrans(_DIGIT)
+_LOOKALIKES = str.maketrans(_LOOKALIKE)
+_ANY_LOOKALIKE = re.compile(f"[{''.join(_LOOKALIKE)}]")
+_LATIN = re.compile("[a-z]")
+_WORDS = re.compile(r"[^\W_]+")
 _NOT_WORD = re.compile(r"[\W_]+")
 _HIDDEN = re.compile("[­​-‏⁠﻿]")
 
@@ -40,11 +46,8 @@ class _Table(dict):
         ch = chr(code)
         if code < 128:
             out = ch
-        elif ch in _LOOKALIKE:
-            out = _LOOKALIKE[ch]
         else:
-            flat = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c)).lower()
-            out = "".join(_LOOKALIKE.get(c, c) for c in flat) or ch
+            out = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c)).lower() or ch
         self[code] = out
         return out
 
@@ -53,12 +56,17 @@ _TABLE = _Table()
 
 
 def fold_text(text: str) -> str:
-    """Words of the folded text between single spaces, with a space at both ends."""
+    """Words of the folded text between single spaces, with a space at both ends.
+
+    Look-alike letters are folded in words that also have Latin letters; words
+    wholly in another script stay as they are.
+    """
     t = text.lower()
     if not t.isascii():
         t = _HIDDEN.sub("", t).translate(_TABLE)
-    t = _AS_LETTER.sub(lambda m: _DIGIT[m[0]], t)
-    t = _AS_LETTER.sub(lambda m: _DIGIT[m[0]], t)  # runs of two, as in "l00k"
+        if _ANY_LOOKALIKE.search(t):
+            t = _WORDS.sub(lambda m: m[0].translate(_LOOKALIKES) if _LATIN.search(m[0]) else m[0], t)
+    t = _AS_LETTERS.sub(lambda m: m[0].translate(_DIGITS), t)
     return f" {_NOT_WORD.sub(' ', t).strip()} "
 
 
@@ -119,20 +127,19 @@ def _automaton_of(lexicon: tuple, exceptions: tuple) -> ahocorasick.Automaton:
 def _terms(text: str, stems: tuple[int, int]) -> set[str]:
     out: set[str] = set()
     for w in set(fold_text(text).split()):
-        if len(w) <= 40:
-            out.add(w)
+        out.add(w)
         out.update(w[:k] + "*" for k in range(stems[0], min(stems[1], len(w) - 1) + 1))
     return out
 
 
-def learn_lexicon(rows: DataFrame, min_docs: int = 4, min_ratio: float = 1.5, min_deviance: float = 20.0, size: int = 3000,
+def learn_lexicon(rows: DataFrame, min_docs: int = 4, min_ratio: float = 1.5, min_deviance: float = 20.0,
                   stems: tuple[int, int] = (5, 8)) -> dict[str, float]:
     """Terms of label 1 texts with their log ratios, from ``(label, text)`` rows.
 
     Document frequencies of words and word beginnings are counted by a shuffle;
-    the driver gets the ``size`` terms of the highest deviance (likelihood ratio
-    against equal frequencies) at most. A
-    stem is kept only if it says more than its own words do, that is if it is
+    the driver gets the terms whose deviance (likelihood ratio against equal
+    frequencies) is ``min_deviance`` or more, a small share of the terms of the
+    bounded sample. A stem is kept only if it says more than its own words do, that is if it is
     found in more label 1 texts than any of them.
     """
     def emit(batches):
@@ -156,19 +163,23 @@ def learn_lexicon(rows: DataFrame, min_docs: int = 4, min_ratio: float = 1.5, mi
     deviance = 2 * (part(F.col("pos"), share) + part(F.col("neg"), 1 - share))
     top = (counts.withColumn("ratio", ratio).withColumn("deviance", deviance)
            .where((F.col("ratio") >= min_ratio) & (F.col("deviance") >= min_deviance))
-           .orderBy(F.desc("deviance"), "term").limit(size).collect())
-    words = {r["term"]: r["pos"] for r in top if not r["term"].endswith("*")}
+           .orderBy("term").collect())
+    most: dict[str, int] = {}  # of the words with each beginning
+    for r in top:
+        if not r["term"].endswith("*"):
+            for k in range(stems[0], min(stems[1], len(r["term"])) + 1):
+                most[r["term"][:k]] = max(most.get(r["term"][:k], 0), r["pos"])
     out = {}
     for r in top:
         term = r["term"]
-        if term.endswith("*") and any(w.startswith(term[:-1]) and p >= r["pos"] for w, p in words.items()):
+        if term.endswith("*") and most.get(term[:-1], 0) >= r["pos"]:
             continue
         out[term] = float(r["ratio"])
     return out
 
 
-def learn_exceptions(rows: DataFrame, lexicon: dict[str, float], min_docs: int = 5, size: int = 1000) -> tuple[str, ...]:
-    """Two-word phrases around entries that occur in label 0 texts only, from ``(label, text)`` rows."""
+def learn_exceptions(rows: DataFrame, lexicon: dict[str, float], min_docs: int = 5) -> tuple[str, ...]:
+    """Two-word phrases around entries that occur in at least ``min_docs`` label 0 texts and in no other, from ``(label, text)`` rows."""
     words = [t for t in lexicon if not t.endswith("*")]
     if not words:
         return ()
@@ -190,7 +201,7 @@ def learn_exceptions(rows: DataFrame, lexicon: dict[str, float], min_docs: int =
                     yield pa.RecordBatch.from_arrays([pa.array([label] * len(got_list), pa.int32()), pa.array(got_list)], names=["label", "term"])
 
     top = (rows.mapInArrow(tidied(emit), "label int, term string").groupBy("term").agg(F.sum("label").alias("pos"), F.count("*").alias("n"))
-           .where((F.col("pos") == 0) & (F.col("n") >= min_docs)).orderBy(F.desc("n"), "term").limit(size).collect())
+           .where((F.col("pos") == 0) & (F.col("n") >= min_docs)).orderBy("term").collect())
     return tuple(r["term"] for r in top)
 
 

@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 from tessera.llm.common import connected_components, prepare, stored
 
 
+#: ends the path of a shard that is divided into blocks
+DENSE = "!"
+
 # ---- inside a shard -------------------------------------------------------------------------------
 
 def _matrix(table: pa.Table) -> np.ndarray:
@@ -95,12 +98,14 @@ def greedy_search(v: np.ndarray, adj: list[np.ndarray], starts: np.ndarray, beam
     """For every row as query: the rows of its final beam, from a best-first search over the graph."""
     n = len(v)
     width = max(max((len(a) for a in adj), default=1), 1)
-    table = np.full((n, min(width, 96)), -1, dtype=np.int64)
+    table = np.full((n, width), -1, dtype=np.int64)
     for i, a in enumerate(adj):
-        table[i, :min(len(a), table.shape[1])] = a[:table.shape[1]]
+        table[i, :len(a)] = a
     result = np.empty((n, beam), dtype=np.int64)
-    for lo in range(0, n, 256):
-        q = v[lo:lo + 256]
+    # queries at once: their neighbours' vectors take 64 MB at most
+    step = int(max(1, min(256, (64 << 20) // (8 * width * v.shape[1]))))
+    for lo in range(0, n, step):
+        q = v[lo:lo + step]
         m = len(q)
         rows = np.arange(m)
         ids = np.full((m, beam), -1, dtype=np.int64)
@@ -176,15 +181,32 @@ def spherical_means(v: np.ndarray, k: int, rounds: int = 12, merge: float = 0.9,
     return c[out]
 
 
+def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest of ``n`` rows that each can reach over the links ``a[i] - b[i]``.
+
+    Every turn hooks each root below the least root linked to it and shortens all
+    paths, so the trees that still have links to others at least halve in number.
+    """
+    root = np.arange(n)
+    while True:
+        x, y = root[a], root[b]
+        if (x == y).all():
+            return root
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root[root] != root).any():
+            root = root[root]
+
+
 # ---- over all vectors -----------------------------------------------------------------------------
 
 def clean_vectors(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """``(vec_id, vec)``: ``vec`` in doubles, null where it is null, empty, zero or not finite throughout."""
-    vec = F.transform(F.col(vec_col), lambda x: x.cast("double") + F.lit(0.0))
-    bad = (F.col(vec_col).isNull() | (F.size(vec_col) <= 0)
+    vec = F.transform("__v", lambda x: x.cast("double") + F.lit(0.0))
+    bad = (F.col("__v").isNull() | (F.size("__v") <= 0)
            | F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
            | ~F.exists("vec", lambda x: x != 0))
-    return vectors.select(F.col(id_col).alias("vec_id"), vec.alias("vec"), vec_col).withColumn("vec", F.when(~F.coalesce(bad, F.lit(True)), F.col("vec"))).select("vec_id", "vec")
+    plain = vectors.select(F.col(id_col).alias("vec_id"), F.col(vec_col).alias("__v"))
+    return plain.withColumn("vec", vec).select("vec_id", F.when(~F.coalesce(bad, F.lit(True)), F.col("vec")).alias("vec"))
 
 
 def _share(n: Column, most: int) -> Column:
@@ -193,7 +215,7 @@ def _share(n: Column, most: int) -> Column:
 
 
 def assign_shards(nodes: DataFrame, overlap: int, shard_size: int, sample: int = 8000, depth: int = 4) -> DataFrame:
-    """``(path, nid, vec)``: every node in its nearest shards, ``overlap`` of them at each level.
+    """``(path, nid, vec)``: every node in its nearest shards, ``overlap`` of them at the first level, half of that below.
 
     Centroids of a shard are fitted on at most about ``sample`` of its nodes in
     one task; every node is then placed. Shards above ``shard_size`` are divided
@@ -204,7 +226,7 @@ def assign_shards(nodes: DataFrame, overlap: int, shard_size: int, sample: int =
     for level in range(depth):
         sizes, _ = stored(members.groupBy("path").agg(F.count("*").alias("n")), "graph-sizes")
         big = sizes.where(F.col("n") > shard_size)
-        r = overlap if level == 0 else 2
+        r = overlap if level == 0 else max(2, overlap // 2)
         few = big.count()
         if not few:
             break
@@ -259,9 +281,11 @@ def assign_shards(nodes: DataFrame, overlap: int, shard_size: int, sample: int =
 def _tasks(members: DataFrame, shard_size: int) -> DataFrame:
     """``(task, block, nid, vec, paths)``: shards above the size limit become one task for each pair of their blocks."""
     sizes = members.groupBy("path").agg(F.count("*").alias("n"))
-    paths = members.groupBy("nid").agg(F.sort_array(F.collect_set("path")).alias("paths"))
     blocks = F.when(F.col("n") > shard_size, F.ceil(F.col("n") * 2 / shard_size)).otherwise(1).cast("int")
-    m = members.join(sizes, "path").join(paths, "nid").withColumn("s", blocks)
+    m = members.join(sizes, "path").withColumn("s", blocks)
+    m = m.withColumn("path", F.when(F.col("s") > 1, F.concat("path", F.lit(DENSE))).otherwise(F.col("path")))
+    paths = m.groupBy("nid").agg(F.collect_set("path").alias("paths"))
+    m = m.join(paths, "nid")
     m = m.withColumn("block", F.pmod(F.xxhash64("nid", F.lit(7)), F.col("s")).cast("int"))
     m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("s") - 1)))
     # a block alone is a task only where the shard is one block; else it is in the pair tasks
@@ -286,10 +310,15 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     A shard that no centroids divide is a dense group; its blocks are paired, so
     its work grows with the square of the group, which its links do as well, but
     never in one task, and only counts and one edge for each vector leave a
-    task. A pair found in several shards is counted by the first of them.
-
-    If the audit finds less than ``target_recall`` of the links of a sample, the
-    index is built again with twice the overlap (three times at most).
+    task. Pairs that several shards may find are counted once, whichever found
+    them. A row with a null id and no vector is its own component of null id,
+    so its ``kept`` is false, as it is for any null id.
+
+    The index is one flat graph in that adjacency lists are united over the
+    shards of a vector; a search stays within the shard, so that a task never
+    needs another task's vectors. If the audit finds less than ``target_recall``
+    of the links of a sample of vectors, on average over those that have links,
+    the index is built again with twice the overlap; a third failure is an error.
     """
     spark = vectors.sparkSession
     prepare(spark)
@@ -301,8 +330,11 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
         own = nodes.where(F.size("vec") == dim)
         for attempt in range(3):
             counts, edges = _links(own, min_cosine, overlap << attempt, shard_size, degree, alpha, beam, slack)
-            if audit(own, counts, min_cosine, audit_queries) >= target_recall:
+            recall = audit(own, counts, min_cosine, audit_queries)
+            if recall >= target_recall:
                 break
+        else:
+            raise RuntimeError(f"only {recall:.3f} of the links of the sampled vectors were found")
         parts.append((counts, edges))
     if not parts:
         return rows.select(F.col("vec_id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
@@ -348,7 +380,7 @@ def _links(nodes: DataFrame, least: float, overlap: int, shard_size: int, degree
             x = np.asarray(x, dtype=np.int64)
             at = np.searchsorted(ids, x)
             at[at == n] = 0
-            adj.append(at[ids[at] == x] if len(x) else np.empty(0, np.int64))
+            adj.append(np.sort(at[ids[at] == x]) if len(x) else np.empty(0, np.int64))
         found = greedy_search(v, adj, medoids(v), min(beam, max(n, 1)))
         q, r = range_search(v, adj, found, least, slack)
         pair = np.unique(np.minimum(q, r) * n + np.maximum(q, r))
@@ -356,45 +388,54 @@ def _links(nodes: DataFrame, least: float, overlap: int, shard_size: int, degree
         # the exact check
         ok = np.array([float(v[i] @ v[j]) >= least for i, j in zip(a, b)], dtype=bool) if len(a) < 64 else np.einsum("nd,nd->n", v[a], v[b]) >= least
         a, b = a[ok], b[ok]
-        root = np.arange(n)
-        for _ in range(64):  # smallest row reachable inside the task
-            low = root.copy()
-            np.minimum.at(low, a, root[b])
-            np.minimum.at(low, b, root[a])
-            low = low[low]
-            if (low == root).all():
-                break
-            root = low
-        # a pair counts in the first task that has both
+        root = roots(n, a, b)
+        # a pair with one shard in common counts here; in a divided shard, in the first such task that has
+        # both; other pairs leave the task, and are counted once however many shards have found them
         path, alone = table.column("path")[0].as_py(), table.column("alone")[0].as_py()
         block = table.column("block").to_numpy()
-        paths = table.column("paths").to_pylist()
-        sets = [frozenset(p) for p in paths]
-        mine = np.array([min(sets[i] & sets[j]) == path for i, j in zip(a, b)], dtype=bool)
+        sets = [frozenset(p) for p in table.column("paths").to_pylist()]
+        mine, shared = np.zeros(len(a), dtype=bool), np.zeros(len(a), dtype=bool)
+        for k, (i, j) in enumerate(zip(a.tolist(), b.tolist())):
+            common = sets[i] & sets[j]
+            dense = [p for p in common if p.endswith(DENSE)]
+            if dense:
+                mine[k] = min(dense) == path
+            else:
+                mine[k], shared[k] = len(common) == 1, len(common) > 1
         mine &= alone | (block[a] != block[b])
         copies = table.column("copies").to_numpy()
         links = np.zeros(n, np.int64)
         np.add.at(links, a[mine], copies[b[mine]])
         np.add.at(links, b[mine], copies[a[mine]])
-        return pa.table({"nid": pa.array(ids), "links": pa.array(links), "root": pa.array(ids[root])})
-
-    out = tasks.join(union, "nid").groupBy("task").applyInArrow(search, "nid long, links long, root long")
+        a, b = a[shared], b[shared]
+        own, none = pa.nulls(n, pa.int64()), pa.nulls(2 * len(a), pa.int64())
+        return pa.table({"nid": pa.concat_arrays([pa.array(ids), pa.array(ids[np.concatenate([a, b])])]),
+                         "links": pa.concat_arrays([pa.array(links), pa.array(copies[np.concatenate([b, a])])]),
+                         "root": pa.concat_arrays([pa.array(ids[root]), none]),
+                         "other": pa.concat_arrays([own, pa.array(ids[np.concatenate([b, a])])])})
+
+    out = tasks.join(union, "nid").groupBy("task").applyInArrow(search, "nid long, links long, root long, other long")
     out, _ = stored(out, "graph-found")
-    counts = out.groupBy("nid").agg(F.sum("links").alias("links"))
+    several = out.where("other IS NOT NULL").select("nid", "other", "links").distinct().select("nid", "links")
+    counts = out.where("other IS NULL").select("nid", "links").union(several).groupBy("nid").agg(F.sum("links").alias("links"))
     edges = out.where("nid <> root").select(F.col("nid").alias("a"), F.col("root").alias("b")).distinct()
     return stored(counts, "graph-counts")[0], edges
 
 
 def audit(nodes: DataFrame, counts: DataFrame, least: float, queries: int) -> float:
-    """Share of the links of about ``queries`` nodes, compared with all nodes by brute force, that ``counts`` has.
+    """Share of a node's links that ``counts`` has, on average over sampled nodes with links, by brute force.
 
-    The sample goes to every task (its size is the parameter); nodes are read in
+    About ``queries`` nodes are sampled from all, and as many from those that
+    ``counts`` gives links, so that rare links are seen too; a large group weighs
+    no more than its nodes. 1.0 where none of them has a link. The sample goes to every task (its size is the parameter); nodes are read in
     blocks; only one sum for each sampled node and task comes back.
     """
     n = nodes.count()
     if not n:
         return 1.0
-    picked = nodes.where(_share(F.lit(n), queries)).select("nid", "vec").toArrow()
+    linked = nodes.join(counts.where("links > 0").select("nid"), "nid", "left_semi")
+    picked = nodes.where(_share(F.lit(n), queries)).union(linked.where(_share(F.lit(max(1, linked.count())), queries)).select(*nodes.columns))
+    picked = picked.select("nid", "vec").dropDuplicates(["nid"]).toArrow()
     if not len(picked):
         return 1.0
     ids, q = picked.column("nid").to_numpy(), _matrix(picked)
@@ -411,5 +452,6 @@ def audit(nodes: DataFrame, counts: DataFrame, least: float, queries: int) -> fl
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], names=["nid", "true_links"])
 
     true = nodes.select("nid", "vec", "copies").mapInArrow(scan, "nid long, true_links long").groupBy("nid").agg(F.sum("true_links").alias("t"))
-    got = true.join(counts, "nid", "left").agg(F.sum("t").alias("t"), F.sum(F.least("t", F.coalesce("links", F.lit(0)))).alias("g")).head()
-    return 1.0 if not got["t"] else got["g"] / got["t"]
+    share = F.least("t", F.coalesce("links", F.lit(0))) / F.col("t")
+    got = true.where("t > 0").join(counts, "nid", "left").agg(F.avg(share).alias("recall")).head()
+    return 1.0 if got["recall"] is None else got["recall"]
