@@ -54,6 +54,26 @@ def discard(spark: SparkSession, *paths: str) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: caches of a worker that a task fills and none needs after it
+TASK_CACHES: list[dict] = []
+
+
+def give_back() -> None:
+    """Empty the task's caches and give freed memory back to the system."""
+    import ctypes
+    import gc
+
+    import pyarrow
+
+    for cache in TASK_CACHES:
+        cache.clear()
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def tidied(fn):
     """``fn`` for ``mapInArrow``, giving freed memory back to the system at the end of the task.
 
@@ -62,16 +82,7 @@ def tidied(fn):
     """
     def run(batches):
         yield from fn(batches)
-        import ctypes
-        import gc
-
-        import pyarrow
-
-        gc.collect()
-        pyarrow.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
-        if trim is not None:
-            trim(0)
+        give_back()
 
     return run
 

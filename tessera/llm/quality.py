@@ -8,6 +8,7 @@ sigmoid fitted on rows the descent does not see turns margins into scores.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -16,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import id_text, prepare, tidied, unit_hash
+from tessera.llm.common import TASK_CACHES, give_back, id_text, prepare, tidied, unit_hash
 
 _PARTS = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 _K = np.uint64(0x9E3779B97F4A7C15)
@@ -35,6 +36,7 @@ class _Chunks(dict):
 
 
 _CHUNKS = _Chunks()
+TASK_CACHES.append(_CHUNKS)
 
 
 def chunk_tokens(chunk: str) -> tuple[int, ...]:
@@ -280,8 +282,10 @@ def filter_quality(docs: DataFrame, model: QualityModel, min_score: float = 0.7,
     shared = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
-    def score(texts: pa.Array) -> pa.Array:
-        return pa.array([shared.value.score(t.as_py()) for t in texts], pa.float64())
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array([shared.value.score(t.as_py()) for t in texts], pa.float64())
+        give_back()
 
     return docs.where(score(F.col(text_col).cast("string")) >= min_score)
 
