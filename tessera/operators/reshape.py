@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tessera.operators.ordering import group_running, join_null_safe
+from tessera.session import cut_lineage
 
 
 def _c(x: str | Column) -> Column:
@@ -60,39 +61,68 @@ def string_agg(df: DataFrame, by: Sequence[str], col: str, sep: str = ", ",
 
 
 def percentiles(df: DataFrame, by: Sequence[str], col: str, points: Mapping[str, float],
-                partitions: int | None = None) -> DataFrame:
+                partitions: int | None = None, accuracy: int = 10_000) -> DataFrame:
     """Exact ``PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY col)`` per group.
 
     Linear interpolation between the values at ranks floor((N-1)p) and
-    ceil((N-1)p). Built from distributed steps so a group holding a third of
-    the table never sits in one task's memory:
-
-    1. count rows per (group, value) - map-side combine;
-    2. running counts over (group, value) in global order (range partitioned);
-    3. per group: N (another map-side combine);
-    4. for each point, pick the values whose rank interval covers the two
-       target ranks with a conditional max - another map-side combine.
+    ceil((N-1)p); NULLs do not count, a NaN is larger than any number. Two
+    passes, neither of which orders the table:
+
+    1. a quantile sketch per group (combined map-side, rank error 1 in
+       ``accuracy``) gives, with a margin, values between which both ranks of a
+       point must lie;
+    2. the rows below each bracket are counted, the few inside it are counted by
+       value, and running counts over those values find the ranks.
+
+    Groups without values give no row. A bracket without its ranks, which the sketch's bound rules out, is an
+    error. ``partitions`` divides the values inside the brackets over range
+    partitions whatever their number.
     """
-    keys = list(by)
-    counted = (df.where(F.col(col).isNotNull())
-               .groupBy(*keys, col).agg(F.count(F.lit(1)).cast("double").alias("_n")))
-    cum = group_running(counted, keys, [col], ["_n"], ["_cum"], partitions)
-    sizes = counted.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    ranked = (join_null_safe(cum, sizes, keys)
-              .withColumn("_hi_rank", F.col("_cum"))
-              .withColumn("_lo_rank", F.col("_cum") - F.col("_n")))
-    aggs = [F.first("_total").alias("_total")]
-    for name, p in points.items():
-        h = (F.col("_total") - 1) * F.lit(float(p))
-        for tag, target in (("lo", F.floor(h)), ("hi", F.ceil(h))):
-            hit = (F.col("_lo_rank") <= target) & (target < F.col("_hi_rank"))
-            aggs.append(F.max(F.when(hit, F.col(col))).alias(f"_{name}_{tag}"))
-    picked = ranked.groupBy(*keys).agg(*aggs[1:], F.max("_total").alias("_total"))
+    keys, names = list(by), list(points)
+    if not names:
+        raise ValueError("no points")
+    if not keys:
+        return percentiles(df.withColumn("_all", F.lit(0)), ["_all"], col, points, partitions, accuracy).drop("_all")
+    # the sketch works on doubles; the mapping keeps the order (values it makes equal fall on one side together)
+    s = F.col(col).cast("double")
+    s = F.when(F.isnan(s), float("inf")).otherwise(s)
+    rows = df.where(F.col(col).isNotNull()).select(*keys, F.col(col).alias("_x"), s.alias("_s"))
+    margin = 3.0 / accuracy
+    ends = [x for n in names for x in (max(0.0, points[n] - margin), min(1.0, points[n] + margin))]
+    sketch = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_s", ends, accuracy).alias("_q"),
+                                     F.min("_s").alias("_min"), F.max("_s").alias("_max"))
+    bounds = []
+    for i, n in enumerate(names):
+        # near the ends, and in groups too small for the margin, the bracket is open
+        open_lo = (points[n] - margin <= 0) | (F.col("_n") <= accuracy)
+        open_hi = (points[n] + margin >= 1) | (F.col("_n") <= accuracy)
+        h = (F.col("_n") - 1) * F.lit(float(points[n]))
+        bounds.append(F.struct(F.lit(i).alias("i"), F.when(open_lo, F.col("_min")).otherwise(F.col("_q")[2 * i]).alias("lo"),
+                               F.when(open_hi, F.col("_max")).otherwise(F.col("_q")[2 * i + 1]).alias("hi"), h.alias("h")))
+    brackets = cut_lineage(sketch.select(*keys, F.array(*bounds).alias("_b")))
+    inside = lambda b: (F.col("_s") >= b["lo"]) & (F.col("_s") <= b["hi"])
+    placed = join_null_safe(rows, brackets, keys)
+    below = placed.groupBy(*keys).agg(*[F.count_if(F.col("_s") < F.col("_b")[i]["lo"]).alias(f"_below{i}") for i in range(len(names))])
+    values = (placed.withColumn("_b", F.explode(F.filter("_b", inside)))
+              .groupBy(*keys, F.col("_b.i").alias("_i"), "_x").agg(F.first("_b.h").alias("_h"), F.count(F.lit(1)).alias("_c")))
+    running = group_running(cut_lineage(values), [*keys, "_i"], ["_x"], ["_c"], ["_upto"], partitions)
+    ranked = join_null_safe(running, below, keys)
+    before = F.element_at(F.array(*[F.col(f"_below{i}") for i in range(len(names))]), F.col("_i") + 1)
+    first, end = before + F.col("_upto") - F.col("_c"), before + F.col("_upto")
+    holds = lambda rank: (first <= rank) & (rank < end)
+    aggs = []
+    for i, n in enumerate(names):
+        mine = F.col("_i") == i
+        for tag, rank in (("lo", F.floor("_h")), ("hi", F.ceil("_h"))):
+            aggs.append(F.max(F.when(mine & holds(rank), F.col("_x"))).alias(f"_{tag}{i}"))
+        aggs.append(F.max(F.when(mine, F.col("_h"))).alias(f"_h{i}"))
+    picked = ranked.groupBy(*keys).agg(*aggs)
     out = [F.col(k) for k in keys]
-    for name, p in points.items():
-        h = (F.col("_total") - 1) * F.lit(float(p))
-        lo, hi = F.col(f"_{name}_lo").cast("double"), F.col(f"_{name}_hi").cast("double")
-        out.append((lo + (h - F.floor(h)) * (hi - lo)).alias(name))
+    for i, n in enumerate(names):
+        lo, hi, h = F.col(f"_lo{i}").cast("double"), F.col(f"_hi{i}").cast("double"), F.col(f"_h{i}")
+        lost = F.col(f"_lo{i}").isNull() | F.col(f"_hi{i}").isNull()
+        found = F.when((h == F.floor(h)) | (lo == hi), lo).otherwise(lo + (h - F.floor(h)) * (hi - lo))
+        out.append(F.when(lost, F.raise_error(F.lit(f"the bracket of {n} lost its rank")).cast("double")).otherwise(found).alias(n))
     return picked.select(*out)
 
 
