@@ -45,6 +45,21 @@ def as_of(history: DataFrame, t, valid_from: str = "valid_from", valid_to: str =
     return history.where((F.col(valid_from) <= tt) & (tt < F.col(valid_to)))
 
 
+def versions_as_of(versions: DataFrame, key: str, ts: str, tie: str, t, valid_from: str = "valid_from",
+                   valid_to: str = "valid_to") -> DataFrame:
+    """T3 on the log of versions, without building its history: of each key the
+    last version up to ``t`` and the time of the first after it, found by
+    partial aggregates. Equal to ``as_of(build_history(versions, ..), t)``;
+    NULL keys are one key, versions without a time are none."""
+    at = F.lit(t).cast(versions.schema[ts].dataType)
+    others = [c for c in versions.columns if c != key]
+    last = versions.where(F.col(ts) <= at).groupBy(key).agg(F.max_by(F.struct(*others), F.struct(ts, tie)).alias("_v"))
+    after = versions.where(F.col(ts) > at).groupBy(F.col(key).alias("_k")).agg(F.min(ts).alias("_next"))
+    joined = last.join(after, F.col(key).eqNullSafe(F.col("_k")), "left")
+    return joined.select(*[F.col(c) if c == key else F.col("_v")[c].alias(c) for c in versions.columns],
+                         F.col("_v")[ts].alias(valid_from), F.coalesce("_next", end_of_time(versions.schema[ts].dataType)).alias(valid_to))
+
+
 def between(history: DataFrame, a, b, valid_from: str = "valid_from",
             valid_to: str = "valid_to") -> DataFrame:
     """T4: ``FOR SYSTEM_TIME BETWEEN a AND b``: ``valid_from <= b`` and

@@ -54,7 +54,7 @@ WITH new_rows AS (
   SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, 'X-CHANGED' AS o_orderpriority
   FROM orders WHERE year(o_orderdate) = 1996
   UNION ALL
-  SELECT o_orderkey + 10000000, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+  SELECT o_orderkey + 1 + (SELECT max(o_orderkey) FROM orders), o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
   FROM orders WHERE year(o_orderdate) = 1997)
 SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM new_rows)
 UNION ALL SELECT * FROM new_rows
@@ -62,7 +62,8 @@ UNION ALL SELECT * FROM new_rows
 def upsert(spark, sf):
     o = t(spark, sf, "orders").select(*_ORDER_COLS)
     changed = o.where(F.year("o_orderdate") == 1996).withColumn("o_orderpriority", F.lit("X-CHANGED"))
-    added = o.where(F.year("o_orderdate") == 1997).withColumn("o_orderkey", F.col("o_orderkey") + 10000000)
+    top = o.agg(F.max("o_orderkey")).first()[0] or 0  # new keys lie above all there are
+    added = o.where(F.year("o_orderdate") == 1997).withColumn("o_orderkey", F.col("o_orderkey") + 1 + F.lit(top))
     return K.upsert(o, changed.unionByName(added), "o_orderkey")
 
 

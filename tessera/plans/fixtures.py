@@ -49,7 +49,7 @@ AFTER_SQL = """after_o AS (
          o_orderpriority
   FROM orders WHERE o_orderkey % 97 <> 0
   UNION ALL
-  SELECT o_orderkey + 1000000, o_totalprice, o_orderstatus, o_orderpriority FROM orders WHERE o_orderkey % 101 = 0)"""
+  SELECT o_orderkey + 1 + (SELECT max(o_orderkey) FROM orders), o_totalprice, o_orderstatus, o_orderpriority FROM orders WHERE o_orderkey % 101 = 0)"""
 
 
 def snapshot_after(spark, sf):
@@ -60,7 +60,8 @@ def snapshot_after(spark, sf):
         F.when(k % 11 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).alias("o_totalprice"),
         F.when(k % 13 == 0, F.lower("o_orderstatus")).otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
         "o_orderpriority")
-    added = o.where(k % 101 == 0).select((k + 1000000).alias("o_orderkey"), "o_totalprice",
+    top = o.agg(F.max("o_orderkey")).first()[0] or 0  # new keys lie above all there are
+    added = o.where(k % 101 == 0).select((k + 1 + F.lit(top)).alias("o_orderkey"), "o_totalprice",
                                          "o_orderstatus", "o_orderpriority")
     return kept.unionByName(added)
 

@@ -64,16 +64,8 @@ WITH {HIST_SQL}
 SELECT {_sql_text()} FROM hist WHERE valid_from <= TIMESTAMP '{AS_OF}' AND TIMESTAMP '{AS_OF}' < valid_to
 """)
 def temporal_as_of(spark, sf):
-    # a row after the point only ends the one before it: of each key the last version up to
-    # the point and the first after it are enough, found by partial aggregates
     e = t(spark, sf, "events").select("user_id", "event_id", "ts", "event_type", "value")
-    at = F.lit(AS_OF).cast("timestamp_ntz")
-    last = e.where(F.col("ts") <= at).groupBy("user_id").agg(
-        F.max_by(F.struct("event_id", "event_type", "value", F.col("ts").alias("valid_from")), F.struct("ts", "event_id")).alias("v"))
-    after = e.where(F.col("ts") > at).groupBy(F.col("user_id").alias("_u")).agg(F.min("ts").alias("_next"))
-    cur = last.join(after, F.col("user_id") == F.col("_u"), "left").select(
-        "user_id", "v.*", F.coalesce("_next", H.end_of_time("timestamp_ntz")).alias("valid_to"))
-    return _text_period(cur.select(*_COLS))
+    return _text_period(H.versions_as_of(e, "user_id", "ts", "event_id", AS_OF).select(*_COLS))
 
 
 @query("as_of_join", f"""

@@ -183,3 +183,13 @@ def test_percentile_brackets_hold_the_ranks(spark):
     exact = whole.agg(F.percentile("x", 0.37)).first()[0]
     assert D.percentiles(whole, [], "x", {"p": 0.37}, accuracy=500).first()["p"] == exact
     assert D.percentiles(df.limit(0), ["g"], "x", points).count() == 0
+
+
+def test_versions_as_of_equals_the_built_history(spark):
+    from tessera.operators import history as T
+
+    log = spark.createDataFrame([(1, "2024-01-01", 1, "a"), (1, "2024-01-01", 2, "b"), (1, "2024-02-01", 3, "c"), (None, "2024-01-05", 4, "n"), (2, "2024-03-01", 5, "z")],
+                                "k int, d string, seq int, x string").withColumn("ts", F.col("d").cast("timestamp_ntz"))
+    for at in ("2023-01-01 00:00:00", "2024-01-01 00:00:00", "2024-01-20 00:00:00", "2024-02-01 00:00:00", "2030-01-01 00:00:00"):
+        want = T.as_of(T.build_history(log, "k", "ts", "seq"), at)
+        assert same(T.versions_as_of(log, "k", "ts", "seq", at).select(*want.columns), want)
