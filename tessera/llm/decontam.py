@@ -299,6 +299,26 @@ def decontaminate(docs: DataFrame, items: DataFrame, max_coverage: float = 0.5,
                                              names=b.schema.names)
 
     allowed = (F.col("n_hit") <= max_coverage * F.col("n_words")) & (F.col("n_words") - F.col("n_hit") >= min_words)
+    block_options = {k: options[k] for k in ("block_words",) if k in options}
+    blocks = _blocks(items, id_col=options.get("item_id_col", "item_id"), text_col=options.get("item_text_col", "text"), **({"block_words": 200_000} | block_options))
+    only, more = next(blocks, []), next(blocks, None)
+    if more is None:  # one automaton holds all items: a text is searched again where it lies
+        shared = docs.sparkSession.sparkContext.broadcast(Matcher([(None if i is None else str(i), ws) for i, ws in only], options.get("window", 10)))
+
+        def cut_clean(batches):
+            matcher = shared.value
+            for b in batches:
+                texts, hit = b.column("text").to_pylist(), b.column("n_hit").to_pylist()
+                for i, spans in enumerate(b.column("spans").to_pylist()):
+                    while spans:
+                        raw = remove_spans(texts[i].encode(), spans)
+                        texts[i] = raw.decode(errors="replace")
+                        spans = merge([(s, e) for s, e, _ in matcher.match([words_of(raw)]).get(0, [])])
+                        hit[i] += sum(s["end"] - s["start"] for s in spans)
+                new = {"text": pa.array(texts, pa.string()), "n_hit": pa.array(hit, pa.int32())}
+                yield pa.RecordBatch.from_arrays([new.get(n, b.column(n)) for n in b.schema.names], names=b.schema.names)
+
+        return found.where((F.col("n_hit") == 0) | allowed).mapInArrow(tidied(cut_clean), schema).where((F.col("n_hit") == 0) | allowed).select(*ordinary)
     cleaned, _ = stored(found.where((F.col("n_hit") == 0) | allowed).mapInArrow(tidied(cut), schema), "leaks-cut")
     out, again = cleaned.where("n_hit = 0"), cleaned.where("n_hit > 0")
     before = [F.col(c).alias(f"__{c}") for c in ("n_words", "spans", "items", "n_hit")]

@@ -179,3 +179,13 @@ def test_stages_on_odd_documents(spark, tables, stage, folder):
             assert sum(r["doc_id"] == 3 for r in got) == (1 if stage == "near_duplicates" else 2) and {r["doc_id"] for r in got} == {1, 2, 3, 4, None}
     empty = run(spark, spark.createDataFrame([], DOCS), tables[folder])
     assert empty.count() == 0 and empty.columns == out.columns
+
+
+def test_cut_texts_are_the_same_with_several_blocks(spark):
+    item, other = [f"q{i}" for i in range(10)], [f"r{i}" for i in range(10)]
+    plain = " ".join(f"w{i}" for i in range(80))
+    texts = [f"{plain} {' '.join(a[:5])} {' '.join(b)} {' '.join(a[5:])} x {plain}" for a in (item, other) for b in (item, other)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame([("i", " ".join(item)), ("o", " ".join(other))], "item_id string, text string")
+    one, many = (sorted((r["doc_id"], r["text"], r["n_hit"]) for r in decontam.decontaminate(docs, items, **o).collect()) for o in ({}, {"block_words": 10}))
+    assert one == many and [r[2] for r in one] == [20] * 4
