@@ -54,6 +54,16 @@ def discard(spark: SparkSession, *paths: str) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of what finished plans hold: driver memory, and the shuffle files that Spark removes once nothing refers to them.
+
+    Spark does so when the driver happens to collect its garbage, which a small
+    heap of plans may not cause for hours of large shuffles.
+    """
+    give_back()
+    spark._jvm.System.gc()
+
+
 #: caches of a worker that a task fills and none needs after it
 TASK_CACHES: list[dict] = []
 

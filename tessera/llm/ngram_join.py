@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import connected_components, discard, prepare, stored, tidied
+from tessera.llm.common import connected_components, discard, prepare, release, stored, tidied
 
 _K = np.uint64(0x9E3779B97F4A7C15)
 #: lists up to this length are expanded into all pairs at once
@@ -474,12 +474,19 @@ def _components(rows: DataFrame, width: int, percent: int) -> DataFrame:
     facts, fpath = stored(facts, "join-facts")
 
     sets, spath = stored(_needed_sets(spark, rows, facts.select("sid"), width), "join-sets")
+    release(spark)
+    paths = [lpath, fpath, spath]  # of what nothing needs once the labels are stored
+
+    def kept(df: DataFrame, label: str) -> DataFrame:
+        out, path = stored(df, label)
+        paths.append(path)
+        return out
 
     def verify(pairs: DataFrame) -> DataFrame:
-        return stored(_verified(pairs, sets, percent), "join-links")[0]
+        return kept(_verified(pairs, sets, percent), "join-links")
 
     first = _short_pairs(lists, percent).union(_leader_pairs(lists, percent, (1, 2))).distinct()
-    tried, _ = stored(_plausible(first, facts, percent), "join-pairs")
+    tried = kept(_plausible(first, facts, percent), "join-pairs")
     links = verify(tried)
     label = connected_components(links)
     # other leaders while they still join components, then whatever remains
@@ -489,17 +496,19 @@ def _components(rows: DataFrame, width: int, percent: int) -> DataFrame:
         else:
             more = _rest_pairs(active, facts, label, percent)
         # stored before the anti join, which the optimizer would push below the distinct
-        more, _ = stored(stored(more, "join-more")[0].join(tried, ["a", "b"], "left_anti"), "join-rest")
+        more = kept(kept(more, "join-more").join(tried, ["a", "b"], "left_anti"), "join-rest")
         found = verify(more)
         tried = tried.union(more)
         if found.limit(1).count():
             links = links.union(found)
-            label, _ = stored(connected_components(links), "join-components")
+            label = kept(connected_components(links), "join-components")
         elif turn == LEADER_TURNS:
             break
-    discard(spark, lpath, fpath, spath)
+        release(spark)
 
     label, _ = stored(label.select(F.col("node").alias("sid"), "label"), "join-labels")
+    discard(spark, *paths)
+    release(spark)
     classes = profiles.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("least"))
     classes = classes.join(label, "sid", "left").select("sid", "least", F.coalesce("label", "sid").alias("label"))
     classes, _ = stored(classes, "join-classes")

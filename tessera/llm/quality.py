@@ -247,6 +247,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
     prior = y01[order].astype(float)
     model.slope, model.offset = fit_sigmoid(margins, prior, stands_for[order])
     fit(order)
+    give_back()  # the sample has gone through the driver
     return model
 
 
