@@ -490,6 +490,7 @@ SELECT p_partkey, SpecsJson, json_extract_string(SpecsJson, '$.name') AS Product
 FROM specs WHERE json_extract_string(SpecsJson, '$.name') IS NOT NULL
 """)
 def product_specs(spark, sf):
+    # fixed value: the member name cultureId, as the reference's spec documents have it;
     # the spec document is built as a one-row FOR JSON array and unwrapped,
     # ProductModel is the persisted computed column read from it
     p = t(spark, sf, "part")

@@ -11,8 +11,8 @@ from tessera.plans.relational_queries import t
 _EMAIL_SQL = ("CASE WHEN c_acctbal < 0 THEN lower(replace(c_name, '#', '.')) || 'example.com' "
               "ELSE lower(replace(c_name, '#', '.')) || '@example.com' END")
 _TAXID_SQL = ("lpad(CAST(c_custkey AS VARCHAR), 8, '0') || CASE WHEN c_acctbal >= 0 "
-              "THEN substr('TRWAGMYFPDXBNJZSQVHLCKE', CAST(c_custkey % 23 AS INTEGER) + 1, 1) ELSE 'A' END")
-_EMAIL_RE = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
+              f"THEN substr('{L.TAX_ID_LETTERS}', CAST(c_custkey % 23 AS INTEGER) + 1, 1) ELSE 'A' END")
+_EMAIL_RE = L.EMAIL_PATTERN
 
 
 def _email(c):
@@ -56,7 +56,7 @@ def rule_report(spark, sf):
 @query("tax_id_rule", f"""
 SELECT c_custkey, {_TAXID_SQL} AS tax_id,
   regexp_full_match(upper({_TAXID_SQL}), '^\\d{{2,8}}[A-Z]$')
-  AND right(upper({_TAXID_SQL}), 1) = substr('TRWAGMYFPDXBNJZSQVHLCKE',
+  AND right(upper({_TAXID_SQL}), 1) = substr('{L.TAX_ID_LETTERS}',
         CAST(CAST(regexp_extract(upper({_TAXID_SQL}), '^(\\d{{2,8}})', 1) AS BIGINT) % 23 AS INTEGER) + 1, 1) AS valid
 FROM customer
 """)

@@ -59,14 +59,14 @@ def group_quarter(spark, sf):
 
 
 @query("month_sales", """
-SELECT date_trunc('month', o_orderdate) AS mes_venta,
+SELECT date_trunc('month', o_orderdate) AS month,
        CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS ventas
 FROM orders GROUP BY 1 ORDER BY 1
 """)
 def month_sales(spark, sf):
     o = t(spark, sf, "orders")
-    return (o.groupBy(F.date_trunc("month", "o_orderdate").cast("timestamp_ntz").alias("mes_venta"))
-            .agg(money("o_totalprice").alias("ventas")).orderBy("mes_venta"))
+    return (o.groupBy(F.date_trunc("month", "o_orderdate").cast("timestamp_ntz").alias("month"))
+            .agg(money("o_totalprice").alias("ventas")).orderBy("month"))
 
 
 @query("count_rows", "SELECT COUNT(1) AS n FROM orders")

@@ -187,8 +187,8 @@ def datetrunc(spark, sf):
 
 
 @query("least_greatest", """
-SELECT o.o_orderkey, least(o.o_orderdate, l.first_ship, l.last_ship) AS primer_evento,
-       greatest(o.o_orderdate, l.first_ship, l.last_ship) AS ultimo_evento
+SELECT o.o_orderkey, least(o.o_orderdate, l.first_ship, l.last_ship) AS first_event,
+       greatest(o.o_orderdate, l.first_ship, l.last_ship) AS last_event
 FROM orders o LEFT JOIN (SELECT l_orderkey, min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship
                          FROM lineitem GROUP BY l_orderkey) l ON o.o_orderkey = l.l_orderkey
 """)
@@ -198,5 +198,5 @@ def least_greatest(spark, sf):
                                          F.max("l_shipdate").alias("last_ship"))
     j = o.join(ships, o.o_orderkey == ships.l_orderkey, "left")
     return j.select("o_orderkey",
-                    F.least("o_orderdate", "first_ship", "last_ship").alias("primer_evento"),
-                    F.greatest("o_orderdate", "first_ship", "last_ship").alias("ultimo_evento"))
+                    F.least("o_orderdate", "first_ship", "last_ship").alias("first_event"),
+                    F.greatest("o_orderdate", "first_ship", "last_ship").alias("last_event"))
