@@ -129,18 +129,24 @@ def elements_of(fragment: Column) -> Column:
     key somewhere, which VARIANT refuses, a string element that itself holds an
     object's text is taken for that object.
     """
-    def read(p):
-        raw = F.from_json(p, "array<string>", STRICT_TEXT)
-        kinds = F.transform(F.try_variant_get(F.try_parse_json(p), "$", "array<variant>"), lambda x: F.schema_of_variant(x) == "STRING")
+    def told(x):
+        kinds = F.transform(F.try_variant_get(F.try_parse_json(x["p"]), "$", "array<variant>"), lambda v: F.schema_of_variant(v) == "STRING")
 
-        def text(e, i):
+        def text(e, kinds, i):
             is_string = F.coalesce(F.get(kinds, i), ~F.rlike(e, F.lit(r"^[\[{]|^(true|false|-?[0-9][0-9.eE+-]*)$")))
             quoted = F.to_json(F.array(e))
             return F.when(e.isNull(), "null").when(is_string, F.substring(quoted, F.lit(2), F.length(quoted) - 2)).otherwise(e)
 
-        return F.when(_starts(p, "["), F.transform(raw, text))
+        # a lambda's body is evaluated for each element: the kinds of all of them are made outside it
+        return _once(kinds, lambda k: F.transform(x["raw"], lambda e, i: text(e, k, i)))
 
-    return _once(fragment, read)
+    def read(x):
+        # texts that make up the array's own text when joined: no element is a string, which would miss its quotes
+        plain = F.transform(x["raw"], lambda e: F.coalesce(e, F.lit("null")))
+        return _once(plain, lambda t: F.when(F.concat(F.lit("["), F.array_join(t, ","), F.lit("]")) == x["p"], t).otherwise(told(x)))
+
+    return _once(fragment, lambda p: F.when(_starts(p, "["), _once(
+        F.struct(p.alias("p"), F.from_json(p, "array<string>", STRICT_TEXT).alias("raw")), read)))
 
 
 def matches(doc: Column, steps: tuple) -> Column:
@@ -169,6 +175,24 @@ def _or_error(path: Path, text: str, doc: Column, found: Column, what: str) -> C
     return F.when(doc.isNull(), F.lit(None).cast("string")).otherwise(F.coalesce(found, error))
 
 
+def scalar_of(text: Column) -> Column:
+    """The scalar of a JSON text with its quotes, NULL for objects, arrays and JSON null."""
+    return F.when(_starts(text, '"'), unquoted(text)).when(~_starts(text, "[{") & (text != "null"), text)
+
+
+def fragment_of(text: Column) -> Column:
+    """The JSON text if it is an object or array."""
+    return F.when(_starts(text, "[{"), text)
+
+
+def lax_text(doc: Column, path: str) -> Column | None:
+    """JSON text at ``path`` with its quotes, by one native call; None for a strict path and one that ``get_json_object`` cannot express."""
+    p = parse_path(path)
+    steps = _single(p, path)
+    spelled = _spelled(steps)
+    return F.get_json_object(_wrapped(doc), f"$[*]{spelled}") if steps and spelled is not None and not p.strict else None
+
+
 def value(doc: Column, path: str) -> Column:
     """JS3: the scalar at ``path`` as text; NULL for objects, arrays, JSON null and missing paths.
 
@@ -181,7 +205,7 @@ def value(doc: Column, path: str) -> Column:
         return _or_error(p, path, doc, F.lit(None).cast("string"), "scalar")
 
     def read(t):
-        scalar = F.when(_starts(t, '"'), unquoted(t)).when(~_starts(t, "[{") & (t != "null"), t)
+        scalar = scalar_of(t)
         return F.when(t == "null", F.lit(None).cast("string")).otherwise(_or_error(p, path, doc, scalar, "scalar")) if p.strict else scalar
 
     spelled = _spelled(steps)
@@ -197,7 +221,7 @@ def query(doc: Column, path: str = "$") -> Column:
     p = parse_path(path)
     spelled = _spelled(_single(p, path))
     text = F.get_json_object(_wrapped(doc), f"$[*]{spelled}") if spelled is not None else text_at(doc, p.steps)
-    return _or_error(p, path, doc, _once(text, lambda t: F.when(_starts(t, "[{"), t)), "object or array")
+    return _or_error(p, path, doc, _once(text, fragment_of), "object or array")
 
 
 def exists(doc: Column, path: str) -> Column:

@@ -128,9 +128,17 @@ def openjson_paths(df: DataFrame, col: str, columns: Mapping[str, tuple[str, str
     at = json_path._or_error(p, path, F.col(col), at, "value")
     items = F.coalesce(json_path.elements_of(F.col("_at")), F.when(F.col("_at").startswith("{"), F.array("_at")))
     rows = df.select(*keep, at.alias("_at")).select(*keep, (F.explode_outer if outer else F.explode)(items).alias("_e"))
-    cols = [(json_path.query(F.col("_e"), at) if kind.lower() == "json" else json_path.value(F.col("_e"), at).cast(kind)).alias(name)
-            for name, (kind, at) in columns.items()]
-    return rows.select(*keep, *cols)
+    # the members' texts in a projection of their own: read once, then mentioned as columns
+    texts, cols = [], []
+    for i, (name, (kind, member)) in enumerate(columns.items()):
+        text, is_json = json_path.lax_text(F.col("_e"), member), kind.lower() == "json"
+        if text is not None:
+            texts.append(text.alias(f"_t{i}"))
+            found = json_path.fragment_of(F.col(f"_t{i}")) if is_json else json_path.scalar_of(F.col(f"_t{i}"))
+        else:
+            found = json_path.query(F.col("_e"), member) if is_json else json_path.value(F.col("_e"), member)
+        cols.append((found if is_json else found.cast(kind)).alias(name))
+    return rows.select(*keep, "_e", *texts).select(*keep, *cols)
 
 
 def openjson_count(df: DataFrame, key: str, col: str, path: str = "$",

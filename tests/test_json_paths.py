@@ -76,6 +76,20 @@ def test_isjson(spark, doc, any_kind, is_object, is_array):
     assert one(spark, doc, J.is_json("d"), J.is_json("d", "OBJECT"), J.is_json("d", "array")) == (any_kind, is_object, is_array)
 
 
+def test_kinds_of_elements_are_made_once_for_an_array(spark):
+    """Not in the lambda over the elements, where the whole array would be parsed again for each."""
+    import re
+
+    df = spark.createDataFrame([('[1,"1",null,"null",{"k":"v"},"{\\"k\\":\\"v\\"}",[1,2],true,"true",1.50,""]',), ('[{"a":1},{"b":"x,y"},null,[],2]',),
+                                ('[]',), ('["a\\"b",",","]"]',), ('[{"k":1,"k":2},"{}"]',), ("{}",), (None,)], "d string")
+    got = [r[0] for r in df.select(json_path.elements_of(F.get_json_object(F.concat(F.lit("["), "d", F.lit("]")), "$[*]"))).collect()]
+    assert got == [["1", '"1"', "null", '"null"', '{"k":"v"}', '"{\\"k\\":\\"v\\"}"', "[1,2]", "true", '"true"', "1.5", '""'],
+                   ['{"a":1}', '{"b":"x,y"}', "null", "[]", "2"], [], ['"a\\"b"', '","', '"]"'], ['{"k":1,"k":2}', "{}"], None, None]
+    plan = df.select(json_path.elements_of(F.col("d")))._jdf.queryExecution().analyzed().toString()
+    inner = re.search(r"lambdafunction\(CASE WHEN isnull.*", plan)[0].split("END", 1)[0]
+    assert "parsejson" not in inner.lower() and "parse_json" not in inner.lower()
+
+
 def test_openjson_paths(spark):
     rows = [(1, '{"l":[{"i":1,"p":{"n":"2.5"},"x":[1]},{"i":2},"text",null]}'), (2, '{"l":{"i":9,"p":{"n":1}}}'), (3, '{"l":7}'), (4, None), (5, '{"l":[]}')]
     df = spark.createDataFrame(rows, "k int, d string")
