@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import connected_components, discard, prepare, release, stored, tidied
+from tessera.llm.common import connected_components, discard, give_back, prepare, release, stored, tidied
 
 _K = np.uint64(0x9E3779B97F4A7C15)
 #: lists up to this length are expanded into all pairs at once
@@ -242,8 +243,8 @@ def _boundary(active: DataFrame, percent: int) -> tuple[int, Column]:
     return at, size_class
 
 
-def _shared_prefixes(spark: SparkSession, profiles: DataFrame) -> DataFrame:
-    """``(sid, n, token, extra, len)``: prefix entries of shingles that two or more sets have, and how many have them."""
+def _shared_prefixes(spark: SparkSession, profiles: DataFrame) -> tuple[DataFrame, str]:
+    """``(sid, n, token, extra, len)``: prefix entries of shingles that two or more sets have, and how many have them; and its path."""
     tokens = profiles.where("tokens IS NOT NULL").select("sid", F.explode("tokens").alias("token"))
     shared = tokens.groupBy("token").agg(F.min("sid").alias("a"), F.max("sid").alias("b")).where("a <> b").select("token")
     shared, path = stored(shared, "join-shared")
@@ -266,8 +267,9 @@ def _shared_prefixes(spark: SparkSession, profiles: DataFrame) -> DataFrame:
     post = (profiles.where("tokens IS NOT NULL").select("sid", "n", "tokens").mapInArrow(tidied(select), "sid long, n long, token long, extra boolean")
             .dropDuplicates(["token", "sid"]))
     lens = post.groupBy("token").agg(F.count("*").alias("len")).where("len > 1")
-    active = stored(post.join(lens, "token"), "join-active")[0]
+    active = stored(post.join(lens, "token"), "join-active")
     discard(spark, path)
+    release(spark)
     return active
 
 
@@ -356,8 +358,20 @@ def _needed_sets(spark: SparkSession, rows: DataFrame, need: DataFrame, width: i
     return made.groupBy("sid").agg(F.first("s").alias("s"))
 
 
+def _marked_rows(rows: DataFrame, need: DataFrame) -> DataFrame:
+    """The rows whose ``sid`` may be among the values of ``need``: all that are, and a few others."""
+    table = rows.sparkSession.sparkContext.broadcast(_bit_table(need, NEED_BITS))
+
+    def select(batches):
+        for b in batches:
+            yield b.filter(pa.array(_marked(table.value, _slot(b.column("sid").to_numpy(zero_copy_only=False), NEED_BITS))))
+
+    return rows.mapInArrow(tidied(select), rows.schema)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose sets reach the similarity."""
+    """The pairs ``(a, b)`` whose sets reach the similarity; only sets that may be in a pair are shuffled."""
+    sets = _marked_rows(sets, pairs.select(F.explode(F.array("a", "b")).alias("sid")))
     both = (pairs.join(sets.select(F.col("sid").alias("a"), F.col("s").alias("sa")), "a")
             .join(sets.select(F.col("sid").alias("b"), F.col("s").alias("sb")), "b"))
     common = F.size(F.array_intersect("sa", "sb"))
@@ -413,8 +427,8 @@ def _plausible(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(_signature_ok(percent, "ga", "na", "gb", "nb")).select("a", "b")
 
 
-def _rest_pairs(active: DataFrame, facts: DataFrame, label: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that share a longer prefix list and that size and signature leave open.
+def _rest_pairs(active: DataFrame, facts: DataFrame, label: DataFrame, percent: int) -> tuple[DataFrame, str]:
+    """Pairs of different components that share a longer prefix list and that size and signature leave open, and the path they are read from.
 
     Every pair that links shares a single prefix shingle; where all those it
     shares have short lists, it has been in a short list already. In every list
@@ -427,11 +441,11 @@ def _rest_pairs(active: DataFrame, facts: DataFrame, label: DataFrame, percent:
     most = (parts.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("most"), F.count("*").alias("k"))
             .where("k > 1").select("key", "most"))
     open_lists = entry.join(most, "key").join(facts.select("sid", "sig"), "sid")
-    open_lists, _ = stored(open_lists, "join-open")
+    open_lists, path = stored(open_lists, "join-open")
     left = open_lists.where("label <> most").select("key", F.col("sid").alias("other"), F.col("n").alias("m"), F.col("label").alias("its"), F.col("sig").alias("gs"))
     met = open_lists.join(left, "key").where(
         (F.col("label") != F.col("its")) & _size_ok(percent, "n", "m") & _signature_ok(percent, "sig", "n", "gs", "m"))
-    return met.select(F.least("sid", "other").alias("a"), F.greatest("sid", "other").alias("b")).distinct()
+    return met.select(F.least("sid", "other").alias("a"), F.greatest("sid", "other").alias("b")).distinct(), path
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
@@ -449,13 +463,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     all documents (they are larger than the texts); those of documents in
     some list are made again from the texts.
     """
-    out = _components(_text_rows(docs, id_col, text_col), width, percent)
+    out, _ = _components(_text_rows(docs, id_col, text_col), width, percent)
     return out.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"),
                       F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def _components(rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """``(doc_id, n, sid, label, component_id)`` of ``(doc_id, text)`` rows, one for each.
+def _components(rows: DataFrame, width: int, percent: int) -> tuple[DataFrame, list[str]]:
+    """``(doc_id, n, sid, label, component_id)`` of ``(doc_id, text)`` rows, one for each, and the paths it is read from.
 
     ``sid`` is the set's fingerprint and ``label`` the component's, which tells
     components of equal ``component_id`` apart where ids repeat or are null; both
@@ -466,16 +480,17 @@ def _components(rows: DataFrame, width: int, percent: int) -> DataFrame:
     spark = rows.sparkSession
     prepare(spark)
     bits = _table_bits(rows)
-    profiles, _ = stored(_profiles(spark, rows, _frequency_levels(rows, width, bits), bits, width, percent), "join-profiles")
-    active = _shared_prefixes(spark, profiles)
+    profiles, ppath = stored(_profiles(spark, rows, _frequency_levels(rows, width, bits), bits, width, percent), "join-profiles")
+    active, apath = _shared_prefixes(spark, profiles)
     lists, lpath = stored(_lists(active, percent), "join-lists")
     facts = profiles.where("tokens IS NOT NULL").select("sid", "n", F.array(*[f"s{k}" for k in range(SIGNATURE)]).alias("sig"))
     facts = facts.join(active.select("sid").distinct(), "sid", "left_semi").groupBy("sid").agg(F.first("n").alias("n"), F.first("sig").alias("sig"))
     facts, fpath = stored(facts, "join-facts")
+    release(spark)
 
     sets, spath = stored(_needed_sets(spark, rows, facts.select("sid"), width), "join-sets")
     release(spark)
-    paths = [lpath, fpath, spath]  # of what nothing needs once the labels are stored
+    paths = [ppath, apath, lpath, fpath, spath]  # of what nothing needs once the labels are stored
 
     def kept(df: DataFrame, label: str) -> DataFrame:
         out, path = stored(df, label)
@@ -483,7 +498,10 @@ def _components(rows: DataFrame, width: int, percent: int) -> DataFrame:
         return out
 
     def verify(pairs: DataFrame) -> DataFrame:
-        return kept(_verified(pairs, sets, percent), "join-links")
+        release(spark)
+        out = kept(_verified(pairs, sets, percent), "join-links")
+        release(spark)
+        return out
 
     first = _short_pairs(lists, percent).union(_leader_pairs(lists, percent, (1, 2))).distinct()
     tried = kept(_plausible(first, facts, percent), "join-pairs")
@@ -494,7 +512,8 @@ def _components(rows: DataFrame, width: int, percent: int) -> DataFrame:
         if turn < LEADER_TURNS:
             more = _plausible(_leader_pairs(lists, percent, tuple(range(6 * turn + 3, 6 * turn + 9)), label, links), facts, percent)
         else:
-            more = _rest_pairs(active, facts, label, percent)
+            more, opath = _rest_pairs(active, facts, label, percent)
+            paths.append(opath)
         # stored before the anti join, which the optimizer would push below the distinct
         more = kept(kept(more, "join-more").join(tried, ["a", "b"], "left_anti"), "join-rest")
         found = verify(more)
@@ -502,19 +521,53 @@ def _components(rows: DataFrame, width: int, percent: int) -> DataFrame:
         if found.limit(1).count():
             links = links.union(found)
             label = kept(connected_components(links), "join-components")
-        elif turn == LEADER_TURNS:
-            break
-        release(spark)
 
-    label, _ = stored(label.select(F.col("node").alias("sid"), "label"), "join-labels")
+    label, labels = stored(label.select(F.col("node").alias("sid"), "label"), "join-labels")
+    # of the profiles, what the result is made of
+    profiles, ids = stored(profiles.select("doc_id", "n", "sid"), "join-ids")
     discard(spark, *paths)
     release(spark)
     classes = profiles.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("least"))
     classes = classes.join(label, "sid", "left").select("sid", "least", F.coalesce("label", "sid").alias("label"))
-    classes, _ = stored(classes, "join-classes")
+    classes, cpath = stored(classes, "join-classes")
+    discard(spark, labels)
     roots = classes.groupBy("label").agg(F.min("least").alias("component_id"))
     of_set = classes.join(roots, "label").select("sid", "label", "component_id")
-    return profiles.select("doc_id", "n", "sid").join(of_set, "sid", "left")
+    return profiles.join(of_set, "sid", "left"), [ids, cpath]
+
+
+#: what the id alone tells of a row
+STAYS, GOES, OPEN = 0, 1, 2
+
+
+def _told_by_id(known: DataFrame) -> tuple[Callable[[Column], Column], DataFrame]:
+    """A function from the hash of an id of ``known (doc_id, stays)`` to ``STAYS``, ``GOES`` or ``OPEN``, and the ids that stay among the open ones.
+
+    One bit table marks the ids that go, another the staying ones that fall on a
+    mark of the first: an id without the first mark stays, one without the second
+    goes. Only rows with both need a join, so that texts are not shuffled for
+    it. The tables have a fixed size; where they fill up, more rows are open.
+    """
+    spark = known.sparkSession
+    known = known.withColumn("h", F.xxhash64("doc_id"))
+    first = spark.sparkContext.broadcast(_bit_table(known.where("NOT stays").select("h"), SHARED_BITS))
+
+    @F.arrow_udf("boolean")
+    def marked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for h in batches:
+            yield pa.array(_marked(first.value, _slot(h.to_numpy(zero_copy_only=False), SHARED_BITS)))
+
+    close, _ = stored(known.where("stays").where(marked("h")).select("doc_id", "h"), "keep-close")
+    second = spark.sparkContext.broadcast(_bit_table(close.select("h"), SHARED_BITS))
+
+    @F.arrow_udf("int")
+    def state(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for h in batches:
+            slots = _slot(h.to_numpy(zero_copy_only=False), SHARED_BITS)
+            yield pa.array(np.where(_marked(first.value, slots), np.where(_marked(second.value, slots), OPEN, GOES), STAYS), pa.int32())
+        give_back()
+
+    return state, close
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -524,15 +577,23 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     keeps one row, also where ids repeat over components or a component has null
     ids alone: of the rows with its smallest id, one with the smallest set id.
     """
-    parts, _ = stored(_components(_text_rows(docs, id_col, text_col), width, percent).where("n > 0"), "keep-parts")
+    spark = docs.sparkSession
+    parts, paths = _components(_text_rows(docs, id_col, text_col), width, percent)
+    parts, _ = stored(parts.where("n > 0"), "keep-parts")
+    discard(spark, *paths)
     root = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    ids, _ = stored(parts.groupBy("doc_id").agg(F.count("*").alias("n"), F.max(root).alias("root")).where("root"), "keep-ids")
-    empty = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(r"[^\x20\x09-\x0D]")), F.lit(0)) == 0
-    wordless = docs.where(empty)
-    words = docs.where(~empty)
-    single = words.join(ids.where("n = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias(id_col)), id_col, "left_semi")
+    ids, _ = stored(parts.groupBy("doc_id").agg(F.count("*").alias("n"), F.max(root).alias("root")), "keep-ids")
+    release(spark)
     cols = docs.columns
-    out = single.select(*cols).union(wordless.select(*cols))
+    words = F.coalesce(F.rlike(F.col(text_col).cast("string"), F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
+    known = ids.where("doc_id IS NOT NULL").select("doc_id", F.expr("root AND n = 1").alias("stays"))
+    state, close = _told_by_id(known)
+    told = F.when(F.col(id_col).isNotNull(), state(F.xxhash64(F.col(id_col))))
+    out = docs.where(~words | (told == STAYS)).select(*cols)
+    if close.limit(1).count():
+        out = out.union(docs.where(words & (told == OPEN)).join(close.select(F.col("doc_id").alias(id_col)), id_col, "left_semi").select(*cols))
+    words = docs.where(words)
+    ids = ids.where("root")
     unclear = ids.where("n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("__id"))
     if unclear.limit(1).count():  # the id does not tell the row: by id and set
         picked = parts.where(root).join(unclear, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").groupBy("label").agg(

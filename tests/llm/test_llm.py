@@ -184,6 +184,30 @@ def test_keep_one_selects_rows_where_ids_repeat_or_are_null(spark):
         [(a, "1"), (b, "1"), (c, "4"), (d, "0"), (e, "None"), ("lone words", "None"), (" ", "6")])
 
 
+def test_keep_one_shuffles_no_texts_and_leaves_no_join_tables(spark, monkeypatch):
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    before = set(os.listdir(folder))
+    texts = [" ".join(f"{k}{i}" for i in range(30)) for k in range(40)]
+    df = spark.createDataFrame(list(enumerate([*texts, *texts[:10], " ", None])), "doc_id long, text string")
+    kept = ngram_join.keep_one(df)
+    assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["doc_id"] for r in kept.collect()) == [*range(40), 50, 51]
+    left = set(os.listdir(folder)) - before
+    assert not [x for x in left if x.startswith("join-")] and [x for x in left if x.startswith("keep-")]
+    # a bit table that is full leaves rows open: those are joined
+    monkeypatch.setattr(ngram_join, "SHARED_BITS", 4)
+    kept = ngram_join.keep_one(df)
+    assert "Exchange" in kept._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["doc_id"] for r in kept.collect()) == [*range(40), 50, 51]
+
+
+def test_only_sets_of_pairs_are_compared(spark):
+    sets = spark.createDataFrame([(k << 44, list(range(k, k + 20))) for k in range(50)], "sid long, s array<long>")
+    pairs = spark.createDataFrame([(1 << 44, 2 << 44), (3 << 44, 30 << 44)], "a long, b long")
+    assert {r["sid"] >> 44 for r in ngram_join._marked_rows(sets, pairs.selectExpr("explode(array(a, b)) sid")).collect()} == {1, 2, 3, 30}
+    assert [tuple(r) for r in ngram_join._verified(pairs, sets, 85).collect()] == [(1 << 44, 2 << 44)]
+
+
 def test_vectors_against_brute_force(spark):
     rng = np.random.default_rng(3)
     v = rng.normal(size=(700, 16))
