@@ -37,7 +37,7 @@ _K = np.uint64(0x9E3779B97F4A7C15)
 SHORT = 4
 #: turns in which the longer lists meet six more leaders each
 LEADER_TURNS = 2
-#: bits of the tables that say which sets may be needed again (2 MB) and which shingles are shared (8 MB)
+#: bits of the tables that say which sets or ids may be needed again (2 MB) and which shingles are shared (8 MB)
 NEED_BITS = 24
 SHARED_BITS = 26
 SIGNATURE = 8  # longs, 512 bits
@@ -334,6 +334,19 @@ def _marked(packed: np.ndarray, slots: np.ndarray) -> np.ndarray:
     return (packed[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1 == 1
 
 
+def _marks(spark: SparkSession, values: DataFrame) -> Callable[[str], Column]:
+    """A function telling whether a long column falls on a mark of ``values``."""
+    table = spark.sparkContext.broadcast(_bit_table(values, NEED_BITS))
+
+    @F.arrow_udf("boolean")
+    def marked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for h in batches:
+            yield pa.array(_marked(table.value, _slot(h.to_numpy(zero_copy_only=False), NEED_BITS)))
+        give_back()
+
+    return marked
+
+
 def _needed_sets(spark: SparkSession, rows: DataFrame, need: DataFrame, width: int) -> DataFrame:
     """``(sid, s)``: the whole shingle sets of the ids in ``need``, made again from the texts."""
     table = spark.sparkContext.broadcast(_bit_table(need, NEED_BITS))
@@ -359,14 +372,8 @@ def _needed_sets(spark: SparkSession, rows: DataFrame, need: DataFrame, width: i
 
 
 def _marked_rows(rows: DataFrame, need: DataFrame) -> DataFrame:
-    """The rows whose ``sid`` may be among the values of ``need``: all that are, and a few others."""
-    table = rows.sparkSession.sparkContext.broadcast(_bit_table(need, NEED_BITS))
-
-    def select(batches):
-        for b in batches:
-            yield b.filter(pa.array(_marked(table.value, _slot(b.column("sid").to_numpy(zero_copy_only=False), NEED_BITS))))
-
-    return rows.mapInArrow(tidied(select), rows.schema)
+    """The rows whose ``sid`` may be among the values of ``need``: all that are, and a few others. Only the ids go to Python."""
+    return rows.where(_marks(rows.sparkSession, need)("sid"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -550,20 +557,15 @@ def _told_by_id(known: DataFrame) -> tuple[Callable[[Column], Column], DataFrame
     """
     spark = known.sparkSession
     known = known.withColumn("h", F.xxhash64("doc_id"))
-    first = spark.sparkContext.broadcast(_bit_table(known.where("NOT stays").select("h"), SHARED_BITS))
-
-    @F.arrow_udf("boolean")
-    def marked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for h in batches:
-            yield pa.array(_marked(first.value, _slot(h.to_numpy(zero_copy_only=False), SHARED_BITS)))
-
-    close, _ = stored(known.where("stays").where(marked("h")).select("doc_id", "h"), "keep-close")
-    second = spark.sparkContext.broadcast(_bit_table(close.select("h"), SHARED_BITS))
+    goes = known.where("NOT stays").select("h")
+    close, _ = stored(known.where("stays").where(_marks(spark, goes)("h")).select("doc_id", "h"), "keep-close")
+    first = spark.sparkContext.broadcast(_bit_table(goes, NEED_BITS))
+    second = spark.sparkContext.broadcast(_bit_table(close.select("h"), NEED_BITS))
 
     @F.arrow_udf("int")
     def state(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for h in batches:
-            slots = _slot(h.to_numpy(zero_copy_only=False), SHARED_BITS)
+            slots = _slot(h.to_numpy(zero_copy_only=False), NEED_BITS)
             yield pa.array(np.where(_marked(first.value, slots), np.where(_marked(second.value, slots), OPEN, GOES), STAYS), pa.int32())
         give_back()
 

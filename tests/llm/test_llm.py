@@ -195,7 +195,7 @@ def test_keep_one_shuffles_no_texts_and_leaves_no_join_tables(spark, monkeypatch
     left = set(os.listdir(folder)) - before
     assert not [x for x in left if x.startswith("join-")] and [x for x in left if x.startswith("keep-")]
     # a bit table that is full leaves rows open: those are joined
-    monkeypatch.setattr(ngram_join, "SHARED_BITS", 4)
+    monkeypatch.setattr(ngram_join, "NEED_BITS", 4)
     kept = ngram_join.keep_one(df)
     assert "Exchange" in kept._jdf.queryExecution().executedPlan().toString()
     assert sorted(r["doc_id"] for r in kept.collect()) == [*range(40), 50, 51]
