@@ -218,9 +218,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     """
     spark = docs.sparkSession
     prepare(spark)
-    spans_t = "array<struct<start:int,end:int>>"
-    cur = docs.select(F.col(id_col), *[F.col(k) for k in keep], F.col(text_col).cast("string").cast("binary").alias("__text"))
-    cur = cur.withColumns({"n_words": F.lit(None).cast("long"), "spans": F.array().cast(spans_t), "items": F.array().cast("array<string>")})
+    cur = _unsearched(docs, id_col, text_col, keep)
     schema = cur.schema
     blocks = _blocks(items, id_col=item_id_col, text_col=item_text_col, block_words=block_words)
     for k, block in enumerate(itertools.chain([next(blocks, [])], blocks)):
@@ -229,27 +227,40 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
         shared = spark.sparkContext.broadcast(Matcher([(None if i is None else str(i), ws) for i, ws in block], window))
 
         def run(batches, shared=shared):
-            matcher = shared.value
-            for big in batches:
-                for lo in range(0, big.num_rows, 512):
-                    b = big.slice(lo, 512)
-                    docs_words = [words_of(t) for t in b.column("__text").to_pylist()]
-                    spans, found = b.column("spans").to_pylist(), b.column("items").to_pylist()
-                    for d, hits in matcher.match(docs_words).items():
-                        spans[d] = merge(([(s["start"], s["end"]) for s in spans[d]]) + [(s, e) for s, e, _ in hits])
-                        got = set(found[d])
-                        for ids in {h[2] for h in hits}:
-                            got.update(i for i in ids if i is not None)
-                        found[d] = sorted(got)
-                    cols = {"n_words": pa.array([len(w) for w in docs_words], pa.int64()),
-                            "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
-                            "items": pa.array(found, pa.list_(pa.string()))}
-                    yield pa.RecordBatch.from_arrays([cols.get(n, b.column(n)) for n in b.schema.names], names=b.schema.names)
+            for b, cols in _matched(batches, shared.value):
+                yield pa.RecordBatch.from_arrays([cols[n] if n in cols else b.column(n) for n in b.schema.names], names=b.schema.names)
 
         cur = cur.mapInArrow(tidied(run), schema)
     return cur.select(id_col, *keep, F.col("__text").cast("string").alias("text"), "n_words", "spans", "items")
 
 
+_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+
+def _unsearched(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...]) -> DataFrame:
+    """``(id_col, *keep, __text, n_words, spans, items)`` with nothing found yet."""
+    cur = docs.select(F.col(id_col), *[F.col(k) for k in keep], F.col(text_col).cast("string").cast("binary").alias("__text"))
+    return cur.withColumns({"n_words": F.lit(None).cast("long"), "spans": F.array().cast("array<struct<start:int,end:int>>"),
+                            "items": F.array().cast("array<string>")})
+
+
+def _matched(batches, matcher: Matcher):
+    """Parts of the batches with their new ``n_words``, ``spans`` and ``items``: what was found before and what ``matcher`` finds."""
+    for big in batches:
+        for lo in range(0, big.num_rows, 512):
+            b = big.slice(lo, 512)
+            docs_words = [words_of(t) for t in b.column("__text").to_pylist()]
+            spans, found = b.column("spans").to_pylist(), b.column("items").to_pylist()
+            for d, hits in matcher.match(docs_words).items():
+                spans[d] = merge(([(s["start"], s["end"]) for s in spans[d]]) + [(s, e) for s, e, _ in hits])
+                got = set(found[d])
+                for ids in {h[2] for h in hits}:
+                    got.update(i for i in ids if i is not None)
+                found[d] = sorted(got)
+            yield b, {"n_words": pa.array([len(w) for w in docs_words], pa.int64()), "spans": pa.array(spans, _SPANS),
+                      "items": pa.array(found, pa.list_(pa.string()))}
+
+
 def merge(spans: list[tuple[int, int]]) -> list[dict]:
     out: list[list[int]] = []
     for s, e in sorted(spans):
@@ -287,6 +298,33 @@ def decontaminate(docs: DataFrame, items: DataFrame, max_coverage: float = 0.5,
     keep = tuple(options.pop("keep", ()))
     id_col = options.get("id_col", "doc_id")
     ordinary = (id_col, *keep, "text", "n_words", "spans", "items", "n_hit")
+    allowed = (F.col("n_hit") <= max_coverage * F.col("n_words")) & (F.col("n_words") - F.col("n_hit") >= min_words)
+    block_options = {k: options[k] for k in ("block_words",) if k in options}
+    blocks = _blocks(items, id_col=options.get("item_id_col", "item_id"), text_col=options.get("item_text_col", "text"), **({"block_words": 200_000} | block_options))
+    only, more = next(blocks, []), next(blocks, None)
+    if more is None:  # one automaton holds all items: a text is searched, cut and searched again where it lies, by one worker
+        spark = docs.sparkSession
+        prepare(spark)
+        shared = spark.sparkContext.broadcast(Matcher([(None if i is None else str(i), ws) for i, ws in only], options.get("window", 10)))
+        base = _unsearched(docs, id_col, options.get("text_col", "text"), keep).withColumn("n_hit", F.lit(None).cast("int"))
+
+        def clean(batches):
+            matcher = shared.value
+            for b, cols in _matched(batches, matcher):
+                texts, hit = None, [0] * b.num_rows
+                for i, spans in enumerate(cols["spans"].to_pylist()):
+                    while spans:
+                        texts = texts or b.column("__text").to_pylist()
+                        hit[i] += sum(s["end"] - s["start"] for s in spans)
+                        texts[i] = remove_spans(texts[i], spans).decode(errors="replace").encode()
+                        spans = merge([(s, e) for s, e, _ in matcher.match([words_of(texts[i])]).get(0, [])])
+                cols["n_hit"] = pa.array(hit, pa.int32())
+                if texts is not None:
+                    cols["__text"] = pa.array(texts, pa.binary())
+                yield pa.RecordBatch.from_arrays([cols[n] if n in cols else b.column(n) for n in b.schema.names], names=b.schema.names)
+
+        found = base.mapInArrow(tidied(clean), base.schema).where((F.col("n_hit") == 0) | allowed)
+        return found.withColumn("text", F.col("__text").cast("string")).select(*ordinary)
     hits = F.aggregate("spans", F.lit(0), lambda a, s: a + s["end"] - s["start"])
     found = find_leaks(docs, items, keep=keep, **options).withColumn("n_hit", hits)
     schema = found.schema
@@ -298,27 +336,6 @@ def decontaminate(docs: DataFrame, items: DataFrame, max_coverage: float = 0.5,
             yield pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if n == "text" else b.column(n) for n in b.schema.names],
                                              names=b.schema.names)
 
-    allowed = (F.col("n_hit") <= max_coverage * F.col("n_words")) & (F.col("n_words") - F.col("n_hit") >= min_words)
-    block_options = {k: options[k] for k in ("block_words",) if k in options}
-    blocks = _blocks(items, id_col=options.get("item_id_col", "item_id"), text_col=options.get("item_text_col", "text"), **({"block_words": 200_000} | block_options))
-    only, more = next(blocks, []), next(blocks, None)
-    if more is None:  # one automaton holds all items: a text is searched again where it lies
-        shared = docs.sparkSession.sparkContext.broadcast(Matcher([(None if i is None else str(i), ws) for i, ws in only], options.get("window", 10)))
-
-        def cut_clean(batches):
-            matcher = shared.value
-            for b in batches:
-                texts, hit = b.column("text").to_pylist(), b.column("n_hit").to_pylist()
-                for i, spans in enumerate(b.column("spans").to_pylist()):
-                    while spans:
-                        raw = remove_spans(texts[i].encode(), spans)
-                        texts[i] = raw.decode(errors="replace")
-                        spans = merge([(s, e) for s, e, _ in matcher.match([words_of(raw)]).get(0, [])])
-                        hit[i] += sum(s["end"] - s["start"] for s in spans)
-                new = {"text": pa.array(texts, pa.string()), "n_hit": pa.array(hit, pa.int32())}
-                yield pa.RecordBatch.from_arrays([new.get(n, b.column(n)) for n in b.schema.names], names=b.schema.names)
-
-        return found.where((F.col("n_hit") == 0) | allowed).mapInArrow(tidied(cut_clean), schema).where((F.col("n_hit") == 0) | allowed).select(*ordinary)
     cleaned, _ = stored(found.where((F.col("n_hit") == 0) | allowed).mapInArrow(tidied(cut), schema), "leaks-cut")
     out, again = cleaned.where("n_hit = 0"), cleaned.where("n_hit > 0")
     before = [F.col(c).alias(f"__{c}") for c in ("n_words", "spans", "items", "n_hit")]

@@ -335,7 +335,11 @@ def _marked(packed: np.ndarray, slots: np.ndarray) -> np.ndarray:
 
 
 def _marks(spark: SparkSession, values: DataFrame) -> Callable[[str], Column]:
-    """A function telling whether a long column falls on a mark of ``values``."""
+    """A function telling whether a long column falls on a mark of ``values``.
+
+    Declared nondeterministic, or the optimizer would infer it for the other
+    side of every join as well and run it there once more.
+    """
     table = spark.sparkContext.broadcast(_bit_table(values, NEED_BITS))
 
     @F.arrow_udf("boolean")
@@ -344,7 +348,7 @@ def _marks(spark: SparkSession, values: DataFrame) -> Callable[[str], Column]:
             yield pa.array(_marked(table.value, _slot(h.to_numpy(zero_copy_only=False), NEED_BITS)))
         give_back()
 
-    return marked
+    return marked.asNondeterministic()
 
 
 def _needed_sets(spark: SparkSession, rows: DataFrame, need: DataFrame, width: int) -> DataFrame:
@@ -377,8 +381,12 @@ def _marked_rows(rows: DataFrame, need: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose sets reach the similarity; only sets that may be in a pair are shuffled."""
-    sets = _marked_rows(sets, pairs.select(F.explode(F.array("a", "b")).alias("sid")))
+    """The pairs ``(a, b)`` whose sets reach the similarity; only sets that may be in a pair are shuffled.
+
+    They are shuffled once for both sides, which also keeps the two out of one
+    stage, whose tasks would hold two Python workers each.
+    """
+    sets = _marked_rows(sets, pairs.select(F.explode(F.array("a", "b")).alias("sid"))).repartition("sid")
     both = (pairs.join(sets.select(F.col("sid").alias("a"), F.col("s").alias("sa")), "a")
             .join(sets.select(F.col("sid").alias("b"), F.col("s").alias("sb")), "b"))
     common = F.size(F.array_intersect("sa", "sb"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import corpus_pipeline as P  # noqa: E402
-from tessera.llm import decontam, quality, toxicity, vector_graph  # noqa: E402
+from tessera.llm import decontam, ngram_join, quality, toxicity, vector_graph  # noqa: E402
 
 VECTORS = "vec_id long, embedding array<double>, label int"
 
@@ -189,3 +189,16 @@ def test_cut_texts_are_the_same_with_several_blocks(spark):
     items = spark.createDataFrame([("i", " ".join(item)), ("o", " ".join(other))], "item_id string, text string")
     one, many = (sorted((r["doc_id"], r["text"], r["n_hit"]) for r in decontam.decontaminate(docs, items, **o).collect()) for o in ({}, {"block_words": 10}))
     assert one == many and [r[2] for r in one] == [20] * 4
+
+
+def test_one_python_worker_a_task(spark, tmp_path):
+    """Each worker holds 100 MB and stays: search and cut are one node, the two sides of a comparison are shuffled apart."""
+    docs, items = spark.createDataFrame([(1, "a b")], "doc_id long, text string"), spark.createDataFrame([("i", "a b c")], "item_id string, text string")
+    plan = decontam.decontaminate(docs, items)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    spark.createDataFrame([(i, [i, i + 1, i + 2]) for i in range(9)], "sid long, s array<long>").coalesce(1).write.parquet(str(tmp_path / "sets"))
+    pairs = spark.createDataFrame([(0, 1), (4, 8), (2, 3), (2, 4)], "a long, b long")
+    links = ngram_join._verified(pairs, spark.read.parquet(str(tmp_path / "sets")), 50)
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == plan.count("REPARTITION_BY_COL") == 2
+    assert sorted(map(tuple, links.collect())) == [(0, 1), (2, 3)]
