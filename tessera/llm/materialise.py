@@ -16,10 +16,8 @@ from __future__ import annotations
 
 import hashlib
 import struct
-import sys
 import uuid
 import zlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -105,9 +103,8 @@ def materialise(docs: DataFrame, out_path: str, id_col: str = "doc_id", text_col
     def count(batches):
         enc, n = encoder(tokenizer_path), 0
         for b in batches:
-            for t in b.column("text").to_pylist():
-                if t:
-                    n += -(-len(enc.encode(t)) // seq_len)
+            for ids in enc.encode_column(b.column("text")):
+                n += -(-len(ids) // seq_len)
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64())],
                                          names=["part", "n"])
 
@@ -126,28 +123,34 @@ def materialise(docs: DataFrame, out_path: str, id_col: str = "doc_id", text_col
     def cut(batches):
         enc, part = encoder(tokenizer_path), TaskContext.get().partitionId()
         at, expected = offsets.get(part, 0), counts.get(part, 0)
-        done, width, full = 0, dtype.itemsize, seq_len * dtype.itemsize
-        padding = np.full(seq_len, pad_id, dtype=dtype).tobytes()
-        code = "H" if width == 2 else "I"
+        done, kind = 0, _record_type(seq_len, dtype)
         for b in batches:
-            records: list[bytes] = []
-            for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                if not t:
-                    continue
-                ids = array(code, enc.encode(t))
-                if sys.byteorder == "big":
-                    ids.byteswap()
-                raw, null = ids.tobytes(), int(d is None)
-                for k, lo in enumerate(range(0, len(raw), full)):
-                    piece = raw[lo:lo + full]
-                    head = struct.pack(_HEAD, d or 0, k, len(piece) // width, null)
-                    records.append(head + piece if len(piece) == full else head + piece + padding[len(piece):])
+            held = list(enc.encode_column(b.column("text")))
+            size = np.array([len(ids) for ids in held], np.int64)
+            pieces = -(-size // seq_len)
+            first = np.cumsum(pieces) - pieces  # record at which a document begins
+            seq = np.arange(pieces.sum()) - np.repeat(first, pieces)
+            flat = np.full(len(seq) * seq_len, pad_id, dtype)
+            for lo, ids in zip((first * seq_len).tolist(), held):
+                flat[lo:lo + len(ids)] = ids
+            del held
+            records = np.empty(len(seq), kind)
+            doc = b.column("doc_id")
+            records["doc"] = np.repeat(doc.fill_null(0).to_numpy(), pieces)
+            records["seq"] = seq
+            records["n"] = np.minimum(np.repeat(size, pieces) - seq * seq_len, seq_len)
+            records["flags"] = np.repeat(doc.is_null().to_numpy(zero_copy_only=False), pieces)
+            records["ids"] = flat.reshape(-1, seq_len)
             slots = permute(np.arange(at + done, at + done + len(records)), total, key)
             done += len(records)
-            for i in range(0, len(records), 8192):
+            rows = min(8192, (1 << 30) // stride)
+            for i in range(0, len(records), rows):
+                some = records[i:i + rows]
+                ends = np.arange(len(some) + 1, dtype=np.int32) * stride
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array((slots[i:i + 8192] // slots_per_shard).astype(np.int32)), pa.array(slots[i:i + 8192]),
-                     pa.array(records[i:i + 8192], pa.binary())], names=["shard", "slot", "record"])
+                    [pa.array((slots[i:i + rows] // slots_per_shard).astype(np.int32)), pa.array(slots[i:i + rows]),
+                     pa.Array.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(ends), pa.py_buffer(some)])],
+                    names=["shard", "slot", "record"])
         if done != expected:
             raise RuntimeError(f"partition {part} gave {done} sequences after {expected}: the input is not stable")
 

@@ -6,13 +6,14 @@ import os
 import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import corpus_pipeline as P  # noqa: E402
-from tessera.llm import decontam, ngram_join, quality, toxicity, vector_graph  # noqa: E402
+from tessera.llm import decontam, ngram_join, quality, tokenizer, toxicity, vector_graph  # noqa: E402
 
 VECTORS = "vec_id long, embedding array<double>, label int"
 
@@ -202,3 +203,12 @@ def test_one_python_worker_a_task(spark, tmp_path):
     plan = links._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == plan.count("REPARTITION_BY_COL") == 2
     assert sorted(map(tuple, links.collect())) == [(0, 1), (2, 3)]
+
+
+def test_ids_of_a_column_are_those_of_its_texts():
+    e = tokenizer.encoder()
+    texts = [None, "", " ", "it's  one.\n\nAnother 12 %%%", "<|endoftext|> a <|endoftext|>", "\xa0 x\x1c\x1cy", "\u00dcn\u00ef \u65e5\u672c", "word " * 60_000, "y" * 300_000,
+             "a  b " * 60_000]
+    got = [ids.tolist() for ids in e.encode_column(pa.array(texts))]
+    assert got == [e.encode(t) if t else [] for t in texts]
+    assert got[4] == e.enc.encode_ordinary(texts[4])
